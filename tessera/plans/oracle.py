@@ -151,3 +151,65 @@ SQL["d11_positions"] = f"""WITH {WINDOWS} SELECT window_idx, (generate_subscript
   unnest(x)::BIGINT AS token FROM wins"""
 SQL["window_stats"] = f"""WITH {WINDOWS} SELECT split, count(*) AS n_windows,
   sum(len(list_filter(x, lambda t: t <> 0)))::BIGINT AS real_tokens FROM splits GROUP BY split"""
+
+
+# ---- decoding over logits tables -------------------------------------------------
+
+LOGITS = """logits AS (SELECT vec_id AS row_id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS token,
+  unnest(embedding)::DOUBLE AS logit FROM embeddings)"""
+SQL["g1_temperature"] = f"WITH {LOGITS} SELECT row_id, token, round(logit / 0.7e0, 6) AS logit FROM logits"
+SEEN = "seen AS (SELECT DISTINCT row_id, token FROM logits WHERE logit < -0.1e0)"
+SQL["g2_repetition_penalty"] = f"""WITH {LOGITS}, {SEEN}
+SELECT l.row_id, l.token, round(CASE WHEN s.token IS NOT NULL THEN l.logit / 1.2e0 ELSE l.logit END, 6) AS logit
+FROM logits l LEFT JOIN seen s USING (row_id, token)"""
+SQL["g2_repetition_penalty_sign_aware"] = f"""WITH {LOGITS}, {SEEN}
+SELECT l.row_id, l.token, round(CASE WHEN s.token IS NULL THEN l.logit
+  WHEN l.logit < 0 THEN l.logit * 1.2e0 ELSE l.logit / 1.2e0 END, 6) AS logit
+FROM logits l LEFT JOIN seen s USING (row_id, token)"""
+SOFT = """sm AS (SELECT row_id, token, z / sum(z) OVER (PARTITION BY row_id) AS prob FROM (
+  SELECT row_id, token, exp(logit - max(logit) OVER (PARTITION BY row_id)) AS z FROM logits))"""
+SQL["g3_softmax"] = f"WITH {LOGITS}, {SOFT} SELECT row_id, token, round(prob, 6) AS prob FROM sm"
+NUCLEUS = LOGITS.replace("unnest(embedding)::DOUBLE AS logit", "unnest(embedding)::DOUBLE / 0.7e0 AS logit") + ", " + SOFT + """,
+kept AS (SELECT row_id, token, prob FROM (
+  SELECT *, coalesce(sum(prob) OVER (PARTITION BY row_id ORDER BY prob DESC, token
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sm) WHERE before <= 0.9e0),
+nuc AS (SELECT row_id, token, prob / sum(prob) OVER (PARTITION BY row_id) AS prob FROM kept)"""
+SQL["g4_top_p"] = f"WITH {NUCLEUS} SELECT row_id, token, round(prob, 6) AS prob FROM nuc"
+SQL["g6_sample_token"] = f"""WITH {NUCLEUS},
+c AS (SELECT row_id, token,
+  sum(prob) OVER (PARTITION BY row_id ORDER BY prob DESC, token ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+  sum(prob) OVER (PARTITION BY row_id) AS tot,
+  row_number() OVER (PARTITION BY row_id ORDER BY prob DESC, token) AS pos,
+  ('0x' || substr(md5('42|' || row_id::VARCHAR || '|0'), 1, 8))::BIGINT / 4294967296.0e0 AS u
+  FROM nuc)
+SELECT row_id, coalesce(min_by(token, pos) FILTER (WHERE cum > u * tot), max_by(token, pos)) AS next_token
+FROM c GROUP BY row_id"""
+RANKED = f"""{LOGITS}, seqs AS (SELECT row_id, list(token ORDER BY -logit, token) AS tokens FROM logits GROUP BY row_id)"""
+SQL["g7_truncate_context"] = f"""WITH {RANKED} SELECT row_id,
+  array_to_string(CASE WHEN len(tokens) > 16 THEN tokens[-16:] ELSE tokens END, ' ') AS tokens_text FROM seqs"""
+SQL["g8_trim_at_eos"] = f"""WITH {RANKED} SELECT row_id,
+  array_to_string(CASE WHEN list_position(tokens, 3) IS NOT NULL THEN tokens[1:list_position(tokens, 3)]
+    ELSE tokens END, ' ') AS tokens_text FROM seqs"""
+
+# ---- run-log analysis --------------------------------------------------------------
+
+LOG = """log AS (SELECT user_id AS run_id,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS iter, value AS val_loss FROM events)"""
+SQL["r1_eval_points"] = f"""WITH {LOG} SELECT run_id, iter, val_loss FROM (
+  SELECT *, max(iter) OVER (PARTITION BY run_id) AS last_iter FROM log) WHERE iter % 5 = 0 OR iter = last_iter"""
+IMPROVED = LOG + """,
+m AS (SELECT *, min(val_loss) OVER (PARTITION BY run_id ORDER BY iter
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best FROM log),
+imp AS (SELECT *, (prev_best IS NULL OR val_loss < prev_best) AS improved,
+  row_number() OVER (PARTITION BY run_id ORDER BY iter) AS pos FROM m),
+s AS (SELECT *, pos - max(CASE WHEN improved THEN pos END) OVER (PARTITION BY run_id ORDER BY iter
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS since FROM imp),
+f AS (SELECT *, max(CASE WHEN since >= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY iter
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stopped_before FROM s),
+kept AS (SELECT * FROM f WHERE coalesce(stopped_before, 0) = 0)"""
+SQL["r2_mark_improved"] = f"""WITH {IMPROVED} SELECT run_id, iter, improved::INTEGER AS improved,
+  least(val_loss, prev_best) AS best_so_far FROM imp"""
+SQL["r3_early_stop"] = f"""WITH {IMPROVED} SELECT run_id, iter, since::BIGINT AS since,
+  (since >= 5)::INTEGER AS stopped_here FROM kept"""
+SQL["r5_best_checkpoint"] = f"""WITH {IMPROVED} SELECT run_id, min_by(iter, (val_loss, iter)) AS best_iter,
+  min(val_loss) AS best_val_loss FROM kept GROUP BY run_id"""

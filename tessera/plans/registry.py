@@ -209,3 +209,105 @@ def d11_positions(spark, d):
 def window_stats(spark, d):
     tok = _word_tok(spark, d)
     return corpus.window_stats(inputs.qa_pairs(spark, d), CFG, tok)
+
+
+# ---- decoding over logits tables -------------------------------------------------
+
+from tessera.operators import decoding as G  # noqa: E402
+from tessera.operators import runlog as R  # noqa: E402
+
+G_TEMPERATURE = 0.7
+G_SEEN_BELOW = -0.1  # stand-in seen set: a row's tokens with logit below this
+
+
+def _r6(c):
+    return F.round(F.col(c), 6).alias(c)
+
+
+def _seen(lg):
+    return lg.filter(F.col("logit") < G_SEEN_BELOW).select("row_id", "token")
+
+
+@query("g1_temperature")
+def g1_temperature(spark, d):
+    return G.temperature(inputs.logits(spark, d), G_TEMPERATURE).select("row_id", "token", _r6("logit"))
+
+
+@query("g2_repetition_penalty")
+def g2_penalty(spark, d):
+    lg = inputs.logits(spark, d)
+    return G.repetition_penalty(lg, _seen(lg), CFG.repetition_penalty, "divide").select("row_id", "token", _r6("logit"))
+
+
+@query("g2_repetition_penalty_sign_aware")
+def g2_penalty_sign(spark, d):
+    lg = inputs.logits(spark, d)
+    return G.repetition_penalty(lg, _seen(lg), CFG.repetition_penalty, "sign_aware").select(
+        "row_id", "token", _r6("logit"))
+
+
+@query("g3_softmax")
+def g3_softmax(spark, d):
+    return G.softmax(inputs.logits(spark, d)).select("row_id", "token", _r6("prob"))
+
+
+def _nucleus(spark, d):
+    lg = G.temperature(inputs.logits(spark, d), G_TEMPERATURE)
+    return G.top_p(G.softmax(lg), CFG.top_p)
+
+
+@query("g4_top_p")
+def g4_top_p(spark, d):
+    return _nucleus(spark, d).select("row_id", "token", _r6("prob"))
+
+
+@query("g6_sample_token")
+def g6_sample(spark, d):
+    return G.sample_token(_nucleus(spark, d), CFG.seed, 0)
+
+
+def _ranked_tokens(spark, d):
+    lg = inputs.logits(spark, d)
+    seq = F.transform(F.array_sort(F.collect_list(F.struct(-F.col("logit"), F.col("token")))), lambda s: s["token"])
+    return lg.groupBy("row_id").agg(seq.alias("tokens"))
+
+
+@query("g7_truncate_context")
+def g7_truncate(spark, d):
+    return G.truncate_context(_ranked_tokens(spark, d), 16).select("row_id", ints_text("tokens").alias("tokens_text"))
+
+
+@query("g8_trim_at_eos")
+def g8_trim(spark, d):
+    return G.trim_at_eos(_ranked_tokens(spark, d), CFG.eos_id).select("row_id", ints_text("tokens").alias("tokens_text"))
+
+
+# ---- run-log analysis --------------------------------------------------------------
+
+R_EVERY = 5  # evaluation interval used on the event log
+
+
+def _log(spark, d):
+    return R.number_iters(inputs.run_log(spark, d), ["ts", "event_id"]).select("run_id", "iter", "val_loss")
+
+
+@query("r1_eval_points")
+def r1_eval(spark, d):
+    return R.eval_points(_log(spark, d), R_EVERY, include_last=True).select("run_id", "iter", "val_loss")
+
+
+@query("r2_mark_improved")
+def r2_improved(spark, d):
+    m = R.mark_improved(_log(spark, d))
+    return m.select("run_id", "iter", F.col("improved").cast("int").alias("improved"), "best_so_far")
+
+
+@query("r3_early_stop")
+def r3_stop(spark, d):
+    s = R.early_stop(_log(spark, d), CFG.patience_early_stopping)
+    return s.select("run_id", "iter", "since", F.col("stopped_here").cast("int").alias("stopped_here"))
+
+
+@query("r5_best_checkpoint")
+def r5_best(spark, d):
+    return R.best_checkpoint(R.early_stop(_log(spark, d), CFG.patience_early_stopping))
