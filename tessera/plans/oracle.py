@@ -79,7 +79,7 @@ splits AS (
               <= floor((SELECT count(*) FROM wins) * 0.9e0) THEN 'train' ELSE 'val' END AS split
   FROM wins)"""
 
-PROMPT_IDS = word_vocab() + f""",
+PROMPT_PART = f"""
 prompts AS (SELECT item_id AS row_id, 'Q: ' || text || ' A:' AS text FROM benchmark),
 pw AS (SELECT row_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
        FROM (SELECT row_id, {words('text')} AS ws FROM prompts)),
@@ -88,6 +88,7 @@ pids AS (
   FROM prompts p LEFT JOIN pw w USING (row_id) LEFT JOIN vocab v ON v.word = w.word GROUP BY p.row_id),
 bos AS (SELECT row_id, CASE WHEN len(tokens) > 0 AND tokens[1] = 2 THEN tokens ELSE list_prepend(2, tokens) END AS tokens
         FROM pids)"""
+PROMPT_IDS = word_vocab() + ",\n" + PROMPT_PART
 
 
 SQL: dict[str, str] = {}
@@ -213,3 +214,56 @@ SQL["r3_early_stop"] = f"""WITH {IMPROVED} SELECT run_id, iter, since::BIGINT AS
   (since >= 5)::INTEGER AS stopped_here FROM kept"""
 SQL["r5_best_checkpoint"] = f"""WITH {IMPROVED} SELECT run_id, min_by(iter, (val_loss, iter)) AS best_iter,
   min(val_loss) AS best_val_loss FROM kept GROUP BY run_id"""
+
+
+# ---- n-gram language model -----------------------------------------------------------
+
+NGRAM = WINDOWS + """,
+tr AS (SELECT window_idx, x, unnest(y) AS token, generate_subscripts(y, 1) - 1 AS t
+       FROM splits WHERE split = 'train'),
+lv AS (SELECT 1 AS ord, '' AS ctx, token FROM tr WHERE token <> 0
+       UNION ALL SELECT 2, x[t + 1]::VARCHAR, token FROM tr WHERE token <> 0
+       UNION ALL SELECT 3, array_to_string(x[t:t + 1], ' '), token FROM tr WHERE token <> 0 AND t >= 1),
+counts AS (SELECT ord, ctx, token, count(*) AS n FROM lv GROUP BY ord, ctx, token),
+tot AS (SELECT ord, ctx, sum(n) AS total FROM counts GROUP BY ord, ctx),
+nn AS (SELECT sum(n) AS n FROM counts WHERE ord = 1),
+vv AS (SELECT count(*) + 4 AS v FROM vocab),
+va AS (SELECT window_idx, x, unnest(y) AS token, generate_subscripts(y, 1) - 1 AS t
+       FROM splits WHERE split = 'val'),
+vt AS (SELECT window_idx, t, token, x[t + 1]::VARCHAR AS h2,
+              CASE WHEN t >= 1 THEN array_to_string(x[t:t + 1], ' ') END AS h3 FROM va WHERE token <> 0),
+sc AS (
+  SELECT vt.window_idx, vt.t,
+    (0.01e0 / vv.v + 0.19e0 * coalesce(c1.n, 0) / nn.n
+      + CASE WHEN t2.total IS NOT NULL THEN 0.3e0 * coalesce(c2.n, 0) / t2.total ELSE 0 END
+      + CASE WHEN t3.total IS NOT NULL THEN 0.5e0 * coalesce(c3.n, 0) / t3.total ELSE 0 END)
+    / (0.2e0 + CASE WHEN t2.total IS NOT NULL THEN 0.3e0 ELSE 0 END
+             + CASE WHEN t3.total IS NOT NULL THEN 0.5e0 ELSE 0 END) AS p
+  FROM vt CROSS JOIN nn CROSS JOIN vv
+  LEFT JOIN counts c1 ON c1.ord = 1 AND c1.token = vt.token
+  LEFT JOIN counts c2 ON c2.ord = 2 AND c2.ctx = vt.h2 AND c2.token = vt.token
+  LEFT JOIN tot t2 ON t2.ord = 2 AND t2.ctx = vt.h2
+  LEFT JOIN counts c3 ON c3.ord = 3 AND c3.ctx = vt.h3 AND c3.token = vt.token
+  LEFT JOIN tot t3 ON t3.ord = 3 AND t3.ctx = vt.h3)"""
+SQL["l1_fit_ngram"] = f"WITH {NGRAM} SELECT ord AS ctx_order, ctx, token, n FROM counts"
+SQL["l3_token_loss"] = f"WITH {NGRAM} SELECT round(avg(-ln(p)), 6) AS loss, count(*) AS n_targets FROM sc"
+SQL["l4_eval_loss"] = f"""WITH {NGRAM},
+vb AS (SELECT window_idx, (row_number() OVER (ORDER BY window_idx) - 1) // {BATCH} AS batch_id
+       FROM splits WHERE split = 'val'),
+bl AS (SELECT vb.batch_id, avg(-ln(sc.p)) AS bl FROM sc JOIN vb USING (window_idx) GROUP BY vb.batch_id)
+SELECT round(coalesce(avg(bl), 'inf'::DOUBLE), 6) AS val_loss, count(*) AS n_batches FROM bl"""
+SQL["l2_score_next"] = f"""WITH {NGRAM},
+{PROMPT_PART},
+last AS (
+  SELECT row_id, 3 AS ord, array_to_string(tokens[-2:], ' ') AS ctx FROM bos WHERE len(tokens) >= 2
+  UNION ALL SELECT row_id, 2, tokens[-1]::VARCHAR FROM bos WHERE len(tokens) >= 1),
+hit AS (SELECT l.row_id, max_by(l.ord, l.ord) AS ord, max_by(l.ctx, l.ord) AS ctx
+        FROM last l JOIN tot USING (ord, ctx) GROUP BY l.row_id),
+back AS (
+  SELECT b.row_id, 2 AS ord, max_by(b.tok::VARCHAR, b.pos) AS ctx FROM (
+    SELECT row_id, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS pos FROM bos
+    WHERE row_id NOT IN (SELECT row_id FROM hit)) b
+  JOIN tot ON tot.ord = 2 AND tot.ctx = b.tok::VARCHAR GROUP BY b.row_id),
+chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back)
+SELECT ch.row_id, c.token, round(ln(c.n / t.total), 6) AS logit, ch.ord AS ctx_order
+FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)"""

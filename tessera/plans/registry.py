@@ -311,3 +311,43 @@ def r3_stop(spark, d):
 @query("r5_best_checkpoint")
 def r5_best(spark, d):
     return R.best_checkpoint(R.early_stop(_log(spark, d), CFG.patience_early_stopping))
+
+
+# ---- n-gram language model -----------------------------------------------------------
+
+from tessera.operators import ngram as L  # noqa: E402
+
+
+def _lm_parts(spark, d):
+    tok = _word_tok(spark, d)
+    ids = encode(_train_text(spark, d), tok)
+    wins = W.pack_windows(ids, CFG.block_size, CFG.step_size, CFG.pad_id)
+    sw = SP.split_exact(wins, CFG.train_ratio, CFG.seed)
+    lm = L.fit_ngram(sw.filter(F.col("split") == "train"), CFG.ngram_order, tok.size, CFG.ngram_lambdas)
+    return tok, sw, lm
+
+
+@query("l1_fit_ngram")
+def l1_fit(spark, d):
+    _, _, lm = _lm_parts(spark, d)
+    return lm.counts.select(F.col("order").alias("ctx_order"), "ctx", "token", "n")
+
+
+@query("l3_token_loss")
+def l3_loss(spark, d):
+    _, sw, lm = _lm_parts(spark, d)
+    return L.token_loss(sw.filter(F.col("split") == "val"), lm).select(_r6("loss"), "n_targets")
+
+
+@query("l4_eval_loss")
+def l4_eval(spark, d):
+    _, sw, lm = _lm_parts(spark, d)
+    val = SP.assign_batches(sw.filter(F.col("split") == "val"), CFG.batch_size, shuffle=False)
+    return L.eval_loss(val, lm).select(_r6("val_loss"), "n_batches")
+
+
+@query("l2_score_next")
+def l2_score(spark, d):
+    _, _, lm = _lm_parts(spark, d)
+    ctx = ensure_bos(_prompt_ids(spark, d))
+    return L.score_next(ctx, lm).select("row_id", "token", _r6("logit"), "ctx_order")
