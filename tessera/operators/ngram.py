@@ -21,10 +21,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 from tessera.operators.vocab import BROADCAST_ROWS, PAD
 
 
@@ -82,16 +83,19 @@ def fit_ngram(windows: DataFrame, order: int = 3, vocab_size: int | None = None,
                        for k in range(1, order + 1)])
     rows = tg.select("token", F.explode(levels).alias("l")).select("l.order", "l.ctx", "token").filter(
         F.col("ctx").isNotNull())
-    counts = rows.groupBy("order", "ctx", "token").agg(F.count(F.lit(1)).alias("n")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    totals = counts.groupBy("order", "ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_types")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    n_tokens = totals.filter(F.col("order") == 1).agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-    if n_tokens == 0:
+    counts = cut_lineage(rows.groupBy("order", "ctx", "token").agg(F.count(F.lit(1)).alias("n")))
+    totals = cut_lineage(counts.groupBy("order", "ctx").agg(
+        F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_types")))
+    sizes = totals.agg(
+        F.coalesce(F.sum(F.when(F.col("order") == 1, F.col("total"))), F.lit(0)).alias("n_tokens"),
+        F.coalesce(F.sum(F.when(F.col("order") == 1, F.col("n_types"))), F.lit(0)).alias("n_types"),
+        F.coalesce(F.sum("n_types"), F.lit(0)).alias("n_count_rows"),
+        F.count(F.lit(1)).alias("n_total_rows")).first()
+    if sizes["n_tokens"] == 0:
         raise ValueError("no training windows: the split left no real targets to count")
-    n_types = counts.filter(F.col("order") == 1).count()
-    v = vocab_size if vocab_size is not None else n_types + 4
-    return NgramModel(order, counts, totals, int(n_tokens), int(v), lambdas, counts.count(), totals.count())
+    v = vocab_size if vocab_size is not None else sizes["n_types"] + 4
+    return NgramModel(order, counts, totals, int(sizes["n_tokens"]), int(v), lambdas,
+                      int(sizes["n_count_rows"]), int(sizes["n_total_rows"]))
 
 
 def token_losses(windows: DataFrame, lm: NgramModel, pad: int = PAD, key: str = "window_idx") -> DataFrame:

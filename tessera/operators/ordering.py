@@ -13,23 +13,22 @@ helpers here do what ``zipWithIndex`` does, in DataFrame form:
 Order keys must form a unique key, so that the result does not depend on how
 ties fall and a recomputed partition (lost executor) gives the same numbers.
 
-The bucketed frame is persisted (memory and disk) before it is read twice
-(bucket totals, in-bucket pass). Both reads then see one physical
-partitioning: adaptive execution plans each branch on its own and may read a
-shuffle differently in each, which would put a row in different buckets. A
-lost cached block is recomputed from the same shuffle dependency, so it comes
-back with the same bucket and position.
+The bucketed frame is written once with a reliable ``checkpoint()`` before
+it is read twice (bucket totals, in-bucket pass). Both reads then see the
+same rows in the same buckets: adaptive execution plans each branch on its
+own and may read a shuffle differently in each, which would put a row in
+different buckets. The checkpoint also cuts lineage, so a lost executor
+re-reads files instead of replaying the plan, and downstream plans stay flat.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import shuffle_partitions
+from tessera.session import cut_lineage, shuffle_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 
@@ -43,11 +42,10 @@ def _bucketed(df: DataFrame, order: Sequence, buckets: int | None) -> DataFrame:
     order = _cols(order)
     ranged = df.repartitionByRange(nb, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
-    return (ranged.withColumn("_mid", mid)
-            .withColumn("_b", F.shiftrightunsigned("_mid", _LOCAL_BITS))
-            .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-            .drop("_mid")
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    return cut_lineage(ranged.withColumn("_mid", mid)
+                       .withColumn("_b", F.shiftrightunsigned("_mid", _LOCAL_BITS))
+                       .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+                       .drop("_mid"))
 
 
 def global_rank(df: DataFrame, order: Sequence, out: str = "rank", buckets: int | None = None) -> DataFrame:

@@ -13,21 +13,46 @@ from tessera.operators.vocab import PAD
 
 
 def split_exact(df: DataFrame, ratio: float, seed: int = 42, key: str = "window_idx",
-                out: str = "split", buckets: int | None = None) -> DataFrame:
+                out: str = "split", prefix_hex: int = 4) -> DataFrame:
     """Label exactly ``int(n * ratio)`` rows 'train', the rest 'val' (D6).
 
-    The permutation is the order of ``md5(seed|key)``; the rank comes from a
-    range shuffle with per-bucket offsets. ``randomSplit`` is not used: its
-    sizes are only expected sizes.
+    The permutation is the order of ``(md5(seed|key), key)``; train is its
+    first ``int(n * ratio)`` rows, i.e. every row up to the k-th smallest
+    hash. That threshold is found without moving the rows:
+
+    1. count rows per hash prefix (``16 ** prefix_hex`` buckets, a map-side
+       partial aggregate; md5 spreads rows evenly over the prefixes);
+    2. on the driver, walk the bucket counts (at most ``16 ** prefix_hex``
+       rows) to the bucket holding the k-th row;
+    3. sort that one bucket (about ``n / 16 ** prefix_hex`` rows) to read the
+       threshold, then label every row by a comparison (narrow, no shuffle).
+
+    ``randomSplit`` is not used: its sizes are only expected sizes.
     """
     if not 0 <= ratio <= 1:
         raise ValueError("ratio must be between 0 and 1")
-    n = df.count()
+    hd = df.withColumn("_split_h", hash_key(seed, key)).withColumn(
+        "_split_b", F.substring("_split_h", 1, prefix_hex))
+    counts = sorted((r["_split_b"], r["n"]) for r in
+                    hd.groupBy("_split_b").agg(F.count(F.lit(1)).alias("n")).collect())
+    n = sum(c for _, c in counts)
     n_train = int(n * ratio)
-    h = "_split_h"
-    ranked = global_rank(df.withColumn(h, hash_key(seed, key)), [h, key], "_split_rank", buckets)
-    return ranked.withColumn(out, F.when(F.col("_split_rank") <= n_train, "train").otherwise("val")).drop(
-        h, "_split_rank")
+    if n_train == 0:
+        return df.withColumn(out, F.lit("val"))
+    if n_train >= n:
+        return df.withColumn(out, F.lit("train"))
+    before = 0
+    for b, c in counts:
+        if before + c >= n_train:
+            break
+        before += c
+    need = n_train - before  # rows to take from bucket b, 1 <= need <= c
+    inside = (hd.filter(F.col("_split_b") == b).select("_split_h", key)
+              .orderBy("_split_h", key).limit(need).collect())
+    h_thr, k_thr = inside[-1]["_split_h"], inside[-1][key]
+    is_train = (F.col("_split_h") < F.lit(h_thr)) | (
+        (F.col("_split_h") == F.lit(h_thr)) & (F.col(key) <= F.lit(k_thr)))
+    return hd.withColumn(out, F.when(is_train, "train").otherwise("val")).drop("_split_h", "_split_b")
 
 
 def assign_batches(df: DataFrame, batch_size: int, seed: int = 42, epoch: int = 0, shuffle: bool = True,

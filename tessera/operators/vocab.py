@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 from tessera.functions.text import split_words
 from tessera.operators.ordering import global_rank
 
@@ -54,6 +56,7 @@ def alphabet(counts: DataFrame, coverage: float = 1.0, marker: str | None = WORD
     chars = (counts.select(F.explode(F.split(word, "")).alias("ch"), "n")
              .filter(F.col("ch") != "")
              .groupBy("ch").agg(F.sum("n").alias("n")))
+    chars = cut_lineage(chars)
     ranked = global_rank(chars, [F.desc("n"), "ch"], "_r")
     total = chars.agg(F.sum("n")).first()[0] or 0
     if coverage >= 1.0 or total == 0:
@@ -71,6 +74,7 @@ def word_vocab(counts: DataFrame, max_size: int | None = None) -> DataFrame:
     past it encode as unk. ``None`` keeps every word.
     """
     spark = counts.sparkSession
+    counts = cut_lineage(counts)  # sampled for range bounds, then ranked
     ranked = global_rank(counts, [F.desc("n"), "word"], "_r")
     if max_size is not None:
         ranked = ranked.filter(F.col("_r") <= max_size - N_SPECIAL)
@@ -92,8 +96,8 @@ class Tokenizer:
 
     @classmethod
     def of(cls, vocab: DataFrame, mode: str, merges: DataFrame | None = None) -> "Tokenizer":
-        vocab = vocab.persist()
-        return cls(vocab, mode, vocab.count(), merges.persist() if merges is not None else None)
+        vocab = cut_lineage(vocab)
+        return cls(vocab, mode, vocab.count(), cut_lineage(merges) if merges is not None else None)
 
     def lookup(self) -> DataFrame:
         """``piece -> id`` for non-special pieces, broadcast when its size allows."""

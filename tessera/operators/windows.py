@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 from tessera.functions.arrays import pad_right
 from tessera.operators.ordering import prefix_sum
 from tessera.operators.vocab import PAD
@@ -59,12 +61,14 @@ def pack_windows(df: DataFrame, block: int, step: int, pad: int = PAD, key: str
     if block <= 0 or step <= 0:
         raise ValueError("block and step must be positive")
     spark = df.sparkSession
+    # read twice (stream length, then the cut): keep one computed copy
+    df = cut_lineage(df.select(key, tokens))
     n_tok = df.agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0))).first()[0]
     nwin = n_windows(int(n_tok), block, step)
     if n_tok == 0:
         empty = F.array_repeat(F.lit(pad), block)
         return spark.range(1).select(F.col("id").alias("window_idx"), empty.alias("x"), empty.alias("y"))
-    off = global_offsets(df.select(key, tokens), key, tokens, buckets)
+    off = global_offsets(df, key, tokens, buckets)
     a, b = F.col("start"), F.col("start") + F.col("n")
     lo = F.greatest(F.lit(0), F.floor((a - block - 1) / step) + 1).cast("bigint")
     hi = F.least(F.lit(nwin - 1), F.floor((b - 1) / step)).cast("bigint")
