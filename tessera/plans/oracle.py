@@ -267,3 +267,15 @@ back AS (
 chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back)
 SELECT ch.row_id, c.token, round(ln(c.n / t.total), 6) AS logit, ch.ord AS ctx_order
 FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)"""
+
+
+# ---- byte-pair tokenizer ------------------------------------------------------------------
+
+SQL["t4_bpe_pair_counts"] = f"""WITH {DOC_WORDS},
+sy AS (SELECT string_split('▁' || regexp_replace(word, '[]', '�', 'g'), '') AS s, n FROM dwc),
+pr AS (SELECT unnest(list_zip(s[1:len(s) - 1], s[2:len(s)])) AS p, n FROM sy WHERE len(s) > 1)
+SELECT p[1] AS a, p[2] AS b, sum(n)::BIGINT AS cnt FROM pr GROUP BY ALL"""
+SQL["t5_sample_input"] = f"""WITH {PAIRS} SELECT idx FROM pairs ORDER BY md5('42|' || idx::VARCHAR), idx LIMIT 100"""
+SQL["t7_decode_bpe"] = f"""WITH {PAIRS}
+SELECT idx, array_to_string({words("'Q: ' || " + strip('question') + " || ' A: ' || " + strip('answer'))}, ' ') AS text
+FROM pairs"""

@@ -351,3 +351,56 @@ def l2_score(spark, d):
     _, _, lm = _lm_parts(spark, d)
     ctx = ensure_bos(_prompt_ids(spark, d))
     return L.score_next(ctx, lm).select("row_id", "token", _r6("logit"), "ctx_order")
+
+
+# ---- byte-pair tokenizer ------------------------------------------------------------------
+
+from tessera.operators import bpe as BPE  # noqa: E402
+from tessera.operators.shuffle import sample_input  # noqa: E402
+
+BPE_VOCAB = 200  # specials + alphabet + merges for the registered BPE queries
+T5_SAMPLE = 100
+
+
+def _tok_text(spark, d):
+    """Tokenizer input: pairs formatted with stripped fields (preprocessing path)."""
+    return inputs.qa_pairs(spark, d).select("idx", format_qa("question", "answer", strip=True).alias("text"))
+
+
+_BPE_CACHE: dict = {}
+
+
+def _bpe_tok(spark, d):
+    key = (id(spark), d)
+    if key not in _BPE_CACHE:
+        _BPE_CACHE[key] = BPE.train_bpe(VO.word_counts(_tok_text(spark, d)), BPE_VOCAB)
+    return _BPE_CACHE[key]
+
+
+@query("t4_bpe_pair_counts")
+def t4_pairs(spark, d):
+    wc = VO.word_counts(inputs.documents(spark, d), "text")
+    return BPE.pair_counts(wc.select(BPE._marked(F.col("word")).alias("w"), "n")).select(
+        "a", "b", F.col("cnt").cast("bigint").alias("cnt"))
+
+
+@query("t4_train_bpe")
+def t4_train(spark, d):
+    return _bpe_tok(spark, d).merges.select("merge_rank", "left", "right", "piece")
+
+
+@query("t5_sample_input")
+def t5_sample(spark, d):
+    return sample_input(inputs.qa_pairs(spark, d), "idx", T5_SAMPLE, CFG.seed).select("idx")
+
+
+@query("t6_encode_bpe")
+def t6_encode_bpe(spark, d):
+    ids = encode(_tok_text(spark, d), _bpe_tok(spark, d))
+    return ids.select("idx", F.size("tokens").cast("bigint").alias("n_tokens"), ints_text("tokens").alias("tokens_text"))
+
+
+@query("t7_decode_bpe")
+def t7_decode_bpe(spark, d):
+    tok = _bpe_tok(spark, d)
+    return decode(encode(_tok_text(spark, d), tok), tok)
