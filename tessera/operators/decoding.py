@@ -87,12 +87,11 @@ def sample_token(df: DataFrame, seed: int, step: int | str = 0, row: str = "row_
     u = hash_unit(seed, row, st)
     ranked = (df.withColumn("_cum", cum).withColumn("_tot", total)
               .withColumn("_pos", F.row_number().over(w)))
-    hits = ranked.filter(F.col("_cum") > u * F.col("_tot"))
-    last = F.max_by(F.col(token), F.col("_pos"))
-    first_hit = hits.groupBy(row).agg(F.min_by(F.col(token), F.col("_pos")).alias(out))
-    # rounding can leave u * total above the last running sum: fall back to the last candidate
-    tail = ranked.groupBy(row).agg(last.alias("_last"))
-    return tail.join(first_hit, row, "left").select(row, F.coalesce(out, "_last").alias(out))
+    # one aggregate: the first position past u (min_by skips NULL positions),
+    # and the last candidate for when rounding leaves u * total above every sum
+    hit_pos = F.when(F.col("_cum") > u * F.col("_tot"), F.col("_pos"))
+    return ranked.groupBy(row).agg(
+        F.coalesce(F.min_by(F.col(token), hit_pos), F.max_by(F.col(token), F.col("_pos"))).alias(out))
 
 
 def truncate_context(df: DataFrame, n: int, col: str = "tokens") -> DataFrame:

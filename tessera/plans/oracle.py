@@ -279,3 +279,15 @@ SQL["t5_sample_input"] = f"""WITH {PAIRS} SELECT idx FROM pairs ORDER BY md5('42
 SQL["t7_decode_bpe"] = f"""WITH {PAIRS}
 SELECT idx, array_to_string({words("'Q: ' || " + strip('question') + " || ' A: ' || " + strip('answer'))}, ' ') AS text
 FROM pairs"""
+
+
+# ---- inference and artifacts ---------------------------------------------------------------------
+
+SQL["l5_infer"] = "SELECT vec_id, round(list_avg(list_transform(embedding, lambda v: v::DOUBLE)), 6) AS prediction FROM embeddings"
+SQL["s4_write_prepared"] = f"""WITH {PAIRS}
+SELECT regexp_replace('Q: ' || {strip('question')} || ' A: ' || {strip('answer')},
+  '\\r\\n|[\\n\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]', ' ', 'g') AS line FROM pairs"""
+SQL["s5_save_load_tokenizer"] = f"""WITH {word_vocab()}
+SELECT * FROM (VALUES (0, '<pad>', 'control'), (1, '<unk>', 'unknown'), (2, '<s>', 'control'), (3, '</s>', 'control')) t(id, piece, kind)
+UNION ALL SELECT id, word, 'word' FROM vocab"""
+SQL["s7_save_load_model"] = SQL["l1_fit_ngram"]

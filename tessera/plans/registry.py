@@ -404,3 +404,59 @@ def t6_encode_bpe(spark, d):
 def t7_decode_bpe(spark, d):
     tok = _bpe_tok(spark, d)
     return decode(encode(_tok_text(spark, d), tok), tok)
+
+
+# ---- generation, inference, artifacts -------------------------------------------------------
+
+from tessera.operators.generate import generate  # noqa: E402
+from tessera.operators.infer import infer  # noqa: E402
+from tessera.sources import artifacts as A  # noqa: E402
+
+G9_MAX_NEW = 8  # new ids per prompt in the registered generation query
+
+
+@query("g9_generate")
+def g9_generate(spark, d):
+    tok, _, lm = _lm_parts(spark, d)
+    out = generate(inputs.prompts(spark, d), lm, tok, CFG, max_new=G9_MAX_NEW)
+    return out.select("row_id", ints_text("answer_ids").alias("answer_ids"), "text")
+
+
+def _mean_model():
+    """A user's model: the mean of each input vector."""
+    def predict(x):
+        return x.mean(axis=1)
+    return predict
+
+
+@query("l5_infer")
+def l5_infer(spark, d):
+    emb = inputs.table(spark, d, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    out = infer(emb, _mean_model, "x", batch_size=CFG.generation_batch_size, input_length=64)
+    return out.select("vec_id", _r6("prediction"))
+
+
+@query("s4_write_prepared")
+def s4_write(spark, d):
+    recs = seeded_shuffle(_tok_text(spark, d), "idx", CFG.seed)
+    path = A.shared_path(spark, "prepared")
+    A.write_prepared(recs, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("s5_save_load_tokenizer")
+def s5_tokenizer(spark, d):
+    tok = _word_tok(spark, d)
+    path = A.shared_path(spark, "tokenizer")
+    A.save_tokenizer(tok, path)
+    return A.load_tokenizer(spark, path).vocab.select("id", "piece", "kind")
+
+
+@query("s7_save_load_model")
+def s7_model(spark, d):
+    _, _, lm = _lm_parts(spark, d)
+    path = A.shared_path(spark, "model")
+    A.save_model(lm, path, {"iter": 0, "best_val_loss": 0.0, "config": {"block_size": CFG.block_size}})
+    back, _, _ = A.load_model(spark, path)
+    return back.counts.select(F.col("order").alias("ctx_order"), "ctx", "token", "n")
