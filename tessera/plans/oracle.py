@@ -291,3 +291,9 @@ SQL["s5_save_load_tokenizer"] = f"""WITH {word_vocab()}
 SELECT * FROM (VALUES (0, '<pad>', 'control'), (1, '<unk>', 'unknown'), (2, '<s>', 'control'), (3, '</s>', 'control')) t(id, piece, kind)
 UNION ALL SELECT id, word, 'word' FROM vocab"""
 SQL["s7_save_load_model"] = SQL["l1_fit_ngram"]
+SQL["st_encode_prompts_stream"] = f"""WITH {word_vocab()},
+up AS (SELECT conv_id, turn, 'Q: ' || {strip('text')} || ' A:' AS prompt FROM conversations WHERE role = 'user'),
+uw AS (SELECT conv_id, turn, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
+       FROM (SELECT conv_id, turn, {words('prompt')} AS ws FROM up))
+SELECT uw.conv_id, uw.turn, string_agg(coalesce(v.id, 1)::VARCHAR, ' ' ORDER BY uw.pos) AS tokens_text
+FROM uw LEFT JOIN vocab v USING (word) GROUP BY uw.conv_id, uw.turn"""

@@ -460,3 +460,18 @@ def s7_model(spark, d):
     A.save_model(lm, path, {"iter": 0, "best_val_loss": 0.0, "config": {"block_size": CFG.block_size}})
     back, _, _ = A.load_model(spark, path)
     return back.counts.select(F.col("order").alias("ctx_order"), "ctx", "token", "n")
+
+
+# ---- streaming ---------------------------------------------------------------------------------
+
+from tessera.streaming import prepare as ST  # noqa: E402
+
+
+@query("st_encode_prompts_stream")
+def st_encode(spark, d):
+    conv = inputs.table(spark, d, "conversations")
+    tok = _word_tok(spark, d)
+    stream = ST.prompt_records(ST.stream_table(spark, d, conv.schema, "conversations.parquet"))
+    sink, ckpt = A.shared_path(spark, "stream-out"), A.shared_path(spark, "stream-ckpt")
+    ST.encode_batches(stream, tok, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("conv_id", "turn", "tokens_text")
