@@ -6,6 +6,8 @@ numbers and nulls survive to validation (V1) with their JSON type intact.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +26,14 @@ def _elements(doc: DataFrame) -> DataFrame:
         "_doc",
         F.when(_bad_kind(F.col("_kind")), F.expr("raise_error('top-level JSON value is not a list of records')"))
         .otherwise(F.col("_doc")))
-    exploded = doc.selectExpr("_file", "_kind", "variant_explode(_doc) AS (pos, key, value)")
+    view = f"_tessera_doc_{uuid.uuid4().hex}"
+    doc.createOrReplaceTempView(view)
+    exploded = doc.sparkSession.sql(
+        f"SELECT d._file, d._kind, e.pos, e.key, e.value FROM {view} d, LATERAL variant_explode(d._doc) e")
     return exploded.select(
         "_file", "pos",
-        F.when(F.col("_kind").startswith("OBJECT"), F.expr("parse_json(to_json(key))"))
+        F.when(F.col("_kind").startswith("OBJECT"),
+               F.expr("parse_json(substring(to_json(array(key)), 2, length(to_json(array(key))) - 2))"))
         .otherwise(F.col("value")).alias("value"))
 
 
