@@ -297,3 +297,17 @@ uw AS (SELECT conv_id, turn, unnest(ws) AS word, generate_subscripts(ws, 1) AS p
        FROM (SELECT conv_id, turn, {words('prompt')} AS ws FROM up))
 SELECT uw.conv_id, uw.turn, string_agg(coalesce(v.id, 1)::VARCHAR, ' ' ORDER BY uw.pos) AS tokens_text
 FROM uw LEFT JOIN vocab v USING (word) GROUP BY uw.conv_id, uw.turn"""
+
+
+# ---- readers and typed validation ----------------------------------------------------------------
+
+SQL["s1_read_qa_json_lines"] = f"""WITH {RECS} SELECT
+  CASE WHEN error IS NULL OR error <> 'not_object' THEN question END AS question,
+  CASE WHEN error IS NULL OR error <> 'not_object' THEN answer END AS answer, error FROM classified"""
+SQL["v1_classify_typed"] = f"""SELECT u.conv_id, u.turn,
+  CASE WHEN a.text IS NULL THEN 'not_string'
+       WHEN {strip('u.text')} = '' OR {strip('a.text')} = '' THEN 'empty' END AS error
+FROM conversations u LEFT JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+WHERE u.role = 'user'"""
+SQL["v2_assert_valid"] = f"WITH {RECS} SELECT idx, error FROM classified WHERE error IS NULL"

@@ -475,3 +475,35 @@ def st_encode(spark, d):
     sink, ckpt = A.shared_path(spark, "stream-out"), A.shared_path(spark, "stream-ckpt")
     ST.encode_batches(stream, tok, sink, ckpt).awaitTermination()
     return spark.read.parquet(sink).select("conv_id", "turn", "tokens_text")
+
+
+# ---- readers and typed validation ----------------------------------------------------------------
+
+from tessera.sources.qa import read_qa  # noqa: E402
+
+
+@query("s1_read_qa_json_lines")
+def s1_read_jsonl(spark, d):
+    """Raw records written as JSON lines (one task per input partition), read
+    back by the reader and validated."""
+    path = A.shared_path(spark, "records-jsonl")
+    inputs.raw_records(spark, d).select(F.to_json("value").alias("value")).write.mode("overwrite").text(path)
+    back = read_qa(spark, path, fmt="json_lines")
+    return V.classify_qa(back).select("question", "answer", "error")
+
+
+@query("v1_classify_typed")
+def v1_typed(spark, d):
+    conv = inputs.table(spark, d, "conversations")
+    user = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+    asst = conv.filter(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    typed = user.join(asst, ["conv_id", "turn"], "left")
+    return V.classify_typed(typed).select("conv_id", "turn", "error")
+
+
+@query("v2_assert_valid")
+def v2_assert(spark, d):
+    good, _ = V.quarantine(V.classify_qa(inputs.raw_records(spark, d)))
+    checked = V.assert_valid(V.classify_typed(good))
+    return checked.select("idx", "error")
