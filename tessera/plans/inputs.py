@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.ordering import global_rank
+from tessera.session import spread
 from tessera.sources.qa import pairs_from_turns
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def qa_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

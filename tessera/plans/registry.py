@@ -101,8 +101,8 @@ def _train_text(spark, d):
     return corpus.training_text(inputs.qa_pairs(spark, d), CFG)
 
 
-def _word_tok(spark, d, max_size=None):
-    return corpus.word_tokenizer(_train_text(spark, d), max_size=max_size)
+def _word_tok(spark, d, max_size=None, text=None):
+    return corpus.word_tokenizer(text if text is not None else _train_text(spark, d), max_size=max_size)
 
 
 @query("t1_special_tokens")
@@ -122,15 +122,16 @@ def t3_alphabet(spark, d):
 
 @query("t6_encode_word")
 def t6_encode(spark, d):
-    tok = _word_tok(spark, d, T6_VOCAB)
-    ids = encode(_train_text(spark, d), tok)
+    text = _train_text(spark, d)
+    ids = encode(text, _word_tok(spark, d, T6_VOCAB, text))
     return ids.select("idx", F.size("tokens").cast("bigint").alias("n_tokens"), ints_text("tokens").alias("tokens_text"))
 
 
 @query("t7_decode_word")
 def t7_decode(spark, d):
-    tok = _word_tok(spark, d, T6_VOCAB)
-    return decode(encode(_train_text(spark, d), tok), tok)
+    text = _train_text(spark, d)
+    tok = _word_tok(spark, d, T6_VOCAB, text)
+    return decode(encode(text, tok), tok)
 
 
 @query("t8_vocab_size")
@@ -153,7 +154,8 @@ def t9_bos(spark, d):
 # ---- dataset building ----------------------------------------------------------
 
 def _ids(spark, d):
-    return encode(_train_text(spark, d), _word_tok(spark, d))
+    text = _train_text(spark, d)
+    return encode(text, _word_tok(spark, d, text=text))
 
 
 def _windows(spark, d):
@@ -207,8 +209,9 @@ def d11_positions(spark, d):
 
 @query("window_stats")
 def window_stats(spark, d):
-    tok = _word_tok(spark, d)
-    return corpus.window_stats(inputs.qa_pairs(spark, d), CFG, tok)
+    pairs = inputs.qa_pairs(spark, d)
+    tok = _word_tok(spark, d, text=corpus.training_text(pairs, CFG))
+    return corpus.window_stats(pairs, CFG, tok)
 
 
 # ---- decoding over logits tables -------------------------------------------------
@@ -319,8 +322,9 @@ from tessera.operators import ngram as L  # noqa: E402
 
 
 def _lm_parts(spark, d):
-    tok = _word_tok(spark, d)
-    ids = encode(_train_text(spark, d), tok)
+    text = _train_text(spark, d)
+    tok = _word_tok(spark, d, text=text)
+    ids = encode(text, tok)
     wins = W.pack_windows(ids, CFG.block_size, CFG.step_size, CFG.pad_id)
     sw = SP.split_exact(wins, CFG.train_ratio, CFG.seed)
     lm = L.fit_ngram(sw.filter(F.col("split") == "train"), CFG.ngram_order, tok.size, CFG.ngram_lambdas)

@@ -66,3 +66,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan has fewer
+    splits than that (a single-row-group file is one task). A scan that
+    already has enough splits is returned unchanged, so large inputs pay no
+    extra shuffle."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
