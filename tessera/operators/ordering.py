@@ -105,3 +105,29 @@ def prefix_sum(df: DataFrame, order: Sequence, value: Column, out: str,
                exclusive: bool = True, buckets: int | None = None) -> DataFrame:
     """Running sum over the whole table in ``order`` (exclusive by default)."""
     return segmented_scan(df, order, value, "sum", out, (), exclusive, buckets)
+
+
+def hash_rank(df: DataFrame, hash_col: str, key: str, out: str = "rank", prefix_hex: int = 4) -> DataFrame:
+    """1-based position in the order ``(hash_col, key)`` where ``hash_col`` is a
+    hex digest (uniform over its prefixes).
+
+    Buckets are the first ``prefix_hex`` hex digits, a pure function of the
+    row, so no sampling pass and no materialisation are needed: per-bucket
+    counts (a partial aggregate) become an offsets table of at most
+    ``16 ** prefix_hex`` rows (broadcast), and rows are numbered inside their
+    bucket by a window partitioned on the bucket.
+    """
+    spark = df.sparkSession
+    b = df.withColumn("_hb", F.substring(hash_col, 1, prefix_hex))
+    counts = sorted((r["_hb"], r["n"]) for r in b.groupBy("_hb").agg(F.count(F.lit(1)).alias("n")).collect())
+    offs, run = [], 0
+    for bucket, n in counts:
+        offs.append((bucket, run))
+        run += n
+    if not offs:
+        return df.withColumn(out, F.lit(None).cast("bigint"))
+    off_df = F.broadcast(spark.createDataFrame(offs, "_hb STRING, _off BIGINT"))
+    w = Window.partitionBy("_hb").orderBy(hash_col, key)
+    return (b.withColumn("_local", F.row_number().over(w)).join(off_df, "_hb")
+            .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+            .drop("_hb", "_local", "_off"))

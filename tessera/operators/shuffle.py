@@ -6,20 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_key
-from tessera.operators.ordering import global_rank
+from tessera.operators.ordering import hash_rank
 
 
-def seeded_shuffle(df: DataFrame, key: str, seed: int = 42, out: str = "shuffle_rank",
-                   buckets: int | None = None) -> DataFrame:
+def seeded_shuffle(df: DataFrame, key: str, seed: int = 42, out: str = "shuffle_rank") -> DataFrame:
     """Add ``out``: 1-based position in a seeded permutation of the rows.
 
     The permutation is the order of ``md5(seed|key)`` (ties by ``key``), so it
-    is the same on any cluster and any partitioning. The rank is built by a
-    range shuffle plus per-bucket offsets, never by a single-task sort.
+    is the same on any cluster and any partitioning. The rank comes from
+    hash-prefix buckets plus per-bucket offsets, never from a single-task sort.
     """
     h = "_shuffle_h"
-    ranked = global_rank(df.withColumn(h, hash_key(seed, key)), [h, key], out, buckets)
-    return ranked.drop(h)
+    return hash_rank(df.withColumn(h, hash_key(seed, key)), h, key, out).drop(h)
 
 
 def sample_input(df: DataFrame, key: str, n: int | None, seed: int = 42) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import pad_mask as _pad_mask
 from tessera.functions.arrays import pad_right
 from tessera.functions.hashing import hash_key
-from tessera.operators.ordering import global_rank
+from tessera.operators.ordering import global_rank, hash_rank
 from tessera.operators.vocab import PAD
 
 
@@ -47,9 +47,9 @@ def split_exact(df: DataFrame, ratio: float, seed: int = 42, key: str = "window_
             break
         before += c
     need = n_train - before  # rows to take from bucket b, 1 <= need <= c
-    inside = (hd.filter(F.col("_split_b") == b).select("_split_h", key)
-              .orderBy("_split_h", key).limit(need).collect())
-    h_thr, k_thr = inside[-1]["_split_h"], inside[-1][key]
+    thr = (hd.filter(F.col("_split_b") == b).select("_split_h", key)
+           .orderBy("_split_h", key).offset(need - 1).limit(1).first())
+    h_thr, k_thr = thr["_split_h"], thr[key]
     is_train = (F.col("_split_h") < F.lit(h_thr)) | (
         (F.col("_split_h") == F.lit(h_thr)) & (F.col(key) <= F.lit(k_thr)))
     return hd.withColumn(out, F.when(is_train, "train").otherwise("val")).drop("_split_h", "_split_b")
@@ -66,7 +66,7 @@ def assign_batches(df: DataFrame, batch_size: int, seed: int = 42, epoch: int =
         raise ValueError("batch_size must be positive")
     if shuffle:
         h = "_batch_h"
-        ranked = global_rank(df.withColumn(h, hash_key(seed, F.lit(epoch), key)), [h, key], "_r", buckets).drop(h)
+        ranked = hash_rank(df.withColumn(h, hash_key(seed, F.lit(epoch), key)), h, key, "_r").drop(h)
     else:
         ranked = global_rank(df, [key], "_r", buckets)
     return (ranked.withColumn(out, F.floor((F.col("_r") - 1) / batch_size).cast("bigint"))
