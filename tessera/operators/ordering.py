@@ -95,6 +95,8 @@ def segmented_scan(df: DataFrame, order: Sequence, value: Column, op: str, out:
     hi = -1 if exclusive else 0
     local_w = Window.partitionBy("_b", *parts).orderBy("_local").rowsBetween(Window.unboundedPreceding, hi)
     local = b.withColumn("_run", agg("_v").over(local_w))
+    if not parts:
+        carry = F.broadcast(carry)  # one row per bucket: its size is the bucket count
     res = local.join(carry, ["_b", *parts], "left").withColumn(out, _combine(op, F.col("_carry"), F.col("_run")))
     if op == "sum" and exclusive:
         res = res.withColumn(out, F.coalesce(F.col(out), F.lit(0)))

@@ -47,3 +47,15 @@ def test_window_count(spark):
     df = spark.createDataFrame([(0, [1] * 300), (1, [2] * 100)], "idx BIGINT, tokens ARRAY<INT>")
     r = window_count(df, 256, 128).first()
     assert (r["n_tokens"], r["n_windows"]) == (400, (400 - 256) // 128 + 1)
+
+
+def test_independent_of_shuffle_partitions(spark):
+    records = [[i % 37 + 4 for i in range(n)] for n in (0, 5, 300, 17, 128, 1, 260)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(records)], "idx BIGINT, tokens ARRAY<INT>")
+    runs = []
+    for parts in (1, 4, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        runs.append(sorted((r["window_idx"], tuple(r["x"]), tuple(r["y"])) for r in pack_windows(df, 64, 32).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert runs[0] == runs[1] == runs[2]
+    assert [(k, list(x), list(y)) for k, x, y in runs[0]] == reference_windows([t for r in records for t in r], 64, 32)
