@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_key
 from tessera.operators.ordering import hash_rank

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 from tessera.functions.text import split_words
-from tessera.operators.ordering import global_rank
+from tessera.operators.ordering import global_rank, prefix_sum
 
 # Special pieces and their ids.
 SPECIALS = [(0, "<pad>", "control"), (1, "<unk>", "unknown"), (2, "<s>", "control"), (3, "</s>", "control")]
@@ -61,7 +61,6 @@ def alphabet(counts: DataFrame, coverage: float = 1.0, marker: str | None = WORD
     total = chars.agg(F.sum("n")).first()[0] or 0
     if coverage >= 1.0 or total == 0:
         return ranked.select("ch", "n", (F.col("n") / F.lit(float(max(total, 1)))).alias("share"), "_r")
-    from tessera.operators.ordering import prefix_sum
     cum = prefix_sum(ranked, ["_r"], F.col("n"), "_before")
     return (cum.filter(F.col("_before") < F.lit(coverage * total))
             .select("ch", "n", (F.col("n") / F.lit(float(total))).alias("share"), "_r"))

@@ -12,13 +12,22 @@ from pyspark.sql import functions as F
 from tessera.config import Config
 from tessera.functions.arrays import ints_text
 from tessera.functions.text import format_prompt, format_qa, strip_ws
+from tessera.operators import bpe as BPE
+from tessera.operators import decoding as G
+from tessera.operators import ngram as L
+from tessera.operators import runlog as R
 from tessera.operators import split as SP
 from tessera.operators import validate as V
 from tessera.operators import vocab as VO
 from tessera.operators import windows as W
-from tessera.operators.shuffle import seeded_shuffle
+from tessera.operators.generate import generate
+from tessera.operators.infer import infer
+from tessera.operators.shuffle import sample_input, seeded_shuffle
 from tessera.operators.tokenize import decode, encode, ensure_bos
 from tessera.plans import corpus, inputs
+from tessera.sources import artifacts as A
+from tessera.sources.qa import read_qa
+from tessera.streaming import prepare as ST
 
 CFG = Config(step_size=128)  # the reference's mains pass step 128
 T6_VOCAB = 5000  # total size of the capped word vocabulary in t6/t7
@@ -216,8 +225,6 @@ def window_stats(spark, d):
 
 # ---- decoding over logits tables -------------------------------------------------
 
-from tessera.operators import decoding as G  # noqa: E402
-from tessera.operators import runlog as R  # noqa: E402
 
 G_TEMPERATURE = 0.7
 G_SEEN_BELOW = -0.1  # stand-in seen set: a row's tokens with logit below this
@@ -318,7 +325,6 @@ def r5_best(spark, d):
 
 # ---- n-gram language model -----------------------------------------------------------
 
-from tessera.operators import ngram as L  # noqa: E402
 
 
 def _lm_parts(spark, d):
@@ -359,8 +365,6 @@ def l2_score(spark, d):
 
 # ---- byte-pair tokenizer ------------------------------------------------------------------
 
-from tessera.operators import bpe as BPE  # noqa: E402
-from tessera.operators.shuffle import sample_input  # noqa: E402
 
 BPE_VOCAB = 200  # specials + alphabet + merges for the registered BPE queries
 T5_SAMPLE = 100
@@ -412,9 +416,6 @@ def t7_decode_bpe(spark, d):
 
 # ---- generation, inference, artifacts -------------------------------------------------------
 
-from tessera.operators.generate import generate  # noqa: E402
-from tessera.operators.infer import infer  # noqa: E402
-from tessera.sources import artifacts as A  # noqa: E402
 
 G9_MAX_NEW = 8  # new ids per prompt in the registered generation query
 
@@ -468,7 +469,6 @@ def s7_model(spark, d):
 
 # ---- streaming ---------------------------------------------------------------------------------
 
-from tessera.streaming import prepare as ST  # noqa: E402
 
 
 @query("st_encode_prompts_stream")
@@ -483,7 +483,6 @@ def st_encode(spark, d):
 
 # ---- readers and typed validation ----------------------------------------------------------------
 
-from tessera.sources.qa import read_qa  # noqa: E402
 
 
 @query("s1_read_qa_json_lines")
