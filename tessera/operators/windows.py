@@ -23,11 +23,14 @@ def global_offsets(df: DataFrame, key: str = "idx", tokens: str = "tokens",
                    buckets: int | None = None) -> DataFrame:
     """Add ``n`` (ids in the record) and ``start`` (ids before it in ``key`` order).
 
-    A two-level prefix sum: range buckets on ``key``, bucket totals, then a
-    running sum inside each bucket.
+    The two-level prefix sum (range buckets on ``key``, bucket totals, running
+    sum inside each bucket) runs on narrow ``key, n`` rows only; the starts
+    are joined back on ``key``. When ``df`` is already hash-partitioned on
+    ``key`` (as ``encode``'s output is), only the narrow side moves.
     """
-    with_n = df.withColumn("n", F.size(tokens).cast("bigint"))
-    return prefix_sum(with_n, [key], F.col("n"), "start", exclusive=True, buckets=buckets)
+    sizes = df.select(key, F.size(tokens).cast("bigint").alias("n"))
+    starts = prefix_sum(sizes, [key], F.col("n"), "start", exclusive=True, buckets=buckets)
+    return df.join(starts, key)
 
 
 def n_windows(n_tokens: int, block: int, step: int) -> int:
@@ -61,7 +64,7 @@ def pack_windows(df: DataFrame, block: int, step: int, pad: int = PAD, key: str
     if block <= 0 or step <= 0:
         raise ValueError("block and step must be positive")
     spark = df.sparkSession
-    # read twice (stream length, then the cut): keep one computed copy
+    # read twice (stream length, then offsets and the cut): keep one computed copy
     df = cut_lineage(df.select(key, tokens))
     n_tok = df.agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0))).first()[0]
     nwin = n_windows(int(n_tok), block, step)
