@@ -59,9 +59,9 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
             "next", F.coalesce(F.col("next_token"), F.lit(cfg.eos_id)).cast("int"))
         upd = upd.select(key, "prompt", F.concat("gen", F.array("next")).alias("gen"),
                          ((F.col("next") == cfg.eos_id) | (F.size("gen") + 1 >= cap)).alias("done"))
-        upd = cut_lineage(upd)
+        upd = cut_lineage(upd)  # one write per step; both parts read it
         done_parts.append(upd.filter("done").drop("done"))
-        active = cut_lineage(upd.filter(~F.col("done")).drop("done"))
+        active = upd.filter(~F.col("done")).drop("done")
         n_active = active.count()
     out = active
     for part in done_parts:

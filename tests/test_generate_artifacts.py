@@ -73,3 +73,14 @@ def test_config_rejects_unknown_and_ranges():
     with pytest.raises(ValueError):
         Config.of(block_size=0)
     assert Config.of(step_size=None, block_size=64).step_size == 64
+
+
+def test_generation_seen_modes_and_cap(spark):
+    tok, lm = _setup(spark)
+    cfg = Config.of(block_size=16, step_size=8, max_generate_length=3)
+    prompts = spark.createDataFrame([(0, "what is y?")], "row_id BIGINT, question STRING")
+    for mode in ("all", "generated"):
+        r = generate(prompts, lm, tok, cfg, seen_mode=mode).first()
+        assert 1 <= len(r["answer_ids"]) <= 3
+        if len(r["answer_ids"]) < 3:
+            assert r["answer_ids"][-1] == cfg.eos_id

@@ -74,3 +74,14 @@ def test_score_next_backoff(spark, wins):
     assert {r["ctx_order"] for r in sc if r["row_id"] == 0} == {3}
     assert {r["ctx_order"] for r in sc if r["row_id"] == 1} == {2}
     assert not [r for r in sc if r["row_id"] == 2]  # nothing seen: no candidates
+
+
+def test_empty_validation_is_infinite_and_order_one_has_no_context(spark, wins):
+    lm = fit_ngram(wins, 3, V, LAM)
+    empty = wins.filter("window_idx > 5").withColumn("batch_id", F.col("window_idx"))
+    r = eval_loss(empty, lm).first()
+    assert r["n_batches"] == 0 and r["val_loss"] == float("inf")
+    assert eval_loss(empty, lm, empty=0.0).first()["val_loss"] == 0.0  # the base script's rule
+    uni = fit_ngram(wins, 1, V, (0.1, 0.9))
+    with pytest.raises(ValueError, match="order-1"):
+        score_next(spark.createDataFrame([(0, [5])], "row_id BIGINT, tokens ARRAY<INT>"), uni)
