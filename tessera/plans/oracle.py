@@ -311,3 +311,39 @@ FROM conversations u LEFT JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
 WHERE u.role = 'user'"""
 SQL["v2_assert_valid"] = f"WITH {RECS} SELECT idx, error FROM classified WHERE error IS NULL"
+
+SQL["g9_generate_step"] = f"""WITH {NGRAM},
+{PROMPT_PART},
+ctx AS (SELECT row_id, CASE WHEN len(tokens) > {BLOCK} THEN tokens[-{BLOCK}:] ELSE tokens END AS c, tokens FROM bos),
+last AS (
+  SELECT row_id, 3 AS ord, array_to_string(c[-2:], ' ') AS ctx FROM ctx WHERE len(c) >= 2
+  UNION ALL SELECT row_id, 2, c[-1]::VARCHAR FROM ctx WHERE len(c) >= 1),
+hit AS (SELECT l.row_id, max_by(l.ord, l.ord) AS ord, max_by(l.ctx, l.ord) AS ctx
+        FROM last l JOIN tot USING (ord, ctx) GROUP BY l.row_id),
+back AS (
+  SELECT b.row_id, 2 AS ord, max_by(b.tok::VARCHAR, b.pos) AS ctx FROM (
+    SELECT row_id, unnest(c) AS tok, generate_subscripts(c, 1) AS pos FROM ctx
+    WHERE row_id NOT IN (SELECT row_id FROM hit)) b
+  JOIN tot ON tot.ord = 2 AND tot.ctx = b.tok::VARCHAR GROUP BY b.row_id),
+chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back),
+cand AS (SELECT ch.row_id, c.token, ln(c.n / t.total) / 1.0e0 AS logit
+         FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)),
+seen AS (SELECT DISTINCT row_id, unnest(tokens) AS token FROM bos),
+pen AS (SELECT c.row_id, c.token,
+          CASE WHEN s.token IS NULL THEN c.logit WHEN c.logit < 0 THEN c.logit * 1.2e0 ELSE c.logit / 1.2e0 END AS logit
+        FROM cand c LEFT JOIN (SELECT * FROM seen WHERE token <> 0) s USING (row_id, token)),
+sm AS (SELECT row_id, token, z / sum(z) OVER (PARTITION BY row_id) AS prob FROM (
+  SELECT row_id, token, exp(logit - max(logit) OVER (PARTITION BY row_id)) AS z FROM pen)),
+kept AS (SELECT row_id, token, prob FROM (
+  SELECT *, coalesce(sum(prob) OVER (PARTITION BY row_id ORDER BY prob DESC, token
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sm) WHERE before <= 0.9e0),
+nuc AS (SELECT row_id, token, prob / sum(prob) OVER (PARTITION BY row_id) AS prob FROM kept),
+pick AS (
+  SELECT row_id, coalesce(min_by(token, pos) FILTER (WHERE cum > u * tot), max_by(token, pos)) AS next_token FROM (
+    SELECT row_id, token,
+      sum(prob) OVER (PARTITION BY row_id ORDER BY prob DESC, token ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+      sum(prob) OVER (PARTITION BY row_id) AS tot,
+      row_number() OVER (PARTITION BY row_id ORDER BY prob DESC, token) AS pos,
+      ('0x' || substr(md5('42|' || row_id::VARCHAR || '|0'), 1, 8))::BIGINT / 4294967296.0e0 AS u
+    FROM nuc) GROUP BY row_id)
+SELECT b.row_id, coalesce(p.next_token, 3) AS next_token FROM bos b LEFT JOIN pick p USING (row_id)"""

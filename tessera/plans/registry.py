@@ -510,3 +510,15 @@ def v2_assert(spark, d):
     good, _ = V.quarantine(V.classify_qa(inputs.raw_records(spark, d)))
     checked = V.assert_valid(V.classify_typed(good))
     return checked.select("idx", "error")
+
+
+@query("g9_generate_step")
+def g9_step(spark, d):
+    """One generation step for every benchmark prompt: the composition
+    L2 -> G1 -> G2 -> G3 -> G4/G5 -> G6 that each step of G9 runs."""
+    from tessera.operators.generate import generate_ids
+    tok, _, lm = _lm_parts(spark, d)
+    p = inputs.prompts(spark, d).select("row_id", format_prompt("question").alias("text"))
+    ids = encode(p, tok, "text", "row_id")
+    out = generate_ids(ids, lm, CFG, "row_id", "tokens", max_new=1)
+    return out.select("row_id", F.element_at("gen", 1).alias("next_token"))
