@@ -39,12 +39,12 @@ from tessera.session import cut_lineage
 
 # Reserved private-use characters that delimit symbols while
 # training. Input text containing them has them replaced by U+FFFD.
-OPEN, CLOSE = "", ""
+OPEN, CLOSE = "\ue000", "\ue001"
 _SYMBOL = f"{OPEN}([^{CLOSE}]*){CLOSE}"
 
 
 def _marked(word: F.Column) -> F.Column:
-    clean = F.regexp_replace(word, f"[{OPEN}{CLOSE}]", "�")
+    clean = F.regexp_replace(word, f"[{OPEN}{CLOSE}]", "\ufffd")
     chars = F.filter(F.split(F.concat(F.lit(WORD_MARK), clean), ""), lambda c: c != F.lit(""))
     return F.concat(F.lit(OPEN), F.array_join(chars, CLOSE + OPEN), F.lit(CLOSE))
 
@@ -134,7 +134,7 @@ def segment(word: str, ranks: dict, ids: dict) -> list[int]:
     """Ids of one word: ``WORD_MARK + word`` as characters, then repeatedly the
     lowest-rank adjacent pair is merged everywhere (left to right) until no
     known pair is left. Unknown characters map to unk."""
-    syms = list(WORD_MARK + word.replace(OPEN, "�").replace(CLOSE, "�"))
+    syms = list(WORD_MARK + word.replace(OPEN, "\ufffd").replace(CLOSE, "\ufffd"))
     while len(syms) > 1:
         best, best_rank = None, None
         for x, y in zip(syms, syms[1:]):
@@ -167,8 +167,8 @@ def segment_words(words: DataFrame, tok: Tokenizer) -> DataFrame:
     sc = words.sparkSession.sparkContext
     ranks = {(r["left"], r["right"]): r["merge_rank"] for r in tok.merges.collect()}
     ids = {}
-    for r in tok.vocab.filter(F.col("id") >= N_SPECIAL).collect():
-        ids.setdefault(r["piece"], r["id"])
+    for r in sorted(tok.vocab.filter(F.col("id") >= N_SPECIAL).collect(), key=lambda r: r["id"]):
+        ids.setdefault(r["piece"], r["id"])  # a piece made twice keeps its first id
     bc = sc.broadcast((ranks, ids))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -272,7 +272,7 @@ FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)"""
 # ---- byte-pair tokenizer ------------------------------------------------------------------
 
 SQL["t4_bpe_pair_counts"] = f"""WITH {DOC_WORDS},
-sy AS (SELECT string_split('▁' || regexp_replace(word, '[]', '�', 'g'), '') AS s, n FROM dwc),
+sy AS (SELECT string_split('▁' || regexp_replace(word, '[\ue000\ue001]', '\ufffd', 'g'), '') AS s, n FROM dwc),
 pr AS (SELECT unnest(list_zip(s[1:len(s) - 1], s[2:len(s)])) AS p, n FROM sy WHERE len(s) > 1)
 SELECT p[1] AS a, p[2] AS b, sum(n)::BIGINT AS cnt FROM pr GROUP BY ALL"""
 SQL["t5_sample_input"] = f"""WITH {PAIRS} SELECT idx FROM pairs ORDER BY md5('42|' || idx::VARCHAR), idx LIMIT 100"""
@@ -347,3 +347,46 @@ pick AS (
       ('0x' || substr(md5('42|' || row_id::VARCHAR || '|0'), 1, 8))::BIGINT / 4294967296.0e0 AS u
     FROM nuc) GROUP BY row_id)
 SELECT b.row_id, coalesce(p.next_token, 3) AS next_token FROM bos b LEFT JOIN pick p USING (row_id)"""
+
+
+# ---- byte-pair training and encoding by recursive SQL ----------------------------------------------
+
+BPE_SIZE = 200
+_O, _C = "\ue000", "\ue001"  # the trainer's symbol marks
+BPE_REC = PAIRS + f""",
+tt AS (SELECT idx, 'Q: ' || {strip('question')} || ' A: ' || {strip('answer')} AS text FROM pairs),
+tw AS (SELECT idx, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (SELECT idx, {words('text')} AS ws FROM tt)),
+wc AS (SELECT regexp_replace(word, '[{_O}{_C}]', '\ufffd', 'g') AS word, count(*) AS n FROM tw GROUP BY 1),
+chars AS (SELECT ch, sum(n) AS n FROM (SELECT unnest(string_split('▁' || word, '')) AS ch, n FROM wc) GROUP BY ch),
+alpha AS (SELECT ch, row_number() OVER (ORDER BY n DESC, ch) - 1 AS r FROM chars),
+nm AS (SELECT {BPE_SIZE} - 4 - count(*) AS n_merges FROM alpha),
+w0 AS (SELECT word, '{_O}' || array_to_string(string_split('▁' || word, ''), '{_C}{_O}') || '{_C}' AS w, n FROM wc),
+bpe(step, word, w, n, a, b) AS (
+  SELECT 0, word, w, n, NULL::VARCHAR, NULL::VARCHAR FROM w0
+  UNION ALL
+  SELECT step + 1, word, replace(w, '{_O}' || t.a || '{_C}{_O}' || t.b || '{_C}', '{_O}' || t.a || t.b || '{_C}'), n, t.a, t.b
+  FROM bpe, (
+    SELECT p[1] AS a, p[2] AS b FROM (
+      SELECT unnest(list_zip(s[1:len(s) - 1], s[2:len(s)])) AS p, n FROM (
+        SELECT regexp_extract_all(w, '{_O}([^{_C}]*){_C}', 1) AS s, n FROM bpe))
+    GROUP BY ALL ORDER BY sum(n) DESC, a, b LIMIT 1) t
+  WHERE step < (SELECT n_merges FROM nm)),
+merges AS (SELECT DISTINCT (step - 1)::INTEGER AS merge_rank, a AS "left", b AS "right", a || b AS piece
+           FROM bpe WHERE step > 0),
+vocab AS (SELECT ch AS piece, (4 + r)::INTEGER AS id FROM alpha
+          UNION ALL SELECT piece, (4 + (SELECT count(*) FROM alpha) + merge_rank)::INTEGER FROM merges),
+pid AS (SELECT piece, min(id) AS id FROM vocab GROUP BY piece),
+final AS (SELECT word, regexp_extract_all(w, '{_O}([^{_C}]*){_C}', 1) AS syms FROM bpe
+          WHERE step = (SELECT max(step) FROM bpe)),
+wordids AS (
+  SELECT f.word, list(coalesce(p.id, 1) ORDER BY s.k) AS ids FROM final f,
+    LATERAL (SELECT unnest(f.syms) AS sym, generate_subscripts(f.syms, 1) AS k) s
+    LEFT JOIN pid p ON p.piece = s.sym GROUP BY f.word)"""
+SQL["t4_train_bpe"] = f"WITH RECURSIVE {BPE_REC} SELECT merge_rank, \"left\", \"right\", piece FROM merges"
+SQL["t6_encode_bpe"] = f"""WITH RECURSIVE {BPE_REC},
+rec AS (
+  SELECT t.idx, coalesce(flatten(list(wi.ids ORDER BY tw.pos) FILTER (WHERE tw.pos IS NOT NULL)), []) AS tokens
+  FROM tt t LEFT JOIN tw ON tw.idx = t.idx
+  LEFT JOIN wordids wi ON wi.word = regexp_replace(tw.word, '[{_O}{_C}]', '\ufffd', 'g')
+  GROUP BY t.idx)
+SELECT idx, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM rec"""
