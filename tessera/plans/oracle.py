@@ -390,3 +390,64 @@ rec AS (
   LEFT JOIN wordids wi ON wi.word = regexp_replace(tw.word, '[{_O}{_C}]', '\ufffd', 'g')
   GROUP BY t.idx)
 SELECT idx, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM rec"""
+
+
+# ---- the generation loop by recursive SQL ------------------------------------------------------------
+
+G9_CAP = 8
+
+
+def _g9_step(src: str, step: str) -> str:
+    """Next token for every row of ``src`` (row_id, seq): the single-step
+    composition, as a subquery over the recursive table."""
+    return f"""(
+  WITH cur AS (SELECT row_id, seq, CASE WHEN len(seq) > {BLOCK} THEN seq[-{BLOCK}:] ELSE seq END AS c FROM {src}),
+  last AS (
+    SELECT row_id, 3 AS ord, array_to_string(c[-2:], ' ') AS ctx FROM cur WHERE len(c) >= 2
+    UNION ALL SELECT row_id, 2, c[-1]::VARCHAR FROM cur WHERE len(c) >= 1),
+  hit AS (SELECT l.row_id, max_by(l.ord, l.ord) AS ord, max_by(l.ctx, l.ord) AS ctx
+          FROM last l JOIN tot USING (ord, ctx) GROUP BY l.row_id),
+  back AS (
+    SELECT b.row_id, 2 AS ord, max_by(b.tok::VARCHAR, b.pos) AS ctx FROM (
+      SELECT row_id, unnest(c) AS tok, generate_subscripts(c, 1) AS pos FROM cur
+      WHERE row_id NOT IN (SELECT row_id FROM hit)) b
+    JOIN tot ON tot.ord = 2 AND tot.ctx = b.tok::VARCHAR GROUP BY b.row_id),
+  chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back),
+  cand AS (SELECT ch.row_id, c.token, ln(c.n / t.total) / 1.0e0 AS logit
+           FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)),
+  seen AS (SELECT DISTINCT row_id, unnest(seq) AS token FROM cur),
+  pen AS (SELECT c.row_id, c.token,
+            CASE WHEN s.token IS NULL THEN c.logit WHEN c.logit < 0 THEN c.logit * 1.2e0 ELSE c.logit / 1.2e0 END AS logit
+          FROM cand c LEFT JOIN (SELECT * FROM seen WHERE token <> 0) s USING (row_id, token)),
+  sm AS (SELECT row_id, token, z / sum(z) OVER (PARTITION BY row_id) AS prob FROM (
+    SELECT row_id, token, exp(logit - max(logit) OVER (PARTITION BY row_id)) AS z FROM pen)),
+  kept AS (SELECT row_id, token, prob FROM (
+    SELECT *, coalesce(sum(prob) OVER (PARTITION BY row_id ORDER BY prob DESC, token
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sm) WHERE before <= 0.9e0),
+  nuc AS (SELECT row_id, token, prob / sum(prob) OVER (PARTITION BY row_id) AS prob FROM kept)
+  SELECT row_id, coalesce(min_by(token, pos) FILTER (WHERE cum > u * tot), max_by(token, pos)) AS next_token FROM (
+    SELECT row_id, token,
+      sum(prob) OVER (PARTITION BY row_id ORDER BY prob DESC, token ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+      sum(prob) OVER (PARTITION BY row_id) AS tot,
+      row_number() OVER (PARTITION BY row_id ORDER BY prob DESC, token) AS pos,
+      ('0x' || substr(md5('42|' || row_id::VARCHAR || '|' || {step}::VARCHAR), 1, 8))::BIGINT / 4294967296.0e0 AS u
+    FROM nuc) GROUP BY row_id)"""
+
+
+SQL["g9_generate"] = f"""WITH RECURSIVE {NGRAM},
+{PROMPT_PART},
+gen(step, row_id, prompt, g, done) AS (
+  SELECT 0, row_id, tokens, []::INTEGER[], false FROM bos
+  UNION ALL
+  SELECT s.step + 1, s.row_id, s.prompt, list_append(s.g, coalesce(p.next_token, 3)::INTEGER),
+         coalesce(p.next_token, 3) = 3 OR len(s.g) + 1 >= {G9_CAP}
+  FROM gen s LEFT JOIN {_g9_step("(SELECT row_id, prompt || g AS seq FROM gen WHERE NOT done)", "(SELECT max(step) FROM gen)")} p
+    USING (row_id)
+  WHERE NOT s.done),
+fin AS (SELECT row_id, prompt, g FROM gen WHERE done),
+allids AS (SELECT row_id, unnest(prompt || g) AS id, generate_subscripts(prompt || g, 1) AS k FROM fin),
+names AS (SELECT word, id FROM vocab)
+SELECT f.row_id, array_to_string(f.g, ' ') AS answer_ids,
+  (SELECT coalesce(string_agg(CASE WHEN i.id = 1 THEN '⁇' ELSE coalesce(n.word, '⁇') END, ' ' ORDER BY i.k), '')
+   FROM allids i LEFT JOIN names n ON n.id = i.id WHERE i.row_id = f.row_id AND (i.id >= 4 OR i.id = 1)) AS text
+FROM fin f"""
