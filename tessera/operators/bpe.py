@@ -13,9 +13,15 @@ Spark form of a round:
   by ``OPEN ab CLOSE`` (``aaa`` merges as ``(aa)a``); each round nests one
   ``replace`` per merge, and the checkpoint every few rounds resets the nesting;
 * pair counts are an ``explode`` + ``groupBy(a, b).sum(n)`` (partial
-  aggregation first), the choice a top-k on that table (one small collect);
-* lineage is cut with a reliable checkpoint every ``checkpoint_every``
-  rounds, and words reduced to one symbol leave the working set.
+  aggregation first) once; afterwards each round only re-counts the words that
+  hold a merged pair (old pairs out, new pairs in) and adds that delta to the
+  pair table, so a round reads the small pair table and a ``contains`` filter
+  over the words instead of re-exploding every word; the choice is a top-k
+  (one small collect);
+* the pair table (small: distinct pairs, not pair occurrences) is checkpointed
+  with each round's delta folded in; the words are checkpointed every
+  ``checkpoint_every`` rounds, when words reduced to one symbol leave the
+  working set.
 
 ``batch > 1`` takes, per round, up to ``batch`` symbol-disjoint pairs whose
 count is at least ``ratio`` times the top count (relaxed batching: far fewer
@@ -64,6 +70,16 @@ def pair_counts(words: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("cnt")))
 
 
+def _fold(pairs: DataFrame, deltas: list) -> DataFrame:
+    """Pair counts with the pending deltas added in."""
+    if not deltas:
+        return pairs
+    allp = pairs
+    for d in deltas:
+        allp = allp.unionByName(d)
+    return allp.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
+
+
 def _pick(top: list, batch: int, ratio: float) -> list[tuple[str, str, int]]:
     chosen, used = [], set()
     best = top[0]["cnt"]
@@ -99,19 +115,31 @@ def train_bpe(counts: DataFrame, vocab_size: int, batch: int = 1, ratio: float =
     if n_merges < 0:
         raise ValueError(f"vocab_size {vocab_size} is below specials + alphabet ({N_SPECIAL + n_alpha})")
     words = cut_lineage(counts.select(_marked(F.col("word")).alias("w"), "n"))
+    pairs = cut_lineage(pair_counts(words))
     merges: list[tuple[int, str, str]] = []
     rounds = 0
     while len(merges) < n_merges:
-        top = (pair_counts(words).filter(F.col("cnt") >= min_count)
+        top = (pairs.filter(F.col("cnt") >= max(min_count, 1))
                .orderBy(F.desc("cnt"), "a", "b").limit(max(batch * 4, batch)).collect())
         if not top:
             break
         picked = _pick(top, min(batch, n_merges - len(merges)), ratio)
         w = F.col("w")
+        touched = None
         for a, b, _ in picked:
             pat, rep = f"{OPEN}{a}{CLOSE}{OPEN}{b}{CLOSE}", f"{OPEN}{a}{b}{CLOSE}"
+            hit = F.col("w").contains(pat)
+            touched = hit if touched is None else (touched | hit)
             w = F.replace(w, F.lit(pat), F.lit(rep))
             merges.append((len(merges), a, b))
+        # only words holding a merged pair change: their old pairs leave the
+        # counts and their new pairs enter
+        affected = words.filter(touched)
+        before = pair_counts(affected).select("a", "b", (-F.col("cnt")).alias("cnt"))
+        after = pair_counts(affected.select(w.alias("w"), "n"))
+        # the pair table is small: fold the delta in at once, so no chain of
+        # deltas is recomputed by later rounds
+        pairs = cut_lineage(_fold(pairs, [before.unionByName(after)]).filter(F.col("cnt") != 0))
         words = words.select(w.alias("w"), "n")
         rounds += 1
         if rounds % checkpoint_every == 0:
