@@ -60,6 +60,7 @@ def pack_windows(df: DataFrame, block: int, step: int, pad: int = PAD, key: str
     A record ``[a, b)`` contributes to windows ``max(0, floor((a-block-1)/step)+1)``
     to ``min(n-1, floor((b-1)/step))``, each time with its overlap with
     ``[k*step, k*step + block + 1)``. An empty corpus gives one all-pad window.
+    The result is written once (reliable checkpoint) and returned from there.
     """
     if block <= 0 or step <= 0:
         raise ValueError("block and step must be positive")
@@ -85,7 +86,10 @@ def pack_windows(df: DataFrame, block: int, step: int, pad: int = PAD, key: str
     parts = touched.select("window_idx", F.struct(s.alias("s"), piece.alias("ids")).alias("part"))
     grouped = parts.groupBy("window_idx").agg(F.array_sort(F.collect_list("part")).alias("_parts"))
     g = F.flatten(F.transform("_parts", lambda p: p["ids"]))
-    return grouped.select(
+    wins = grouped.select(
         "window_idx",
         pad_right(F.slice(g, 1, block), block, pad).alias("x"),
         pad_right(F.slice(g, 2, block), block, pad).alias("y"))
+    # the window table is read several times downstream (split counts, the
+    # threshold bucket, labels, batches, model fit): build it once
+    return cut_lineage(wins)
