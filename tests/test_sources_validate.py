@@ -70,3 +70,12 @@ def test_pairs_need_adjacent_assistant(spark):
         "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
     got = [(r["idx"], r["question"], r["answer"]) for r in pairs_from_turns(turns).orderBy("idx").collect()]
     assert got == [(0, "u1", "a1"), (1, "v2", "b2")]
+
+
+def test_json_arrays_across_files_keep_file_then_position_order(spark, tmp_path):
+    d = tmp_path / "many"
+    d.mkdir()
+    (d / "a.json").write_text(json.dumps([{"question": "a0", "answer": "x"}, {"question": "a1", "answer": "x"}]))
+    (d / "b.json").write_text(json.dumps([{"question": "b0", "answer": "x"}]))
+    got = [r["question"] for r in classify_qa(read_qa(spark, str(d))).orderBy("idx").collect()]
+    assert got == ["a0", "a1", "b0"]
