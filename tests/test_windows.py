@@ -59,3 +59,19 @@ def test_independent_of_shuffle_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert runs[0] == runs[1] == runs[2]
     assert [(k, list(x), list(y)) for k, x, y in runs[0]] == reference_windows([t for r in records for t in r], 64, 32)
+
+
+def test_offsets_plan_has_no_global_window_over_records(spark):
+    import re
+
+    from tessera.operators.windows import global_offsets
+    df = spark.createDataFrame([(i, [1] * (i % 5)) for i in range(100)], "idx BIGINT, tokens ARRAY<INT>")
+    plan = global_offsets(df)._jdf.queryExecution().executedPlan().toString()
+    lines = [ln for ln in plan.splitlines() if "Window [" in ln]
+    assert lines
+    for ln in lines:
+        arg = re.search(r"Window \[\w+\((\w+)#", ln).group(1)
+        partitioned_by_bucket = re.search(r"windowspecdefinition\(_b#\d+L, ", ln) is not None
+        # record rows are only scanned inside a bucket; the one window without a
+        # partition key runs over per-bucket partials (one row per bucket)
+        assert partitioned_by_bucket or arg == "_p", ln
