@@ -33,3 +33,11 @@ def op3_sharding(spark, sf_dir):
     return interleave_shards(docs, SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+@query
+def op10_packing(spark, sf_dir):
+    """All documents, tokenised whole, as pieces in sequences of at most 4096 tokens."""
+    import public_tokenizers
+    from tessera.llm.packing import pack, token_pieces
+    return pack(token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
