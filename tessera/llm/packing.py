@@ -151,7 +151,7 @@ def pack_histogram(counts: dict[int, int], capacity: int) -> list[tuple[tuple[tu
                 space, _, pattern, packs = heapq.heappop(room)
                 space = -space
             else:
-                space, pattern, packs = capacity, (), left  # as many new packs as could be needed
+                space, pattern, packs = capacity, (), -(-left // (capacity // length))  # new packs, filled up
             times = min(space // length, max(1, -(-left // packs)))
             full = min(packs, left // times)
             put(space - times * length, (*pattern, (length, times)), full)
