@@ -54,3 +54,19 @@ def row_hash(df: DataFrame, seed: int) -> Column:
 def text_key(text: Column) -> Column:
     """128-bit content key of a text: two independently seeded 64-bit hashes."""
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"))
+
+
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size allows one, else as it is.
+    The rows are counted first (call it on a written table), so what is broadcast
+    never grows past ``BROADCAST_BYTES``; the result's rows are the same either way."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case and nothing else (``lower`` alone would fold É too)."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))

@@ -41,3 +41,40 @@ def op10_packing(spark, sf_dir):
     import public_tokenizers
     from tessera.llm.packing import pack, token_pieces
     return pack(token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query
+def op8_secret_scan(spark, sf_dir):
+    """Secrets of the three fixed kinds in every whole document."""
+    from tessera.llm.secret_scan import scan, span_string
+    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    n = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(span_string(F.col("secrets")), 256).alias("base_sha256"),
+                        span_string(F.col("secrets")).alias("spans"))
+
+
+def _span_sql(kind: str, order: int, pattern: str, group: int, least: int) -> str:
+    p = pattern.replace("'", "''")
+    return f"""
+    SELECT rid, '{kind}' AS kind, {order} AS ord, s AS st, s + length(m) AS en FROM (
+      SELECT rid, m, v,
+             sum(length(g)) OVER (PARTITION BY rid ORDER BY i) + coalesce(sum(length(m)) OVER (
+               PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+      FROM (SELECT rid, i, ms[i] AS m, vs[i] AS v, gs[i] AS g FROM (
+        SELECT rid, ms, vs, gs, unnest(range(1, len(ms) + 1)) AS i FROM (
+          SELECT rid, regexp_extract_all(t, '{p}') AS ms, regexp_extract_all(t, '{p}', {group}) AS vs,
+                 string_split_regex(t, '{p}') AS gs FROM d)))) WHERE length(v) >= {least}"""
+
+
+ORACLE_SQL["op8_secret_scan"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join([
+    _span_sql("assign", 0, r'''((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)''', 2, 6),
+    _span_sql("access", 1, "AKIA[A-Z0-9]+", 0, 20),
+    _span_sql("hex", 2, "[0-9a-f]+", 0, 24)])}),
+a AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || st::BIGINT || ':' || en::BIGINT, ',' ORDER BY st, ord) AS spans FROM s GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (rid)
+"""
