@@ -78,3 +78,32 @@ a AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (rid)
 """
+
+
+@query
+def op4_decontaminate(spark, sf_dir):
+    """Words of every whole document that lie in an occurrence of a benchmark window."""
+    from tessera.llm.decontaminate import mark
+    # the digest and counts need the text only through its words, so only the key and counts are carried
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    m = mark(docs, table(spark, sf_dir, "benchmark"))
+    return m.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE_SQL["op4_decontaminate"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS_SQL} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+win AS (SELECT item_id, least(len(w), 10) AS n, array_to_string(w[k:k + 9], ' ') AS p
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+g AS (SELECT rid, s, n, array_to_string(w[s:s + n - 1], ' ') AS p
+      FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT DISTINCT rid, s, g.n, item_id FROM g JOIN win ON win.p = g.p AND win.n = g.n),
+h AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS pos FROM (SELECT DISTINCT rid, s, n FROM m)) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM m) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
+"""
