@@ -107,3 +107,34 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
 """
+
+
+@query
+def op2_line_dedup(spark, sf_dir):
+    """All documents without the lines that stand on ten or more sites."""
+    from tessera.llm.line_dedup import remove_boilerplate
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("kept_chars"),
+                                           F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op2_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, source, ls[i] AS line, trim(ls[i], ' ' || chr(9) || chr(13)) AS bare, i
+      FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+c AS (SELECT bare FROM l WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10),
+k AS (SELECT rid, string_agg(line, chr(10) ORDER BY i) FILTER (bare NOT IN (SELECT bare FROM c)) AS kept,
+             count(*) FILTER (bare IN (SELECT bare FROM c)) AS n_removed FROM l GROUP BY rid)
+SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       CASE WHEN ls IS NOT NULL THEN length(coalesce(kept, ''))::BIGINT END AS kept_chars,
+       CASE WHEN ls IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
+FROM d LEFT JOIN k USING (rid)
+"""
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    """Every document's 3-word SimHash and the smallest id of its group at two bits."""
+    from tessera.llm.simhash import near_duplicates
+    near = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
