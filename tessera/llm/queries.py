@@ -138,3 +138,13 @@ def op9_simhash(spark, sf_dir):
     from tessera.llm.simhash import near_duplicates
     near = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op7_quality(spark, sf_dir):
+    """Quality of every whole document, learned from the labelled ones that are not held out."""
+    from tessera.llm.quality import fit, held_out, score
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    # only what the result needs goes through the scorer beside the text
+    return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
