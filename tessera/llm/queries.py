@@ -148,3 +148,19 @@ def op7_quality(spark, sf_dir):
     model = fit(docs, table(spark, sf_dir, "labels"))
     # only what the result needs goes through the scorer beside the text
     return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def token_parts() -> list:
+    """The record that op5 renders: a header of two fields, then the text's first line and the rest."""
+    first = F.substring_index("text", "\n", 1)
+    return [(None, F.lit("source: ")), ("source", F.col("source")), (None, F.lit("\nlang: ")), ("lang", F.col("lang")), (None, F.lit("\n\n")),
+            ("title", first), ("body", F.substr("text", F.length(first) + 1))]
+
+
+@query
+def op5_token_counts(spark, sf_dir):
+    """Tokens of every document's fields, each record encoded once and whole."""
+    import public_tokenizers
+    from tessera.llm.token_counts import field_tokens
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return field_tokens(docs, token_parts(), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
