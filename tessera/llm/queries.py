@@ -164,3 +164,23 @@ def op5_token_counts(spark, sf_dir):
     from tessera.llm.token_counts import field_tokens
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     return field_tokens(docs, token_parts(), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op1_embedding_dedup(spark, sf_dir):
+    """Every vector's links at cosine 0.95 and its component."""
+    from tessera.llm.embedding_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), cosine=0.95)
+
+
+ORACLE_SQL["op1_embedding_dedup"] = """
+WITH RECURSIVE x AS (SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS v FROM embeddings),
+s AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS n FROM x WHERE len(list_filter(v, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(v) > 0),
+p AS (SELECT a.vec_id AS u, b.vec_id AS w FROM s a JOIN s b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.95e0),
+r AS (SELECT vec_id AS u, vec_id AS w FROM x UNION SELECT r.u, p.w FROM r JOIN p ON r.w = p.u),
+c AS (SELECT u, min(w) AS component_id FROM r GROUP BY u),
+k AS (SELECT u, count(*) AS n_links FROM p GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM x JOIN c ON c.u = vec_id LEFT JOIN k ON k.u = vec_id
+"""
