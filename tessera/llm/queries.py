@@ -184,3 +184,28 @@ k AS (SELECT u, count(*) AS n_links FROM p GROUP BY u)
 SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM x JOIN c ON c.u = vec_id LEFT JOIN k ON k.u = vec_id
 """
+
+
+@query
+def op6_substring_dedup(spark, sf_dir):
+    """Bytes of every whole document in 100-byte strings that start earlier too."""
+    from tessera.llm.substring_dedup import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op6_substring_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, s, substr(x, 2 * s + 1, 200) AS k FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 99)) AS s FROM d WHERE length(x) >= 200)),
+g AS (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1 AS late FROM w),
+c AS (SELECT doc_id, s, max(s + 100) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM g WHERE late),
+i AS (SELECT doc_id, s, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS n FROM c),
+r AS (SELECT doc_id, n, min(s) AS a, max(s) + 100 AS b FROM i GROUP BY ALL),
+p AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS prev FROM r),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+             string_agg(substr(x, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS head
+      FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(from_hex(coalesce(head || substr(x, 2 * last + 1), x))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
