@@ -5,8 +5,8 @@ corpus is removed. Three steps make one global question many local ones:
 
 1. Anchors. In every window the smallest hash of its ``GRAM``-byte substrings is its
    anchor; equal windows have equal anchors, whatever surrounds them. Consecutive
-   windows with one anchor are a stretch: the bytes they cover. Anchors that occur
-   once in the corpus cannot hold a repeat and go.
+   windows with one anchor are a stretch: the bytes they cover. Anchors of one
+   stretch only, in which no two windows can be equal, go.
 2. Index. Stretches are dealt by anchor into buckets of bounded size. The distinct
    stretches of a bucket, in corpus order, are put into one Burrows-Wheeler
    transform, kept as runs: start, symbol, LF target, and at the run ends the text
@@ -43,9 +43,9 @@ _LOW = np.uint64(SPAN - 1)
 _TIE, _UNTIE = np.uint64(0x9E3B5), np.uint64(pow(0x9E3B5, -1, SPAN))
 
 
-def stretches(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, number of windows) of each stretch of one text."""
-    parts = [np.zeros(0, np.int64)] * 3
+def stretches(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first window, number of windows, whether two of them can be equal) of each stretch of one text."""
+    parts = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
     for at in range(0, max(0, len(text) - window + 1), SPAN - window):
         piece = np.frombuffer(text, np.uint8, min(SPAN - 1, len(text) - at), at).astype(np.uint64)
         h, power, width = piece + np.uint64(1), int(_M), 1
@@ -55,7 +55,7 @@ def stretches(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray
         h = (h ^ h >> np.uint64(31)) * _M
         # high bits: the hash; low bits: a scrambled position, so that equal hashes tie at random
         key = ((h ^ h >> np.uint64(29)) & ~_LOW) | (np.arange(len(h), dtype=np.uint64) * _TIE & _LOW)
-        width, need = 1, window - GRAM + 1
+        width, need, single = 1, window - GRAM + 1, key
         while 2 * width <= need:
             key = np.minimum(key[:-width], key[width:])
             width *= 2
@@ -64,8 +64,13 @@ def stretches(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray
         key = key[:SPAN - window]
         first = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
         n = np.diff(np.concatenate([first, [len(key)]]))
-        parts = [np.concatenate([a, b]) for a, b in zip(parts, ((key[first] >> np.uint64(20)).astype(np.int64), first + at, n))]
-    return parts[0], parts[1], parts[2]
+        # equal windows d apart in one stretch need the anchor's bytes again d further on
+        anchor, place = key[first] >> np.uint64(20), ((key[first] & _LOW) * _UNTIE & _LOW).astype(np.int64)
+        apart = np.arange(1, need)
+        again = single[np.minimum(place[:, None] + apart, len(single) - 1)] >> np.uint64(20) == anchor[:, None]
+        again = (again & (apart < n[:, None])).any(1)
+        parts = [np.concatenate([a, b]) for a, b in zip(parts, (anchor.astype(np.int64), first + at, n, again))]
+    return tuple(parts)
 
 
 def _sorted_ranks(high: np.ndarray, low: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +219,7 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [stretches(t.as_py(), window)[0] for t in batch.column(0)]
+            found = [x for t in batch.column(0) for a, _, _, again in (stretches(t.as_py(), window),) for x in (a, a[again])]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], ["anchor"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +229,7 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
                 at, keys, starts, bodies = [], [], [], []
                 for i, t in enumerate(part.column("text")):
                     t = t.as_py()
-                    anchor, first, n = stretches(t, window)
+                    anchor, first, n, _ = stretches(t, window)
                     at.append(np.full(len(anchor), i))
                     keys.append(anchor)
                     starts.append(first)
