@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,12 @@ def query(f):
     return f
 
 
+@query
+def pipeline(spark, sf_dir):
+    """The whole training-data pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 SHARDS = 24
 
 
