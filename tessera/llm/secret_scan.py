@@ -20,7 +20,7 @@ from re import _parser as regex_tree
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, field, lower_ascii, unboxed
+from tessera.llm.common import boxed, cut_lineage, field, lower_ascii, small, unboxed
 
 MOST_STRINGS = 64  # alternatives kept apart while literals are put together
 
@@ -155,7 +155,9 @@ def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
         vocabulary = sorted({g for q in indexed.values() for clause in q for grams in clause for g in grams})
         source = docs.select(F.xxhash64(_text(docs, text_col)).alias("a"), F.xxhash64(F.lit("second"), _text(docs, text_col)).alias("b"),
                              _text(docs, text_col).alias("text"))
-        rows = rows.join(candidates(build_index(source, vocabulary), indexed), ["a", "b"], "left")
+        # written first: the join then has the aggregation behind it and a hot text can be split
+        found = small(cut_lineage(candidates(build_index(source, vocabulary), indexed)), 64)
+        rows = rows.join(found, ["a", "b"], "left")
     else:
         rows = rows.withColumn("kinds", F.array().cast("array<string>"))
     spans = [_spans(text, r, i, F.array_contains(F.coalesce("kinds", F.array().cast("array<string>")), r.kind) if r.kind in indexed
