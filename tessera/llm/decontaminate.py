@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, col, cut_lineage, field, lower_ascii, small, unboxed
+from tessera.llm.common import BROADCAST_BYTES, boxed, col, cut_lineage, field, lower_ascii, small, unboxed
 
 N = 10
 LISTS = 2
@@ -39,14 +39,13 @@ def keyed(text: Column) -> list[Column]:
 
 
 def windows(items: DataFrame, n: int = N, item_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(distinct windows ``wid, phrase array<string>``, ``wid, item_id`` pairs). Null ids are left out
-    of the pairs' digest but their windows still count as hits."""
+    """(distinct windows ``wid, phrase array<string>``, ``wid, item_id`` pairs); a null item_id stays null."""
     w = items.select(col(item_col).alias("item_id"), F.split(lower_ascii(F.array_join(words(col(text_col)), " ")), " ").alias("w"))
     w = w.filter(F.element_at("w", 1) != "")
     at = F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(1)))).alias("at")
     each = w.select("item_id", "w", at).select("item_id", F.slice("w", F.col("at"), n).alias("phrase"))
-    each = cut_lineage(each.select(F.sha2(F.array_join("phrase", " "), 256).alias("wid"), "phrase", "item_id").distinct())
-    return each.select("wid", "phrase").distinct(), each.select("wid", "item_id")
+    win = cut_lineage(each.select("phrase").distinct().withColumn("wid", F.monotonically_increasing_id()))  # numbers are fixed by the write
+    return win, cut_lineage(each.distinct().join(win, "phrase").select("wid", "item_id"))
 
 
 def postings(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
@@ -72,10 +71,12 @@ def phrase_matches(docs: DataFrame, win: DataFrame, text_col: str = "text", list
     frequency = cut_lineage(postings(docs, terms, text_col).groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     anchors = cut_lineage(rarest(win, frequency, lists))
     index = postings(docs, small(cut_lineage(anchors.select("term").distinct()), 64), text_col)
-    shifted = (index.join(small(anchors, 160), "term")
-               .select("a", "b", "wid", (F.col("pos") - F.col("off")).alias("start"), "which", "need"))
-    met = (shifted.groupBy("a", "b", "wid", "start").agg(F.count_distinct("which").alias("met"), F.max("need").alias("need"))
-           .filter((F.col("met") == F.col("need")) & (F.col("start") >= 0)))
+    # each list adds its bit to the windows it meets at (text, start); all bits: the lists intersect there
+    bit = F.expr("shiftleft(1, which - 1)")
+    shifted = (index.join(small(anchors, 96), "term").filter("pos >= off")
+               .select("a", "b", "wid", (F.col("pos") - F.col("off")).alias("start"), bit.alias("bit"), "need"))
+    met = (shifted.groupBy("a", "b", "wid", "start").agg(F.bit_or("bit").alias("bits"), F.max("need").alias("need"))
+           .filter("bits = shiftleft(1, need) - 1"))
     met = cut_lineage(met.select("a", "b", "wid", "start"))
     # verification: the candidate texts' own words against the whole phrase
     keys = small(cut_lineage(met.select("a", "b").distinct()), 16)
@@ -127,7 +128,9 @@ def mark(docs: DataFrame, items: DataFrame, n: int = N, text_col: str = "text",
     values. Empty tables: no documents give no rows, no items leave all documents
     clean. Input columns with the names of the added ones are replaced.
     """
-    found = contaminated_texts(docs, items, n, text_col, item_col, item_text_col)
+    found = cut_lineage(contaminated_texts(docs, items, n, text_col, item_col, item_text_col))
+    size = found.agg(F.coalesce(F.sum(F.size("items") * 40 + 64), F.lit(0))).first()[0]
+    found = F.broadcast(found) if size <= BROADCAST_BYTES else found
     rows = boxed(docs)
     rows = rows.select("row", *keyed(field(text_col)), F.size(words(field(text_col))).cast("bigint").alias("n_words"))
     rows = rows.join(found, ["a", "b"], "left")
