@@ -33,6 +33,7 @@ class Settings:
     dim: int = 16
     bits: int = BITS
     epochs: int = 4
+    least_steps: int = 4000  # a small sample is gone through more often
     rate: float = 1.0
     max_docs: int = 6000
     max_bytes: int = 32768
@@ -115,8 +116,9 @@ def train(texts: list[bytes], labels: list[int], s: Settings = Settings()) -> Mo
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (1 << s.bits, s.dim)).astype(np.float32)
     output, bias = np.zeros((2, s.dim), np.float32), np.zeros(2, np.float32)
     bags = [bag(t, s.bits) for t in texts]
-    total, done = max(1, s.epochs * len(bags)), 0
-    for _ in range(s.epochs):
+    epochs = max(s.epochs, -(-s.least_steps // max(1, len(bags))))
+    total, done = max(1, epochs * len(bags)), 0
+    for _ in range(epochs if bags else 0):
         for i in rng.permutation(len(bags)):
             ids, share = bags[i]
             rate = s.rate * (1 - done / total)
