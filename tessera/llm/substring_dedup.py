@@ -215,7 +215,9 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
               .filter("n > 1").select("a", "b", "least"))
     copies = cut_lineage(copies)
     # whole copies are settled by their ids; the first of each text is looked into
-    distinct = rows.join(small(copies, 24), ["a", "b"], "left").filter("least is null or id = least").select("id", "a", "b", "text")
+    known = rows.join(small(copies, 24), ["a", "b"], "left")
+    once = known.filter("least is null").select("id", "a", "b", "text")
+    distinct = once.unionAll(known.filter("id = least").select("id", "a", "b", "text").dropDuplicates(["a", "b"]))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
