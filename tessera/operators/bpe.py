@@ -49,9 +49,13 @@ OPEN, CLOSE = "\ue000", "\ue001"
 _SYMBOL = f"{OPEN}([^{CLOSE}]*){CLOSE}"
 
 
-def _marked(word: F.Column) -> F.Column:
+def _marked(word: F.Column, kept: list[str] | None = None) -> F.Column:
+    """The word as marked symbols. With ``kept``, any other character becomes an empty
+    symbol, which is in no pair: merges never reach across it."""
     clean = F.regexp_replace(word, f"[{OPEN}{CLOSE}]", "\ufffd")
     chars = F.filter(F.split(F.concat(F.lit(WORD_MARK), clean), ""), lambda c: c != F.lit(""))
+    if kept is not None:
+        chars = F.transform(chars, lambda c: F.when(c.isin(kept), c).otherwise(F.lit("")))
     return F.concat(F.lit(OPEN), F.array_join(chars, CLOSE + OPEN), F.lit(CLOSE))
 
 
@@ -65,6 +69,7 @@ def pair_counts(words: DataFrame) -> DataFrame:
     s = _symbols()
     pairs = F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1),
                        lambda x, y: F.struct(x.alias("a"), y.alias("b")))
+    pairs = F.filter(pairs, lambda p: (p["a"] != "") & (p["b"] != ""))
     return (words.select(F.explode(pairs).alias("p"), "n")
             .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
             .agg(F.sum("n").alias("cnt")))
@@ -114,7 +119,8 @@ def train_bpe(counts: DataFrame, vocab_size: int, batch: int = 1, ratio: float =
     n_merges = vocab_size - N_SPECIAL - n_alpha
     if n_merges < 0:
         raise ValueError(f"vocab_size {vocab_size} is below specials + alphabet ({N_SPECIAL + n_alpha})")
-    words = cut_lineage(counts.select(_marked(F.col("word")).alias("w"), "n"))
+    kept = [r["ch"] for r in alpha_rows] if coverage < 1.0 else None
+    words = cut_lineage(counts.select(_marked(F.col("word"), kept).alias("w"), "n"))
     pairs = cut_lineage(pair_counts(words))
     merges: list[tuple[int, str, str]] = []
     rounds = 0

@@ -37,7 +37,9 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _bucketed(df: DataFrame, order: Sequence, buckets: int | None) -> DataFrame:
+def bucketed(df: DataFrame, order: Sequence, buckets: int | None = None) -> DataFrame:
+    """``df`` in range buckets ``_b`` with positions ``_local`` inside them, written
+    once: the shared start of several scans along one order."""
     nb = buckets or shuffle_partitions(df.sparkSession)
     order = _cols(order)
     ranged = df.repartitionByRange(nb, *order).sortWithinPartitions(*order)
@@ -53,7 +55,7 @@ def global_rank(df: DataFrame, order: Sequence, out: str = "rank", buckets: int
 
     One range shuffle; per-bucket counts are a map-side partial aggregate.
     """
-    b = _bucketed(df, order, buckets)
+    b = bucketed(df, order, buckets)
     counts = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select(
         "_b",
@@ -86,9 +88,18 @@ def segmented_scan(df: DataFrame, order: Sequence, value: Column, op: str, out:
     With ``exclusive`` the current row is left out (NULL before the first row
     for min/max, 0 for sum).
     """
+    parts = list(partition_by)
+    b = bucketed(df.withColumn("_v", value), [*parts, *order], buckets)
+    return bucket_scan(b, F.col("_v"), op, out, parts, exclusive).drop("_b", "_local", "_v")
+
+
+def bucket_scan(b: DataFrame, value: Column, op: str, out: str, partition_by: Sequence = (),
+                exclusive: bool = False) -> DataFrame:
+    """``segmented_scan`` of an already ``bucketed`` frame, which keeps its buckets,
+    so that several scans share one bucketing (and one write)."""
     agg = _OPS[op]
     parts = list(partition_by)
-    b = _bucketed(df.withColumn("_v", value), [*parts, *order], buckets)
+    b = b.withColumn("_v", value)
     partials = b.groupBy("_b", *parts).agg(agg("_v").alias("_p"))
     carry_w = Window.partitionBy(*parts).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = partials.select("_b", *parts, agg("_p").over(carry_w).alias("_carry"))
@@ -100,7 +111,7 @@ def segmented_scan(df: DataFrame, order: Sequence, value: Column, op: str, out:
     res = local.join(carry, ["_b", *parts], "left").withColumn(out, _combine(op, F.col("_carry"), F.col("_run")))
     if op == "sum" and exclusive:
         res = res.withColumn(out, F.coalesce(F.col(out), F.lit(0)))
-    return res.drop("_b", "_local", "_v", "_carry", "_run")
+    return res.drop("_v", "_carry", "_run")
 
 
 def prefix_sum(df: DataFrame, order: Sequence, value: Column, out: str,

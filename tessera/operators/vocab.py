@@ -73,6 +73,8 @@ def word_vocab(counts: DataFrame, max_size: int | None = None) -> DataFrame:
     past it encode as unk. ``None`` keeps every word.
     """
     spark = counts.sparkSession
+    # a word that spells a special piece is no ordinary piece: one id a piece
+    counts = counts.filter(~F.col("word").isin([p for _, p, _ in SPECIALS]))
     counts = cut_lineage(counts)  # sampled for range bounds, then ranked
     ranked = global_rank(counts, [F.desc("n"), "word"], "_r")
     if max_size is not None:
@@ -114,8 +116,9 @@ def vocab_size(tok: Tokenizer) -> int:
 
 
 def piece_to_id(df: DataFrame, tok: Tokenizer, piece_col: str = "piece", out: str = "id") -> DataFrame:
-    """Look up ids of pieces; unknown pieces get unk."""
-    lk = tok.vocab.select(F.col("piece").alias("_p"), F.col("id").alias("_id"))
+    """Look up ids of pieces, special ones included; unknown pieces get unk.
+    A piece listed twice has its first id, so a row never comes back twice."""
+    lk = tok.vocab.groupBy(F.col("piece").alias("_p")).agg(F.min("id").alias("_id"))
     lk = F.broadcast(lk) if tok.size <= BROADCAST_ROWS else lk
     return (df.join(lk, df[piece_col] == lk["_p"], "left")
             .withColumn(out, F.coalesce(F.col("_id"), F.lit(UNK)))

@@ -110,19 +110,31 @@ SQL["p4_format_prompt"] = "SELECT item_id AS row_id, 'Q: ' || text || ' A:' AS p
 SQL["p5_seeded_shuffle"] = f"""WITH {PAIRS} SELECT idx,
   row_number() OVER (ORDER BY md5('42|' || idx::VARCHAR), idx) AS shuffle_rank FROM pairs"""
 
-SQL["t1_special_tokens"] = """SELECT * FROM (VALUES (0, '<pad>', 'control'), (1, '<unk>', 'unknown'),
-  (2, '<s>', 'control'), (3, '</s>', 'control')) t(id, piece, kind)"""
+SPECIAL_ROWS = """(VALUES (0, '<pad>', 'control'), (1, '<unk>', 'unknown'), (2, '<s>', 'control'), (3, '</s>', 'control'))"""
 DOC_WORDS = f"""dw AS (SELECT unnest({words('text')}) AS word FROM documents),
 dwc AS (SELECT word, count(*) AS n FROM dw GROUP BY word)"""
 SQL["t2_word_counts"] = f"WITH {DOC_WORDS} SELECT word, n FROM dwc"
 SQL["t3_alphabet"] = f"""WITH {DOC_WORDS},
 chars AS (SELECT unnest(string_split('▁' || word, '')) AS ch, n FROM dwc)
 SELECT ch, sum(n)::BIGINT AS n FROM chars WHERE ch <> '' GROUP BY ch"""
-SQL["t6_encode_word"] = f"""WITH {word_vocab(5000)} SELECT idx, len(tokens)::BIGINT AS n_tokens,
+SQL["t3_alphabet_coverage"] = f"""WITH {DOC_WORDS},
+chars AS (SELECT unnest(string_split('▁' || word, '')) AS ch, n FROM dwc),
+cn AS (SELECT ch, sum(n)::BIGINT AS n FROM chars WHERE ch <> '' GROUP BY ch),
+cum AS (SELECT ch, n, coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER () AS total FROM cn)
+SELECT ch, n FROM cum WHERE before < 0.995e0 * total"""
+SQL["t6_encode_word"] = f"""WITH {word_vocab(10000)} SELECT idx, len(tokens)::BIGINT AS n_tokens,
   array_to_string(tokens, ' ') AS tokens_text FROM ids"""
-SQL["t7_decode_word"] = f"""WITH {word_vocab(5000)}
+SQL["t7_decode_word"] = f"""WITH {word_vocab(10000)}
 SELECT t.idx, coalesce(string_agg(CASE WHEN k.id = 1 THEN '⁇' ELSE k.word END, ' ' ORDER BY k.pos), '') AS text
 FROM train_text t LEFT JOIN tok k USING (idx) GROUP BY t.idx"""
+SQL["t1_special_tokens"] = f"""WITH {word_vocab()},
+pieces AS (SELECT id, piece, kind, 0 AS n FROM {SPECIAL_ROWS} t(id, piece, kind)
+  UNION ALL SELECT id, word, 'word', 1 FROM vocab)
+SELECT kind, count(*) AS n_pieces, min(id)::INTEGER AS first_id, max(id)::INTEGER AS last_id, min(piece) AS least_piece FROM pieces GROUP BY kind"""
+SQL["t8_piece_to_id"] = f"""WITH {word_vocab()},
+asked AS (SELECT DISTINCT unnest({words('text')}) AS piece FROM benchmark UNION SELECT piece FROM {SPECIAL_ROWS} t(id, piece, kind)),
+known AS (SELECT id, piece FROM {SPECIAL_ROWS} t(id, piece, kind) UNION ALL SELECT id, word FROM vocab)
+SELECT a.piece, coalesce(min(k.id), 1)::INTEGER AS id FROM asked a LEFT JOIN known k USING (piece) GROUP BY a.piece"""
 SQL["t8_vocab_size"] = f"WITH {word_vocab()} SELECT (count(*) + 4)::BIGINT AS n_pieces FROM vocab"
 SQL["t9_ensure_bos"] = f"WITH {PROMPT_IDS} SELECT row_id, array_to_string(tokens, ' ') AS tokens_text FROM bos"
 
@@ -198,20 +210,34 @@ LOG = """log AS (SELECT user_id AS run_id,
   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS iter, value AS val_loss FROM events)"""
 SQL["r1_eval_points"] = f"""WITH {LOG} SELECT run_id, iter, val_loss FROM (
   SELECT *, max(iter) OVER (PARTITION BY run_id) AS last_iter FROM log) WHERE iter % 5 = 0 OR iter = last_iter"""
-IMPROVED = LOG + """,
-m AS (SELECT *, min(val_loss) OVER (PARTITION BY run_id ORDER BY iter
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_best FROM log),
-imp AS (SELECT *, (prev_best IS NULL OR val_loss < prev_best) AS improved,
+INF = "'infinity'::DOUBLE"
+
+
+def improved(log: str) -> str:
+    """Common tables of R2, R3 and R5 over a table ``log``."""
+    return log + f""",
+m AS (SELECT *, least({INF}, coalesce(min(val_loss) OVER (PARTITION BY run_id ORDER BY iter
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), {INF})) AS prev_best FROM log),
+imp AS (SELECT *, coalesce(val_loss < prev_best, false) AS improved,
   row_number() OVER (PARTITION BY run_id ORDER BY iter) AS pos FROM m),
-s AS (SELECT *, pos - max(CASE WHEN improved THEN pos END) OVER (PARTITION BY run_id ORDER BY iter
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS since FROM imp),
+s AS (SELECT *, pos - coalesce(max(CASE WHEN improved THEN pos END) OVER (PARTITION BY run_id ORDER BY iter
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS since FROM imp),
 f AS (SELECT *, max(CASE WHEN since >= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY iter
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS stopped_before FROM s),
 kept AS (SELECT * FROM f WHERE coalesce(stopped_before, 0) = 0)"""
+IMPROVED = improved(LOG)
 SQL["r2_mark_improved"] = f"""WITH {IMPROVED} SELECT run_id, iter, improved::INTEGER AS improved,
   least(val_loss, prev_best) AS best_so_far FROM imp"""
 SQL["r3_early_stop"] = f"""WITH {IMPROVED} SELECT run_id, iter, since::BIGINT AS since,
   (since >= 5)::INTEGER AS stopped_here FROM kept"""
+# the same log with diverged evaluations: +inf at the start of a run, NaN now and then
+DIVERGED = improved("""log AS (SELECT run_id, iter, CASE WHEN iter < run_id % 3 THEN 'infinity'::DOUBLE WHEN (iter + run_id) % 7 = 0 THEN 'nan'::DOUBLE
+  ELSE val_loss END AS val_loss FROM (SELECT user_id AS run_id,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS iter, value AS val_loss FROM events))""")
+SQL["r2_mark_improved_inf"] = f"""WITH {DIVERGED} SELECT run_id, iter, improved::INTEGER AS improved,
+  CASE WHEN isinf(least(val_loss, prev_best)) THEN NULL ELSE least(val_loss, prev_best) END AS best_so_far FROM imp"""
+SQL["r3_early_stop_inf"] = f"""WITH {DIVERGED} SELECT run_id, iter, since::BIGINT AS since,
+  (since >= 5)::INTEGER AS stopped_here FROM kept"""
 SQL["r5_best_checkpoint"] = f"""WITH {IMPROVED} SELECT run_id, min_by(iter, (val_loss, iter)) AS best_iter,
   min(val_loss) AS best_val_loss FROM kept GROUP BY run_id"""
 

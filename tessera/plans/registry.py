@@ -30,7 +30,7 @@ from tessera.sources.qa import read_qa
 from tessera.streaming import prepare as ST
 
 CFG = Config(step_size=128)  # the reference's mains pass step 128
-T6_VOCAB = 5000  # total size of the capped word vocabulary in t6/t7
+T6_VOCAB = CFG.vocab_size  # total size of the capped word vocabulary in t6/t7
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -116,7 +116,9 @@ def _word_tok(spark, d, max_size=None, text=None):
 
 @query("t1_special_tokens")
 def t1_specials(spark, d):
-    return VO.special_tokens(spark).select("id", "piece", "kind")
+    """The vocabulary by kind: the four reserved ids come first and are no words."""
+    return _word_tok(spark, d).vocab.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_pieces"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min("piece").alias("least_piece"))
 
 
 @query("t2_word_counts")
@@ -129,6 +131,11 @@ def t3_alphabet(spark, d):
     return VO.alphabet(VO.word_counts(inputs.documents(spark, d), "text")).select("ch", "n")
 
 
+@query("t3_alphabet_coverage")
+def t3_coverage(spark, d):
+    return VO.alphabet(VO.word_counts(inputs.documents(spark, d), "text"), 0.995).select("ch", "n")
+
+
 @query("t6_encode_word")
 def t6_encode(spark, d):
     text = _train_text(spark, d)
@@ -145,8 +152,15 @@ def t7_decode(spark, d):
 
 @query("t8_vocab_size")
 def t8_size(spark, d):
-    tok = _word_tok(spark, d)
-    return spark.range(1).select(F.lit(VO.vocab_size(tok)).cast("bigint").alias("n_pieces"))
+    return _word_tok(spark, d).vocab.agg(F.count(F.lit(1)).alias("n_pieces"))
+
+
+@query("t8_piece_to_id")
+def t8_ids(spark, d):
+    """Ids of the benchmark's words and of the special pieces."""
+    asked = VO.word_counts(inputs.table(spark, d, "benchmark"), "text").select(F.col("word").alias("piece"))
+    asked = asked.union(VO.special_tokens(spark).select("piece")).distinct()
+    return VO.piece_to_id(asked, _word_tok(spark, d))
 
 
 def _prompt_ids(spark, d):
@@ -318,6 +332,25 @@ def r3_stop(spark, d):
     return s.select("run_id", "iter", "since", F.col("stopped_here").cast("int").alias("stopped_here"))
 
 
+def _diverged(spark, d):
+    """The log with evaluations that diverged: +inf at the start of some runs, NaN now and then."""
+    bad = (F.when(F.col("iter") < F.col("run_id") % 3, F.lit(float("inf")))
+           .when((F.col("iter") + F.col("run_id")) % 7 == 0, F.lit(float("nan"))))
+    return _log(spark, d).withColumn("val_loss", F.coalesce(bad, F.col("val_loss")))
+
+
+@query("r2_mark_improved_inf")
+def r2_improved_inf(spark, d):
+    best = F.when(F.col("best_so_far") < float("inf"), F.col("best_so_far"))
+    return R.mark_improved(_diverged(spark, d)).select("run_id", "iter", F.col("improved").cast("int").alias("improved"), best.alias("best_so_far"))
+
+
+@query("r3_early_stop_inf")
+def r3_stop_inf(spark, d):
+    s = R.early_stop(_diverged(spark, d), CFG.patience_early_stopping)
+    return s.select("run_id", "iter", "since", F.col("stopped_here").cast("int").alias("stopped_here"))
+
+
 @query("r5_best_checkpoint")
 def r5_best(spark, d):
     return R.best_checkpoint(R.early_stop(_log(spark, d), CFG.patience_early_stopping))

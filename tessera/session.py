@@ -1,19 +1,19 @@
 """Session helpers: a local session for tests and lineage cutting.
 
 Lineage is cut with reliable ``checkpoint()`` into the shared folder named by
-``spark.checkpoint.dir``. The library never picks a folder on a cluster: only a
-local-mode session without that setting gets a scratch folder.
+``spark.checkpoint.dir``. The library never picks a folder itself: without one it
+raises. Tests, the benchmark and the driver's entry points name theirs.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
-    """Session for tests and benchmarks: local mode, AQE on, no UI."""
+def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tessera",
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """Session for tests and benchmarks: local mode, AQE on, no UI. Checkpoints
+    that nothing refers to any more are removed as the session goes on."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -26,8 +26,11 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tesse
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
+    if checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -36,9 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, taking it from the session.
 
     Order: the folder already set on the context, then the
-    ``spark.checkpoint.dir`` setting. Only a local-mode session with neither
-    gets a scratch folder; on a cluster a missing setting is an error, since a
-    machine-local folder does not survive the loss of an executor.
+    ``spark.checkpoint.dir`` setting. With neither it raises: a folder of this
+    machine would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,9 +50,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
-        return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative jobs")
 
 

@@ -44,3 +44,24 @@ def test_hot_run_is_split_and_exact(spark):
     # the hot run spans several buckets
     b = global_rank(log, ["run_id", "iter"], "r", buckets=16).filter("run_id = 0")
     assert b.agg(F.min("r"), F.max("r")).first()[1] - b.agg(F.min("r")).first()[0] + 1 == 3000
+
+
+def test_diverged_losses_never_improve(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, i, v) for i, v in enumerate([inf, nan, 3.0, inf, nan, 2.0])] + [(2, i, inf) for i in range(4)] + [(3, 0, None), (3, 1, 1.0)]
+    log = spark.createDataFrame(rows, "run_id bigint, iter bigint, val_loss double")
+    got = {(r["run_id"], r["iter"]): r["improved"] for r in mark_improved(log).collect()}
+    assert {k for k, v in got.items() if v} == {(1, 2), (1, 5), (3, 1)}
+    kept = sorted((r["run_id"], r["iter"], r["since"]) for r in early_stop(log, 2).collect())
+    assert kept == [(1, 0, 1), (1, 1, 2), (2, 0, 1), (2, 1, 2), (3, 0, 1), (3, 1, 0)]
+    best = {r["run_id"]: (r["best_iter"], r["best_val_loss"]) for r in best_checkpoint(log).collect()}
+    assert best == {1: (5, 2.0), 2: (None, inf), 3: (1, 1.0)}
+
+
+def test_early_stop_writes_its_input_once(spark, monkeypatch):
+    from tessera.operators import ordering
+    calls = []
+    monkeypatch.setattr(ordering, "cut_lineage", lambda df: calls.append(df.columns) or df.checkpoint())
+    log = spark.createDataFrame([(i % 3, i, float(i % 5)) for i in range(60)], "run_id bigint, iter bigint, val_loss double")
+    early_stop(log, 3).collect()
+    assert len(calls) == 1
