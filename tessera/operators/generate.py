@@ -8,8 +8,8 @@ repetition penalty (G2) -> softmax (G3) -> nucleus (G4, G5) -> seeded sample
 (G8). The active set is checkpointed every step, so lineage stays one step
 deep and a lost executor costs one step.
 
-A row whose context the model has never seen has no candidates; it ends with
-eos. Output text is the decoded prompt ids plus new ids, so the prompt is
+Every context has a distribution (L2 falls back to the counts of all ids).
+``max_new`` 0 generates nothing. Output text is the decoded prompt ids plus new ids, so the prompt is
 echoed (G10).
 """
 
@@ -38,7 +38,7 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
     """
     if seen_mode not in ("all", "generated"):
         raise ValueError("seen_mode is 'all' or 'generated'")
-    cap = max_new or cfg.max_generate_length
+    cap = cfg.max_generate_length if max_new is None else max_new
     active = cut_lineage(prompt_ids.select(
         key, ensure_bos(tokens, cfg.bos_id).alias("prompt"), F.array().cast("array<int>").alias("gen")))
     done_parts = []

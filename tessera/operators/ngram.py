@@ -12,7 +12,7 @@ empty context.
   where both sums run over the orders whose context ``h_k`` was seen.
 * Next-token distributions (L2) use longest-match backoff: the longest seen
   context ending at the last id; if the last id was never seen as a context,
-  the most recent earlier id that was. The candidates are exactly that
+  the most recent earlier id that was; if none was, all ids by their counts. The candidates are exactly that
   context's continuations, ``p = c(h, w) / T(h)``, found by an equi-join on
   the context, so no row is paired with the whole vocabulary.
 """
@@ -29,6 +29,9 @@ from tessera.session import cut_lineage
 from tessera.operators.vocab import BROADCAST_ROWS, PAD
 
 
+_TAIL = 1 << 30  # contexts that end at the last id rank above all earlier ones
+
+
 @dataclass
 class NgramModel:
     order: int
@@ -39,6 +42,15 @@ class NgramModel:
     lambdas: tuple
     n_count_rows: int
     n_total_rows: int
+    _conditional: DataFrame | None = None
+
+    def conditional(self) -> DataFrame:
+        """``order, ctx, token, logit``: ln(count / total), written once per model and
+        then only read, however many steps score with it."""
+        if self._conditional is None:
+            joined = self.counts.join(self.totals.select("order", "ctx", "total"), ["order", "ctx"])
+            self._conditional = cut_lineage(joined.select("order", "ctx", "token", F.log(F.col("n") / F.col("total")).alias("logit")))
+        return self._conditional
 
     def level_counts(self, k: int) -> DataFrame:
         t = self.counts.filter(F.col("order") == k).drop("order")
@@ -150,44 +162,27 @@ def score_next(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens:
 
     Longest-match backoff: among contexts ending at the last id (orders
     ``order`` down to 2) the longest one seen in training; if none, the most
-    recent earlier id seen as a bigram context. Candidates are that context's
-    continuations, ``logit = ln(c / T)``. Rows with no seen context at all get
-    no rows (the model has nothing to say). An order-1 model uses the unigram
-    table for every row.
+    recent earlier id seen as a bigram context; if none, order 1, the counts of
+    all ids. Candidates are that context's continuations, ``logit = ln(c / T)``,
+    so every row has a distribution. An order-1 model uses order 1 for every row.
     """
-    if lm.order < 2:
-        raise ValueError("an order-1 model has no context; its one distribution is unigram(lm)")
-    c = contexts.select(key, tokens)
     n = F.size(tokens)
-    levels = F.array(*[
-        F.struct(F.lit(k).alias("order"),
-                 F.when(n >= k - 1, F.array_join(F.slice(tokens, -(k - 1), k - 1).cast("array<string>"), " "))
-                 .alias("ctx"))
-        for k in range(lm.order, 1, -1)])
-    cand = c.select(key, F.explode(levels).alias("l")).select(key, "l.order", "l.ctx").filter(F.col("ctx").isNotNull())
-    tot = lm.totals.select("order", "ctx")
-    tot = F.broadcast(tot) if lm.n_total_rows <= BROADCAST_ROWS else tot
-    hit = cand.join(tot, ["order", "ctx"], "inner")
-    best = hit.groupBy(key).agg(F.max_by(F.struct("order", "ctx"), F.col("order")).alias("b")).select(
-        key, "b.order", "b.ctx")
-    # skip back over ids never seen as a context
-    missing = c.join(best.select(key), key, "left_anti")
-    back = (missing.select(key, F.posexplode(tokens).alias("pos", "tok"))
-            .select(key, "pos", F.lit(2).alias("order"), F.col("tok").cast("string").alias("ctx"))
-            .join(tot, ["order", "ctx"], "inner")
-            .groupBy(key).agg(F.max_by(F.struct("order", "ctx"), F.col("pos")).alias("b"))
-            .select(key, "b.order", "b.ctx"))
-    return _expand(best.unionByName(back), lm, key)
+    tail = [F.struct(F.lit(k).alias("order"),
+                     F.when(n >= k - 1, F.array_join(F.slice(tokens, -(k - 1), k - 1).cast("array<string>"), " ")).alias("ctx"),
+                     F.lit(_TAIL + k).alias("rank"))
+            for k in range(lm.order, 1, -1)]
+    # earlier ids, the later the better, then the empty context that every model has
+    earlier = F.transform(F.col(tokens), lambda t, i: F.struct(F.lit(2).alias("order"), t.cast("string").alias("ctx"), i.cast("int").alias("rank")))
+    empty = F.struct(F.lit(1).alias("order"), F.lit("").alias("ctx"), F.lit(-1).alias("rank"))
+    levels = F.concat(F.array(*tail, empty), earlier) if tail else F.array(empty)
+    cand = contexts.select(key, F.explode(levels).alias("l")).select(key, "l.order", "l.ctx", "l.rank").filter(F.col("ctx").isNotNull())
+    # the contexts are the small side; which side is broadcast is left to Spark's measured sizes
+    hit = cand.join(lm.totals.select("order", "ctx"), ["order", "ctx"], "left_semi")
+    best = hit.groupBy(key).agg(F.max_by(F.struct("order", "ctx"), F.col("rank")).alias("b")).select(key, "b.order", "b.ctx")
+    return best.join(lm.conditional(), ["order", "ctx"]).select(key, "token", "logit", F.col("order").alias("ctx_order"))
 
 
 def unigram(lm: NgramModel) -> DataFrame:
     """The order-1 distribution ``token, logit`` (shared by every context)."""
     return lm.counts.filter(F.col("order") == 1).select(
         "token", F.log(F.col("n") / F.lit(float(lm.n_tokens))).alias("logit"))
-
-
-def _expand(chosen: DataFrame, lm: NgramModel, key: str) -> DataFrame:
-    cnt = lm.counts.join(lm.totals.select("order", "ctx", "total"), ["order", "ctx"])
-    cnt = F.broadcast(cnt) if lm.n_count_rows <= BROADCAST_ROWS else cnt
-    return chosen.join(cnt, ["order", "ctx"], "inner").select(
-        key, "token", F.log(F.col("n") / F.col("total")).alias("logit"), F.col("order").alias("ctx_order"))

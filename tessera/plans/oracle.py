@@ -280,17 +280,19 @@ bl AS (SELECT vb.batch_id, avg(-ln(sc.p)) AS bl FROM sc JOIN vb USING (window_id
 SELECT round(coalesce(avg(bl), 'inf'::DOUBLE), 6) AS val_loss, count(*) AS n_batches FROM bl"""
 SQL["l2_score_next"] = f"""WITH {NGRAM},
 {PROMPT_PART},
+asked AS (SELECT row_id, tokens FROM bos UNION ALL SELECT -1, [2, 1, 1]),
 last AS (
-  SELECT row_id, 3 AS ord, array_to_string(tokens[-2:], ' ') AS ctx FROM bos WHERE len(tokens) >= 2
-  UNION ALL SELECT row_id, 2, tokens[-1]::VARCHAR FROM bos WHERE len(tokens) >= 1),
+  SELECT row_id, 3 AS ord, array_to_string(tokens[-2:], ' ') AS ctx FROM asked WHERE len(tokens) >= 2
+  UNION ALL SELECT row_id, 2, tokens[-1]::VARCHAR FROM asked WHERE len(tokens) >= 1),
 hit AS (SELECT l.row_id, max_by(l.ord, l.ord) AS ord, max_by(l.ctx, l.ord) AS ctx
         FROM last l JOIN tot USING (ord, ctx) GROUP BY l.row_id),
 back AS (
   SELECT b.row_id, 2 AS ord, max_by(b.tok::VARCHAR, b.pos) AS ctx FROM (
-    SELECT row_id, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS pos FROM bos
+    SELECT row_id, unnest(tokens) AS tok, generate_subscripts(tokens, 1) AS pos FROM asked
     WHERE row_id NOT IN (SELECT row_id FROM hit)) b
   JOIN tot ON tot.ord = 2 AND tot.ctx = b.tok::VARCHAR GROUP BY b.row_id),
-chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back)
+chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back
+  UNION ALL SELECT row_id, 1, '' FROM asked WHERE row_id NOT IN (SELECT row_id FROM hit) AND row_id NOT IN (SELECT row_id FROM back))
 SELECT ch.row_id, c.token, round(ln(c.n / t.total), 6) AS logit, ch.ord AS ctx_order
 FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)"""
 
@@ -351,7 +353,8 @@ back AS (
     SELECT row_id, unnest(c) AS tok, generate_subscripts(c, 1) AS pos FROM ctx
     WHERE row_id NOT IN (SELECT row_id FROM hit)) b
   JOIN tot ON tot.ord = 2 AND tot.ctx = b.tok::VARCHAR GROUP BY b.row_id),
-chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back),
+chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back
+  UNION ALL SELECT row_id, 1, '' FROM ctx WHERE row_id NOT IN (SELECT row_id FROM hit) AND row_id NOT IN (SELECT row_id FROM back)),
 cand AS (SELECT ch.row_id, c.token, ln(c.n / t.total) / 1.0e0 AS logit
          FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)),
 seen AS (SELECT DISTINCT row_id, unnest(tokens) AS token FROM bos),
@@ -420,7 +423,7 @@ SELECT idx, len(tokens)::BIGINT AS n_tokens, array_to_string(tokens, ' ') AS tok
 
 # ---- the generation loop by recursive SQL ------------------------------------------------------------
 
-G9_CAP = 8
+G9_CAP = 100
 
 
 def _g9_step(src: str, step: str) -> str:
@@ -438,7 +441,8 @@ def _g9_step(src: str, step: str) -> str:
       SELECT row_id, unnest(c) AS tok, generate_subscripts(c, 1) AS pos FROM cur
       WHERE row_id NOT IN (SELECT row_id FROM hit)) b
     JOIN tot ON tot.ord = 2 AND tot.ctx = b.tok::VARCHAR GROUP BY b.row_id),
-  chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back),
+  chosen AS (SELECT * FROM hit UNION ALL SELECT * FROM back
+  UNION ALL SELECT row_id, 1, '' FROM cur WHERE row_id NOT IN (SELECT row_id FROM hit) AND row_id NOT IN (SELECT row_id FROM back)),
   cand AS (SELECT ch.row_id, c.token, ln(c.n / t.total) / 1.0e0 AS logit
            FROM chosen ch JOIN counts c USING (ord, ctx) JOIN tot t USING (ord, ctx)),
   seen AS (SELECT DISTINCT row_id, unnest(seq) AS token FROM cur),

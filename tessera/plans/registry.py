@@ -392,8 +392,10 @@ def l4_eval(spark, d):
 @query("l2_score_next")
 def l2_score(spark, d):
     _, _, lm = _lm_parts(spark, d)
-    ctx = ensure_bos(_prompt_ids(spark, d))
-    return L.score_next(ctx, lm).select("row_id", "token", _r6("logit"), "ctx_order")
+    ctx = ensure_bos(_prompt_ids(spark, d)).select("row_id", "tokens")
+    # and one prompt of which no id was ever seen
+    unseen = spark.range(1).select(F.lit(-1).cast("bigint").alias("row_id"), F.array(F.lit(CFG.bos_id), F.lit(VO.UNK), F.lit(VO.UNK)).alias("tokens"))
+    return L.score_next(ctx.unionByName(unseen), lm).select("row_id", "token", _r6("logit"), "ctx_order")
 
 
 # ---- byte-pair tokenizer ------------------------------------------------------------------
@@ -450,13 +452,10 @@ def t7_decode_bpe(spark, d):
 # ---- generation, inference, artifacts -------------------------------------------------------
 
 
-G9_MAX_NEW = 8  # new ids per prompt in the registered generation query
-
-
 @query("g9_generate")
 def g9_generate(spark, d):
     tok, _, lm = _lm_parts(spark, d)
-    out = generate(inputs.prompts(spark, d), lm, tok, CFG, max_new=G9_MAX_NEW)
+    out = generate(inputs.prompts(spark, d), lm, tok, CFG)  # up to CFG.max_generate_length new ids
     return out.select("row_id", ints_text("answer_ids").alias("answer_ids"), "text")
 
 
