@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import is_blank
 
 # Rejection reasons, in rule order.
+MALFORMED = "malformed"
 NOT_OBJECT = "not_object"
 NOT_STRING = "not_string"
 EMPTY = "empty"
@@ -21,7 +22,7 @@ def classify_qa(raw: DataFrame) -> DataFrame:
     """Add ``error`` (NULL when the record is good) plus typed ``question`` and
     ``answer`` (V1).
 
-    The first failing rule wins: not an object; question or answer missing or
+    The first failing rule wins: not JSON at all (a NULL value); not an object; question or answer missing or
     not a string (a JSON null is not a string); question or answer empty after
     Unicode strip. Text is only read as a string when its JSON type is string,
     so a number never passes as text.
@@ -32,7 +33,8 @@ def classify_qa(raw: DataFrame) -> DataFrame:
     q = F.when(q_ok, F.expr("variant_get(value, '$.question', 'string')"))
     a = F.when(a_ok, F.expr("variant_get(value, '$.answer', 'string')"))
     typed = raw.select("*", q.alias("question"), a.alias("answer"), kind.alias("_kind"))
-    err = (F.when(~F.col("_kind").startswith("OBJECT"), F.lit(NOT_OBJECT))
+    err = (F.when(F.col("value").isNull(), F.lit(MALFORMED))
+           .when(~F.col("_kind").startswith("OBJECT"), F.lit(NOT_OBJECT))
            .when(F.col("question").isNull() | F.col("answer").isNull(), F.lit(NOT_STRING))
            .when(is_blank("question") | is_blank("answer"), F.lit(EMPTY)))
     return typed.withColumn("error", err).drop("_kind")

@@ -6,12 +6,124 @@ numbers and nulls survive to validation (V1) with their JSON type intact.
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import global_rank
+from tessera.operators.ordering import bucket_scan, bucketed, global_rank
+from tessera.session import cut_lineage
+
+# a JSON string, or one structural character; a lone quote is an error
+_STRUCTURE = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},"]')
+
+
+@contextmanager
+def _last_key_wins(spark: SparkSession):
+    """JSON objects may repeat a key; the last value counts, as in the reference. The
+    setting is read when a parsing expression is made, so it is put back at once."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _outline(line: str) -> tuple[int, dict[int, int], bool]:
+    """Change of nesting over a line, its commas by nesting relative to the line's start,
+    and whether its strings are closed (JSON strings hold no raw line break)."""
+    depth, commas, closed = 0, {}, True
+    for m in _STRUCTURE.finditer(line):
+        c = m[0]
+        if c in "[{":
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+        elif c == ",":
+            commas[depth] = commas.get(depth, 0) + 1
+        elif c == '"':
+            closed = False
+    return depth, commas, closed
+
+
+def _cut(line: str, depth: int) -> tuple[list[str], bool]:
+    """Pieces of a line that starts at nesting ``depth``, cut at the commas of the top
+    array, whose own brackets go; and whether nothing else stands outside the array."""
+    parts, at, sound = [], 0, True
+    piece = ""
+    for m in _STRUCTURE.finditer(line):
+        c = m[0]
+        if c in "[{":
+            if depth == 0:
+                sound &= c == "[" and not line[at:m.start()].strip()
+                at = m.end()
+            depth += 1
+        elif c in "]}":
+            depth -= 1
+            if depth == 0:
+                sound &= c == "]"
+                piece += line[at:m.start()]
+                at = m.end()
+        elif c == "," and depth == 1:
+            parts.append(piece + line[at:m.start()])
+            piece, at = "", m.end()
+    if depth == 0:
+        sound &= not line[at:].strip()
+    else:
+        piece += line[at:]
+    return [*parts, piece], sound
+
+
+def _array_elements(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """``_file, pos, text`` of the elements of files that hold one JSON array each.
+
+    Files are read by lines, so a large one is split over tasks. A line's nesting is
+    the running sum of what the lines before it open and close; an element's number
+    is the running count of commas at the array's own level; pieces of an element
+    that spans lines are put together again. The working set of a task is a line,
+    and of a group one element.
+    """
+    def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_outline(v.as_py()) for v in batch.column("value")]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([f[0] for f in found], pa.int64()),
+                 pa.array([list(f[1].items()) for f in found], pa.map_(pa.int64(), pa.int64())), pa.array([f[2] for f in found])],
+                [*batch.schema.names, "delta", "commas", "closed"])
+
+    order = ["_file", "_blk", "_row"]
+    b = bucketed(lines.mapInArrow(outline, "_file string, _blk bigint, _row bigint, value string, delta bigint, commas map<bigint,bigint>, closed boolean"), order)
+    broken = b.groupBy("_file").agg(F.sum("delta").alias("open"), F.every("closed").alias("closed")).filter("open <> 0 or not closed").first()
+    if broken is not None:
+        raise ValueError(f"malformed JSON in {broken['_file']}: brackets or strings are not closed")
+    at = bucket_scan(b, F.col("delta"), "sum", "depth", ["_file"], exclusive=True)
+    at = at.withColumn("own", F.coalesce(F.try_element_at("commas", F.lit(1).cast("bigint") - F.col("depth")), F.lit(0).cast("bigint")))
+    at = bucket_scan(at, F.col("own"), "sum", "first", ["_file"], exclusive=True)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, pos, text = [], [], []
+            for i, (v, d, first) in enumerate(zip(batch.column("value"), batch.column("depth").to_pylist(), batch.column("first").to_pylist())):
+                pieces, sound = _cut(v.as_py(), d)
+                if not sound:
+                    raise ValueError("malformed JSON: text outside the array of records")
+                rows += [i] * len(pieces)
+                pos += range(first, first + len(pieces))
+                text += pieces
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in order), pa.array(pos, pa.int64()), pa.array(text, pa.string())], [*order, "pos", "text"])
+
+    pieces = at.select(*order, "value", "depth", "first").mapInArrow(cut, "_file string, _blk bigint, _row bigint, pos bigint, text string")
+    whole = (pieces.groupBy("_file", "pos").agg(F.array_sort(F.collect_list(F.struct("_blk", "_row", "text"))).alias("p"))
+             .select("_file", "pos", F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text")))
+    # an empty array has one blank piece and no element
+    return whole.filter((F.col("pos") > 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
 
 
 def _bad_kind(kind):
@@ -44,30 +156,44 @@ def _elements(doc: DataFrame) -> DataFrame:
 def read_qa(spark: SparkSession, path: str, fmt: str = "json_array") -> DataFrame:
     """Read Q&A records as ``idx BIGINT, value VARIANT``.
 
-    * ``json_array``: each file is one JSON array (the reference's format). A
-      file is one row and cannot be split, so use it for small corpora.
-      Malformed JSON fails the job.
-    * ``json_lines``: one JSON value per line, splittable; ``idx`` is the line
-      position across files in path order. A malformed line fails the job.
+    * ``json_array``: each file is one JSON array (the reference's format), split
+      by lines into its elements, so the file may be of any size; one line (a whole
+      array without line breaks, say) must fit in a task. Malformed JSON fails the
+      job. A file whose value is no array is read whole and handled as a mapping.
+    * ``json_lines``: one JSON value per line, splittable; ``idx`` is the position
+      among the lines that are not blank, across files in path order. A malformed
+      line gives a NULL value, which V1 rejects as ``malformed``.
+
+    Repeated keys in an object are allowed; the last value counts.
     * ``parquet``: typed ``question``/``answer`` columns (and ``idx`` if
       present); they are wrapped as objects so that the same rules apply.
 
     A path that does not exist fails at ``read`` (S2), before any work.
     """
-    if fmt == "json_array":
-        doc = (spark.read.text(path, wholetext=True)
-               .select(F.col("_metadata.file_path").alias("_file"), F.parse_json("value").alias("_doc")))
-        el = _elements(doc)
-        return global_rank(el, ["_file", "pos"], "idx").select(
-            (F.col("idx") - 1).alias("idx"), "value")
-    if fmt == "json_lines":
+    if fmt in ("json_array", "json_lines"):
         lines = (spark.read.text(path)
                  .select(F.col("_metadata.file_path").alias("_file"),
                          F.col("_metadata.file_block_start").alias("_blk"),
                          F.monotonically_increasing_id().alias("_row"),
-                         "value"))
+                         "value")
+                 .filter(F.btrim("value", F.lit(" \t\r\n\ufeff")) != ""))
+    if fmt == "json_array":
+        first = lines.groupBy("_file").agg(F.min_by(F.substring(F.btrim("value", F.lit(" \t\r\n\ufeff")), 1, 1), F.struct("_blk", "_row")).alias("c"))
+        first = cut_lineage(first)
+        others = first.filter(F.col("c") != "[").select("_file")
+        mixed = not others.isEmpty()
+        with _last_key_wins(spark):
+            el = _array_elements(spark, lines.join(others, "_file", "left_anti") if mixed else lines)
+            el = el.select("_file", F.col("pos").cast("int").alias("pos"), F.parse_json("text").alias("value"))
+            if mixed:
+                doc = (spark.read.text(path, wholetext=True)
+                       .select(F.col("_metadata.file_path").alias("_file"), F.parse_json("value").alias("_doc")).join(others, "_file", "left_semi"))
+                el = el.unionByName(_elements(doc))
+            return global_rank(el, ["_file", "pos"], "idx").select((F.col("idx") - 1).alias("idx"), "value")
+    if fmt == "json_lines":
         ranked = global_rank(lines, ["_file", "_blk", "_row"], "idx")
-        return ranked.select((F.col("idx") - 1).alias("idx"), F.parse_json("value").alias("value"))
+        with _last_key_wins(spark):
+            return ranked.select((F.col("idx") - 1).alias("idx"), F.try_parse_json("value").alias("value"))
     if fmt == "parquet":
         df = spark.read.parquet(path)
         if "idx" not in df.columns:

@@ -34,6 +34,7 @@ def test_generation(spark):
     assert out[0]["text"].startswith("Q: what is x? A:")
     again = {r["row_id"]: list(r["answer_ids"]) for r in generate(prompts, lm, tok, cfg).collect()}
     assert again[0] == list(out[0]["answer_ids"])  # seeded
+    assert [list(r["answer_ids"]) for r in generate(prompts, lm, tok, cfg, max_new=0).collect()] == [[], []]
 
 
 def test_artifacts(spark):

@@ -69,19 +69,19 @@ def test_score_next_backoff(spark, wins):
     lm = fit_ngram(wins, 3, V, LAM)
     ctx = spark.createDataFrame([(0, [5, 6]), (1, [9, 9, 7]), (2, [9, 9])], "row_id BIGINT, tokens ARRAY<INT>")
     sc = score_next(ctx, lm).collect()
-    for row in (0, 1):
+    for row in (0, 1, 2):
         assert sum(math.exp(r["logit"]) for r in sc if r["row_id"] == row) == pytest.approx(1.0)
     assert {r["ctx_order"] for r in sc if r["row_id"] == 0} == {3}
     assert {r["ctx_order"] for r in sc if r["row_id"] == 1} == {2}
-    assert not [r for r in sc if r["row_id"] == 2]  # nothing seen: no candidates
+    assert {r["ctx_order"] for r in sc if r["row_id"] == 2} == {1}  # nothing seen: the counts of all ids
 
 
-def test_empty_validation_is_infinite_and_order_one_has_no_context(spark, wins):
+def test_empty_validation_is_infinite_and_order_one_always_scores(spark, wins):
     lm = fit_ngram(wins, 3, V, LAM)
     empty = wins.filter("window_idx > 5").withColumn("batch_id", F.col("window_idx"))
     r = eval_loss(empty, lm).first()
     assert r["n_batches"] == 0 and r["val_loss"] == float("inf")
     assert eval_loss(empty, lm, empty=0.0).first()["val_loss"] == 0.0  # the base script's rule
     uni = fit_ngram(wins, 1, V, (0.1, 0.9))
-    with pytest.raises(ValueError, match="order-1"):
-        score_next(spark.createDataFrame([(0, [5])], "row_id BIGINT, tokens ARRAY<INT>"), uni)
+    sc = score_next(spark.createDataFrame([(0, [5]), (1, [])], "row_id BIGINT, tokens ARRAY<INT>"), uni).collect()
+    assert sum(math.exp(r["logit"]) for r in sc) == pytest.approx(2.0)

@@ -79,3 +79,33 @@ def test_json_arrays_across_files_keep_file_then_position_order(spark, tmp_path)
     (d / "b.json").write_text(json.dumps([{"question": "b0", "answer": "x"}]))
     got = [r["question"] for r in classify_qa(read_qa(spark, str(d))).orderBy("idx").collect()]
     assert got == ["a0", "a1", "b0"]
+
+
+def test_array_split_by_lines_equals_a_parser(spark, tmp_path):
+    recs = [{"question": f"q {i} [{{,]\" \\ é", "answer": "a, b] \n }" * (i % 4), "more": [1, [2, {"x": [i]}], "]"]} for i in range(40)]
+    recs += ["text, with ]", 5, None, [1, [2]], {}, {"question": None, "answer": 3}]
+    d = tmp_path / "arrays"
+    d.mkdir()
+    (d / "a.json").write_text(json.dumps(recs))  # one line
+    (d / "b.json").write_text(json.dumps(recs, indent=2, ensure_ascii=False), encoding="utf-8")  # an element over many lines
+    (d / "c.json").write_text("\n[\n\n]\n")
+    (d / "d.json").write_text("[" + ",\n".join(map(json.dumps, recs)) + "\n]")
+    (d / "e.json").write_text('{"k": 1, "l": [2]}')  # no array: its keys are its elements
+    got = read_qa(spark, str(d)).selectExpr("idx", "to_json(value) v").collect()
+    want = [json.dumps(json.loads(json.dumps(r))) for r in recs] * 3 + ['"k"', '"l"']
+    assert [json.loads(r["v"]) for r in sorted(got, key=lambda r: r["idx"])] == [json.loads(w) for w in want]
+    assert sorted(r["idx"] for r in got) == list(range(len(want)))
+
+
+@pytest.mark.parametrize("text", ["[{", '[{"a": "x}]', "[1] 2", "[1]]", '[{"a": }]', "[1,]", "[1}"])
+def test_malformed_arrays_fail(spark, tmp_path, text):
+    with pytest.raises(Exception):
+        read_qa(spark, _write(tmp_path, "broken.json", text)).selectExpr("to_json(value)").collect()
+
+
+def test_json_lines_malformed_blank_and_repeated_keys(spark, tmp_path):
+    text = '{"question":"a","answer":"b"}\n\n{"question":\n  \n{"question":"a","question":"c","answer":"b"}\nnot json\n'
+    rows = classify_qa(read_qa(spark, _write(tmp_path, "l.jsonl", text), fmt="json_lines")).orderBy("idx").collect()
+    assert [(r["idx"], r["error"], r["question"]) for r in rows] == [
+        (0, None, "a"), (1, "malformed", None), (2, None, "c"), (3, "malformed", None)]
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
