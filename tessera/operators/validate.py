@@ -47,14 +47,19 @@ def classify_typed(df: DataFrame) -> DataFrame:
     return df.withColumn("error", err)
 
 
+def first_bad(classified: DataFrame) -> DataFrame:
+    """The rejected record with the lowest index, or no row: a top-1, no full sort."""
+    return classified.filter(F.col("error").isNotNull()).orderBy("idx").limit(1)
+
+
 def assert_valid(classified: DataFrame) -> DataFrame:
     """Fail on the lowest-index bad record, quoting its index and reason (V2).
 
-    An empty corpus passes. The lookup is a top-1 on the rejected rows (no full
-    sort, one row to the driver). Returns the input for chaining.
+    An empty corpus passes. One row at most comes to the driver. Returns the input
+    for chaining.
     """
     cols = ["idx", "error"] + (["value"] if "value" in classified.columns else [])
-    first = classified.filter(F.col("error").isNotNull()).select(*cols).orderBy("idx").limit(1)
+    first = first_bad(classified).select(*cols)
     if "value" in cols:
         first = first.withColumn("value", F.to_json("value"))
     rows = first.collect()

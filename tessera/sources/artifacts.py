@@ -7,6 +7,7 @@ gathered on the driver. Loading checks that the artifact is there.
 from __future__ import annotations
 
 import json
+import logging
 import math
 import uuid
 
@@ -100,7 +101,17 @@ def load_model(spark: SparkSession, path: str) -> tuple[NgramModel | None, int,
         lm = NgramModel(info["order"], counts, totals, info["n_tokens"], info["vocab_size"],
                         tuple(info["lambdas"]), info["n_count_rows"], info["n_total_rows"])
         return lm, int(meta["iter"]), float(meta["best_val_loss"])
-    except Exception:  # noqa: BLE001 - any unreadable artifact means "start from scratch"
+    except Exception as e:
+        # absent, not Parquet, or not this layout; any other failure (storage out of reach) goes through
+        unreadable = any(x in str(e) for x in ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file"))
+        if not (unreadable or isinstance(e, (AnalysisException, KeyError, TypeError, ValueError))):
+            raise
+        logging.getLogger(__name__).warning("no model at %s, starting from scratch: %s", path, str(e).splitlines()[0] if str(e) else type(e).__name__)
         return None, 0, math.inf
 
 
+def model_config(spark: SparkSession, path: str) -> dict:
+    """The configuration saved with a model."""
+    return json.loads(spark.read.parquet(f"{path}/meta").first()["config"])
+
+
