@@ -36,7 +36,7 @@ from tessera.llm.common import boxed, col, cut_lineage, field, small, unboxed
 WINDOW = 100
 GRAM = 32
 HOT = 50_000
-BUCKET = 10_000       # stretches in a bucket on average
+BUCKET = 5_000        # stretches in a bucket on average
 SPAN = 1 << 20        # window starts looked at together
 _M = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(SPAN - 1)
@@ -258,7 +258,8 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
                 .select("a", "b", (F.col("first") + F.col("o") - 1).alias("s"), "id", F.substring(F.col("body"), F.col("o"), F.lit(window)).alias("w"))
                 .select("a", "b", "s", (F.col("id").cast("decimal(38,0)") * 2**40 + F.col("s")).alias("place"),
                         F.xxhash64("w").alias("w1"), F.xxhash64(F.lit("second"), "w").alias("w2")))
-        earliest = each.groupBy("w1", "w2").agg(F.min("place").alias("earliest"))
+        # written first, so that a hot window's rows can be split in the join
+        earliest = small(cut_lineage(each.groupBy("w1", "w2").agg(F.min("place").alias("earliest"))), 32)
         late = each.join(earliest, ["w1", "w2"]).filter("place > earliest")
         runs = runs.unionAll(late.select("a", "b", "s", (F.col("s") + window).alias("e")))
     # of one text: bounded by its length
@@ -278,9 +279,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     with the added names are replaced.
     """
     copies, runs = removals(docs, window, id_col, text_col, hot, bucket)
-    runs = cut_lineage(runs)
-    size = runs.agg(F.coalesce(F.sum(F.size("runs") * 24 + 40), F.lit(0))).first()[0]
-    runs = F.broadcast(runs) if size <= 32 << 20 else runs
+    runs = cut_lineage(runs)  # follows the corpus: joined as Spark sees fit, alike at every size
     own = F.coalesce(field(text_col), F.lit(""))
     rows = boxed(docs).select("row", F.coalesce(field(id_col).cast("bigint"), F.lit(2**63 - 1)).alias("id"), own.cast("binary").alias("text"),
                               F.xxhash64(own).alias("a"), F.xxhash64(F.lit("second"), own).alias("b"))
