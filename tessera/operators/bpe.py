@@ -8,24 +8,21 @@ frequent pair (ties: left symbol, then right symbol, by code point).
 Spark form of a round:
 
 * the working set holds *distinct* words, not the corpus, each as one string
-  with every symbol between two reserved marks (``OPEN s CLOSE``), so that a
-  merge is an exact, left-to-right ``replace`` of ``OPEN a CLOSE OPEN b CLOSE``
-  by ``OPEN ab CLOSE`` (``aaa`` merges as ``(aa)a``); each round nests one
-  ``replace`` per merge, and the checkpoint every few rounds resets the nesting;
+  with every symbol between two reserved marks (``OPEN s CLOSE``);
 * pair counts are an ``explode`` + ``groupBy(a, b).sum(n)`` (partial
-  aggregation first) once; afterwards each round only re-counts the words that
-  hold a merged pair (old pairs out, new pairs in) and adds that delta to the
-  pair table, so a round reads the small pair table and a ``contains`` filter
-  over the words instead of re-exploding every word; the choice is a top-k
-  (one small collect);
-* the pair table (small: distinct pairs, not pair occurrences) is checkpointed
-  with each round's delta folded in; the words are checkpointed every
-  ``checkpoint_every`` rounds, when words reduced to one symbol leave the
-  working set.
-
-``batch > 1`` takes, per round, up to ``batch`` symbol-disjoint pairs whose
-count is at least ``ratio`` times the top count (relaxed batching: far fewer
-rounds, merges close to but not always identical with ``batch=1``).
+  aggregation first) once; afterwards each round adds a delta: one pass over the
+  words applies the merges since they were last written, and words that hold a pair
+  chosen now give their old pairs (out) and new pairs (in), summed per batch before
+  the shuffle;
+* the choice is a top-k (one small collect); the pair table (distinct pairs, not
+  occurrences) is checkpointed with each round's delta folded in, the words every
+  ``checkpoint_every`` rounds, when words reduced to one symbol leave them.
+
+``batch > 1`` takes, per round, pairs in the order (count desc, left, right) while
+their count is at least ``ratio`` times the top count, passing over pairs that share
+a symbol with one already taken, up to ``batch`` of them: far fewer rounds, merges
+close to but not always identical with ``batch=1``. Disjoint pairs do not touch each
+other, so their order inside the round does not matter.
 
 Our pieces are not the pieces of any particular native trainer: text is
 split on whitespace runs only, without Unicode normalisation.
@@ -36,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,28 +73,80 @@ def pair_counts(words: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("cnt")))
 
 
-def _fold(pairs: DataFrame, deltas: list) -> DataFrame:
-    """Pair counts with the pending deltas added in."""
-    if not deltas:
-        return pairs
-    allp = pairs
-    for d in deltas:
-        allp = allp.unionByName(d)
-    return allp.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
-
-
-def _pick(top: list, batch: int, ratio: float) -> list[tuple[str, str, int]]:
-    chosen, used = [], set()
-    best = top[0]["cnt"]
-    for r in top:
-        a, b, c = r["a"], r["b"], r["cnt"]
-        if len(chosen) >= batch or c < ratio * best:
-            break
-        if chosen and (a in used or b in used):
-            continue
-        chosen.append((a, b, c))
-        used.update((a, b))
-    return chosen
+def _choose(pairs: DataFrame, batch: int, ratio: float, min_count: int) -> list[tuple[str, str, int]]:
+    """The pairs of one round by the rule above. More rows are fetched while the rule
+    has not come to its end in those at hand, so nothing in reach of it is missed."""
+    order = [F.desc("cnt"), F.col("a"), F.col("b")]
+    want = 4 * batch
+    while True:
+        top = pairs.filter(F.col("cnt") >= min_count).orderBy(*order).limit(want).collect()
+        chosen, used, ended = [], set(), len(top) < want
+        for r in top:
+            if len(chosen) == batch or r["cnt"] < ratio * top[0]["cnt"]:
+                ended = True
+                break
+            if r["a"] not in used and r["b"] not in used:
+                chosen.append((r["a"], r["b"], r["cnt"]))
+                used.update((r["a"], r["b"]))
+        if ended or len(chosen) == batch:
+            return chosen
+        want *= 4
+
+
+def _merged(syms: list[str], pairs: set[tuple[str, str]]) -> list[str]:
+    """``syms`` with the pairs merged, left to right; the same list if it holds none."""
+    if not any(p in pairs for p in zip(syms, syms[1:])):
+        return syms
+    out, i = [], 0
+    while i < len(syms):
+        if i + 1 < len(syms) and (syms[i], syms[i + 1]) in pairs:
+            out.append(syms[i] + syms[i + 1])
+            i += 2
+        else:
+            out.append(syms[i])
+            i += 1
+    return out
+
+
+def _replayed(w: str, rounds: list[set[tuple[str, str]]]) -> list[str]:
+    syms = w[1:-1].split(CLOSE + OPEN)
+    for pairs in rounds:
+        syms = _merged(syms, pairs)
+    return syms
+
+
+def _apply_rounds(words: DataFrame, rounds: list[set[tuple[str, str]]]) -> DataFrame:
+    """The words after ``rounds``; words of one symbol go."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, out = [], []
+            for i, w in enumerate(batch.column("w").to_pylist()):
+                syms = _replayed(w, rounds)
+                if len(syms) > 1:
+                    kept.append(i)
+                    out.append(OPEN + (CLOSE + OPEN).join(syms) + CLOSE)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column("n").take(pa.array(kept, pa.int64()))], ["w", "n"])
+
+    return words.mapInArrow(run, "w string, n bigint")
+
+
+def _delta(words: DataFrame, rounds: list[set[tuple[str, str]]], pairs: set[tuple[str, str]]) -> DataFrame:
+    """Change of the pair counts when ``pairs`` are merged after ``rounds``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            change: dict[tuple[str, str], int] = {}
+            for w, n in zip(batch.column("w").to_pylist(), batch.column("n").to_pylist()):
+                old = _replayed(w, rounds)
+                new = _merged(old, pairs)
+                if new is not old:
+                    for p in zip(old, old[1:]):
+                        change[p] = change.get(p, 0) - n
+                    for p in zip(new, new[1:]):
+                        change[p] = change.get(p, 0) + n
+            rows = [(a, b, c) for (a, b), c in change.items() if c and a and b]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["a", "b", "cnt"])
+
+    return words.mapInArrow(run, "a string, b string, cnt bigint")
 
 
 def train_bpe(counts: DataFrame, vocab_size: int, batch: int = 1, ratio: float = 1.0,
@@ -123,33 +173,17 @@ def train_bpe(counts: DataFrame, vocab_size: int, batch: int = 1, ratio: float =
     words = cut_lineage(counts.select(_marked(F.col("word"), kept).alias("w"), "n"))
     pairs = cut_lineage(pair_counts(words))
     merges: list[tuple[int, str, str]] = []
-    rounds = 0
+    rounds: list[set[tuple[str, str]]] = []  # since the words were last written
     while len(merges) < n_merges:
-        top = (pairs.filter(F.col("cnt") >= max(min_count, 1))
-               .orderBy(F.desc("cnt"), "a", "b").limit(max(batch * 4, batch)).collect())
-        if not top:
+        picked = _choose(pairs, min(batch, n_merges - len(merges)), ratio, max(min_count, 1))
+        if not picked:
             break
-        picked = _pick(top, min(batch, n_merges - len(merges)), ratio)
-        w = F.col("w")
-        touched = None
-        for a, b, _ in picked:
-            pat, rep = f"{OPEN}{a}{CLOSE}{OPEN}{b}{CLOSE}", f"{OPEN}{a}{b}{CLOSE}"
-            hit = F.col("w").contains(pat)
-            touched = hit if touched is None else (touched | hit)
-            w = F.replace(w, F.lit(pat), F.lit(rep))
-            merges.append((len(merges), a, b))
-        # only words holding a merged pair change: their old pairs leave the
-        # counts and their new pairs enter
-        affected = words.filter(touched)
-        before = pair_counts(affected).select("a", "b", (-F.col("cnt")).alias("cnt"))
-        after = pair_counts(affected.select(w.alias("w"), "n"))
-        # the pair table is small: fold the delta in at once, so no chain of
-        # deltas is recomputed by later rounds
-        pairs = cut_lineage(_fold(pairs, [before.unionByName(after)]).filter(F.col("cnt") != 0))
-        words = words.select(w.alias("w"), "n")
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            words = cut_lineage(words.filter(F.size(_symbols()) > 1))
+        now = {(a, b) for a, b, _ in picked}
+        merges += [(len(merges) + i, a, b) for i, (a, b, _) in enumerate(picked)]
+        pairs = cut_lineage(pairs.unionByName(_delta(words, rounds, now)).groupBy("a", "b").agg(F.sum("cnt").alias("cnt")).filter(F.col("cnt") != 0))
+        rounds.append(now)
+        if len(rounds) == checkpoint_every:
+            words, rounds = cut_lineage(_apply_rounds(words, rounds)), []
     if len(merges) < n_merges and not allow_smaller:
         raise ValueError(f"corpus supports {N_SPECIAL + n_alpha + len(merges)} pieces, "
                          f"vocab_size {vocab_size} requested")

@@ -419,8 +419,8 @@ wordids AS (
   SELECT f.word, list(coalesce(p.id, 1) ORDER BY s.k) AS ids FROM final f,
     LATERAL (SELECT unnest(f.syms) AS sym, generate_subscripts(f.syms, 1) AS k) s
     LEFT JOIN pid p ON p.piece = s.sym GROUP BY f.word)"""
-SQL["t4_train_bpe"] = f"WITH RECURSIVE {BPE_REC} SELECT merge_rank, \"left\", \"right\", piece FROM merges"
-SQL["t6_encode_bpe"] = f"""WITH RECURSIVE {BPE_REC},
+SQL["t4_train_bpe_classic"] = f"WITH RECURSIVE {BPE_REC} SELECT merge_rank, \"left\", \"right\", piece FROM merges"
+SQL["t6_encode_bpe_classic"] = f"""WITH RECURSIVE {BPE_REC},
 rec AS (
   SELECT t.idx, coalesce(flatten(list(wi.ids ORDER BY tw.pos) FILTER (WHERE tw.pos IS NOT NULL)), []) AS tokens
   FROM tt t LEFT JOIN tw ON tw.idx = t.idx

@@ -1,5 +1,6 @@
 """T4 against a plain-Python BPE (Sennrich et al. 2016), T6/T7 round trip."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -75,3 +76,50 @@ def test_encode_decode_round_trip(spark):
     assert back == {i: " ".join(t.split()) for i, t in enumerate(texts)}
     lens = {r["idx"]: len(r["tokens"]) for r in ids.collect()}
     assert lens[2] == 0 and lens[0] < len("thelowernewest") + 3
+
+
+def _batched(counts, n_merges, batch, ratio):
+    """The documented rule of batched rounds, on plain lists."""
+    words = [([WORD_MARK, *w], n) for w, n in counts]
+    merges = []
+    while len(merges) < n_merges:
+        cnt = {}
+        for s, n in words:
+            for p in zip(s, s[1:]):
+                cnt[p] = cnt.get(p, 0) + n
+        if not cnt:
+            break
+        top, picked, used = max(cnt.values()), [], set()
+        for p in sorted(cnt, key=lambda p: (-cnt[p], p)):
+            if len(picked) == min(batch, n_merges - len(merges)) or cnt[p] < ratio * top:
+                break
+            if not used & set(p):
+                picked.append(p)
+                used |= set(p)
+        for p in picked:
+            for s, _ in words:
+                i = 0
+                while i + 1 < len(s):
+                    if (s[i], s[i + 1]) == p:
+                        s[i:i + 2] = [p[0] + p[1]]
+                    i += 1
+        merges += picked
+    return merges
+
+
+def test_batched_rounds_follow_their_rule(spark):
+    rng = random.Random(8)
+    counts = list({"".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))): rng.randint(1, 30) for _ in range(120)}.items())
+    df = spark.createDataFrame(counts, "word string, n bigint")
+    for batch, ratio in ((3, 0.9), (8, 0.5)):
+        tok = train_bpe(df, 60, batch=batch, ratio=ratio, allow_smaller=True, checkpoint_every=4)
+        got = [(r["left"], r["right"]) for r in tok.merges.orderBy("merge_rank").collect()]
+        assert got == _batched(counts, len(got), batch, ratio) and len(got) > 40
+
+
+def test_the_choice_looks_past_its_first_rows(spark):
+    """Many pairs that share the top pair's symbol do not hide a free one behind them."""
+    from tessera.operators.bpe import _choose
+    rows = [("a", chr(0x4E00 + i), 100) for i in range(50)] + [("x", "y", 95)]
+    pairs = spark.createDataFrame(rows, "a string, b string, cnt bigint")
+    assert [p[:2] for p in _choose(pairs, 2, 0.9, 1)] == [("a", chr(0x4E00)), ("x", "y")]
