@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
 
-from tessera.operators.vocab import BROADCAST_ROWS, PAD
+from tessera.operators.vocab import PAD
 
 
 _TAIL = 1 << 30  # contexts that end at the last id rank above all earlier ones
@@ -40,8 +40,6 @@ class NgramModel:
     n_tokens: int
     vocab_size: int
     lambdas: tuple
-    n_count_rows: int
-    n_total_rows: int
     _conditional: DataFrame | None = None
 
     def conditional(self) -> DataFrame:
@@ -53,12 +51,11 @@ class NgramModel:
         return self._conditional
 
     def level_counts(self, k: int) -> DataFrame:
-        t = self.counts.filter(F.col("order") == k).drop("order")
-        return F.broadcast(t) if self.n_count_rows <= BROADCAST_ROWS else t
+        """Which side of a join is broadcast is left to Spark's measured sizes."""
+        return self.counts.filter(F.col("order") == k).drop("order")
 
     def level_totals(self, k: int) -> DataFrame:
-        t = self.totals.filter(F.col("order") == k).drop("order")
-        return F.broadcast(t) if self.n_total_rows <= BROADCAST_ROWS else t
+        return self.totals.filter(F.col("order") == k).drop("order")
 
 
 def _ctx(x: Column, t: Column, k: int) -> Column:
@@ -100,34 +97,33 @@ def fit_ngram(windows: DataFrame, order: int = 3, vocab_size: int | None = None,
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_types")))
     sizes = totals.agg(
         F.coalesce(F.sum(F.when(F.col("order") == 1, F.col("total"))), F.lit(0)).alias("n_tokens"),
-        F.coalesce(F.sum(F.when(F.col("order") == 1, F.col("n_types"))), F.lit(0)).alias("n_types"),
-        F.coalesce(F.sum("n_types"), F.lit(0)).alias("n_count_rows"),
-        F.count(F.lit(1)).alias("n_total_rows")).first()
+        F.coalesce(F.sum(F.when(F.col("order") == 1, F.col("n_types"))), F.lit(0)).alias("n_types")).first()
     if sizes["n_tokens"] == 0:
         raise ValueError("no training windows: the split left no real targets to count")
     v = vocab_size if vocab_size is not None else sizes["n_types"] + 4
-    return NgramModel(order, counts, totals, int(sizes["n_tokens"]), int(v), lambdas,
-                      int(sizes["n_count_rows"]), int(sizes["n_total_rows"]))
+    return NgramModel(order, counts, totals, int(sizes["n_tokens"]), int(v), lambdas)
 
 
-def token_losses(windows: DataFrame, lm: NgramModel, pad: int = PAD, key: str = "window_idx") -> DataFrame:
-    """``key, t, token, prob, loss`` for every real target (L3 rows).
-
-    Per order one join on (context, token) for the count and one on the
-    context for its total; order 1 joins on the token alone against a table of
-    at most the vocabulary size. A hot context on the target side is split by
-    AQE's skew-join handling when the tables are too large to broadcast.
-    """
-    tg = _targets(windows, pad, key)
+def _contexts(windows: DataFrame, lm: NgramModel, pad: int, *keys: str) -> DataFrame:
+    """One row per real target: ``keys, t, token`` and its context per order ``_h2``..."""
+    tg = (windows.select(*keys, "x", F.posexplode("y").alias("t", "token")).filter(F.col("token") != F.lit(pad)))
     for k in range(2, lm.order + 1):
         tg = tg.withColumn(f"_h{k}", _ctx(F.col("x"), F.col("t"), k))
-    tg = tg.drop("x")
-    uni = lm.level_counts(1).select("token", F.col("n").alias("_c1"))
-    tg = tg.join(F.broadcast(uni) if lm.vocab_size <= BROADCAST_ROWS else uni, "token", "left")
+    return tg.drop("x")
+
+
+def _with_prob(rows: DataFrame, lm: NgramModel) -> DataFrame:
+    """Add the interpolated ``prob`` to rows of ``token`` and contexts.
+
+    Per order one join on (context, token) for the count and one on the context for
+    its total; order 1 joins on the token alone. A hot context is split by AQE's
+    skew-join handling when the tables are too large to broadcast.
+    """
+    rows = rows.join(lm.level_counts(1).select("token", F.col("n").alias("_c1")), "token", "left")
     for k in range(2, lm.order + 1):
         ck = lm.level_counts(k).select(F.col("ctx").alias(f"_h{k}"), "token", F.col("n").alias(f"_c{k}"))
         tk = lm.level_totals(k).select(F.col("ctx").alias(f"_h{k}"), F.col("total").alias(f"_t{k}"))
-        tg = tg.join(ck, [f"_h{k}", "token"], "left").join(tk, [f"_h{k}"], "left")
+        rows = rows.join(ck, [f"_h{k}", "token"], "left").join(tk, [f"_h{k}"], "left")
     lam = lm.lambdas
     num = F.lit(lam[0] / lm.vocab_size) + F.lit(lam[1]) * F.coalesce(F.col("_c1"), F.lit(0)) / F.lit(float(lm.n_tokens))
     den = F.lit(lam[0] + lam[1])
@@ -135,13 +131,27 @@ def token_losses(windows: DataFrame, lm: NgramModel, pad: int = PAD, key: str =
         seen = F.col(f"_t{k}").isNotNull()
         num = num + F.when(seen, F.lit(lam[k]) * F.coalesce(F.col(f"_c{k}"), F.lit(0)) / F.col(f"_t{k}")).otherwise(0.0)
         den = den + F.when(seen, F.lit(lam[k])).otherwise(0.0)
-    p = num / den
-    return tg.select(key, "t", "token", p.alias("prob"), (-F.log(p)).alias("loss"))
+    return rows.withColumn("prob", num / den).withColumn("loss", -F.log("prob"))
+
+
+def _loss_sums(windows: DataFrame, lm: NgramModel, pad: int, *keys: str) -> DataFrame:
+    """``keys, loss_sum, n``: targets are first counted per (keys, contexts, token), a
+    partial aggregate and the only shuffle of target rows; the model is joined to the
+    distinct combinations."""
+    by = [*keys, "token", *(f"_h{k}" for k in range(2, lm.order + 1))]
+    distinct = _contexts(windows, lm, pad, *keys).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return _with_prob(distinct, lm).groupBy(*keys).agg(F.sum(F.col("n") * F.col("loss")).alias("loss_sum"), F.sum("n").alias("n"))
+
+
+def token_losses(windows: DataFrame, lm: NgramModel, pad: int = PAD, key: str = "window_idx") -> DataFrame:
+    """``key, t, token, prob, loss`` for every real target (L3 rows)."""
+    return _with_prob(_contexts(windows, lm, pad, key), lm).select(key, "t", "token", "prob", "loss")
 
 
 def token_loss(windows: DataFrame, lm: NgramModel, pad: int = PAD) -> DataFrame:
-    """One row: mean cross-entropy over real targets and their count (L3)."""
-    return token_losses(windows, lm, pad).agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).alias("n_targets"))
+    """One row: mean cross-entropy over real targets (null without any) and their count (L3)."""
+    s = _loss_sums(windows, lm, pad)
+    return s.select((F.col("loss_sum") / F.col("n")).alias("loss"), F.coalesce("n", F.lit(0)).alias("n_targets"))
 
 
 def eval_loss(windows: DataFrame, lm: NgramModel, pad: int = PAD, batch_col: str = "batch_id",
@@ -150,9 +160,7 @@ def eval_loss(windows: DataFrame, lm: NgramModel, pad: int = PAD, batch_col: str
     per-batch mean losses (L4). ``windows`` carry ``batch_col`` (D7). With no
     batches the loss is ``empty`` (+inf, as in the improved script; pass 0.0
     for the base script's rule)."""
-    per_window = windows.select("window_idx", batch_col)
-    tl = token_losses(windows.select("window_idx", "x", "y"), lm, pad).join(per_window, "window_idx")
-    batches = tl.groupBy(batch_col).agg(F.avg("loss").alias("batch_loss"))
+    batches = _loss_sums(windows, lm, pad, batch_col).select((F.col("loss_sum") / F.col("n")).alias("batch_loss"))
     return batches.agg(F.coalesce(F.avg("batch_loss"), F.lit(float(empty))).alias("val_loss"),
                        F.count(F.lit(1)).alias("n_batches"))
 

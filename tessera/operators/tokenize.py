@@ -1,13 +1,18 @@
 """Encode text to ids and decode ids to text.
 
-Encoding splits each record into whitespace words, looks each *distinct* word
-up once (BPE mode segments distinct words only), joins the ids back on the
-word and re-assembles per record in word order. Decoding does the reverse
-with a join on id. Neither adds bos/eos; ``ensure_bos`` does (T9).
+A vocabulary within the byte bound is sent to every task once, and each record is
+encoded or decoded where it is, in Arrow batches: nothing of the corpus is shuffled.
+In BPE mode a worker segments a word once and keeps the result (in a bounded cache).
+A larger vocabulary is joined instead: records become one row per word (or id), the
+vocabulary is joined on it, and the pieces meet again per record. Both give the same
+rows. Neither adds bos/eos; ``ensure_bos`` does (T9).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,19 +20,53 @@ from tessera.functions.arrays import ensure_bos as _ensure_bos
 from tessera.functions.text import split_words
 from tessera.operators.vocab import BOS, N_SPECIAL, UNK, WORD_MARK, Tokenizer
 
+UNK_SHOWN = "⁇"
+CACHED_WORDS = 200_000  # a worker's cache of segmented words
+
+
+def _lookups(tok: Tokenizer) -> tuple[dict, dict]:
+    """(piece -> first id, merge -> rank): at most the byte bound, for the tasks."""
+    ids: dict[str, int] = {}
+    for r in tok.vocab.filter(F.col("id") >= N_SPECIAL).orderBy("id").select("id", "piece").collect():
+        ids.setdefault(r["piece"], r["id"])
+    ranks = {} if tok.merges is None else {(r["left"], r["right"]): r["merge_rank"] for r in tok.merges.collect()}
+    return ids, ranks
+
+
+def _encode_in_place(df: DataFrame, tok: Tokenizer, text_col: str, key: str, out: str) -> DataFrame:
+    from tessera.operators.bpe import segment
+    # the words by the same expression as the counts, so both sides agree on blanks
+    src = df.select(F.col(key).alias("k"), F.coalesce(split_words(text_col), F.array().cast("array<string>")).alias("w"))
+    tables = df.sparkSession.sparkContext.broadcast(_lookups(tok))
+    bpe = tok.mode == "bpe"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, ranks = tables.value
+        known: dict[str, list[int]] = {}
+
+        def pieces(word: str) -> list[int]:
+            got = known.get(word)
+            if got is None:
+                if len(known) >= CACHED_WORDS:
+                    known.clear()
+                got = known[word] = segment(word, ranks, ids)
+            return got
+
+        for batch in batches:
+            rows = batch.column("w").to_pylist()
+            tokens = [[i for w in words for i in pieces(w)] for words in rows] if bpe else [[ids.get(w, UNK) for w in words] for words in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(tokens, pa.list_(pa.int32()))], ["k", "t"])
+
+    done = src.mapInArrow(run, f"k {src.schema['k'].dataType.simpleString()}, t array<int>")
+    return done.select(F.col("k").alias(key), F.col("t").alias(out))
+
 
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", key: str = "idx",
            out: str = "tokens") -> DataFrame:
-    """``key, out ARRAY<INT>``: the ids of ``text_col`` for each record.
-
-    Steps: explode words with positions (narrow). Word mode joins the
-    vocabulary on the word, broadcast when its size allows. BPE mode segments
-    each *distinct* word once (a partial aggregate shrinks the hottest word to
-    one row per partition) and joins the pieces back on the word; that join
-    shuffles and AQE splits a hot word's partition. Ids are collected per
-    record, sorted by position (a partial aggregate: rows of one record meet
-    map-side). A record with no words gets an empty array.
-    """
+    """``key, out ARRAY<INT>``: the ids of ``text_col`` for each record (T6). A
+    record with no words (or a null text) gets an empty array. ``key`` is unique."""
+    if tok.fits:
+        return _encode_in_place(df, tok, text_col, key, out)
     words = df.select(key, F.posexplode_outer(split_words(text_col)).alias("pos", "word"))
     if tok.mode == "word":
         lk = tok.lookup().withColumnRenamed("piece", "word")
@@ -42,6 +81,26 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", key: str = "id
     return per_rec.select(key, F.flatten(F.transform("_w", lambda s: s["ids"])).alias(out))
 
 
+def _decode_in_place(df: DataFrame, tok: Tokenizer, tokens_col: str, key: str, out: str) -> DataFrame:
+    src = df.select(F.col(key).alias("k"), F.coalesce(F.col(tokens_col).cast("array<int>"), F.array().cast("array<int>")).alias("t"))
+    rows = tok.vocab.filter(F.col("id") >= N_SPECIAL).select("id", "piece").collect()
+    names = df.sparkSession.sparkContext.broadcast({r["id"]: r["piece"] for r in rows})
+    bpe = tok.mode == "bpe"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = names.value
+        unk = WORD_MARK + UNK_SHOWN if bpe else UNK_SHOWN
+        for batch in batches:
+            text = []
+            for ids in batch.column("t").to_pylist():
+                shown = [unk if i == UNK else piece.get(i, UNK_SHOWN) for i in ids if i is not None and (i >= N_SPECIAL or i == UNK)]
+                text.append("".join(shown).replace(WORD_MARK, " ").lstrip(" ") if bpe else " ".join(shown))
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(text, pa.string())], ["k", "s"])
+
+    done = src.mapInArrow(run, f"k {src.schema['k'].dataType.simpleString()}, s string")
+    return done.select(F.col("k").alias(key), F.col("s").alias(out))
+
+
 def decode(df: DataFrame, tok: Tokenizer, tokens_col: str = "tokens", key: str = "idx",
            out: str = "text") -> DataFrame:
     """``key, out STRING``: text for ``tokens_col`` of each row.
@@ -50,6 +109,8 @@ def decode(df: DataFrame, tok: Tokenizer, tokens_col: str = "tokens", key: str =
     joins words with single spaces; BPE mode concatenates pieces and turns the
     word marker into a space.
     """
+    if tok.fits:
+        return _decode_in_place(df, tok, tokens_col, key, out)
     ex = df.select(key, F.posexplode_outer(tokens_col).alias("pos", "id"))
     pieces = tok.pieces()
     j = ex.join(pieces, "id", "left")

@@ -22,9 +22,9 @@ PAD, UNK, BOS, EOS = 0, 1, 2, 3
 N_SPECIAL = 4
 # Fixed value: the word-start marker of byte-pair pieces (shown as a space on decode).
 WORD_MARK = "▁"
-# Rows a lookup table may have and still be broadcast. Above it the join
-# shuffles, and AQE's skew handling splits hot keys on the large side.
-BROADCAST_ROWS = 2_000_000
+# Bytes a lookup table may have (measured when it is built) and still be sent to
+# every task. Above it the join shuffles, and AQE splits hot keys on the large side.
+BROADCAST_BYTES = 64 << 20
 
 VOCAB_SCHEMA = "id INT, piece STRING, kind STRING, merge_rank INT"
 
@@ -88,26 +88,36 @@ def word_vocab(counts: DataFrame, max_size: int | None = None) -> DataFrame:
 class Tokenizer:
     """A vocabulary (and, in BPE mode, merges) held as DataFrames.
 
-    ``size`` is the row count of ``vocab``; it bounds every broadcast of it.
+    ``size`` is the row count of ``vocab``, ``bytes`` its measured size (merges
+    included), which decides whether it may be sent to every task.
     """
     vocab: DataFrame
     mode: str  # "word" or "bpe"
     size: int
     merges: DataFrame | None = None
+    bytes: int = 1 << 62
+
+    @property
+    def fits(self) -> bool:
+        return self.bytes <= BROADCAST_BYTES
 
     @classmethod
     def of(cls, vocab: DataFrame, mode: str, merges: DataFrame | None = None) -> "Tokenizer":
         vocab = cut_lineage(vocab)
-        return cls(vocab, mode, vocab.count(), cut_lineage(merges) if merges is not None else None)
+        size, weight = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("piece") + 32), F.lit(0))).first()
+        if merges is not None:
+            merges = cut_lineage(merges)
+            weight += merges.agg(F.coalesce(F.sum(F.octet_length("left") + F.octet_length("right") + 48), F.lit(0))).first()[0]
+        return cls(vocab, mode, size, merges, int(weight))
 
     def lookup(self) -> DataFrame:
         """``piece -> id`` for non-special pieces, broadcast when its size allows."""
         t = self.vocab.filter(F.col("id") >= N_SPECIAL).select("piece", "id")
-        return F.broadcast(t) if self.size <= BROADCAST_ROWS else t
+        return F.broadcast(t) if self.fits else t
 
     def pieces(self) -> DataFrame:
         t = self.vocab.select("id", "piece", "kind")
-        return F.broadcast(t) if self.size <= BROADCAST_ROWS else t
+        return F.broadcast(t) if self.fits else t
 
 
 def vocab_size(tok: Tokenizer) -> int:
@@ -119,7 +129,7 @@ def piece_to_id(df: DataFrame, tok: Tokenizer, piece_col: str = "piece", out: st
     """Look up ids of pieces, special ones included; unknown pieces get unk.
     A piece listed twice has its first id, so a row never comes back twice."""
     lk = tok.vocab.groupBy(F.col("piece").alias("_p")).agg(F.min("id").alias("_id"))
-    lk = F.broadcast(lk) if tok.size <= BROADCAST_ROWS else lk
+    lk = F.broadcast(lk) if tok.fits else lk
     return (df.join(lk, df[piece_col] == lk["_p"], "left")
             .withColumn(out, F.coalesce(F.col("_id"), F.lit(UNK)))
             .drop("_p", "_id"))

@@ -81,7 +81,7 @@ def save_model(lm: NgramModel, path: str, meta: dict | None = None) -> None:
     lm.counts.write.mode("overwrite").parquet(f"{path}/counts")
     lm.totals.write.mode("overwrite").parquet(f"{path}/totals")
     info = {"order": lm.order, "n_tokens": lm.n_tokens, "vocab_size": lm.vocab_size,
-            "lambdas": list(lm.lambdas), "n_count_rows": lm.n_count_rows, "n_total_rows": lm.n_total_rows}
+            "lambdas": list(lm.lambdas)}
     m = dict(meta or {})
     row = (json.dumps(info), json.dumps(m.get("config", {})), int(m.get("iter", 0)),
            float(m.get("best_val_loss", math.inf)))
@@ -99,7 +99,7 @@ def load_model(spark: SparkSession, path: str) -> tuple[NgramModel | None, int,
         counts = spark.read.parquet(f"{path}/counts")
         totals = spark.read.parquet(f"{path}/totals")
         lm = NgramModel(info["order"], counts, totals, info["n_tokens"], info["vocab_size"],
-                        tuple(info["lambdas"]), info["n_count_rows"], info["n_total_rows"])
+                        tuple(info["lambdas"]))
         return lm, int(meta["iter"]), float(meta["best_val_loss"])
     except Exception as e:
         # absent, not Parquet, or not this layout; any other failure (storage out of reach) goes through
