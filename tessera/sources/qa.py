@@ -215,6 +215,8 @@ def pairs_from_turns(turns: DataFrame) -> DataFrame:
     u = turns.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     a = turns.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
-    pairs = u.join(a, ["conv_id", "turn"], "inner")
-    ranked = global_rank(pairs, ["conv_id", "turn"], "idx")
-    return ranked.select((F.col("idx") - 1).alias("idx"), "conv_id", "turn", "question", "answer")
+    # only the keys are ranked and written; the texts join their number afterwards
+    keys = u.select("conv_id", "turn").join(a.select("conv_id", "turn"), ["conv_id", "turn"])
+    ranked = global_rank(keys, ["conv_id", "turn"], "idx")
+    pairs = ranked.join(u, ["conv_id", "turn"]).join(a, ["conv_id", "turn"])
+    return pairs.select((F.col("idx") - 1).alias("idx"), "conv_id", "turn", "question", "answer")

@@ -109,3 +109,12 @@ def test_json_lines_malformed_blank_and_repeated_keys(spark, tmp_path):
     assert [(r["idx"], r["error"], r["question"]) for r in rows] == [
         (0, None, "a"), (1, "malformed", None), (2, None, "c"), (3, "malformed", None)]
     assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == "false"
+
+
+def test_no_text_is_written_to_rank_pairs(spark, monkeypatch):
+    from tessera.operators import ordering
+    seen = []
+    monkeypatch.setattr(ordering, "cut_lineage", lambda df: seen.append(df.columns) or df.checkpoint())
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a")], "conv_id bigint, turn bigint, role string, text string")
+    assert [tuple(r) for r in pairs_from_turns(turns).collect()] == [(0, 1, 0, "q", "a")]
+    assert seen and not any(c in ("question", "answer", "text") for cols in seen for c in cols)
