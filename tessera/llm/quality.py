@@ -10,7 +10,7 @@ log odds), looked up for whole batches of text at once in the tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -108,10 +108,10 @@ def bag(text: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features and their shares of a whole text."""
     found = [b for p in chunks(text) for _, b in hashed([p], bits)[0]]
     ids, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-    return ids.astype(np.int64), (n / max(1, n.sum())).astype(np.float32)
+    return ids.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)
 
 
-def train(texts: list[bytes], labels: list[int], s: Settings = Settings()) -> Model:
+def train(texts: Iterable[bytes], labels: list[int], s: Settings = Settings()) -> Model:
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.dim, 1 / s.dim, (1 << s.bits, s.dim)).astype(np.float32)
     output, bias = np.zeros((2, s.dim), np.float32), np.zeros(2, np.float32)
@@ -184,7 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
             .filter(F.octet_length("text") <= s.max_bytes)
             .join(F.broadcast(chosen), "id")  # at most max_docs rows
             .groupBy("id").agg(F.min("y").alias("y"), F.min("text").alias("text")).orderBy("id").collect())
-    return train([r["text"].encode() for r in rows], [r["y"] for r in rows], s)
+    labels_of = [r["y"] for r in rows]
+    return train((rows.pop(0)["text"].encode() for _ in range(len(rows))), labels_of, s)  # texts go as their features come
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
