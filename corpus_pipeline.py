@@ -5,8 +5,8 @@ returns a DataFrame that is written as Parquet and read again as the next stage'
 ``docs``. All stages but the last return the columns of ``documents``:
 
 1. ``quality``: documents that the quality classifier rejects go.
-2. ``line_dedup``: lines that stand on many sites are taken out of the texts
-   (``n_chars`` follows); no document goes.
+2. ``line_dedup``: lines that stand on many sites, or on five if they have three
+   words, are taken out of the texts (``n_chars`` follows); no document goes.
 3. ``simhash``: one document of each group of near copies stays.
 4. ``decontaminate``: documents that hold a benchmark window go.
 5. ``pack``: what is left as token pieces in sequences of at most 4096 tokens.
@@ -39,7 +39,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.remove_boilerplate(docs)
+    out = line_dedup.remove_boilerplate(docs, few_sites=line_dedup.FEW_SITES)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[col(c) for c in docs.columns])

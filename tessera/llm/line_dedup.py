@@ -1,7 +1,8 @@
 """Line de-duplication by distinct-site spread.
 
 A line is boilerplate if it stands in documents of at least ``min_sites``
-different sites. Per line hash a HyperLogLog sketch of the sites is built where
+different sites; with ``few_sites`` a line of at least ``FEW_WORDS`` words needs
+only that many. Per line hash a HyperLogLog sketch of the sites is built where
 the lines are and merged by the aggregation, so a line of any frequency moves one
 sketch a task. Lines whose estimate is near the threshold (within the sketch's
 error, widely taken) get an exact count of distinct sites; the rest are decided by
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import boxed, col, cut_lineage, field, small, unboxed
 
 MIN_SITES = 10
+FEW_SITES = 5  # for lines of FEW_WORDS words and more: above the two to four sites that copied documents reach
+FEW_WORDS = 3
 LG_K = 12
 ERRORS = 5  # half width of the near-threshold band in standard errors, plus two sites
 
@@ -30,29 +33,43 @@ def _hashes(line: Column) -> tuple[Column, Column]:
     return F.xxhash64(bare), F.xxhash64(F.lit("second"), bare)
 
 
-def _lines(docs: DataFrame, text_col: str, *keep: Column) -> DataFrame:
+def _bounds(sites: int, lg_k: int) -> tuple[int, int]:
+    """Estimates below the first are under ``sites``, above the second over it; between them only a count decides."""
+    band = ERRORS * 1.04 / math.sqrt(1 << lg_k)
+    return math.floor(sites * (1 - band)) - 2, math.ceil(sites * (1 + band)) + 2
+
+
+def _lines(docs: DataFrame, text_col: str, *keep: Column, worded: bool = False) -> DataFrame:
     each = docs.select(*keep, F.explode(F.split(col(text_col), "\n")).alias("line"))
     each = each.filter(F.btrim("line", F.lit(" \t\r")) != "")
+    if worded:
+        each = each.withColumn("long", F.btrim("line", F.lit(" \t\r")).rlike(rf"^(?:\S+\s+){{{FEW_WORDS - 1}}}\S"))
     h, g = _hashes(F.col("line"))
     return each.select(*[c for c in each.columns if c != "line"], h.alias("h"), g.alias("g"))
 
 
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site_col: str = "source", text_col: str = "text",
-                lg_k: int = LG_K) -> DataFrame:
-    """Hashes ``(h, g)`` of the lines seen on at least ``min_sites`` sites (a null site is none)."""
-    lines = _lines(docs, text_col, col(site_col).cast("string").alias("site")).filter(F.col("site").isNotNull())
-    spread = lines.groupBy("h", "g").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"))
-    band = ERRORS * 1.04 / math.sqrt(1 << lg_k)
-    low, high = math.floor(min_sites * (1 - band)) - 2, math.ceil(min_sites * (1 + band)) + 2
-    spread = cut_lineage(spread.filter(F.col("sites") >= low))
-    near = small(cut_lineage(spread.filter(F.col("sites") <= high).select("h", "g")), 16)
+                lg_k: int = LG_K, few_sites: int | None = None) -> DataFrame:
+    """Hashes ``(h, g)`` of the lines seen on at least ``min_sites`` sites (a null site is none),
+    or on ``few_sites`` if they have ``FEW_WORDS`` words or more."""
+    worded = few_sites is not None
+    lines = _lines(docs, text_col, col(site_col).cast("string").alias("site"), worded=worded).filter(F.col("site").isNotNull())
+    keys = ["h", "g", "long"] if worded else ["h", "g"]
+    spread = lines.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"))
+
+    def by_length(few, many):
+        return F.when(F.col("long"), few).otherwise(many) if worded else F.lit(many)
+
+    (low, high), (few_low, few_high) = _bounds(min_sites, lg_k), _bounds(few_sites if worded else min_sites, lg_k)
+    spread = cut_lineage(spread.filter(F.col("sites") >= by_length(few_low, low)))
+    near = small(cut_lineage(spread.filter(F.col("sites") <= by_length(few_high, high)).select("h", "g")), 16)
     exact = (lines.join(near, ["h", "g"], "left_semi").distinct()
-             .groupBy("h", "g").agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= min_sites))
-    return spread.filter(F.col("sites") > high).select("h", "g").unionAll(exact.select("h", "g"))
+             .groupBy(*keys).agg(F.count(F.lit(1)).alias("sites")).filter(F.col("sites") >= by_length(few_sites, min_sites)))
+    return spread.filter(F.col("sites") > by_length(few_high, high)).select("h", "g").unionAll(exact.select("h", "g"))
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site_col: str = "source", text_col: str = "text",
-                       lg_k: int = LG_K) -> DataFrame:
+                       lg_k: int = LG_K, few_sites: int | None = None) -> DataFrame:
     """The documents with every boilerplate line taken out of ``text_col``; adds
     ``n_lines`` (of the input text) and ``n_removed``.
 
@@ -62,7 +79,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site_col: st
     read, so they may be null or repeated. No rows give no rows; input columns
     called ``n_lines`` or ``n_removed`` are replaced.
     """
-    common = small(cut_lineage(boilerplate(docs, min_sites, site_col, text_col, lg_k)), 16)
+    common = small(cut_lineage(boilerplate(docs, min_sites, site_col, text_col, lg_k, few_sites)), 16)
     text = F.coalesce(col(text_col), F.lit(""))
     keys = [F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b")]
     hits = (_lines(docs, text_col, *keys).join(common, ["h", "g"], "left_semi").groupBy("a", "b")

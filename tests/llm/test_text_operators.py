@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from tessera.llm import decontaminate, line_dedup, queries, secret_scan, token_counts
 from tests.conftest import SF_SMALL
 
@@ -44,6 +45,36 @@ def test_line_spread_against_brute_force(spark):
         assert [got[i] for i, _, _ in rows] == lines_kept([r[1:] for r in rows], least)
 
 
+def test_long_lines_need_few_sites_where_one_source_holds_a_third(spark):
+    rng = np.random.default_rng(11)
+    site = lambda: "big" if rng.random() < 1 / 3 else f"s{rng.integers(0, 19)}"
+    rows = []
+    for k in range(40):
+        rows += [(f"own {len(rows)}\nthis notice {k} stands everywhere", site()) for _ in range(19)]  # as many documents as the rarest of the tables' long repeated lines
+    rows += [(f"Of.\nthree word line\tof {i}", f"s{i}") for i in range(6)]  # a short line on six sites stays
+    rows += [("The.", f"s{i}") for i in range(12)]  # and goes on twelve
+    rows += [("a copied line of four sites", f"s{i}") for i in range(4)] + [("a line of five sites", f"s{i}") for i in range(5)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string, source string")
+    sites = {}
+    for text, s in rows:
+        for line in text.split("\n"):
+            sites.setdefault(line, set()).add(s)
+    spread = [len(v) for x, v in sites.items() if "notice" in x]
+    assert min(spread) >= 5 and sum(n < line_dedup.MIN_SITES for n in spread) > 5
+    gone = {x for x, v in sites.items() if len(v) >= (5 if len(x.split()) >= 3 else 10)}
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_boilerplate(spark, df, None).collect()}
+    assert [got[i] for i in range(len(rows))] == ["\n".join(x for x in t.split("\n") if x not in gone) for t, _ in rows]
+    assert gone >= {"The.", "a line of five sites"} and not gone & {"Of.", "a copied line of four sites"}
+
+
+def test_license_lines_go_at_every_corpus_size(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    notices = ("Released under the MIT License.", "All rights reserved.", "This work is licensed under the GNU General Public License, version 3.")
+    bare = F.transform(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r")))
+    held = lambda df: df.filter(F.arrays_overlap(bare, F.array(*map(F.lit, notices)))).count()
+    assert held(docs) > 20 and held(corpus_pipeline.drop_boilerplate(spark, docs, None)) == 0
+
+
 def test_line_edge_cases(docs, empty):
     out = line_dedup.remove_boilerplate(docs, 2)
     rows = sorted((r.asDict() for r in out.collect()), key=str)
