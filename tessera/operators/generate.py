@@ -8,7 +8,8 @@ repetition penalty (G2) -> softmax (G3) -> nucleus (G4, G5) -> seeded sample
 (G8). The active set is checkpointed every step, so lineage stays one step
 deep and a lost executor costs one step.
 
-Every context has a distribution (L2 falls back to the counts of all ids).
+Candidates are all ids under the interpolated model that L3 and L4 report the loss
+of; ``scores='backoff'`` takes the continuations of one context only (``score_next``).
 ``max_new`` 0 generates nothing. Output text is the decoded prompt ids plus new ids, so the prompt is
 echoed (G10).
 """
@@ -22,20 +23,25 @@ from tessera.config import Config
 from tessera.functions.arrays import ensure_bos, truncate_context
 from tessera.functions.text import format_prompt
 from tessera.operators import decoding as G
-from tessera.operators.ngram import NgramModel, score_next
+from tessera.operators.ngram import NgramModel, score_interpolated, score_next
 from tessera.operators.tokenize import decode, encode
 from tessera.operators.vocab import Tokenizer
 from tessera.session import cut_lineage
 
 
 def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(), key: str = "row_id",
-                 tokens: str = "tokens", max_new: int | None = None, seen_mode: str = "all") -> DataFrame:
+                 tokens: str = "tokens", max_new: int | None = None, seen_mode: str = "all",
+                 scores: str = "interpolated") -> DataFrame:
     """``key, prompt, gen``: new ids per prompt row (G9 on ids).
 
     ``seen_mode`` picks the ids a repetition penalty applies to: ``all``
     (prompt and generated ids, the base script) or ``generated`` (bos and
-    generated ids, the improved script).
+    generated ids, the improved script). ``scores`` picks the next-token
+    distribution: ``interpolated`` (all ids, L3's probabilities) or ``backoff``.
     """
+    if scores not in ("interpolated", "backoff"):
+        raise ValueError("scores is 'interpolated' or 'backoff'")
+    score = score_interpolated if scores == "interpolated" else score_next
     if seen_mode not in ("all", "generated"):
         raise ValueError("seen_mode is 'all' or 'generated'")
     cap = cfg.max_generate_length if max_new is None else max_new
@@ -47,7 +53,7 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
         if n_active == 0:
             break
         ctx = active.select(key, truncate_context(F.concat("prompt", "gen"), cfg.block_size).alias("ctx"))
-        cand = score_next(ctx, lm, key, "ctx")
+        cand = score(ctx, lm, key, "ctx")
         cand = G.temperature(cand, cfg.temperature)
         seen_ids = (F.concat("prompt", "gen") if seen_mode == "all"
                     else F.concat(F.array(F.lit(cfg.bos_id)), "gen"))
@@ -70,7 +76,8 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
 
 
 def generate(prompts: DataFrame, lm: NgramModel, tok: Tokenizer, cfg: Config = Config(), key: str = "row_id",
-             question: str = "question", max_new: int | None = None, seen_mode: str = "all") -> DataFrame:
+             question: str = "question", max_new: int | None = None, seen_mode: str = "all",
+             scores: str = "interpolated") -> DataFrame:
     """``key, answer_ids, text`` for a table of questions.
 
     Prompts are ``Q: {question} A:`` (P4), encoded (T6) with bos prepended
@@ -78,7 +85,7 @@ def generate(prompts: DataFrame, lm: NgramModel, tok: Tokenizer, cfg: Config = C
     """
     p = prompts.select(key, format_prompt(question).alias("text"))
     ids = encode(p, tok, "text", key)
-    res = generate_ids(ids, lm, cfg, key, "tokens", max_new, seen_mode)
+    res = generate_ids(ids, lm, cfg, key, "tokens", max_new, seen_mode, scores)
     full = res.select(key, "gen", F.concat("prompt", "gen").alias("all_ids"))
     text = decode(full, tok, "all_ids", key)
     return full.join(text, key).select(key, F.col("gen").alias("answer_ids"), "text")

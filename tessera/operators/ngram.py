@@ -10,7 +10,9 @@ empty context.
   of the vocabulary has positive probability:
   ``p(w|h) = (l0/V + sum_k lk * c_k(h_k, w) / T_k(h_k)) / (l0 + sum_k lk)``
   where both sums run over the orders whose context ``h_k`` was seen.
-* Next-token distributions (L2) use longest-match backoff: the longest seen
+* ``score_interpolated`` gives that model's whole next-token distribution; generation
+  (G9) samples from it unless told otherwise.
+* ``score_next`` (L2) uses longest-match backoff: the longest seen
   context ending at the last id; if the last id was never seen as a context,
   the most recent earlier id that was; if none was, all ids by their counts. The candidates are exactly that
   context's continuations, ``p = c(h, w) / T(h)``, found by an equi-join on
@@ -190,6 +192,20 @@ def score_next(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens:
     return best.join(lm.conditional(), ["order", "ctx"]).select(key, "token", "logit", F.col("order").alias("ctx_order"))
 
 
+def score_interpolated(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens: str = "tokens") -> DataFrame:
+    """``key, token, logit`` of every id of the vocabulary for every row (L2, the whole distribution).
+
+    ``logit`` is the ln of the probability that L3 gives the id as the row's next
+    target. An id without any, possible only if the uniform floor's weight is 0, has
+    no row. The output is rows times vocabulary, as the reference's scores are.
+    """
+    n = F.size(tokens)
+    tails = [F.when(n >= k - 1, F.array_join(F.slice(tokens, -(k - 1), k - 1).cast("array<string>"), " ")).alias(f"_h{k}")
+             for k in range(2, lm.order + 1)]
+    rows = contexts.select(key, *tails, F.explode(F.sequence(F.lit(0), F.lit(lm.vocab_size - 1))).alias("token"))
+    return _with_prob(rows, lm).filter(F.col("prob") > 0).select(key, "token", (-F.col("loss")).alias("logit"))
+
+
 def unigram(lm: NgramModel) -> DataFrame:
     """The order-1 distribution ``token, logit`` (shared by every context)."""
     return lm.counts.filter(F.col("order") == 1).select(

@@ -386,6 +386,40 @@ pick AS (
 SELECT b.row_id, coalesce(p.next_token, 3) AS next_token FROM bos b LEFT JOIN pick p USING (row_id)"""
 
 
+# ---- the whole next-token distribution: every id, interpolated as in sc ----------------------------
+
+def _whole(src: str) -> str:
+    return f"""hs AS (SELECT row_id, CASE WHEN len(c) >= 1 THEN c[-1]::VARCHAR END AS h2,
+              CASE WHEN len(c) >= 2 THEN array_to_string(c[-2:], ' ') END AS h3 FROM {src}),
+every AS (SELECT unnest(range(0, v))::INTEGER AS token FROM vv),
+whole AS (
+  SELECT hs.row_id, every.token,
+    (0.01e0 / vv.v + 0.19e0 * coalesce(c1.n, 0) / nn.n
+      + CASE WHEN t2.total IS NOT NULL THEN 0.3e0 * coalesce(c2.n, 0) / t2.total ELSE 0 END
+      + CASE WHEN t3.total IS NOT NULL THEN 0.5e0 * coalesce(c3.n, 0) / t3.total ELSE 0 END)
+    / (0.2e0 + CASE WHEN t2.total IS NOT NULL THEN 0.3e0 ELSE 0 END
+             + CASE WHEN t3.total IS NOT NULL THEN 0.5e0 ELSE 0 END) AS p
+  FROM hs CROSS JOIN every CROSS JOIN nn CROSS JOIN vv
+  LEFT JOIN counts c1 ON c1.ord = 1 AND c1.token = every.token
+  LEFT JOIN counts c2 ON c2.ord = 2 AND c2.ctx = hs.h2 AND c2.token = every.token
+  LEFT JOIN tot t2 ON t2.ord = 2 AND t2.ctx = hs.h2
+  LEFT JOIN counts c3 ON c3.ord = 3 AND c3.ctx = hs.h3 AND c3.token = every.token
+  LEFT JOIN tot t3 ON t3.ord = 3 AND t3.ctx = hs.h3)"""
+
+
+SQL["l2_score_interpolated"] = f"""WITH {NGRAM},
+{PROMPT_PART},
+asked AS (SELECT row_id, tokens AS c FROM bos UNION ALL SELECT -1, [2, 1, 1]),
+{_whole("asked")}
+SELECT row_id, token, round(ln(p), 6) AS logit FROM whole"""
+SQL["g9_generate_step_interpolated"] = f"""WITH {NGRAM},
+{PROMPT_PART},
+ctx AS (SELECT row_id, CASE WHEN len(tokens) > {BLOCK} THEN tokens[-{BLOCK}:] ELSE tokens END AS c FROM bos),
+{_whole("ctx")},
+cand AS (SELECT row_id, token, ln(p) / 1.0e0 AS logit FROM whole),
+seen AS (""" + SQL["g9_generate_step"].split("\nseen AS (", 1)[1]
+
+
 # ---- byte-pair training and encoding by recursive SQL ----------------------------------------------
 
 BPE_SIZE = 200

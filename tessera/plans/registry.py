@@ -390,13 +390,24 @@ def l4_eval(spark, d):
     return L.eval_loss(val, lm).select(_r6("val_loss"), "n_batches")
 
 
-@query("l2_score_next")
-def l2_score(spark, d):
-    _, _, lm = _lm_parts(spark, d)
+def _asked(spark, d):
     ctx = ensure_bos(_prompt_ids(spark, d)).select("row_id", "tokens")
     # and one prompt of which no id was ever seen
     unseen = spark.range(1).select(F.lit(-1).cast("bigint").alias("row_id"), F.array(F.lit(CFG.bos_id), F.lit(VO.UNK), F.lit(VO.UNK)).alias("tokens"))
-    return L.score_next(ctx.unionByName(unseen), lm).select("row_id", "token", _r6("logit"), "ctx_order")
+    return ctx.unionByName(unseen)
+
+
+@query("l2_score_next")
+def l2_score(spark, d):
+    _, _, lm = _lm_parts(spark, d)
+    return L.score_next(_asked(spark, d), lm).select("row_id", "token", _r6("logit"), "ctx_order")
+
+
+@query("l2_score_interpolated")
+def l2_interpolated(spark, d):
+    """The whole vocabulary for every prompt, with L3's probabilities."""
+    _, _, lm = _lm_parts(spark, d)
+    return L.score_interpolated(_asked(spark, d), lm).select("row_id", "token", _r6("logit"))
 
 
 # ---- byte-pair tokenizer ------------------------------------------------------------------
@@ -467,7 +478,7 @@ def t7_decode_bpe(spark, d):
 @query("g9_generate")
 def g9_generate(spark, d):
     tok, _, lm = _lm_parts(spark, d)
-    out = generate(inputs.prompts(spark, d), lm, tok, CFG)  # up to CFG.max_generate_length new ids
+    out = generate(inputs.prompts(spark, d), lm, tok, CFG, scores="backoff")  # as its SQL; up to CFG.max_generate_length new ids
     return out.select("row_id", ints_text("answer_ids").alias("answer_ids"), "text")
 
 
@@ -607,13 +618,23 @@ def v2_assert(spark, d):
     return V.first_bad(classified).select("idx", "error", F.lit(said).cast("string").alias("message"))
 
 
-@query("g9_generate_step")
-def g9_step(spark, d):
-    """One generation step for every benchmark prompt: the composition
-    L2 -> G1 -> G2 -> G3 -> G4/G5 -> G6 that each step of G9 runs."""
+def _one_step(spark, d, scores):
     from tessera.operators.generate import generate_ids
     tok, _, lm = _lm_parts(spark, d)
     p = inputs.prompts(spark, d).select("row_id", format_prompt("question").alias("text"))
     ids = encode(p, tok, "text", "row_id")
-    out = generate_ids(ids, lm, CFG, "row_id", "tokens", max_new=1)
+    out = generate_ids(ids, lm, CFG, "row_id", "tokens", max_new=1, scores=scores)
     return out.select("row_id", F.element_at("gen", 1).alias("next_token"))
+
+
+@query("g9_generate_step")
+def g9_step(spark, d):
+    """One generation step for every benchmark prompt: the composition
+    L2 -> G1 -> G2 -> G3 -> G4/G5 -> G6 that each step of G9 runs."""
+    return _one_step(spark, d, "backoff")
+
+
+@query("g9_generate_step_interpolated")
+def g9_step_interpolated(spark, d):
+    """The same step on the whole distribution."""
+    return _one_step(spark, d, "interpolated")

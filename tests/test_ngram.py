@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.ngram import eval_loss, fit_ngram, score_next, token_losses
+from tessera.operators.ngram import eval_loss, fit_ngram, score_interpolated, score_next, token_losses
 
 WINDOWS = [(0, [5, 6, 7, 5], [6, 7, 5, 6]), (1, [7, 5, 6, 0], [5, 6, 0, 0]), (2, [6, 6, 7, 8], [6, 7, 8, 5])]
 LAM = (0.1, 0.2, 0.3, 0.4)
@@ -85,3 +85,28 @@ def test_empty_validation_is_infinite_and_order_one_always_scores(spark, wins):
     uni = fit_ngram(wins, 1, V, (0.1, 0.9))
     sc = score_next(spark.createDataFrame([(0, [5]), (1, [])], "row_id BIGINT, tokens ARRAY<INT>"), uni).collect()
     assert sum(math.exp(r["logit"]) for r in sc) == pytest.approx(2.0)
+
+
+def test_interpolated_scores_cover_the_vocabulary_with_the_loss_model(spark, wins):
+    lm = fit_ngram(wins, 3, V, LAM)
+    c, tot = py_model(WINDOWS)
+    asked = [[5, 6], [9, 9, 7], [9, 9], [7], []]
+    ctx = spark.createDataFrame(list(enumerate(asked)), "row_id BIGINT, tokens ARRAY<INT>")
+    got = {(r["row_id"], r["token"]): math.exp(r["logit"]) for r in score_interpolated(ctx, lm).collect()}
+    assert set(got) == {(i, w) for i in range(len(asked)) for w in range(V)}
+    for i, x in enumerate(asked):
+        for w in range(V):
+            want = py_prob(c, tot, x, len(x) - 1, w) if x else (LAM[0] / V + LAM[1] * c[(1, "", w)] / tot[(1, "")]) / (LAM[0] + LAM[1])
+            assert got[(i, w)] == pytest.approx(want)
+        assert sum(p for (j, _), p in got.items() if j == i) == pytest.approx(1.0)
+
+
+def test_generation_reaches_ids_outside_the_longest_context(spark, wins):
+    from tessera.config import Config
+    from tessera.operators.generate import generate_ids
+    lm = fit_ngram(wins, 3, V, (0.1, 0.9, 1e-6, 1e-6))  # nearly all weight on order 1
+    rows = spark.range(60).select(F.col("id").alias("row_id"), F.array(F.lit(2), F.lit(7), F.lit(5)).alias("tokens"))
+    cfg = Config.of(top_p=1.0, repetition_penalty=1.0)
+    drawn = lambda **k: {r["gen"][0] for r in generate_ids(rows, lm, cfg, max_new=1, **k).collect()}
+    assert drawn(scores="backoff") == {6}  # 7 5 is always followed by 6 in training
+    assert drawn() > {5, 6, 7}
