@@ -64,6 +64,13 @@ def rarest(win: DataFrame, frequency: DataFrame, lists: int) -> DataFrame:
             .select("wid", "which", "term", "off", F.least(F.col("len"), F.lit(lists)).alias("need")))
 
 
+def _texts(docs: DataFrame, keys: DataFrame, text_col: str) -> DataFrame:
+    """``(a, b, w)``: the words of the texts in ``keys``."""
+    return (docs.select(*keyed(col(text_col)), F.coalesce(col(text_col), F.lit("")).alias("text")).join(keys, ["a", "b"], "left_semi")
+            .dropDuplicates(["a", "b"])
+            .select("a", "b", F.split(lower_ascii(F.array_join(words(F.col("text")), " ")), " ").alias("w")))
+
+
 def phrase_matches(docs: DataFrame, win: DataFrame, text_col: str = "text", lists: int = LISTS) -> DataFrame:
     """Exact matches ``(a, b, wid, start, len)``; ``start`` is a word position from 0."""
     terms = win.select(F.explode("phrase").alias("term")).distinct()
@@ -80,9 +87,7 @@ def phrase_matches(docs: DataFrame, win: DataFrame, text_col: str = "text", list
     met = cut_lineage(met.select("a", "b", "wid", "start"))
     # verification: the candidate texts' own words against the whole phrase
     keys = small(cut_lineage(met.select("a", "b").distinct()), 16)
-    texts = (docs.select(*keyed(col(text_col)), F.coalesce(col(text_col), F.lit("")).alias("text")).join(keys, ["a", "b"], "left_semi")
-             .dropDuplicates(["a", "b"])
-             .select("a", "b", F.split(lower_ascii(F.array_join(words(F.col("text")), " ")), " ").alias("w")))
+    texts = _texts(docs, keys, text_col)
     wanted = (met.join(small(win, 256), "wid").groupBy("a", "b")
               .agg(F.collect_list(F.struct("wid", "start", "phrase")).alias("c")))  # of one text: bounded by its length
     true = F.filter("c", lambda c: F.slice(F.col("w"), c["start"] + 1, F.size(c["phrase"])) == c["phrase"])
@@ -91,8 +96,9 @@ def phrase_matches(docs: DataFrame, win: DataFrame, text_col: str = "text", list
 
 
 def proximity_matches(docs: DataFrame, win: DataFrame, span: int, text_col: str = "text", lists: int = LISTS) -> DataFrame:
-    """``(a, b, wid, start)``: places where the ``lists`` rarest words of a window lie, in any order, within ``span``
-    words; ``start`` is the first of them. A looser report than the phrase match; it decides nothing here."""
+    """``(a, b, wid, start)``: stretches of ``span`` words from ``start`` on that begin with a word of the window and
+    hold all its distinct words, in any order. The ``lists`` rarest words give the candidates, the texts' own words
+    decide. A looser report than the phrase match, for callers; ``mark`` and ``clean`` do not use it."""
     terms = win.select(F.explode("phrase").alias("term")).distinct()
     frequency = postings(docs, terms, text_col).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     anchors = cut_lineage(rarest(win, frequency, lists))
@@ -100,8 +106,15 @@ def proximity_matches(docs: DataFrame, win: DataFrame, span: int, text_col: str
     # one row per slice of `span` words and its neighbour, so that near hits meet on a key
     cells = hits.select("a", "b", "wid", "which", "need", "pos", F.explode(F.array(F.floor(F.col("pos") / span), F.floor(F.col("pos") / span) + 1)).alias("cell"))
     near = Window.partitionBy("a", "b", "wid", "cell").orderBy("pos").rangeBetween(0, span - 1)
-    return (cells.withColumn("met", F.size(F.collect_set("which").over(near))).filter(F.col("met") == F.col("need"))
-            .select("a", "b", "wid", F.col("pos").alias("start")).distinct())
+    met = cut_lineage(cells.withColumn("met", F.size(F.collect_set("which").over(near))).filter(F.col("met") == F.col("need"))
+                      .select("a", "b", "wid", "pos").distinct())
+    # a stretch that holds the rarest words may begin up to span - 1 words before the first of them
+    starts = met.select("a", "b", "wid", F.explode(F.sequence(F.greatest(F.col("pos") - (span - 1), F.lit(0)), F.col("pos"))).alias("start")).distinct()
+    wanted = starts.join(small(win, 256), "wid").groupBy("a", "b").agg(F.collect_list(F.struct("wid", "start", "phrase")).alias("c"))
+    texts = _texts(docs, small(cut_lineage(met.select("a", "b").distinct()), 16), text_col)
+    true = F.filter("c", lambda c: F.array_contains(c["phrase"], F.element_at("w", c["start"] + 1))
+                    & (F.size(F.array_except(c["phrase"], F.slice(F.col("w"), c["start"] + 1, span))) == 0))
+    return wanted.join(texts, ["a", "b"]).select("a", "b", F.explode(true).alias("m")).select("a", "b", "m.wid", "m.start")
 
 
 def contaminated_texts(docs: DataFrame, items: DataFrame, n: int = N, text_col: str = "text", item_col: str = "item_id",

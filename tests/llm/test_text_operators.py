@@ -100,6 +100,20 @@ def hits(text, items, n):
     return len(w), len(hit), sorted(str(x) for x in found if x is not None)
 
 
+def test_proximity_needs_all_words_of_the_window(spark):
+    rng = np.random.default_rng(5)
+    phrase = "a b c d e f g h i j".split()
+    texts = [" ".join(phrase), " ".join(phrase[::-1]), "x x j i x x x x x", "a b c d e f g h i", " ".join([*phrase[:9], *["x"] * 9, "j"])]
+    texts += [" ".join(rng.choice([*phrase, "x", "y"], 60)) for _ in range(30)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    win, _ = decontaminate.windows(spark.createDataFrame([(1, " ".join(phrase))], "item_id bigint, text string"))
+    key = {(r["a"], r["b"]): r["doc_id"] for r in df.select("doc_id", *decontaminate.keyed(F.col("text"))).collect()}
+    for span in (10, 15, 25):
+        got = sorted((key[r["a"], r["b"]], r["start"]) for r in decontaminate.proximity_matches(df, win, span).collect())
+        want = [(i, s) for i, t in enumerate(texts) for s, w in enumerate(t.split()) if w in phrase and set(phrase) <= set(t.split()[s:s + span])]
+        assert got == want and {i for i, _ in want} >= {0, 1} and not {i for i, _ in want} & {2, 3}
+
+
 def test_decontaminate_edge_cases(spark, docs, empty):
     items = [(1, "Same words again same words again same words AGAIN same words"), (2, None), (None, "hello WORLD"), (3, "...!"), (4, "absent entirely"),
              (10, "çödé テキスト"), (11, "ÇÖDÉ テキスト"), (12, "hello world"), (13, "long long long")]
