@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators.bpe import pair_counts, segment, train_bpe, _marked
 from tessera.operators.tokenize import decode, encode
 from tessera.operators.vocab import WORD_MARK
+from tests.conftest import SF_SMALL
 
 TOY = [("low", 5), ("lower", 2), ("newest", 6), ("widest", 3), ("aaaa", 3)]
 
@@ -123,3 +124,13 @@ def test_the_choice_looks_past_its_first_rows(spark):
     rows = [("a", chr(0x4E00 + i), 100) for i in range(50)] + [("x", "y", 95)]
     pairs = spark.createDataFrame(rows, "a string, b string, cnt bigint")
     assert [p[:2] for p in _choose(pairs, 2, 0.9, 1)] == [("a", chr(0x4E00)), ("x", "y")]
+
+
+def test_full_size_query_follows_the_batched_rule_on_a_given_table(spark):
+    """The merges of t4_train_bpe (configured size, batch 256, ratio 0.5) over all words of sf0.001."""
+    import __spark_entry__ as entry
+    from tessera.operators.vocab import word_counts
+    from tessera.plans.registry import _tok_text
+    got = [(r["left"], r["right"]) for r in entry.queries()["t4_train_bpe"](spark, SF_SMALL).orderBy("merge_rank").collect()]
+    counts = [(r["word"], r["n"]) for r in word_counts(_tok_text(spark, SF_SMALL)).collect()]
+    assert got == _batched(counts, len(got), 256, 0.5) and len(got) > 1000
