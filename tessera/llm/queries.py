@@ -216,3 +216,45 @@ SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGI
        sha256(from_hex(coalesce(head || substr(x, 2 * last + 1), x))) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    """Every sound vector as 16 codebook indexes, with its error and its label's."""
+    from tessera.llm.common import cut_lineage
+    from tessera.llm.vector_codes import codebooks_sha256, compress, summed_by
+    coded, books = compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    # narrow rows, written once: they are read for the labels' sums and for the result
+    coded = cut_lineage(coded.select("vec_id", "label", F.lower(F.hex("code")).alias("code"), "error"))
+    return summed_by(coded, "error", "label", "label_error").select(
+        "vec_id", "code", "error", "label_error", F.lit(codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def _assign_sql(book: str) -> str:
+    return f"""SELECT rid, part, min({{'d': (p.a - b.a) ** 2 + (p.b - b.b) ** 2 + (p.c - b.c) ** 2 + (p.d - b.d) ** 2, 'e': entry}}) AS m
+  FROM p JOIN {book} b USING (part) GROUP BY rid, part"""
+
+
+def _mean_sql(x: str) -> str:
+    """Floor of a mean in whole numbers; the old component where there is none."""
+    return f"coalesce((sum(p.{x}) - (sum(p.{x}) % count(p.{x}) + count(p.{x})) % count(p.{x})) // count(p.{x}), any_value(o.{x}))::BIGINT AS {x}"
+
+
+def _update_sql(book: str, assigned: str) -> str:
+    return f"""SELECT o.part, o.entry, {", ".join(map(_mean_sql, "abcd"))}
+  FROM {book} o LEFT JOIN {assigned} n ON n.part = o.part AND n.m.e = o.entry LEFT JOIN p ON p.rid = n.rid AND p.part = n.part GROUP BY o.part, o.entry"""
+
+
+# written for the given tables' 64 components: 16 parts of four
+ORACLE_SQL["op13_vector_codes"] = f"""
+WITH x AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS v
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+p AS (SELECT rid, part, v[4 * part + 1] AS a, v[4 * part + 2] AS b, v[4 * part + 3] AS c, v[4 * part + 4] AS d FROM x, range(16) t(part)),
+b0 AS (SELECT part, rid - 1 AS entry, a, b, c, d FROM p WHERE rid <= 64),
+a0 AS ({_assign_sql("b0")}), b1 AS ({_update_sql("b0", "a0")}),
+a1 AS ({_assign_sql("b1")}), b2 AS ({_update_sql("b1", "a1")}),
+a2 AS ({_assign_sql("b2")}),
+h AS (SELECT sha256(string_agg(concat_ws(',', a, b, c, d), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b2),
+r AS (SELECT rid, string_agg(lower(lpad(hex(m.e), 2, '0')), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a2 GROUP BY rid)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM r JOIN x USING (rid), h
+"""
