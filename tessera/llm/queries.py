@@ -258,3 +258,13 @@ h AS (SELECT sha256(string_agg(concat_ws(',', a, b, c, d), ',' ORDER BY part, en
 r AS (SELECT rid, string_agg(lower(lpad(hex(m.e), 2, '0')), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a2 GROUP BY rid)
 SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM r JOIN x USING (rid), h
 """
+
+
+@query
+def op12_quality_rules(spark, sf_dir):
+    """Statistics of every whole document and the verdict of the learned decision list."""
+    from tessera.llm.decision_lists import judge, learn
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = judge(docs, learn(docs, table(spark, sf_dir, "labels")), carry=["doc_id"])
+    return out.select("doc_id", *[f"stats.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+                      "base_failed", "kept", "rule")
