@@ -268,3 +268,32 @@ def op12_quality_rules(spark, sf_dir):
     out = judge(docs, learn(docs, table(spark, sf_dir, "labels")), carry=["doc_id"])
     return out.select("doc_id", *[f"stats.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                       "base_failed", "kept", "rule")
+
+
+@query
+def op11_source_audit(spark, sf_dir):
+    """Divergence of every source of a language from the others and its most typical terms."""
+    from tessera.llm.source_audit import audit
+    return audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+ORACLE_SQL["op11_source_audit"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+lt AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+g AS (SELECT lang, source, coalesce(s.total, 0) AS total, coalesce(lt.v, 0) AS v, coalesce(lt.total, 0) AS lang_total
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) s USING (lang, source) LEFT JOIN lt USING (lang)),
+m AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.total + 2 * g.v))::HUGEINT AS p,
+             (1 + 1000000000::HUGEINT * (k.lang_n + 2) // (g.lang_total + 2 * g.v))::HUGEINT AS q
+      FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM m a JOIN m b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM m WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10
+"""
