@@ -1,28 +1,31 @@
 """Byte-pair tokenizer training and word segmentation (T4, BPE mode of T6).
 
 Training follows the published algorithm (Sennrich et al. 2016) on the word
-counts of T2: every word is ``WORD_MARK + word`` split into characters; each
-round counts adjacent symbol pairs weighted by word count and merges the most
-frequent pair (ties: left symbol, then right symbol, by code point).
-
-Spark form of a round:
-
-* the working set holds *distinct* words, not the corpus, each as one string
-  with every symbol between two reserved marks (``OPEN s CLOSE``);
-* pair counts are an ``explode`` + ``groupBy(a, b).sum(n)`` (partial
-  aggregation first) once; afterwards each round adds a delta: one pass over the
-  words applies the merges since they were last written, and words that hold a pair
-  chosen now give their old pairs (out) and new pairs (in), summed per batch before
-  the shuffle;
-* the choice is a top-k (one small collect); the pair table (distinct pairs, not
-  occurrences) is checkpointed with each round's delta folded in, the words every
-  ``checkpoint_every`` rounds, when words reduced to one symbol leave them.
-
-``batch > 1`` takes, per round, pairs in the order (count desc, left, right) while
-their count is at least ``ratio`` times the top count, passing over pairs that share
-a symbol with one already taken, up to ``batch`` of them: far fewer rounds, merges
-close to but not always identical with ``batch=1``. Disjoint pairs do not touch each
-other, so their order inside the round does not matter.
+counts of T2: every word is ``WORD_MARK + word`` split into characters; the most
+frequent pair of adjacent symbols weighted by word count is merged everywhere (ties:
+left symbol, then right symbol, by code point), again and again.
+
+One merge a round would be thousands of rounds. A round here finds the longest
+stretch of the classical merges that a bounded excerpt of the words decides:
+
+* the working set holds *distinct* words, not the corpus, each as one string with
+  every symbol between two reserved marks (``OPEN s CLOSE``);
+* the ``reach`` most frequent pairs are fetched, and with them a floor: every pair
+  counted at the floor or above is among them (the strong pairs);
+* every word is cut where two neighbours are no strong pair, and equal stretches are
+  summed, map-side first. At most ``window`` stretches are fetched; if there are more,
+  fewer pairs count as strong;
+* the classical algorithm runs on the stretches while the best pair is at the floor or
+  above. Its merges are then applied to all words in one pass.
+
+Why these are the classical merges: a pair that arises in a round stands, wherever it
+occurs, over one place where two symbols of the round's start met, and it is the same
+two symbols everywhere, because a new symbol has one spelling in symbols of the start.
+So it occurs at most as often as those two did; if they were not strong, it is below
+the floor, and otherwise all its places are inside stretches and its count there is
+exact. A merge whose piece equals an earlier piece would break the one spelling, so it
+ends its round. When more pairs tie at the top than may be fetched, the round makes the
+one merge that needs no excerpt.
 
 Our pieces are not the pieces of any particular native trainer: text is
 split on whitespace runs only, without Unicode normalisation.
@@ -30,6 +33,8 @@ split on whitespace runs only, without Unicode normalisation.
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -45,6 +50,7 @@ from tessera.session import cut_lineage
 # training. Input text containing them has them replaced by U+FFFD.
 OPEN, CLOSE = "\ue000", "\ue001"
 _SYMBOL = f"{OPEN}([^{CLOSE}]*){CLOSE}"
+MOST_REACH = 1 << 16  # pairs that the driver fetches at most
 
 
 def _marked(word: F.Column, kept: list[str] | None = None) -> F.Column:
@@ -73,26 +79,6 @@ def pair_counts(words: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("cnt")))
 
 
-def _choose(pairs: DataFrame, batch: int, ratio: float, min_count: int) -> list[tuple[str, str, int]]:
-    """The pairs of one round by the rule above. More rows are fetched while the rule
-    has not come to its end in those at hand, so nothing in reach of it is missed."""
-    order = [F.desc("cnt"), F.col("a"), F.col("b")]
-    want = 4 * batch
-    while True:
-        top = pairs.filter(F.col("cnt") >= min_count).orderBy(*order).limit(want).collect()
-        chosen, used, ended = [], set(), len(top) < want
-        for r in top:
-            if len(chosen) == batch or r["cnt"] < ratio * top[0]["cnt"]:
-                ended = True
-                break
-            if r["a"] not in used and r["b"] not in used:
-                chosen.append((r["a"], r["b"], r["cnt"]))
-                used.update((r["a"], r["b"]))
-        if ended or len(chosen) == batch:
-            return chosen
-        want *= 4
-
-
 def _merged(syms: list[str], pairs: set[tuple[str, str]]) -> list[str]:
     """``syms`` with the pairs merged, left to right; the same list if it holds none."""
     if not any(p in pairs for p in zip(syms, syms[1:])):
@@ -108,59 +94,170 @@ def _merged(syms: list[str], pairs: set[tuple[str, str]]) -> list[str]:
     return out
 
 
-def _replayed(w: str, rounds: list[set[tuple[str, str]]]) -> list[str]:
-    syms = w[1:-1].split(CLOSE + OPEN)
-    for pairs in rounds:
-        syms = _merged(syms, pairs)
-    return syms
-
+def merge_symbols(syms: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """``syms`` after merging the pair of lowest rank everywhere, left to right, until no
+    ranked pair is left. A heap of ranked neighbours over a linked list: n log n steps."""
+    n = len(syms)
+    heap = [(r, i) for i, p in enumerate(zip(syms, syms[1:])) if (r := ranks.get(p)) is not None]
+    if not heap:
+        return syms
+    heapq.heapify(heap)
+    syms, after, before = list(syms), list(range(1, n + 1)), list(range(-1, n - 1))
+    while heap:
+        rank, touched = heap[0][0], []
+        while heap and heap[0][0] == rank:  # all places of this pair before any pair that it makes
+            i = heapq.heappop(heap)[1]
+            j = after[i]
+            if syms[i] is None or j == n or ranks.get((syms[i], syms[j])) != rank:
+                continue  # its place has changed since
+            syms[i] += syms[j]
+            syms[j] = None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            touched += [i] if before[i] < 0 else [before[i], i]
+        for i in touched:
+            j = after[i]
+            if syms[i] is not None and j < n and (r := ranks.get((syms[i], syms[j]))) is not None:
+                heapq.heappush(heap, (r, i))
+    return [s for s in syms if s is not None]
+
+
+def _split(w: str) -> list[str]:
+    return w[1:-1].split(CLOSE + OPEN)
+
+
+def _joined(syms: list[str]) -> str:
+    return OPEN + (CLOSE + OPEN).join(syms) + CLOSE
+
+
+def _apply(words: DataFrame, now: list[tuple[str, str]]) -> DataFrame:
+    """The words after the merges ``now``, in that order; words of one symbol go."""
+    ranks = {p: i for i, p in enumerate(now)}
 
-def _apply_rounds(words: DataFrame, rounds: list[set[tuple[str, str]]]) -> DataFrame:
-    """The words after ``rounds``; words of one symbol go."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, out = [], []
             for i, w in enumerate(batch.column("w").to_pylist()):
-                syms = _replayed(w, rounds)
+                syms = merge_symbols(_split(w), ranks)
                 if len(syms) > 1:
                     kept.append(i)
-                    out.append(OPEN + (CLOSE + OPEN).join(syms) + CLOSE)
+                    out.append(_joined(syms))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column("n").take(pa.array(kept, pa.int64()))], ["w", "n"])
 
     return words.mapInArrow(run, "w string, n bigint")
 
 
-def _delta(words: DataFrame, rounds: list[set[tuple[str, str]]], pairs: set[tuple[str, str]]) -> DataFrame:
-    """Change of the pair counts when ``pairs`` are merged after ``rounds``."""
+def _stretches(words: DataFrame, strong: set[tuple[str, str]]) -> DataFrame:
+    """``w, n``: the distinct runs of neighbours that are strong pairs, with their word counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            change: dict[tuple[str, str], int] = {}
+            found: Counter[str] = Counter()
             for w, n in zip(batch.column("w").to_pylist(), batch.column("n").to_pylist()):
-                old = _replayed(w, rounds)
-                new = _merged(old, pairs)
-                if new is not old:
-                    for p in zip(old, old[1:]):
-                        change[p] = change.get(p, 0) - n
-                    for p in zip(new, new[1:]):
-                        change[p] = change.get(p, 0) + n
-            rows = [(a, b, c) for (a, b), c in change.items() if c and a and b]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["a", "b", "cnt"])
-
-    return words.mapInArrow(run, "a string, b string, cnt bigint")
-
-
-def train_bpe(counts: DataFrame, vocab_size: int, batch: int = 1, ratio: float = 1.0,
-              coverage: float = 1.0, min_count: int = 1, allow_smaller: bool = False,
-              checkpoint_every: int = 10, word_col: str = "word") -> Tokenizer:
+                syms = _split(w)
+                weak = [i + 1 for i, p in enumerate(zip(syms, syms[1:])) if p not in strong]
+                for a, b in zip([0, *weak], [*weak, len(syms)]):
+                    if b - a > 1:
+                        found[_joined(syms[a:b])] += n
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["w", "n"])
+
+    return words.mapInArrow(run, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
+
+
+class Window:
+    """Classical training on weighted stretches of symbols, with an index from pairs to
+    the stretches that hold them."""
+
+    def __init__(self, stretches: list[tuple[list[str], int]]):
+        self.syms = [s for s, _ in stretches]
+        self.weight = [n for _, n in stretches]
+        self.count: Counter[tuple[str, str]] = Counter()
+        self.where: dict[tuple[str, str], set[int]] = {}
+        for i, syms in enumerate(self.syms):
+            for p in zip(syms, syms[1:]):
+                self.count[p] += self.weight[i]
+                self.where.setdefault(p, set()).add(i)
+        self.heap = [(-c, *p) for p, c in self.count.items()]
+        heapq.heapify(self.heap)
+
+    def best(self) -> tuple[int, tuple[str, str] | None]:
+        while self.heap:
+            c, a, b = self.heap[0]
+            if self.count[a, b] == -c:
+                return -c, (a, b)
+            heapq.heappop(self.heap)  # counted anew since; its present count is in the heap too
+        return 0, None
+
+    def merge(self, pair: tuple[str, str]) -> None:
+        changed = set()
+        for i in self.where.pop(pair):
+            old = self.syms[i]
+            new = self.syms[i] = _merged(old, {pair})
+            if new is old:
+                continue
+            for p in zip(old, old[1:]):
+                self.count[p] -= self.weight[i]
+                changed.add(p)
+            for p in zip(new, new[1:]):
+                self.count[p] += self.weight[i]
+                self.where.setdefault(p, set()).add(i)
+                changed.add(p)
+        for p in changed:
+            if self.count[p] > 0:
+                heapq.heappush(self.heap, (-self.count[p], *p))
+            else:
+                del self.count[p]
+
+
+def _floor(top: list, reach: int, least: int) -> int | None:
+    """The lowest count that no pair outside the first ``reach`` rows of ``top`` has; None
+    if they all tie with the next. ``top`` holds one row more if there are more pairs."""
+    if len(top) <= reach:
+        return least
+    return min((r["cnt"] for r in top[:reach] if r["cnt"] > top[reach]["cnt"]), default=None)
+
+
+def _round(words: DataFrame, top: list, reach: int, least: int, window: int, known: set[str], most: int) -> tuple[list[tuple[str, str]], int]:
+    """The merges that one excerpt decides, at most ``most`` of them, and the number of
+    pairs that the next round may take as strong."""
+    while True:
+        floor = _floor(top, reach, least)
+        if floor is None:
+            return [(top[0]["a"], top[0]["b"])], reach
+        rows = _stretches(words, {(r["a"], r["b"]) for r in top[:reach] if r["cnt"] >= floor}).limit(window + 1).collect()
+        if len(rows) <= window:
+            break
+        reach = max(1, reach // 2)
+        if len(top) <= reach or reach == 1:
+            return [(top[0]["a"], top[0]["b"])], reach
+    if 4 * len(rows) <= window:
+        reach = min(2 * reach, MOST_REACH)
+    run, now = Window([(_split(r["w"]), r["n"]) for r in rows]), []
+    while len(now) < most:
+        count, pair = run.best()
+        if pair is None or count < floor:
+            break
+        now.append(pair)
+        if pair[0] + pair[1] in known:
+            break
+        known.add(pair[0] + pair[1])
+        run.merge(pair)
+    return now, reach
+
+
+def train_bpe(counts: DataFrame, vocab_size: int, coverage: float = 1.0, min_count: int = 1, allow_smaller: bool = False,
+              window: int = 50_000, reach: int = 256, word_col: str = "word") -> Tokenizer:
     """Train a BPE tokenizer of ``vocab_size`` pieces (specials included) from
-    ``word, n`` counts (T4).
+    ``word, n`` counts (T4): the classical merges, whatever ``window`` and ``reach`` are.
 
     Vocabulary: ids 0-3 specials, then the alphabet (count desc, character),
     then merged pieces in merge order (``merge_rank`` 0, 1, ...). Raises when
-    the corpus runs out of pairs first, unless ``allow_smaller``.
+    the corpus runs out of pairs first, unless ``allow_smaller``. The driver holds at
+    most ``window`` stretches and ``MOST_REACH`` pairs at a time. Words are written to the
+    checkpoint folder once a round.
     """
-    if batch < 1 or not 0 < ratio <= 1:
-        raise ValueError("batch >= 1 and 0 < ratio <= 1")
+    if window < 1 or reach < 1:
+        raise ValueError("window and reach are at least 1")
     spark = counts.sparkSession
     counts = counts.select(F.col(word_col).alias("word"), "n")
     alpha = alphabet(counts, coverage)
@@ -171,28 +268,30 @@ def train_bpe(counts: DataFrame, vocab_size: int, batch: int = 1, ratio: float =
         raise ValueError(f"vocab_size {vocab_size} is below specials + alphabet ({N_SPECIAL + n_alpha})")
     kept = [r["ch"] for r in alpha_rows] if coverage < 1.0 else None
     words = cut_lineage(counts.select(_marked(F.col("word"), kept).alias("w"), "n"))
-    pairs = cut_lineage(pair_counts(words))
-    merges: list[tuple[int, str, str]] = []
-    rounds: list[set[tuple[str, str]]] = []  # since the words were last written
+    merges: list[tuple[str, str]] = []
+    known = {r["ch"] for r in alpha_rows}
+    least = max(min_count, 1)
     while len(merges) < n_merges:
-        picked = _choose(pairs, min(batch, n_merges - len(merges)), ratio, max(min_count, 1))
-        if not picked:
+        top = (pair_counts(words).filter(F.col("cnt") >= least).orderBy(F.desc("cnt"), "a", "b").limit(reach + 1).collect())
+        if not top:
             break
-        now = {(a, b) for a, b, _ in picked}
-        merges += [(len(merges) + i, a, b) for i, (a, b, _) in enumerate(picked)]
-        pairs = cut_lineage(pairs.unionByName(_delta(words, rounds, now)).groupBy("a", "b").agg(F.sum("cnt").alias("cnt")).filter(F.col("cnt") != 0))
-        rounds.append(now)
-        if len(rounds) == checkpoint_every:
-            words, rounds = cut_lineage(_apply_rounds(words, rounds)), []
+        if _floor(top, reach, least) is None and reach < MOST_REACH:
+            reach = min(4 * reach, MOST_REACH)  # all tie: look further
+            continue
+        now, reach = _round(words, top, reach, least, window, known, n_merges - len(merges))
+        known.update(a + b for a, b in now)
+        merges += now
+        if len(merges) < n_merges:
+            words = cut_lineage(_apply(words, now))
     if len(merges) < n_merges and not allow_smaller:
         raise ValueError(f"corpus supports {N_SPECIAL + n_alpha + len(merges)} pieces, "
                          f"vocab_size {vocab_size} requested")
     merges_df = spark.createDataFrame(
-        [(r, a, b, a + b) for r, a, b in merges], "merge_rank INT, left STRING, right STRING, piece STRING")
+        [(r, a, b, a + b) for r, (a, b) in enumerate(merges)], "merge_rank INT, left STRING, right STRING, piece STRING")
     chars = spark.createDataFrame(
         [(N_SPECIAL + i, r["ch"], "char", None) for i, r in enumerate(alpha_rows)], VOCAB_SCHEMA)
     pieces = spark.createDataFrame(
-        [(N_SPECIAL + n_alpha + r, a + b, "merge", r) for r, a, b in merges], VOCAB_SCHEMA)
+        [(N_SPECIAL + n_alpha + r, a + b, "merge", r) for r, (a, b) in enumerate(merges)], VOCAB_SCHEMA)
     # a merged piece equal to an earlier piece keeps its first id
     vocab = special_tokens(spark).unionByName(chars).unionByName(pieces)
     return Tokenizer.of(vocab, "bpe", merges_df)
@@ -203,24 +302,7 @@ def segment(word: str, ranks: dict, ids: dict) -> list[int]:
     lowest-rank adjacent pair is merged everywhere (left to right) until no
     known pair is left. Unknown characters map to unk."""
     syms = list(WORD_MARK + word.replace(OPEN, "\ufffd").replace(CLOSE, "\ufffd"))
-    while len(syms) > 1:
-        best, best_rank = None, None
-        for x, y in zip(syms, syms[1:]):
-            r = ranks.get((x, y))
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = (x, y), r
-        if best is None:
-            break
-        out, i = [], 0
-        while i < len(syms):
-            if i + 1 < len(syms) and (syms[i], syms[i + 1]) == best:
-                out.append(syms[i] + syms[i + 1])
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        syms = out
-    return [ids.get(s, UNK) for s in syms]
+    return [ids.get(s, UNK) for s in merge_symbols(syms, ranks)]
 
 
 def segment_words(words: DataFrame, tok: Tokenizer) -> DataFrame:

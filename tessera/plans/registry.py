@@ -423,12 +423,12 @@ def _tok_text(spark, d):
 
 
 def _bpe_tok(spark, d):
-    """The configured size (or every piece the corpus supports), in batched rounds."""
-    return BPE.train_bpe(VO.word_counts(_tok_text(spark, d)), CFG.vocab_size, batch=256, ratio=0.5, allow_smaller=True)
+    """The configured size (or every piece the corpus supports)."""
+    return BPE.train_bpe(VO.word_counts(_tok_text(spark, d)), CFG.vocab_size, allow_smaller=True)
 
 
 def _bpe_classic(spark, d):
-    """One merge a round, for the comparison with SQL."""
+    """The first pieces, for the comparison with SQL, which replays one merge a round."""
     return BPE.train_bpe(VO.word_counts(_tok_text(spark, d)), BPE_CLASSIC)
 
 

@@ -1,8 +1,11 @@
 """T4 against a plain-Python BPE (Sennrich et al. 2016), T6/T7 round trip."""
 
 import random
+import time
 from collections import Counter
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.operators.bpe import pair_counts, segment, train_bpe, _marked
@@ -43,7 +46,7 @@ def python_bpe(counts, n_merges):
 def test_merges_match_python(spark):
     counts = spark.createDataFrame(TOY, "word STRING, n BIGINT")
     n_alpha = len(set("".join(WORD_MARK + w for w, _ in TOY)))
-    tok = train_bpe(counts, vocab_size=4 + n_alpha + 14, checkpoint_every=3, allow_smaller=True)
+    tok = train_bpe(counts, vocab_size=4 + n_alpha + 14, window=3, allow_smaller=True)
     got = [(r["left"], r["right"]) for r in tok.merges.orderBy("merge_rank").collect()]
     assert got == python_bpe(TOY, 14)
     assert tok.size == 4 + n_alpha + len(got)
@@ -79,58 +82,115 @@ def test_encode_decode_round_trip(spark):
     assert lens[2] == 0 and lens[0] < len("thelowernewest") + 3
 
 
-def _batched(counts, n_merges, batch, ratio):
-    """The documented rule of batched rounds, on plain lists."""
+def fast_bpe(counts, n_merges):
+    """The same merges as ``python_bpe`` with counts kept up by differences."""
     words = [([WORD_MARK, *w], n) for w, n in counts]
+    cnt, where = Counter(), {}
+    for i, (s, n) in enumerate(words):
+        for p in zip(s, s[1:]):
+            cnt[p] += n
+            where.setdefault(p, set()).add(i)
     merges = []
-    while len(merges) < n_merges:
-        cnt = {}
-        for s, n in words:
-            for p in zip(s, s[1:]):
-                cnt[p] = cnt.get(p, 0) + n
-        if not cnt:
+    while len(merges) < n_merges and cnt:
+        top = max(cnt.values())
+        if top <= 0:
             break
-        top, picked, used = max(cnt.values()), [], set()
-        for p in sorted(cnt, key=lambda p: (-cnt[p], p)):
-            if len(picked) == min(batch, n_merges - len(merges)) or cnt[p] < ratio * top:
-                break
-            if not used & set(p):
-                picked.append(p)
-                used |= set(p)
-        for p in picked:
-            for s, _ in words:
-                i = 0
-                while i + 1 < len(s):
-                    if (s[i], s[i + 1]) == p:
-                        s[i:i + 2] = [p[0] + p[1]]
-                    i += 1
-        merges += picked
+        a, b = min(p for p, c in cnt.items() if c == top)
+        merges.append((a, b))
+        for i in where.pop((a, b)):
+            s, n = words[i]
+            for p in zip(s, s[1:]):
+                cnt[p] -= n
+            j = 0
+            while j + 1 < len(s):
+                if (s[j], s[j + 1]) == (a, b):
+                    s[j:j + 2] = [a + b]
+                j += 1
+            for p in zip(s, s[1:]):
+                cnt[p] += n
+                where.setdefault(p, set()).add(i)
+        cnt = +cnt
     return merges
 
 
-def test_batched_rounds_follow_their_rule(spark):
+@pytest.mark.parametrize("window,reach", [(50_000, 256), (40, 8), (7, 2), (1, 1), (10_000, 1)])
+def test_any_window_gives_the_classical_merges(spark, window, reach):
     rng = random.Random(8)
-    counts = list({"".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))): rng.randint(1, 30) for _ in range(120)}.items())
+    counts = list({"".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))): rng.randint(1, 30) for _ in range(60)}.items())
+    counts += [("aaaa", 9), ("aaaaaaa", 4), ("abab", 5)]
+    df = spark.createDataFrame(counts, "word string, n bigint")
+    tok = train_bpe(df, 45, allow_smaller=True, window=window, reach=reach)
+    got = [(r["left"], r["right"]) for r in tok.merges.orderBy("merge_rank").collect()]
+    assert got == python_bpe(counts, len(got)) == fast_bpe(counts, len(got)) and len(got) == 45 - 4 - 7
+
+
+def test_ties_beyond_the_reach(spark):
+    """Every pair counted once: more ties than a round may fetch at first."""
+    counts = [(chr(0x4E00 + 2 * i) + chr(0x4E01 + 2 * i), 1) for i in range(40)]
     df = spark.createDataFrame(counts, "word string, n bigint")
-    for batch, ratio in ((3, 0.9), (8, 0.5)):
-        tok = train_bpe(df, 60, batch=batch, ratio=ratio, allow_smaller=True, checkpoint_every=4)
-        got = [(r["left"], r["right"]) for r in tok.merges.orderBy("merge_rank").collect()]
-        assert got == _batched(counts, len(got), batch, ratio) and len(got) > 40
+    tok = train_bpe(df, 4 + 81 + 80, reach=3)
+    assert [(r["left"], r["right"]) for r in tok.merges.orderBy("merge_rank").collect()] == python_bpe(counts, 80)
 
 
-def test_the_choice_looks_past_its_first_rows(spark):
-    """Many pairs that share the top pair's symbol do not hide a free one behind them."""
-    from tessera.operators.bpe import _choose
-    rows = [("a", chr(0x4E00 + i), 100) for i in range(50)] + [("x", "y", 95)]
-    pairs = spark.createDataFrame(rows, "a string, b string, cnt bigint")
-    assert [p[:2] for p in _choose(pairs, 2, 0.9, 1)] == [("a", chr(0x4E00)), ("x", "y")]
+def test_a_piece_made_twice_ends_its_round():
+    """aaa comes from aa + a and from a + aa; the round stops where the second is made."""
+    from tessera.operators import bpe
+    rows = [(["a", "a", "b"], 5), (["c", "a", "ab"], 3)]
+    run = bpe.Window(rows)
+    assert run.best() == (5, ("a", "a"))  # ties with (a, b)
+    run.merge(("a", "a"))
+    assert run.best() == (5, ("aa", "b")) and run.syms[0] == ["aa", "b"]
 
 
-def test_full_size_query_follows_the_batched_rule_on_a_given_table(spark):
-    """The merges of t4_train_bpe (configured size, batch 256, ratio 0.5) over all words of sf0.001."""
+def test_full_size_query_is_classical_on_a_given_table(spark):
+    """The merges of t4_train_bpe at the configured size over all words of sf0.001 and sf0.01."""
     import __spark_entry__ as entry
     from tessera.operators.vocab import word_counts
     from tessera.plans.registry import _tok_text
-    got = [(r["left"], r["right"]) for r in entry.queries()["t4_train_bpe"](spark, SF_SMALL).orderBy("merge_rank").collect()]
-    counts = [(r["word"], r["n"]) for r in word_counts(_tok_text(spark, SF_SMALL)).collect()]
-    assert got == _batched(counts, len(got), 256, 0.5) and len(got) > 1000
+    for sf in (SF_SMALL, "/root/testdata/sf0.01"):
+        got = [(r["left"], r["right"]) for r in entry.queries()["t4_train_bpe"](spark, sf).orderBy("merge_rank").collect()]
+        counts = [(r["word"], r["n"]) for r in word_counts(_tok_text(spark, sf)).collect()]
+        assert got == fast_bpe(counts, len(got)) and len(got) > 1000
+
+
+def plain_segment(word, ranks, ids):
+    """Lowest-rank pair everywhere, left to right, by looking at all pairs each time."""
+    syms = list(WORD_MARK + word)
+    while True:
+        known = [ranks[p] for p in zip(syms, syms[1:]) if p in ranks]
+        if not known:
+            return [ids.get(s, 1) for s in syms]
+        i = 0
+        while i + 1 < len(syms):
+            if ranks.get((syms[i], syms[i + 1])) == min(known):
+                syms[i:i + 2] = [syms[i] + syms[i + 1]]
+            i += 1
+
+
+def test_segments_equal_the_plain_rule_on_random_words_and_merges():
+    rng = random.Random(3)
+    for _ in range(200):
+        pieces = list("abc" + WORD_MARK)
+        ranks = {}
+        for _ in range(rng.randint(0, 25)):
+            p = (rng.choice(pieces), rng.choice(pieces))
+            if p not in ranks:
+                ranks[p] = len(ranks)
+                pieces.append(p[0] + p[1])  # may be spelt like an earlier piece
+        order = list(ranks.values())
+        rng.shuffle(order)
+        ids = {s: i + 4 for i, s in enumerate(dict.fromkeys(pieces))}
+        for table in (ranks, dict(zip(ranks, order))):
+            for _ in range(10):
+                word = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 40)))
+                assert segment(word, table, ids) == plain_segment(word, table, ids)
+
+
+def test_long_words_take_n_log_n():
+    rng = random.Random(4)
+    counts = [("".join(rng.choice("abcd") for _ in range(8)), rng.randint(1, 9)) for _ in range(200)]
+    ranks = {p: i for i, p in enumerate(fast_bpe(counts, 300))}
+    word = "".join(rng.choice("abcd") for _ in range(32_000))
+    began = time.process_time()
+    ids = segment(word, ranks, {})
+    assert time.process_time() - began < 1 and 1000 < len(ids) < 32_000
