@@ -40,10 +40,20 @@ _TERM = re.compile(rb"[a-z\x80-\xff]+")  # in lower-cased UTF-8: ASCII letters a
 CHUNKS, POSTINGS = 500_000, 4_000_000    # most that a task holds before it passes its sums on
 ROWS = 100_000                           # rows worked on at a time
 
-_COUNTED = "chunk string, lang string, source string, n bigint, docs bigint, keys array<bigint>"
+_COUNTED = "chunk string, place string, n bigint, keys array<bigint>"
 _TERMS = "lang string, term string, source string, n bigint, key bigint"
 
 
+def _place(lang: str, source: str) -> str:
+    """Language and source in one text; those of a language are neighbours in text order."""
+    return f"{len(lang)}:{lang}{source}"
+
+
+def _parts(place: str) -> tuple[str, str]:
+    size, rest = place.split(":", 1)
+    return rest[:int(size)], rest[int(size):]
+
+
 def _expand(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... of each run, one after the other."""
     ends = np.cumsum(sizes)
@@ -71,7 +81,7 @@ class _Chunks:
         self.ids.append(np.array([number.setdefault(c, len(number)) for c in found], np.int64))
         self.ns.append(np.array(list(found.values()), np.int64))
         self.sizes.append(len(found))
-        self.group.append(self.groups.setdefault((lang, source), len(self.groups)))
+        self.group.append(self.groups.setdefault(_place(lang, source), len(self.groups)))
         self.keys.append(key)
         self.held += len(found)
 
@@ -88,20 +98,19 @@ class _Chunks:
             starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
             sizes = np.diff(np.concatenate([starts, [len(at)]]))
             n = np.add.reduceat(ns, starts)
-            names, langs, sources = list(self.number), *([g[i] for g in self.groups] for i in (0, 1))
-            chunks, langs, sources = pa.array(names, pa.binary()).cast(pa.string()), pa.array(langs, pa.string()), pa.array(sources, pa.string())
+            chunks, places = pa.array(list(self.number), pa.binary()).cast(pa.string()), pa.array(list(self.groups), pa.string())
             chunk, group = at[starts] // len(self.groups), at[starts] % len(self.groups)
             for a in range(0, len(starts), ROWS):
                 b = slice(a, a + ROWS)
                 yield pa.RecordBatch.from_arrays(
-                    [chunks.take(pa.array(chunk[b])), langs.take(pa.array(group[b])), sources.take(pa.array(group[b])), pa.array(n[b]),
-                     pa.array(sizes[b]), _lists(keys, starts[b], sizes[b], sizes[b] < self.min_docs)],
-                    ["chunk", "lang", "source", "n", "docs", "keys"])
+                    [chunks.take(pa.array(chunk[b])), places.take(pa.array(group[b])), pa.array(n[b]),
+                     _lists(keys, starts[b], sizes[b], sizes[b] < self.min_docs)], ["chunk", "place", "n", "keys"])
         self.__init__(self.min_docs)
 
 
 def chunk_counts(docs: DataFrame, lang_col: str, source_col: str, text_col: str, min_docs: int) -> DataFrame:
-    """``chunk, lang, source, n, docs, keys``: a task's sums, not yet one row a chunk."""
+    """``chunk, place, n, keys``: a task's sums, not yet one row a chunk. ``keys`` are the
+    documents' keys, or null for ``min_docs`` documents and more."""
     text = lambda c: F.coalesce(col(c).cast("string"), F.lit(""))
     rows = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source"), text(text_col).alias("text"),
                        F.monotonically_increasing_id().alias("key"))
@@ -128,7 +137,7 @@ def _firsts(*columns: np.ndarray) -> np.ndarray:
 
 
 class _Terms:
-    """Cuts chunks into terms and sums per term; rows come sorted by chunk and language."""
+    """Cuts chunks into terms and sums per term; rows come sorted by chunk and place."""
 
     def __init__(self, min_docs: int):
         self.min_docs = min_docs
@@ -142,12 +151,15 @@ class _Terms:
 
     def rows(self, t: pa.Table, ended: bool) -> tuple[pa.RecordBatch, pa.Table]:
         """(term rows, rows held back because their chunk may go on with too few documents so far)."""
-        chunks, langs, sources = (t.column(c).combine_chunks().dictionary_encode() for c in ("chunk", "lang", "source"))
-        chunk, lang, source = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in (chunks, langs, sources))
-        names, lang_names = chunks.dictionary.cast(pa.binary()).to_pylist(), langs.dictionary.to_pylist()
-        docs = t.column("docs").to_numpy()
+        chunks, places = (t.column(c).combine_chunks().dictionary_encode() for c in ("chunk", "place"))
+        chunk, place = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in (chunks, places))
+        names, parts = chunks.dictionary.cast(pa.binary()).to_pylist(), [_parts(p) for p in places.dictionary.to_pylist()]
+        lang_of, source_of = ({x: j for j, x in enumerate(dict.fromkeys(p[i] for p in parts))} for i in (0, 1))
+        lang_names, source_names = list(lang_of), list(source_of)
+        lang, source = (np.array([of[p[i]] for p in parts], np.int64)[place] for i, of in enumerate((lang_of, source_of)))
+        sizes = pc.list_value_length(t.column("keys").combine_chunks())
         starts = _firsts(chunk, lang)
-        enough = np.add.reduceat(docs, starts) >= self.min_docs
+        enough = np.add.reduceat(pc.fill_null(sizes, self.min_docs).to_numpy(zero_copy_only=False), starts) >= self.min_docs
         if self.proved == (names[chunk[0]], lang_names[lang[0]]):
             enough[0] = True
         rest = t.slice(0, 0)
@@ -159,15 +171,15 @@ class _Terms:
         else:
             self.proved = (names[chunk[-1]], lang_names[lang[-1]])
         number: dict[bytes, int] = {}
-        parts = [[(number.setdefault(w, len(number)), k) for w, k in self.cut(c)] for c in names]
-        size = np.array([len(p) for p in parts], np.int64)
-        flat = np.array([x for p in parts for x in p], np.int64).reshape(-1, 2)
+        cut = [[(number.setdefault(w, len(number)), k) for w, k in self.cut(c)] for c in names]
+        size = np.array([len(p) for p in cut], np.int64)
+        flat = np.array([x for p in cut for x in p], np.int64).reshape(-1, 2)
         first = np.cumsum(size) - size
         terms = pa.array(list(number), pa.binary()).cast(pa.string())
         # occurrences: one row per term, language and source
         row = np.repeat(np.arange(len(chunk)), size[chunk])
         at = _expand(first[chunk], size[chunk])
-        n_langs, n_sources = len(lang_names), len(sources.dictionary)
+        n_langs, n_sources = len(lang_names), len(source_names)
         key = (flat[at, 0] * n_langs + lang[row]) * n_sources + source[row]
         order = np.argsort(key, kind="stable")
         key = key[order]
@@ -198,11 +210,11 @@ class _Terms:
         word, doc = word[~many[word]], doc[~many[word]]
         word, doc = np.concatenate([proved, word]), np.concatenate([np.full(len(proved), -1), doc])
         take = lambda values, index: values.take(pa.array(index))
-        none = pa.nulls(len(word))
+        none, langs, sources = pa.nulls(len(word)), pa.array(lang_names, pa.string()), pa.array(source_names, pa.string())
         out = pa.Table.from_arrays([
-            pa.chunked_array([take(langs.dictionary, key // n_sources % n_langs), take(langs.dictionary, word % n_langs)]),
+            pa.chunked_array([take(langs, key // n_sources % n_langs), take(langs, word % n_langs)]),
             pa.chunked_array([take(terms, key // n_sources // n_langs), take(terms, word // n_langs)]),
-            pa.chunked_array([take(sources.dictionary, key % n_sources), none.cast(pa.string())]),
+            pa.chunked_array([take(sources, key % n_sources), none.cast(pa.string())]),
             pa.chunked_array([pa.array(n), none.cast(pa.int64())]),
             pa.chunked_array([pa.nulls(len(key), pa.int64()), pa.array(doc, pa.int64(), mask=doc < 0)])], names=["lang", "term", "source", "n", "key"])
         return out.combine_chunks(), rest
@@ -211,7 +223,7 @@ class _Terms:
 def term_rows(counted: DataFrame, min_docs: int) -> DataFrame:
     """``lang, term, source, n`` (occurrences) and ``lang, term, key`` with a null source
     (a document, or a proof of enough documents where the key is null too)."""
-    met = counted.repartition("chunk").sortWithinPartitions("chunk", "lang")
+    met = counted.repartition("chunk").sortWithinPartitions("chunk", "place")
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, held, size = _Terms(min_docs), [], 0

@@ -74,7 +74,7 @@ def test_pieces_change_nothing(slice_rows, min_docs):
         if i % 17 == 16:
             batches += held.flush()
     batches += held.flush()
-    t = pa.Table.from_batches(batches).sort_by([("chunk", "ascending"), ("lang", "ascending")])
+    t = pa.Table.from_batches(batches).sort_by([("chunk", "ascending"), ("place", "ascending")])
     state, out, rest = sa._Terms(min_docs), [], t.slice(0, 0)
     for a in range(0, t.num_rows, slice_rows):
         piece = pa.concat_tables([rest, t.slice(a, slice_rows)]).combine_chunks()
