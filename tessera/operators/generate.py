@@ -9,7 +9,11 @@ repetition penalty (G2) -> softmax (G3) -> nucleus (G4, G5) -> seeded sample
 deep and a lost executor costs one step.
 
 Candidates are all ids under the interpolated model that L3 and L4 report the loss
-of; ``scores='backoff'`` takes the continuations of one context only (``score_next``).
+of. By default the distribution is not written out: a row brings the few ids whose
+probability is not the shared order-1 one, and the token is drawn from the merge of
+the two (``sparse_scores``). ``scores='dense'`` writes a row per id (so does the
+default where the vocabulary exceeds the broadcast bound), ``scores='backoff'`` takes
+the continuations of one context only (``score_next``).
 ``max_new`` 0 generates nothing. Output text is the decoded prompt ids plus new ids, so the prompt is
 echoed (G10).
 """
@@ -23,6 +27,7 @@ from tessera.config import Config
 from tessera.functions.arrays import ensure_bos, truncate_context
 from tessera.functions.text import format_prompt
 from tessera.operators import decoding as G
+from tessera.operators import sparse_scores
 from tessera.operators.ngram import NgramModel, score_interpolated, score_next
 from tessera.operators.tokenize import decode, encode
 from tessera.operators.vocab import Tokenizer
@@ -37,14 +42,17 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
     ``seen_mode`` picks the ids a repetition penalty applies to: ``all``
     (prompt and generated ids, the base script) or ``generated`` (bos and
     generated ids, the improved script). ``scores`` picks the next-token
-    distribution: ``interpolated`` (all ids, L3's probabilities) or ``backoff``.
+    distribution: ``interpolated`` (all ids, L3's probabilities), ``dense`` (the same,
+    written out) or ``backoff``.
     """
-    if scores not in ("interpolated", "backoff"):
-        raise ValueError("scores is 'interpolated' or 'backoff'")
-    score = score_interpolated if scores == "interpolated" else score_next
+    if scores not in ("interpolated", "dense", "backoff"):
+        raise ValueError("scores is 'interpolated', 'dense' or 'backoff'")
+    score = score_next if scores == "backoff" else score_interpolated
     if seen_mode not in ("all", "generated"):
         raise ValueError("seen_mode is 'all' or 'generated'")
     cap = cfg.max_generate_length if max_new is None else max_new
+    base = sparse_scores.shared_base(lm) if scores == "interpolated" else None
+    shared = None if base is None else prompt_ids.sparkSession.sparkContext.broadcast(sparse_scores.Shared(base, cfg.temperature))
     active = cut_lineage(prompt_ids.select(
         key, ensure_bos(tokens, cfg.bos_id).alias("prompt"), F.array().cast("array<int>").alias("gen")))
     done_parts = []
@@ -52,17 +60,20 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
     for step in range(cap):
         if n_active == 0:
             break
-        ctx = active.select(key, truncate_context(F.concat("prompt", "gen"), cfg.block_size).alias("ctx"))
-        cand = score(ctx, lm, key, "ctx")
-        cand = G.temperature(cand, cfg.temperature)
         seen_ids = (F.concat("prompt", "gen") if seen_mode == "all"
                     else F.concat(F.array(F.lit(cfg.bos_id)), "gen"))
-        seen = active.select(key, F.explode(seen_ids).alias("token")).filter(F.col("token") != cfg.pad_id)
-        cand = G.repetition_penalty(cand, seen, cfg.repetition_penalty, cfg.penalty_mode, key)
-        kept = G.top_p(G.softmax(cand, key), cfg.top_p, key)
-        nxt = G.sample_token(kept, cfg.seed, step, key)
-        upd = active.join(nxt, key, "left").withColumn(
-            "next", F.coalesce(F.col("next_token"), F.lit(cfg.eos_id)).cast("int"))
+        if shared is not None:
+            met = F.filter(seen_ids, lambda t: t != cfg.pad_id)
+            upd = sparse_scores.next_tokens(active, lm, shared, cfg, step, met, key, ["prompt", "gen"])
+        else:
+            ctx = active.select(key, truncate_context(F.concat("prompt", "gen"), cfg.block_size).alias("ctx"))
+            cand = G.temperature(score(ctx, lm, key, "ctx"), cfg.temperature)
+            seen = active.select(key, F.explode(seen_ids).alias("token")).filter(F.col("token") != cfg.pad_id)
+            cand = G.repetition_penalty(cand, seen, cfg.repetition_penalty, cfg.penalty_mode, key)
+            kept = G.top_p(G.softmax(cand, key), cfg.top_p, key)
+            nxt = G.sample_token(kept, cfg.seed, step, key)
+            upd = active.join(nxt, key, "left").withColumn(
+                "next", F.coalesce(F.col("next_token"), F.lit(cfg.eos_id)).cast("int"))
         upd = upd.select(key, "prompt", F.concat("gen", F.array("next")).alias("gen"),
                          ((F.col("next") == cfg.eos_id) | (F.size("gen") + 1 >= cap)).alias("done"))
         upd = cut_lineage(upd)  # one write per step; both parts read it

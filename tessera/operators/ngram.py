@@ -10,8 +10,8 @@ empty context.
   of the vocabulary has positive probability:
   ``p(w|h) = (l0/V + sum_k lk * c_k(h_k, w) / T_k(h_k)) / (l0 + sum_k lk)``
   where both sums run over the orders whose context ``h_k`` was seen.
-* ``score_interpolated`` gives that model's whole next-token distribution; generation
-  (G9) samples from it unless told otherwise.
+* ``score_interpolated`` gives that model's whole next-token distribution, a row per
+  id; generation (G9) samples from it without writing it out (``sparse_scores``).
 * ``score_next`` (L2) uses longest-match backoff: the longest seen
   context ending at the last id; if the last id was never seen as a context,
   the most recent earlier id that was; if none was, all ids by their counts. The candidates are exactly that
@@ -21,12 +21,13 @@ empty context.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, ensure_checkpoint_dir, shuffle_partitions
 
 from tessera.operators.vocab import PAD
 
@@ -43,6 +44,7 @@ class NgramModel:
     vocab_size: int
     lambdas: tuple
     _conditional: DataFrame | None = None
+    _continuations: DataFrame | None = None
 
     def conditional(self) -> DataFrame:
         """``order, ctx, token, logit``: ln(count / total), written once per model and
@@ -52,6 +54,19 @@ class NgramModel:
             self._conditional = cut_lineage(joined.select("order", "ctx", "token", F.log(F.col("n") / F.col("total")).alias("logit")))
         return self._conditional
 
+    def continuations(self) -> DataFrame:
+        """``order, ctx, tokens, adds`` for the orders from 2 on: what each continuation of a
+        context adds to its probability's numerator. One row a context, at most the
+        vocabulary in a row; written once, bucketed by (order, ctx), so that joins on
+        the context move only their other side."""
+        if self._continuations is None:
+            lam = F.element_at(F.array(*map(F.lit, self.lambdas)), F.col("order") + 1)
+            rows = self.counts.filter("order >= 2").groupBy("order", "ctx").agg(
+                F.collect_list(F.struct("token", "n")).alias("c"), F.sum("n").alias("total"))
+            adds = F.transform("c.n", lambda n: lam * n / F.col("total"))
+            self._continuations = bucketed(rows.select("order", "ctx", F.col("c.token").alias("tokens"), adds.alias("adds")), "contexts", "order", "ctx")
+        return self._continuations
+
     def level_counts(self, k: int) -> DataFrame:
         """Which side of a join is broadcast is left to Spark's measured sizes."""
         return self.counts.filter(F.col("order") == k).drop("order")
@@ -60,6 +75,26 @@ class NgramModel:
         return self.totals.filter(F.col("order") == k).drop("order")
 
 
+def bucketed(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` as a table in the session's shared folder, bucketed by ``by``: a join or
+    aggregation on these columns reads it without an exchange. One file a bucket."""
+    spark = df.sparkSession
+    n, table = shuffle_partitions(spark), f"tessera_{name}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-out/{table}"
+    (df.repartition(n, *by).write.format("parquet").option("path", path)
+     .bucketBy(n, *by).sortBy(*by).saveAsTable(table))
+    return spark.table(table)
+
+
+def tail_contexts(tokens: Column, order: int) -> Column:
+    """The contexts of orders 2 to ``order`` at the end of ``tokens``: array of (order,
+    ctx), ctx null where the tokens are too few."""
+    n = F.size(tokens)
+    return F.array(*[F.struct(F.lit(k).alias("order"),
+                              F.when(n >= k - 1, F.array_join(F.slice(tokens, -(k - 1), k - 1).cast("array<string>"), " ")).alias("ctx"))
+                     for k in range(2, order + 1)])
+
+
 def _ctx(x: Column, t: Column, k: int) -> Column:
     """Order-k context of target position t (0-based): x[t-k+2 .. t] as text."""
     if k == 1:

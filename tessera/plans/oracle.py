@@ -523,3 +523,16 @@ SELECT f.row_id, array_to_string(f.g, ' ') AS answer_ids,
   (SELECT coalesce(string_agg(CASE WHEN i.id = 1 THEN '⁇' ELSE coalesce(n.word, '⁇') END, ' ' ORDER BY i.k), '')
    FROM allids i LEFT JOIN names n ON n.id = i.id WHERE i.row_id = f.row_id AND (i.id >= 4 OR i.id = 1)) AS text
 FROM fin f"""
+
+
+def _g9_whole_step(src: str, step: str) -> str:
+    """As ``_g9_step`` with every id of the vocabulary a candidate."""
+    head, tail = _g9_step(src, step).split("  last AS (", 1)
+    return (head + _whole("cur") + """,
+  cand AS (SELECT row_id, token, ln(p) / 1.0e0 AS logit FROM whole),
+  seen AS (""" + tail.split("\n  seen AS (", 1)[1])
+
+
+SQL["g9_generate_interpolated"] = SQL["g9_generate"].replace(
+    _g9_step("(SELECT row_id, prompt || g AS seq FROM gen WHERE NOT done)", "(SELECT max(step) FROM gen)"),
+    _g9_whole_step("(SELECT row_id, prompt || g AS seq FROM gen WHERE NOT done)", "(SELECT max(step) FROM gen)"))

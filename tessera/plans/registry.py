@@ -482,6 +482,14 @@ def g9_generate(spark, d):
     return out.select("row_id", ints_text("answer_ids").alias("answer_ids"), "text")
 
 
+@query("g9_generate_interpolated")
+def g9_generate_interpolated(spark, d):
+    """The whole loop on the whole distribution, drawn without writing it out."""
+    tok, _, lm = _lm_parts(spark, d)
+    out = generate(inputs.prompts(spark, d), lm, tok, CFG)
+    return out.select("row_id", ints_text("answer_ids").alias("answer_ids"), "text")
+
+
 def _mean_model():
     """A user's model: the mean of each input vector."""
     def predict(x):

@@ -3,9 +3,11 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators.sparse_scores import Merged, Shared
 from tessera.operators.ngram import eval_loss, fit_ngram, score_interpolated, score_next, token_losses
 
 WINDOWS = [(0, [5, 6, 7, 5], [6, 7, 5, 6]), (1, [7, 5, 6, 0], [5, 6, 0, 0]), (2, [6, 6, 7, 8], [6, 7, 8, 5])]
@@ -110,3 +112,70 @@ def test_generation_reaches_ids_outside_the_longest_context(spark, wins):
     drawn = lambda **k: {r["gen"][0] for r in generate_ids(rows, lm, cfg, max_new=1, **k).collect()}
     assert drawn(scores="backoff") == {6}  # 7 5 is always followed by 6 in training
     assert drawn() > {5, 6, 7}
+
+
+def _dense_draw(base, den, own, seen, t, penalty, mode, p, u):
+    """Draw from the whole distribution, written out and sorted."""
+    logit = [math.log((b + own.get(w, 0.0)) / den) / t for w, b in enumerate(base)]
+    for w in seen:
+        logit[w] = logit[w] * penalty if mode == "sign_aware" and logit[w] < 0 else logit[w] / penalty
+    z = [math.exp(x - max(logit)) for x in logit]
+    order = sorted(range(len(z)), key=lambda w: (-z[w], w))
+    kept, run = [], 0.0
+    for w in order:
+        if run > p * sum(z):
+            break
+        kept.append(w)
+        run += z[w]
+    run, total = 0.0, sum(z[w] for w in kept)
+    for w in kept:
+        run += z[w]
+        if run > u * total:
+            return w
+    return kept[-1]
+
+
+@pytest.mark.parametrize("mode", ["sign_aware", "divide"])
+def test_sparse_draws_equal_dense_draws(mode):
+    rng = np.random.default_rng(9)
+    for case in range(400):
+        v = int(rng.integers(1, 60))
+        base = np.where(rng.random(v) < 0.5, 1e-3, rng.integers(1, 5, v) / 7.0)  # many ties
+        t, penalty, p = float(rng.choice([0.3, 1.0, 2.0])), float(rng.choice([1.0, 1.2, 0.7])), float(rng.choice([0.0, 0.5, 0.9, 1.0]))
+        own = {int(w): float(rng.random()) for w in rng.choice(v, rng.integers(0, v + 1), replace=False)}
+        seen = np.unique(rng.choice(v, rng.integers(0, v + 1)))
+        den = float(base.sum() + sum(own.values()))
+        ids = np.array(sorted(own), np.int64)
+        merged = Merged(Shared(base, t), ids, np.array([own[w] for w in ids]), seen, den, penalty, mode)
+        for u in (0.0, float(rng.random()), float(rng.random()), 1 - 2.0 ** -32):
+            assert merged.draw(p, u) == _dense_draw(base, den, own, seen, t, penalty, mode, p, u), case
+
+
+def test_generation_is_the_same_written_out_or_not(spark, wins):
+    from tessera.config import Config
+    from tessera.operators.generate import generate_ids
+    rows = spark.createDataFrame([(i, [2, 5 + i % 4, 6 + i % 3]) for i in range(25)] + [(90, []), (91, [2, 1, 1])], "row_id BIGINT, tokens ARRAY<INT>")
+    for order, lam, cfg in ((3, LAM, Config.of(block_size=5)), (2, (0.1, 0.2, 0.7), Config.of(temperature=0.6, top_p=0.7, penalty_mode="divide")),
+                            (1, (0.1, 0.9), Config.of(top_p=1.0))):
+        lm = fit_ngram(wins, order, V, lam)
+        for mode in ("all", "generated"):
+            draws = [{r["row_id"]: r["gen"] for r in generate_ids(rows, lm, cfg, max_new=4, scores=s, seen_mode=mode).collect()} for s in ("interpolated", "dense")]
+            assert draws[0] == draws[1] and len(draws[0]) == 27
+
+
+def test_a_generation_step_does_not_move_the_model(spark, wins):
+    """Without broadcasts, the model's side of the context join has no exchange, and no
+    row meets the vocabulary."""
+    from tessera.operators.sparse_scores import additions
+    lm = fit_ngram(wins, 3, V, LAM)
+    lm.continuations()
+    rows = spark.createDataFrame([(0, [5, 6])], "row_id BIGINT, tokens ARRAY<INT>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = additions(rows, lm, F.col("tokens"), "row_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = plan[plan.index("SortMergeJoin"):].splitlines()
+    scan = next(i for i, x in enumerate(join) if "FileScan" in x)
+    assert "Bucketed: true" in join[scan] and sum("Exchange" in x for x in join) == 1  # the rows' own
+    assert not any("Exchange" in x for x in join[scan - 4:scan])
