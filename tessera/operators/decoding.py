@@ -80,7 +80,8 @@ def sample_token(df: DataFrame, seed: int, step: int | str = 0, row: str = "row_
     candidate, in (probability desc, token asc) order, whose running mass
     exceeds ``u`` times the row's total. ``step`` may name a column.
     """
-    st = F.col(step) if isinstance(step, str) else F.lit(step)
+    # as text, which is no part of generated code: a loop over steps compiles its plan once
+    st = F.col(step) if isinstance(step, str) else F.lit(str(step))
     w = _desc_order(row, prob, token)
     cum = F.sum(prob).over(w.rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum(prob).over(Window.partitionBy(row))

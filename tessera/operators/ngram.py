@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, ensure_checkpoint_dir, shuffle_partitions
 
-from tessera.operators.vocab import PAD
+from tessera.operators.vocab import BROADCAST_BYTES, PAD
 
 
 _TAIL = 1 << 30  # contexts that end at the last id rank above all earlier ones
@@ -67,6 +67,12 @@ class NgramModel:
             self._continuations = bucketed(rows.select("order", "ctx", F.col("c.token").alias("tokens"), adds.alias("adds")), "contexts", "order", "ctx")
         return self._continuations
 
+    def partitioned(self) -> NgramModel:
+        """The same model with its tables bucketed as a fitted one's, for a loaded model
+        that is to score more than once."""
+        counts = bucketed(self.counts, "counts", "ctx", "token", parts=("order",))
+        return NgramModel(self.order, counts, bucketed(self.totals, "totals", "ctx", parts=("order",)), self.n_tokens, self.vocab_size, self.lambdas)
+
     def level_counts(self, k: int) -> DataFrame:
         """Which side of a join is broadcast is left to Spark's measured sizes."""
         return self.counts.filter(F.col("order") == k).drop("order")
@@ -75,15 +81,16 @@ class NgramModel:
         return self.totals.filter(F.col("order") == k).drop("order")
 
 
-def bucketed(df: DataFrame, name: str, *by: str) -> DataFrame:
+def bucketed(df: DataFrame, name: str, *by: str, parts: tuple[str, ...] = ()) -> DataFrame:
     """``df`` as a table in the session's shared folder, bucketed by ``by``: a join or
-    aggregation on these columns reads it without an exchange. One file a bucket."""
+    aggregation on these columns reads it without an exchange. Folders by ``parts``, one
+    file a folder and bucket."""
     spark = df.sparkSession
     n, table = shuffle_partitions(spark), f"tessera_{name}_{uuid.uuid4().hex}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-out/{table}"
-    (df.repartition(n, *by).write.format("parquet").option("path", path)
+    (df.repartition(n, *by).write.format("parquet").option("path", path).partitionBy(*parts)
      .bucketBy(n, *by).sortBy(*by).saveAsTable(table))
-    return spark.table(table)
+    return spark.table(table).select(df.columns)
 
 
 def tail_contexts(tokens: Column, order: int) -> Column:
@@ -129,9 +136,10 @@ def fit_ngram(windows: DataFrame, order: int = 3, vocab_size: int | None = None,
                        for k in range(1, order + 1)])
     rows = tg.select("token", F.explode(levels).alias("l")).select("l.order", "l.ctx", "token").filter(
         F.col("ctx").isNotNull())
-    counts = cut_lineage(rows.groupBy("order", "ctx", "token").agg(F.count(F.lit(1)).alias("n")))
-    totals = cut_lineage(counts.groupBy("order", "ctx").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_types")))
+    # bucketed as the scoring joins need them: those move their own rows only
+    counts = bucketed(rows.groupBy("order", "ctx", "token").agg(F.count(F.lit(1)).alias("n")), "counts", "ctx", "token", parts=("order",))
+    totals = bucketed(counts.groupBy("order", "ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("n_types")),
+                      "totals", "ctx", parts=("order",))
     sizes = totals.agg(
         F.coalesce(F.sum(F.when(F.col("order") == 1, F.col("total"))), F.lit(0)).alias("n_tokens"),
         F.coalesce(F.sum(F.when(F.col("order") == 1, F.col("n_types"))), F.lit(0)).alias("n_types")).first()
@@ -153,10 +161,12 @@ def _with_prob(rows: DataFrame, lm: NgramModel) -> DataFrame:
     """Add the interpolated ``prob`` to rows of ``token`` and contexts.
 
     Per order one join on (context, token) for the count and one on the context for
-    its total; order 1 joins on the token alone. A hot context is split by AQE's
-    skew-join handling when the tables are too large to broadcast.
+    its total. A fitted model's tables are bucketed by just these columns, so these
+    joins have no exchange on the model's side. Order 1 joins on the token alone, with
+    the vocabulary's counts broadcast where they fit the bound.
     """
-    rows = rows.join(lm.level_counts(1).select("token", F.col("n").alias("_c1")), "token", "left")
+    first = lm.level_counts(1).select("token", F.col("n").alias("_c1"))
+    rows = rows.join(F.broadcast(first) if lm.vocab_size * 24 <= BROADCAST_BYTES else first, "token", "left")
     for k in range(2, lm.order + 1):
         ck = lm.level_counts(k).select(F.col("ctx").alias(f"_h{k}"), "token", F.col("n").alias(f"_c{k}"))
         tk = lm.level_totals(k).select(F.col("ctx").alias(f"_h{k}"), F.col("total").alias(f"_t{k}"))

@@ -124,13 +124,18 @@ def shared_base(lm: NgramModel) -> np.ndarray | None:
     return base
 
 
-def additions(active: DataFrame, lm: NgramModel, ctx: Column, key: str) -> DataFrame:
-    """``key, parts``: per row the additions of its contexts seen in training, an array of
-    (order, tokens, adds) with at most one entry an order. The model's side is read by
-    context as it was written; only the rows' contexts move."""
-    asked = active.select(F.col(key).alias("k"), F.explode(tail_contexts(ctx, lm.order)).alias("l")).select("k", "l.order", "l.ctx").filter("ctx is not null")
-    hit = asked.join(lm.continuations(), ["order", "ctx"])
-    return hit.groupBy("k").agg(F.collect_list(F.struct("order", "tokens", "adds")).alias("parts")).withColumnRenamed("k", key)
+ASKED_BYTES = 256  # of a row and one of its contexts
+
+
+def additions(active: DataFrame, lm: NgramModel, ctx: Column, key: str, n_active: int | None = None) -> DataFrame:
+    """``key, part``: what the contexts at the end of ``ctx`` add, a struct (order, tokens,
+    adds) for each of them that was seen in training. The model's side is read by context
+    as it was written; only the rows' contexts move: to every task if ``n_active`` rows
+    fit the broadcast bound, else by hash to the model's buckets."""
+    asked = active.select(key, F.explode(tail_contexts(ctx, lm.order)).alias("l")).select(key, "l.order", "l.ctx").filter("ctx is not null")
+    if n_active is not None and n_active * (lm.order - 1) * ASKED_BYTES <= BROADCAST_BYTES:
+        asked = F.broadcast(asked)
+    return lm.continuations().join(asked, ["order", "ctx"]).select(key, F.struct("order", "tokens", "adds").alias("part"))
 
 
 def _runs(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -138,18 +143,23 @@ def _runs(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64), lists.flatten()
 
 
-def next_tokens(active: DataFrame, lm: NgramModel, shared, cfg: Config, step: int, seen: Column, key: str, carry: list[str]) -> DataFrame:
-    """``key, carry..., next``: one drawn token per row of ``active`` (with ``prompt`` and ``gen``).
+def next_tokens(active: DataFrame, lm: NgramModel, shared, cfg: Config, seen: Column, key: str,
+                n_active: int | None = None) -> DataFrame:
+    """``key, prompt, gen, next``: one drawn token per row of ``active`` (``key`` unique and not null).
 
-    ``shared`` is a broadcast of ``Shared``. The distribution is L3's; temperature (G1),
+    ``shared`` is a broadcast of ``Shared``. Rows are at step ``size(gen)``: nothing in the
+    plan changes from step to step, so its code is compiled once. The distribution is L3's; temperature (G1),
     penalty on the distinct ids of ``seen`` (G2), softmax (G3), nucleus (G4, G5) and the
     seeded draw (G6) are those of ``operators.decoding``.
     """
-    ctx = truncate_context(F.concat("prompt", "gen"), cfg.block_size)
-    rows = active if lm.order == 1 else active.join(additions(active, lm, ctx, key), key, "left")
-    empty = F.array().cast("array<struct<order:int,tokens:array<int>,adds:array<double>>>")
-    parts = F.coalesce("parts", empty) if lm.order > 1 else empty
-    rows = rows.select(key, *carry, hash_unit(cfg.seed, key, F.lit(step)).alias("_u"), F.array_distinct(seen).alias("_seen"), parts.alias("_parts"))
+    carry = ["prompt", "gen"]
+    part = "struct<order:int,tokens:array<int>,adds:array<double>>"
+    rows = active.select(key, *carry, F.lit(None).cast(part).alias("part"))
+    if lm.order > 1:  # a row and its contexts' additions meet in one exchange, on the key
+        ctx = truncate_context(F.concat("prompt", "gen"), cfg.block_size)
+        rows = rows.unionByName(additions(active, lm, ctx, key, n_active), allowMissingColumns=True)
+    rows = rows.groupBy(key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in carry], F.collect_list("part").alias("_parts"))
+    rows = rows.select(key, *carry, hash_unit(cfg.seed, key, F.size("gen")).alias("_u"), F.array_distinct(seen).alias("_seen"), "_parts")
     den, lam, top_p, penalty, mode, v = lm.lambdas[0] + lm.lambdas[1], lm.lambdas, cfg.top_p, cfg.repetition_penalty, cfg.penalty_mode, lm.vocab_size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

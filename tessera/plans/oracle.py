@@ -320,6 +320,8 @@ SELECT * FROM (VALUES (0, '<pad>', 'control'), (1, '<unk>', 'unknown'), (2, '<s>
 UNION ALL SELECT id, word, 'word' FROM vocab"""
 SQL["s7_save_load_model"] = f"""SELECT *, 3000::BIGINT AS saved_iter, 1.25::DOUBLE AS best_val_loss, {BLOCK}::BIGINT AS block_size
 FROM ({SQL["l1_fit_ngram"]})"""
+SQL["s7_resave_model"] = f"""SELECT *, 1500::BIGINT AS saved_iter, 2.0::DOUBLE AS best_val_loss, 2::BIGINT AS n_versions
+FROM ({SQL["l1_fit_ngram"]})"""
 SQL["st_encode_prompts_stream"] = f"""WITH {word_vocab()},
 up AS (SELECT conv_id, turn, 'Q: ' || {strip('text')} || ' A:' AS prompt FROM conversations WHERE role = 'user'),
 uw AS (SELECT conv_id, turn, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos

@@ -533,6 +533,19 @@ def s7_model(spark, d):
                               F.lit(best).alias("best_val_loss"), F.lit(config["block_size"]).cast("bigint").alias("block_size"))
 
 
+@query("s7_resave_model")
+def s7_resave(spark, d):
+    """The resume flow: a model is loaded, saved where it came from, and loaded again."""
+    _, _, lm = _lm_parts(spark, d)
+    path = A.shared_path(spark, "model")
+    A.save_model(lm, path, {"iter": 1000, "best_val_loss": 2.5})
+    first, it, best = A.load_model(spark, path)
+    A.save_model(first, path, {"iter": it + 500, "best_val_loss": best - 0.5})
+    second, it, best = A.load_model(spark, path)
+    return second.counts.select(F.col("order").alias("ctx_order"), "ctx", "token", "n", F.lit(it).cast("bigint").alias("saved_iter"),
+                                F.lit(best).alias("best_val_loss"), F.lit(len(A.versions(spark, path))).cast("bigint").alias("n_versions"))
+
+
 # ---- streaming ---------------------------------------------------------------------------------
 
 

@@ -85,3 +85,52 @@ def test_generation_seen_modes_and_cap(spark):
         assert 1 <= len(r["answer_ids"]) <= 3
         if len(r["answer_ids"]) < 3:
             assert r["answer_ids"][-1] == cfg.eos_id
+
+
+def test_models_are_saved_again_where_they_came_from(spark):
+    _, lm = _setup(spark)
+    path = A.shared_path(spark, "test-resume")
+    A.save_model(lm, path, {"iter": 1, "best_val_loss": 2.0, "config": {"a": 1}})
+    rows = sorted(map(tuple, lm.counts.collect()))
+    for i in (2, 3):
+        back, it, best = A.load_model(spark, path)
+        A.save_model(back, path, {"iter": it + 1, "best_val_loss": best / 2, "config": {"a": i}})
+        again, it, best = A.load_model(spark, path)
+        assert (it, best, A.model_config(spark, path)) == (i, 2.0 ** (2 - i), {"a": i})
+        assert sorted(map(tuple, again.counts.select(lm.counts.columns).collect())) == rows
+        assert sorted(map(tuple, back.counts.select(lm.counts.columns).collect())) == rows  # a loaded model outlives the save
+    assert len(A.versions(spark, path)) == 3
+    text = spark.createDataFrame([(0, [2, 5, 6])], "row_id BIGINT, tokens ARRAY<INT>")
+    from tessera.operators.ngram import score_interpolated
+    a, b = (sorted((r["token"], round(r["logit"], 9)) for r in score_interpolated(text, m).collect()) for m in (lm, again.partitioned()))
+    assert a == b
+
+
+def test_a_save_broken_off_leaves_the_old_artifact(spark):
+    from dataclasses import replace
+
+    import pytest
+    tok, lm = _setup(spark)
+    path = A.shared_path(spark, "test-broken")
+    A.save_model(lm, path, {"iter": 1, "best_val_loss": 2.0})
+    fails = lm.totals.withColumn("total", F.expr("cast(raise_error('lost') as bigint)"))
+    with pytest.raises(Exception, match="lost"):
+        A.save_model(replace(lm, counts=lm.counts.limit(1), totals=fails), path, {"iter": 99, "best_val_loss": 0.0})
+    back, it, best = A.load_model(spark, path)
+    assert (it, best) == (1, 2.0) and back.counts.count() == lm.counts.count()
+    with pytest.raises(Exception, match="lost"):  # a first save broken off is no model
+        A.save_model(replace(lm, totals=fails), path + "-new")
+    assert A.load_model(spark, path + "-new") == (None, 0, math.inf)
+    # tables without a row in the manifest (written, then the driver died) are not seen
+    lm.counts.limit(1).write.parquet(f"{path}/data/half/counts")
+    assert A.load_model(spark, path)[1] == 1
+    A.save_tokenizer(tok, path + "-tok")
+    with pytest.raises(Exception, match="lost"):
+        A.save_tokenizer(replace(tok, vocab=tok.vocab.withColumn("piece", F.expr("raise_error('lost')"))), path + "-tok")
+    assert A.load_tokenizer(spark, path + "-tok").size == tok.size
+    with pytest.raises(FileNotFoundError):
+        A.load_tokenizer(spark, path + "-none")
+    # of two saves with the same number the later one counts
+    rows = spark.read.parquet(f"{path}/manifest")
+    rows.selectExpr("seq", "saved_at + 1 AS saved_at", "'other' AS version", "info").write.mode("append").parquet(f"{path}/manifest")
+    assert A._last(spark, path)["version"] == "other"

@@ -172,10 +172,28 @@ def test_a_generation_step_does_not_move_the_model(spark, wins):
     rows = spark.createDataFrame([(0, [5, 6])], "row_id BIGINT, tokens ARRAY<INT>")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = additions(rows, lm, F.col("tokens"), "row_id")._jdf.queryExecution().executedPlan().toString()
+        plan = additions(rows, lm, F.col("tokens"), "row_id", None)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     join = plan[plan.index("SortMergeJoin"):].splitlines()
     scan = next(i for i, x in enumerate(join) if "FileScan" in x)
     assert "Bucketed: true" in join[scan] and sum("Exchange" in x for x in join) == 1  # the rows' own
     assert not any("Exchange" in x for x in join[scan - 4:scan])
+
+
+def test_losses_do_not_move_the_model(spark, wins):
+    """Without automatic broadcasts, orders 2 and up are joined with no exchange above the
+    model's tables; only the targets move."""
+    lm = fit_ngram(wins, 3, V, LAM)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = token_losses(wins, lm)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tables = [i for i, x in enumerate(plan) if "FileScan" in x and "Bucketed: true" in x]
+    assert len(tables) == 4  # counts and totals of orders 2 and 3
+    for i in tables:
+        j = i - 1
+        while "Join" not in plan[j]:
+            assert "Exchange" not in plan[j] or plan[j].count(":") < plan[i].count(":"), plan[j:i + 1]
+            j -= 1
