@@ -337,6 +337,7 @@ READ = f"""WITH {RECS} SELECT idx,
   CASE WHEN error IS NULL OR error <> 'not_object' THEN answer END AS answer, error FROM classified"""
 SQL["s1_read_qa_json_lines"] = READ
 SQL["s1_read_qa_json_array"] = READ
+SQL["s1_read_qa_json_single_line"] = READ
 SQL["v3_quarantine_malformed"] = f"""WITH {RECS} SELECT idx, CASE WHEN idx % 5 = 0 THEN 'malformed' ELSE error END AS error
   FROM classified WHERE idx % 5 = 0 OR error IS NOT NULL"""
 SQL["v4_report_malformed"] = f"""WITH {RECS} SELECT CASE WHEN idx % 5 = 0 THEN 'malformed' ELSE coalesce(error, 'ok') END AS outcome,

@@ -596,6 +596,21 @@ def s1_read_array(spark, d):
     return _read_back(raw, path, "json_array")
 
 
+@query("s1_read_qa_json_single_line")
+def s1_read_single_line(spark, d):
+    """Raw records written as JSON arrays without any line break (a file for each 100,000
+    records), read back in small byte ranges with their positions and validated."""
+    path = A.shared_path(spark, "records-single-line")
+    raw = inputs.raw_records(spark, d)
+    js = raw.select("idx", F.to_json("value").alias("v"), F.lpad(F.floor(F.col("idx") / 100_000).cast("string"), 12, "0").alias("chunk"))
+    ends = js.groupBy("chunk").agg(F.max("idx").alias("last"))
+    line = F.concat(F.when(F.col("idx") % 100_000 == 0, "[").otherwise(""), "v", F.when(F.col("idx") == F.col("last"), "]").otherwise(","))
+    rows = js.join(ends, "chunk").select("idx", "chunk", line.alias("line"))
+    (rows.repartition("chunk").sortWithinPartitions("chunk", "idx").select("line", "chunk")
+     .write.partitionBy("chunk").mode("overwrite").option("lineSep", " ").text(path))
+    return _read_back(raw, path, "json_array")
+
+
 def _with_malformed(spark, d):
     """The raw records as JSON lines of which every fifth is cut short, read back."""
     path = A.shared_path(spark, "records-malformed")

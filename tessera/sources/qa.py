@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 from tessera.operators.ordering import bucket_scan, bucketed, global_rank
 from tessera.session import cut_lineage
 
-# a JSON string, or one structural character; a lone quote is an error
-_STRUCTURE = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},"]')
+# a JSON string, or one structural character; a lone quote opens a string that goes on
+_STRUCTURE = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},"]', re.S)
+_STRING_END = re.compile(r'(?:[^"\\]|\\.)*"', re.S)
+_QUOTE = re.compile(r'\\.|"', re.S)
+_BLANK = " \t\r\n\ufeff"
 
 
 @contextmanager
@@ -35,95 +38,121 @@ def _last_key_wins(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def _outline(line: str) -> tuple[int, dict[int, int], bool]:
-    """Change of nesting over a line, its commas by nesting relative to the line's start,
-    and whether its strings are closed (JSON strings hold no raw line break)."""
-    depth, commas, closed = 0, {}, True
-    for m in _STRUCTURE.finditer(line):
-        c = m[0]
-        if c in "[{":
-            depth += 1
-        elif c in "]}":
-            depth -= 1
-        elif c == ",":
+def _marks(text: str, inside: bool) -> Iterator[re.Match]:
+    """Structural characters of ``text``, which starts inside or outside a string."""
+    at = 0
+    if inside:
+        end = _STRING_END.match(text)
+        if end is None:
+            return
+        at = end.end()
+    for m in _STRUCTURE.finditer(text, at):
+        if m[0] == '"':
+            return
+        if len(m[0]) == 1:
+            yield m
+
+
+def _outline(text: str, inside: bool) -> tuple[int, list[tuple[int, int]]]:
+    """Change of nesting over a piece of text and its commas by nesting relative to its start."""
+    depth, commas = 0, {}
+    for m in _marks(text, inside):
+        if m[0] == ",":
             commas[depth] = commas.get(depth, 0) + 1
-        elif c == '"':
-            closed = False
-    return depth, commas, closed
+        else:
+            depth += 1 if m[0] in "[{" else -1
+    return depth, list(commas.items())
 
 
-def _cut(line: str, depth: int) -> tuple[list[str], bool]:
-    """Pieces of a line that starts at nesting ``depth``, cut at the commas of the top
-    array, whose own brackets go; and whether nothing else stands outside the array."""
-    parts, at, sound = [], 0, True
-    piece = ""
-    for m in _STRUCTURE.finditer(line):
+def _cut(text: str, depth: int, inside: bool) -> tuple[list[str], bool]:
+    """Parts of a piece of text that starts at nesting ``depth``, cut at the commas of the
+    top array, whose own brackets go; and whether nothing else stands outside the array.
+    The brace added to a file's last piece, below the array, closes nothing and ends it."""
+    parts, at, sound, part, ended = [], 0, depth >= 0, "", False
+    for m in _marks(text, inside):
         c = m[0]
         if c in "[{":
             if depth == 0:
-                sound &= c == "[" and not line[at:m.start()].strip()
+                sound &= c == "[" and not ended and not text[at:m.start()].strip(_BLANK)
                 at = m.end()
             depth += 1
         elif c in "]}":
             depth -= 1
             if depth == 0:
-                sound &= c == "]"
-                piece += line[at:m.start()]
+                sound, ended = sound and c == "]", True
+                part += text[at:m.start()]
+                at = m.end()
+            elif depth == -1:
+                sound &= c == "}" and m.end() == len(text) and not text[at:m.start()].strip(_BLANK)
                 at = m.end()
         elif c == "," and depth == 1:
-            parts.append(piece + line[at:m.start()])
-            piece, at = "", m.end()
+            parts.append(part + text[at:m.start()])
+            part, at = "", m.end()
     if depth == 0:
-        sound &= not line[at:].strip()
-    else:
-        piece += line[at:]
-    return [*parts, piece], sound
+        sound &= not text[at:].strip(_BLANK)
+    elif depth > 0:
+        part += text[at:]
+    return [*parts, part], sound
 
 
-def _array_elements(spark: SparkSession, lines: DataFrame) -> DataFrame:
+def _array_elements(spark: SparkSession, pieces: DataFrame) -> DataFrame:
     """``_file, pos, text`` of the elements of files that hold one JSON array each.
 
-    Files are read by lines, so a large one is split over tasks. A line's nesting is
-    the running sum of what the lines before it open and close; an element's number
-    is the running count of commas at the array's own level; pieces of an element
-    that spans lines are put together again. The working set of a task is a line,
-    and of a group one element.
+    ``pieces`` are the files' texts cut after every closing brace (the reader's record
+    separator), so a large file is split over tasks whether it has line breaks or not.
+    What a piece does to the nesting depends on whether it starts inside a string, so
+    both are worked out where the piece is; the running number of quotes before it tells
+    which holds. The nesting is then a running sum, an element's number the running count
+    of commas at the array's own level, and the parts of an element that spans pieces
+    are put together again. The working set of a task is a piece, and of a group one element.
     """
+    pairs = pa.map_(pa.int64(), pa.int64())
+
     def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_outline(v.as_py()) for v in batch.column("value")]
+            texts = batch.column("value").to_pylist()
+            quotes = pa.array([sum(m[0] == '"' for m in _QUOTE.finditer(t)) % 2 for t in texts], pa.int64())
+            out, within = ([_outline(t, inside) for t in texts] for inside in (False, True))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.int64()),
-                 pa.array([list(f[1].items()) for f in found], pa.map_(pa.int64(), pa.int64())), pa.array([f[2] for f in found])],
-                [*batch.schema.names, "delta", "commas", "closed"])
+                [*batch.columns, quotes, *(pa.array([o[0] for o in x], pa.int64()) for x in (out, within)), *(pa.array([o[1] for o in x], pairs) for x in (out, within))],
+                [*batch.schema.names, "quotes", "d0", "d1", "c0", "c1"])
 
     order = ["_file", "_blk", "_row"]
-    b = bucketed(lines.mapInArrow(outline, "_file string, _blk bigint, _row bigint, value string, delta bigint, commas map<bigint,bigint>, closed boolean"), order)
-    broken = b.groupBy("_file").agg(F.sum("delta").alias("open"), F.every("closed").alias("closed")).filter("open <> 0 or not closed").first()
+    found = pieces.mapInArrow(outline, "_file string, _blk bigint, _row bigint, size bigint, value string, quotes bigint, "
+                                       "d0 bigint, d1 bigint, c0 map<bigint,bigint>, c1 map<bigint,bigint>")
+    b = bucketed(found, order)
+    # the scans carry no text; it is joined back by place
+    marks = bucket_scan(b.withColumn("bytes", F.octet_length("value")).drop("value"), F.col("quotes"), "sum", "before", ["_file"], exclusive=True)
+    inside = F.col("before") % 2 == 1
+    marks = cut_lineage(marks.withColumns({"inside": inside, "delta": F.when(inside, F.col("d1")).otherwise(F.col("d0")),
+                                           "commas": F.when(inside, F.col("c1")).otherwise(F.col("c0"))}).drop("d0", "d1", "c0", "c1"))
+    sums = marks.groupBy("_file").agg(F.sum("delta").alias("open"), (F.sum("quotes") % 2).alias("quote"), (F.max("size") == F.sum("bytes")).alias("brace"))
+    broken = sums.filter("open <> -1 or quote <> 0 or brace").first()
     if broken is not None:
         raise ValueError(f"malformed JSON in {broken['_file']}: brackets or strings are not closed")
-    at = bucket_scan(b, F.col("delta"), "sum", "depth", ["_file"], exclusive=True)
+    at = bucket_scan(marks, F.col("delta"), "sum", "depth", ["_file"], exclusive=True)
     at = at.withColumn("own", F.coalesce(F.try_element_at("commas", F.lit(1).cast("bigint") - F.col("depth")), F.lit(0).cast("bigint")))
     at = bucket_scan(at, F.col("own"), "sum", "first", ["_file"], exclusive=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, pos, text = [], [], []
-            for i, (v, d, first) in enumerate(zip(batch.column("value"), batch.column("depth").to_pylist(), batch.column("first").to_pylist())):
-                pieces, sound = _cut(v.as_py(), d)
+            for i, (v, d, s, first) in enumerate(zip(batch.column("value"), *(batch.column(c).to_pylist() for c in ("depth", "inside", "first")))):
+                parts, sound = _cut(v.as_py(), d, s)
                 if not sound:
                     raise ValueError("malformed JSON: text outside the array of records")
-                rows += [i] * len(pieces)
-                pos += range(first, first + len(pieces))
-                text += pieces
+                rows += [i] * len(parts)
+                pos += range(first, first + len(parts))
+                text += parts
             take = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in order), pa.array(pos, pa.int64()), pa.array(text, pa.string())], [*order, "pos", "text"])
 
-    pieces = at.select(*order, "value", "depth", "first").mapInArrow(cut, "_file string, _blk bigint, _row bigint, pos bigint, text string")
-    whole = (pieces.groupBy("_file", "pos").agg(F.array_sort(F.collect_list(F.struct("_blk", "_row", "text"))).alias("p"))
-             .select("_file", "pos", F.array_join(F.transform("p", lambda x: x["text"]), "\n").alias("text")))
-    # an empty array has one blank piece and no element
-    return whole.filter((F.col("pos") > 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
+    placed = b.select(*order, "value").join(at.select(*order, "depth", "inside", "first"), order)
+    parts = placed.mapInArrow(cut, "_file string, _blk bigint, _row bigint, pos bigint, text string")
+    whole = (parts.groupBy("_file", "pos").agg(F.array_sort(F.collect_list(F.struct("_blk", "_row", "text"))).alias("p"))
+             .select("_file", "pos", F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text")))
+    # an empty array has one blank part and no element
+    return whole.filter((F.col("pos") > 0) | (F.btrim("text", F.lit(_BLANK)) != ""))
 
 
 def _bad_kind(kind):
@@ -156,9 +185,9 @@ def _elements(doc: DataFrame) -> DataFrame:
 def read_qa(spark: SparkSession, path: str, fmt: str = "json_array") -> DataFrame:
     """Read Q&A records as ``idx BIGINT, value VARIANT``.
 
-    * ``json_array``: each file is one JSON array (the reference's format), split
-      by lines into its elements, so the file may be of any size; one line (a whole
-      array without line breaks, say) must fit in a task. Malformed JSON fails the
+    * ``json_array``: each file is one JSON array (the reference's format) of any size,
+      with or without line breaks; it is read in byte ranges by many tasks and cut
+      into its elements. One element must fit in a task. Malformed JSON fails the
       job. A file whose value is no array is read whole and handled as a mapping.
     * ``json_lines``: one JSON value per line, splittable; ``idx`` is the position
       among the lines that are not blank, across files in path order. A malformed
@@ -170,20 +199,19 @@ def read_qa(spark: SparkSession, path: str, fmt: str = "json_array") -> DataFram
 
     A path that does not exist fails at ``read`` (S2), before any work.
     """
-    if fmt in ("json_array", "json_lines"):
-        lines = (spark.read.text(path)
-                 .select(F.col("_metadata.file_path").alias("_file"),
-                         F.col("_metadata.file_block_start").alias("_blk"),
-                         F.monotonically_increasing_id().alias("_row"),
-                         "value")
-                 .filter(F.btrim("value", F.lit(" \t\r\n\ufeff")) != ""))
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_blk"),
+             F.monotonically_increasing_id().alias("_row")]
     if fmt == "json_array":
-        first = lines.groupBy("_file").agg(F.min_by(F.substring(F.btrim("value", F.lit(" \t\r\n\ufeff")), 1, 1), F.struct("_blk", "_row")).alias("c"))
+        # records end at closing braces; the reader drops them, and one is added to a file's last piece
+        raw = spark.read.option("lineSep", "}").text(path)
+        pieces = raw.select(*place, F.col("_metadata.file_size").alias("size"), F.concat("value", F.lit("}")).alias("value"))
+        first = (pieces.filter(F.btrim("value", F.lit(_BLANK)) != "").groupBy("_file")
+                 .agg(F.min_by(F.substring(F.btrim("value", F.lit(_BLANK)), 1, 1), F.struct("_blk", "_row")).alias("c")))
         first = cut_lineage(first)
         others = first.filter(F.col("c") != "[").select("_file")
         mixed = not others.isEmpty()
         with _last_key_wins(spark):
-            el = _array_elements(spark, lines.join(others, "_file", "left_anti") if mixed else lines)
+            el = _array_elements(spark, pieces.join(others, "_file", "left_anti") if mixed else pieces)
             el = el.select("_file", F.col("pos").cast("int").alias("pos"), F.parse_json("text").alias("value"))
             if mixed:
                 doc = (spark.read.text(path, wholetext=True)
@@ -191,6 +219,7 @@ def read_qa(spark: SparkSession, path: str, fmt: str = "json_array") -> DataFram
                 el = el.unionByName(_elements(doc))
             return global_rank(el, ["_file", "pos"], "idx").select((F.col("idx") - 1).alias("idx"), "value")
     if fmt == "json_lines":
+        lines = spark.read.text(path).select(*place, "value").filter(F.btrim("value", F.lit(_BLANK)) != "")
         ranked = global_rank(lines, ["_file", "_blk", "_row"], "idx")
         with _last_key_wins(spark):
             return ranked.select((F.col("idx") - 1).alias("idx"), F.try_parse_json("value").alias("value"))

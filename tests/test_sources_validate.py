@@ -118,3 +118,27 @@ def test_no_text_is_written_to_rank_pairs(spark, monkeypatch):
     turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a")], "conv_id bigint, turn bigint, role string, text string")
     assert [tuple(r) for r in pairs_from_turns(turns).collect()] == [(0, 1, 0, "q", "a")]
     assert seen and not any(c in ("question", "answer", "text") for cols in seen for c in cols)
+
+
+def test_one_line_array_is_read_by_several_tasks(spark, tmp_path):
+    """No line break at all; braces, quotes and backslashes inside strings; byte ranges of
+    a few hundred bytes, so that ranges start in the middle of strings and escapes."""
+    odd = ["}", "{", "}}{", '"', "\\", '\\"}', "]},[", "é}", "\n}", "a,b", "\\\\"]
+    recs = [{"question": f"q{i} {odd[i % 11]}", "answer": odd[i * 7 % 11] * (i % 5), "more": {"k": [i, {"x": odd[i % 3]}]}} for i in range(400)]
+    recs[5:5] = ["text } only", 3, None, [1, "}"], {}]
+    path = _write(tmp_path, "one.json", json.dumps(recs))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "777")
+    try:
+        raw = spark.read.option("lineSep", "}").text(path)
+        assert raw.rdd.getNumPartitions() > 20
+        rows = read_qa(spark, path).selectExpr("idx", "to_json(value) v").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["idx"] for r in sorted(rows)] == list(range(len(recs)))
+    assert [json.loads(r["v"]) for r in sorted(rows)] == recs
+
+
+@pytest.mark.parametrize("text", ['[{"a":"b"}', '[{"a":"b"}]}', '[{"a":"b}]', '[{"a":"b"}] x', '[{"a":"b"}][1]', 'x [{"a":"b"}]', '[{"a":"b"]}', '[{"a":1}}]'])
+def test_malformed_arrays_of_one_line_fail(spark, tmp_path, text):
+    with pytest.raises(Exception, match="(?i)malformed|not a list"):
+        read_qa(spark, _write(tmp_path, "broken.json", text)).selectExpr("to_json(value)").collect()
