@@ -312,6 +312,14 @@ FROM pairs"""
 # ---- inference and artifacts ---------------------------------------------------------------------
 
 SQL["l5_infer"] = "SELECT vec_id, round(list_avg(list_transform(embedding, lambda v: v::DOUBLE)), 6) AS prediction FROM embeddings"
+SQL["l5_infer_skips"] = """SELECT vec_id, CASE WHEN m <= 0 THEN round(m, 6) END AS prediction, CASE WHEN m > 0 THEN 'ValueError: positive mean' END AS error
+FROM (SELECT vec_id, list_avg(list_transform(embedding, lambda v: v::DOUBLE)) AS m FROM embeddings)"""
+SQL["l4_eval_loss_skips"] = f"""WITH {WINDOWS},
+vb AS (SELECT x, y, (row_number() OVER (ORDER BY window_idx) - 1) // 4 AS batch_id FROM splits WHERE split = 'val'),
+bs AS (SELECT batch_id, sum(list_sum(x)) AS s FROM vb GROUP BY batch_id),
+bl AS (SELECT batch_id, avg(ln(1 + t)) AS l FROM (SELECT batch_id, unnest(y) AS t FROM vb) WHERE t <> 0 GROUP BY batch_id)
+SELECT round(coalesce(avg(l) FILTER (s % 3 <> 1), 'inf'::DOUBLE), 6) AS val_loss, count(*) FILTER (s % 3 <> 1) AS n_batches,
+       count(*) FILTER (s % 3 = 1) AS n_skipped FROM bs LEFT JOIN bl USING (batch_id)"""
 SQL["s4_write_prepared"] = f"""WITH {PAIRS}
 SELECT row_number() OVER (ORDER BY md5('42|' || idx::VARCHAR), idx) AS line_no, regexp_replace('Q: ' || {strip('question')} || ' A: ' || {strip('answer')},
   '\\r\\n|[\\n\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]', ' ', 'g') AS line FROM pairs"""
@@ -342,6 +350,8 @@ SQL["v3_quarantine_malformed"] = f"""WITH {RECS} SELECT idx, CASE WHEN idx % 5 =
   FROM classified WHERE idx % 5 = 0 OR error IS NOT NULL"""
 SQL["v4_report_malformed"] = f"""WITH {RECS} SELECT CASE WHEN idx % 5 = 0 THEN 'malformed' ELSE coalesce(error, 'ok') END AS outcome,
   count(*) AS n_records, min(idx) AS first_idx FROM classified GROUP BY 1"""
+SQL["st_quarantine_stream"] = f"""WITH {RECS}, c AS (SELECT idx, question, answer, CASE WHEN idx % 7 = 0 THEN 'malformed' ELSE error END AS error FROM classified)
+SELECT idx, CASE WHEN error IS NULL THEN question END AS question, CASE WHEN error IS NULL THEN answer END AS answer, error FROM c"""
 SQL["v1_classify_typed"] = f"""SELECT u.conv_id, u.turn,
   CASE WHEN a.text IS NULL THEN 'not_string'
        WHEN {strip('u.text')} = '' OR {strip('a.text')} = '' THEN 'empty' END AS error

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from tessera.operators import validate as V
 from tessera.operators import vocab as VO
 from tessera.operators import windows as W
 from tessera.operators.generate import generate
-from tessera.operators.infer import infer
+from tessera.operators.infer import batch_losses, infer, mean_loss
 from tessera.operators.ordering import global_rank
 from tessera.operators.shuffle import sample_input, seeded_shuffle
 from tessera.operators.tokenize import decode, encode, ensure_bos
@@ -505,6 +506,39 @@ def l5_infer(spark, d):
     return out.select("vec_id", _r6("prediction"))
 
 
+def _picky_model():
+    """A user's model that cannot do with vectors of a positive mean."""
+    def predict(x):
+        if x.mean() > 0:
+            raise ValueError("positive mean")
+        return x.mean(axis=1)
+    return predict
+
+
+@query("l5_infer_skips")
+def l5_skips(spark, d):
+    """Batch inference that goes on where the model fails, a vector a batch."""
+    emb = inputs.table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("x"))
+    return infer(emb, _picky_model, "x", batch_size=1, input_length=64, on_error="skip").select("vec_id", _r6("prediction"), "error")
+
+
+def _picky_loss():
+    """A user's loss: mean ln(1 + y) over the real targets; it fails on some batches."""
+    def loss(x, y):
+        if x.sum() % 3 == 1:
+            raise ValueError("odd batch")
+        return np.log1p(y[y != CFG.pad_id]).mean()
+    return loss
+
+
+@query("l4_eval_loss_skips")
+def l4_skips(spark, d):
+    """Validation by batches with a user's loss, without the batches on which it fails."""
+    _, sw, _ = _lm_parts(spark, d)
+    val = SP.assign_batches(sw.filter(F.col("split") == "val"), CFG.generation_batch_size, shuffle=False)
+    return mean_loss(batch_losses(val, _picky_loss)).select(_r6("val_loss"), "n_batches", "n_skipped")
+
+
 @query("s4_write_prepared")
 def s4_write(spark, d):
     recs = seeded_shuffle(_tok_text(spark, d), "idx", CFG.seed)
@@ -550,6 +584,18 @@ def s7_resave(spark, d):
 
 
 
+@query("st_quarantine_stream")
+def st_quarantine(spark, d):
+    """Raw records as a stream of files, every seventh cut short, into two sinks."""
+    raw = inputs.raw_records(spark, d).select("idx", F.to_json("value").alias("value"))
+    cut = F.when(F.col("idx") % 7 == 0, F.substring("value", 1, 3)).otherwise(F.col("value"))
+    source, good, rejected, ckpt = (A.shared_path(spark, f"quarantine-{x}") for x in ("in", "good", "rejected", "ckpt"))
+    raw.select("idx", cut.alias("value")).repartitionByRange(3, "idx").write.parquet(source)
+    ST.quarantine_batches(ST.stream_table(spark, source, "idx BIGINT, value STRING"), good, rejected, ckpt).awaitTermination()
+    ok = spark.read.parquet(good).select("idx", "question", "answer", F.lit(None).cast("string").alias("error"))
+    return ok.unionByName(spark.read.parquet(rejected).select("idx", "error"), allowMissingColumns=True)
+
+
 @query("st_encode_prompts_stream")
 def st_encode(spark, d):
     conv = inputs.table(spark, d, "conversations")

@@ -134,3 +134,30 @@ def test_a_save_broken_off_leaves_the_old_artifact(spark):
     rows = spark.read.parquet(f"{path}/manifest")
     rows.selectExpr("seq", "saved_at + 1 AS saved_at", "'other' AS version", "info").write.mode("append").parquet(f"{path}/manifest")
     assert A._last(spark, path)["version"] == "other"
+
+
+def test_failing_batches_lose_only_themselves(spark):
+    from tessera.operators.infer import batch_losses, mean_loss
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(12)], "k BIGINT, x ARRAY<DOUBLE>").coalesce(1)
+
+    def make():
+        def predict(a):
+            if (a[:, 0] == 5).any():
+                raise RuntimeError("five")
+            return a.sum(axis=1)
+        return predict
+    got = {r["k"]: (r["prediction"], r["error"]) for r in infer(df, make, "x", batch_size=4, input_length=2, on_error="skip").collect()}
+    assert got == {i: (None, "RuntimeError: five") if 4 <= i < 8 else (i + 1.0, None) for i in range(12)}
+    wins = spark.createDataFrame([(i, i // 2, [i, i], [i, 7]) for i in range(7)], "window_idx BIGINT, batch_id BIGINT, x ARRAY<INT>, y ARRAY<INT>")
+
+    def loss_fn():
+        def loss(x, y):
+            assert y.shape == x.shape
+            return 1 / (4 - x[0, 0])  # numpy gives inf at 4, plain integers raise
+        return lambda x, y: 1 / (4 - int(x[0, 0])) + loss(x, y) * 0 if int(x[0, 0]) != 4 else 1 / 0
+    rows = {r["batch_id"]: r for r in batch_losses(wins, loss_fn).collect()}
+    assert rows[2]["loss"] is None and rows[2]["error"].startswith("ZeroDivisionError") and rows[3]["n_windows"] == 1
+    m = mean_loss(batch_losses(wins, loss_fn)).first()
+    assert (m["n_batches"], m["n_skipped"]) == (3, 1) and abs(m["val_loss"] - (1 / 4 + 1 / 2 - 1 / 2) / 3) < 1e-12
+    none = mean_loss(batch_losses(wins.filter("batch_id = 2"), loss_fn)).first()
+    assert none["val_loss"] == math.inf and none["n_batches"] == 0

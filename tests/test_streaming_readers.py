@@ -32,3 +32,36 @@ def test_parquet_reader_applies_the_same_rules(spark, tmp_path):
     df.write.parquet(path)
     got = {r["idx"]: r["error"] for r in classify_qa(read_qa(spark, path, fmt="parquet")).collect()}
     assert got == {0: None, 1: "not_string", 2: "empty"}
+
+
+def test_quarantine_stream_restarts_and_replays(spark, tmp_path):
+    """Two sinks; a restart takes new files only, and a replayed batch adds nothing."""
+    import json
+    import shutil
+    source, good, rejected, ckpt = (str(tmp_path / x) for x in ("in", "good", "rejected", "ckpt"))
+    kinds = [json.dumps({"question": "q", "answer": "a"}), '"text"', '{"question": 1, "answer": "b"}', '{"question": " ", "answer": "b"}', "{", None]
+    want = [None, "not_object", "not_string", "empty", "malformed", "malformed"]
+
+    def add(first):
+        rows = [(first + i, kinds[i % 6]) for i in range(12)]
+        spark.createDataFrame(rows, "idx BIGINT, value STRING").coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = ST.stream_table(spark, source, "idx BIGINT, value STRING")
+        ST.quarantine_batches(stream, good, rejected, ckpt).awaitTermination()
+        out = [(r["idx"], None) for r in spark.read.parquet(good).collect()] + [(r["idx"], r["error"]) for r in spark.read.parquet(rejected).collect()]
+        return sorted(out)
+
+    add(0)
+    add(12)
+    assert run() == [(i, want[i % 6]) for i in range(24)]
+    assert run() == [(i, want[i % 6]) for i in range(24)]
+    add(24)
+    expected = [(i, want[i % 6]) for i in range(36)]
+    assert run() == expected
+    for name in ("2", ".2.crc"):  # the last batch was written but not committed: it is run again
+        (tmp_path / "ckpt" / "commits" / name).unlink(missing_ok=True)
+    shutil.rmtree(tmp_path / "rejected" / "batch=2")  # and had lost its second write
+    assert run() == expected
+    report = {r["outcome"]: r["n_records"] for r in ST.quarantine_report(spark, good, rejected).collect()}
+    assert report == {"ok": 6, "not_object": 6, "not_string": 6, "empty": 6, "malformed": 12}
