@@ -8,11 +8,14 @@ query is exact, the members are codes). Candidates are reranked by exact cosine.
 
 Nothing is lost on the way, whatever the codebooks are:
 
-* Probes. Let x be in list a and y in list b, both nearest to their own centres, at
+* Probes. With ``probes=None``: let x be in list a and y in list b, both nearest to their own centres, at
   distance at most e. How far x lies on its side of the plane between the two
   centres, plus how far y lies on its own side, is at most e; so one of the two is
   within e / 2 of the plane. Every vector probes each list whose plane is within
-  e / 2: every linked pair is met from one side at least.
+  e / 2: every linked pair is met from one side at least. In data without clusters
+  the number of such planes grows with the number of lists, so by default a vector
+  probes only the ``probes`` nearest of them; a pair is then missed if each side has
+  that many nearer planes than the other's. README has the recall measured.
 * Look-ups. The stored code carries its error |y - code|; by the triangle
   inequality a member can be linked only if the looked-up distance is at most e
   plus that error.
@@ -36,12 +39,15 @@ from tessera.llm.common import col, cut_lineage
 from tessera.llm.components import components
 from tessera.llm.simhash import forest
 
+SAMPLE_BYTES = 128 << 20  # of the sample on the driver, at 32 bytes a component
 SLACK = 1e-6  # above the rounding of float arithmetic on unit vectors
 
 
 @dataclass(frozen=True)
 class Settings:
-    """The codebooks are fitted on at most ``sample`` vectors; all vectors are indexed.
+    """The codebooks are fitted on at most ``sample`` vectors (fewer where they would take
+    more than ``SAMPLE_BYTES``); all vectors are indexed. ``probes`` lists beside the own
+    one are probed at most (None: every list that can hold a link).
     ``per_list`` vectors a list on average, up to ``most_lists`` lists; ``parts``
     subspaces of ``words`` codewords; blocks of about ``block`` vectors."""
     sample: int = 16384
@@ -52,6 +58,7 @@ class Settings:
     rounds: int = 8
     block: int = 2048
     seed: int = 3
+    probes: int | None = 12
 
 
 @dataclass(frozen=True)
@@ -94,8 +101,8 @@ def fit(sample: np.ndarray, total: int, cosine: float, s: Settings) -> Codebooks
     return Codebooks(centres, words, float(np.sqrt(max(0.0, 2 - 2 * cosine))) + SLACK)
 
 
-def encode(x: np.ndarray, c: Codebooks) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(list, codes uint8, code error, probed lists without the own one) of unit vectors."""
+def encode(x: np.ndarray, c: Codebooks, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(list, codes uint8, code error, probed lists without the own one, at most ``most``) of unit vectors."""
     square = np.einsum("ij,ij->i", c.centres, c.centres)
     gaps = np.sqrt(np.maximum(square[:, None] + square - 2 * c.centres @ c.centres.T, 0))
     distance = square - 2 * x @ c.centres.T  # squared, less |x|^2
@@ -104,6 +111,12 @@ def encode(x: np.ndarray, c: Codebooks) -> tuple[np.ndarray, np.ndarray, np.ndar
         depth = (distance - distance[np.arange(len(x)), own][:, None]) / (2 * gaps[own])
     probe = ~(depth > c.reach / 2 + SLACK)  # equal centres: always
     probe[np.arange(len(x)), own] = False
+    if most is not None and most < len(c.centres):
+        far = np.where(probe, np.nan_to_num(depth, nan=-1.0), np.inf)  # equal centres first
+        nearest = np.argsort(far, 1, kind="stable")[:, :most]
+        kept = np.zeros_like(probe)
+        np.put_along_axis(kept, nearest, True, 1)
+        probe &= kept
     residual = c.padded(x - c.centres[own])
     codes = np.stack([_nearest(residual[:, p], c.words[p]) for p in range(len(c.words))], 1)
     back = c.words[np.arange(len(c.words)), codes]
@@ -138,8 +151,11 @@ def block_links(q: pd.DataFrame, t: pd.DataFrame, home: int, cosine: float, c: C
     j = np.concatenate(found_j) if found_j else np.zeros(0, np.int64)
     # a pair met from both sides counts where the smaller id asks; inside a list both sides always meet
     qi, tj, ql = q["rep"].to_numpy()[i], t["rep"].to_numpy()[j], q["list"].to_numpy()[i]
-    asked = [home == a or a in set(probes) for a, probes in zip(ql, t["probes"].to_numpy()[j])] if len(i) else []
-    once = (qi != tj) & ((qi < tj) | ~np.array(asked, bool))
+    probed = np.zeros((len(t), len(c.centres)), bool)  # of each member
+    probes = t["probes"].to_numpy()
+    probed[np.repeat(np.arange(len(t)), [len(p) for p in probes]), np.concatenate([*probes, []]).astype(np.int64)] = True
+    probed[:, home] = True
+    once = (qi != tj) & ((qi < tj) | ~probed[j, ql])
     return i[once], j[once]
 
 
@@ -172,13 +188,13 @@ def links(docs: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", c
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
-    taken = classes.orderBy(F.xxhash64(F.lit(s.seed), "rep")).limit(s.sample).select("v").collect()
+    taken = classes.orderBy(F.xxhash64(F.lit(s.seed), "rep")).limit(min(s.sample, max(1, SAMPLE_BYTES // (32 * max(dim, 1))))).select("v").collect()
     books = docs.sparkSession.sparkContext.broadcast(fit(unit(matrix([r["v"] for r in taken])), total, cosine, s))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = batch.column("v").to_pylist()
-            own, codes, error, probes = encode(unit(matrix(vectors)), books.value)
+            own, codes, error, probes = encode(unit(matrix(vectors)), books.value, s.probes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep"), batch.column("copies"), pa.array([len(v) for v in vectors], pa.int32()), batch.column("v"), pa.array(own, pa.int32()),
                  pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array([p.tolist() for p in probes], pa.list_(pa.int32()))],

@@ -190,3 +190,19 @@ def test_substring_edge_cases(docs, empty):
         else:
             assert bytes(r["kept"]) == expected[r["doc_id"]], r["doc_id"]
     assert substring_dedup.remove_repeats(empty).count() == 0
+
+
+def test_recall_of_the_default_probes(spark):
+    """20,000 vectors, 157 lists: the given ones and noisy copies about the threshold."""
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    x = np.array(e.embedding.tolist(), float)
+    rng = np.random.default_rng(6)
+    noise = [x + rng.normal(size=x.shape) * s * np.linalg.norm(x, axis=1)[:, None] / 8 for s in np.linspace(0.05, 0.4, 9)]
+    x = np.concatenate([x, *noise])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    want = np.concatenate([((u[a:a + 2000] @ u.T) >= 0.95).sum(1) - 1 for a in range(0, len(u), 2000)])
+    got = np.zeros(len(x), int)
+    for r in embedding_dedup.near_duplicates(df).collect():
+        got[r["vec_id"]] = r["n_links"]
+    assert want.sum() > 20_000 and (got <= want).all() and got.sum() >= 0.99 * want.sum(), got.sum() / want.sum()
