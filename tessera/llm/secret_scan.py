@@ -20,7 +20,7 @@ from re import _parser as regex_tree
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, cut_lineage, field, lower_ascii, small, unboxed
+from tessera.llm.common import boxed, col, cut_lineage, field, lower_ascii, small, unboxed
 
 MOST_STRINGS = 64  # alternatives kept apart while literals are put together
 
@@ -115,6 +115,13 @@ def candidates(postings: DataFrame, queries: dict[str, list]) -> DataFrame:
     return per_text.select("a", "b", kinds.alias("kinds")).filter(F.size("kinds") > 0)
 
 
+def running_sums(x: Column) -> Column:
+    """Running sums of an integer array in n log n steps: each pass adds what stands 1, 2,
+    4, ... places before. (Appending to an array as it grows would be quadratic.)"""
+    steps = F.slice(F.array(*[F.lit(1 << k) for k in range(31)]), 1, F.ceil(F.log2(F.greatest(F.size(x), F.lit(1)))).cast("int"))
+    return F.aggregate(steps, x, lambda acc, w: F.transform(acc, lambda v, i: v + F.when(i >= w, F.get(acc, i - w)).otherwise(0)))
+
+
 def _spans(text: Column, rule: Rule, order: int, applies: Column) -> Column:
     """Array of (start, order, kind, end) in code points, end exclusive."""
     pattern = F.lit(rule.pattern)
@@ -123,17 +130,17 @@ def _spans(text: Column, rule: Rule, order: int, applies: Column) -> Column:
     # what stands between the matches: with their lengths it gives the offsets
     between = F.split(text, rule.pattern)
     parts = F.arrays_zip(between.alias("gap"), found.alias("m"), value.alias("v"))
-    zero = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>").alias("out"))
 
-    def step(acc, p):
-        start = acc["at"] + F.length(p["gap"])
-        end = start + F.coalesce(F.length(p["m"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        counts = F.coalesce(F.length(p["v"]) >= rule.least, F.lit(False))
-        return F.struct(end.alias("at"), F.when(counts, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def located(ps: Column) -> Column:
+        ends = running_sums(F.transform(ps, lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["m"]), F.lit(0))))
+
+        def span(p, end):
+            whole = F.struct((end - F.length(p["m"])).alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), end.alias("end"))
+            return F.when(F.length(p["v"]) >= rule.least, whole)  # null after the last match
+        return F.array_compact(F.zip_with(ps, ends, span))
 
     none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
-    return F.when(F.size(found) > 0, F.aggregate(parts, zero, step, lambda a: a["out"])).otherwise(none)
+    return F.when(F.size(found) > 0, F.element_at(F.transform(F.array(parts), located), 1)).otherwise(none)
 
 
 def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -153,8 +160,8 @@ def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
     rows = rows.select("row", F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"))
     if indexed:
         vocabulary = sorted({g for q in indexed.values() for clause in q for grams in clause for g in grams})
-        source = docs.select(F.xxhash64(_text(docs, text_col)).alias("a"), F.xxhash64(F.lit("second"), _text(docs, text_col)).alias("b"),
-                             _text(docs, text_col).alias("text"))
+        source = docs.select(F.xxhash64(_text(text_col)).alias("a"), F.xxhash64(F.lit("second"), _text(text_col)).alias("b"),
+                             _text(text_col).alias("text"))
         # written first: the join then has the aggregation behind it and a hot text can be split
         found = small(cut_lineage(candidates(build_index(source, vocabulary), indexed)), 64)
         rows = rows.join(found, ["a", "b"], "left")
@@ -165,8 +172,8 @@ def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
     return unboxed(rows, secrets=F.array_sort(F.concat(*spans)))
 
 
-def _text(docs: DataFrame, text_col: str) -> Column:
-    return F.coalesce(docs[text_col].cast("string"), F.lit(""))
+def _text(text_col: str) -> Column:
+    return F.coalesce(col(text_col).cast("string"), F.lit(""))
 
 
 def span_string(secrets: Column) -> Column:
