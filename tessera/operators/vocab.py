@@ -66,6 +66,26 @@ def alphabet(counts: DataFrame, coverage: float = 1.0, marker: str | None = WORD
             .select("ch", "n", (F.col("n") / F.lit(float(total))).alias("share"), "_r"))
 
 
+def top_words(counts: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` rows in the order (n desc, word), without sorting all of them.
+
+    The ``k`` largest different counts, with how many words have each, fix the count at
+    which the ``k``-th word stands (they are at most ``k`` rows, from a partial aggregate).
+    All words above it stay; of those at it the first by spelling are taken, a top-k in
+    each partition.
+    """
+    if k == 0:
+        return counts.limit(0)
+    left = k
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("n")).limit(k).collect():
+        if r["c"] >= left:
+            tied = counts.filter(F.col("n") == r["n"])
+            tied = tied if r["c"] == left else tied.orderBy("word").limit(left)
+            return counts.filter(F.col("n") > r["n"]).unionByName(tied)
+        left -= r["c"]
+    return counts  # no more than k words
+
+
 def word_vocab(counts: DataFrame, max_size: int | None = None) -> DataFrame:
     """Word-mode vocabulary: id = 4 + 0-based rank by (count desc, word asc).
 
@@ -75,10 +95,10 @@ def word_vocab(counts: DataFrame, max_size: int | None = None) -> DataFrame:
     spark = counts.sparkSession
     # a word that spells a special piece is no ordinary piece: one id a piece
     counts = counts.filter(~F.col("word").isin([p for _, p, _ in SPECIALS]))
-    counts = cut_lineage(counts)  # sampled for range bounds, then ranked
-    ranked = global_rank(counts, [F.desc("n"), "word"], "_r")
+    counts = cut_lineage(counts)  # read for the threshold or sampled for range bounds, then ranked
     if max_size is not None:
-        ranked = ranked.filter(F.col("_r") <= max_size - N_SPECIAL)
+        counts = top_words(counts, max(0, max_size - N_SPECIAL))
+    ranked = global_rank(counts, [F.desc("n"), "word"], "_r")
     words = ranked.select((F.col("_r") + N_SPECIAL - 1).cast("int").alias("id"), F.col("word").alias("piece"),
                           F.lit("word").alias("kind"), F.lit(None).cast("int").alias("merge_rank"))
     return special_tokens(spark).unionByName(words)

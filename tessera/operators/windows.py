@@ -2,9 +2,9 @@
 
 The corpus is one token stream: records in ``idx`` order, each record's ids in
 order. The stream is never built as one array. Each record learns its global
-start (D1) and is cut into the pieces that fall into each window it touches
-(D3); windows are re-assembled by a group on the window id, whose size is
-bounded by ``block + 1`` ids.
+start (D1) and is cut into the pieces that fall into each chunk of the stream that
+it touches; the chunks, a few blocks each, are stored, and windows are slices of
+them (D3).
 """
 
 from __future__ import annotations
@@ -50,6 +50,30 @@ def window_count(df: DataFrame, block: int, step: int, tokens: str = "tokens") -
         .otherwise(F.floor((F.col("n_tokens") - block) / step) + 1).cast("bigint").alias("n_windows"))
 
 
+CHUNK_BLOCKS = 16  # blocks of the stream in a stored chunk
+
+
+def token_chunks(df: DataFrame, block: int, last: int, key: str = "idx", tokens: str = "tokens",
+                 size: int | None = None, buckets: int | None = None) -> DataFrame:
+    """``chunk BIGINT, ids ARRAY<INT>``: the stream in chunks of ``size`` ids, each with the
+    ``block`` ids after it, so that a block and its next id lie in the chunk they start in.
+    Chunks up to stream position ``last``. A record is cut where chunks begin and end, and
+    its pieces meet by chunk: a group holds ``size + block`` ids."""
+    size = size or CHUNK_BLOCKS * block
+    off = global_offsets(df, key, tokens, buckets)
+    a, b = F.col("start"), F.col("start") + F.col("n")
+    lo = F.greatest(F.lit(0), F.floor((a - size - block) / size) + 1).cast("bigint")
+    hi = F.least(F.lit(last // size), F.floor((b - 1) / size)).cast("bigint")
+    touched = (off.filter(F.col("n") > 0).select("start", tokens, lo.alias("lo"), hi.alias("hi")).filter(F.col("lo") <= F.col("hi"))
+               .select("start", tokens, F.explode(F.sequence("lo", "hi")).alias("chunk")))
+    s = F.greatest(F.col("start"), F.col("chunk") * size)
+    e = F.least(F.col("start") + F.size(tokens), F.col("chunk") * size + size + block)
+    piece = F.slice(tokens, (s - F.col("start") + 1).cast("int"), (e - s).cast("int"))
+    parts = touched.select("chunk", F.struct(s.alias("s"), piece.alias("ids")).alias("part"))
+    grouped = parts.groupBy("chunk").agg(F.array_sort(F.collect_list("part")).alias("p"))
+    return grouped.select("chunk", F.flatten(F.transform("p", lambda p: p["ids"])).alias("ids"))
+
+
 def pack_windows(df: DataFrame, block: int, step: int, pad: int = PAD, key: str = "idx",
                  tokens: str = "tokens", buckets: int | None = None) -> DataFrame:
     """``window_idx BIGINT, x ARRAY<INT>, y ARRAY<INT>``.
@@ -57,10 +81,10 @@ def pack_windows(df: DataFrame, block: int, step: int, pad: int = PAD, key: str
     Window ``k`` holds stream ids ``[k*step, k*step + block)`` as ``x`` and the
     same span moved on by one as ``y``; both are right-padded with ``pad`` to
     ``block``. ``step < block`` overlaps windows, ``step > block`` leaves gaps.
-    A record ``[a, b)`` contributes to windows ``max(0, floor((a-block-1)/step)+1)``
-    to ``min(n-1, floor((b-1)/step))``, each time with its overlap with
-    ``[k*step, k*step + block + 1)``. An empty corpus gives one all-pad window.
-    The result is written once (reliable checkpoint) and returned from there.
+    An empty corpus gives one all-pad window.
+
+    Windows are not stored: the stream is, once, in chunks (reliable checkpoint), and a
+    window is a place in a chunk from which ``x`` and ``y`` are sliced when it is read.
     """
     if block <= 0 or step <= 0:
         raise ValueError("block and step must be positive")
@@ -72,24 +96,11 @@ def pack_windows(df: DataFrame, block: int, step: int, pad: int = PAD, key: str
     if n_tok == 0:
         empty = F.array_repeat(F.lit(pad), block)
         return spark.range(1).select(F.col("id").alias("window_idx"), empty.alias("x"), empty.alias("y"))
-    off = global_offsets(df, key, tokens, buckets)
-    a, b = F.col("start"), F.col("start") + F.col("n")
-    lo = F.greatest(F.lit(0), F.floor((a - block - 1) / step) + 1).cast("bigint")
-    hi = F.least(F.lit(nwin - 1), F.floor((b - 1) / step)).cast("bigint")
-    touched = (off.filter(F.col("n") > 0)
-               .select("start", "n", tokens, lo.alias("lo"), hi.alias("hi"))
-               .filter(F.col("lo") <= F.col("hi"))
-               .select("start", tokens, F.explode(F.sequence("lo", "hi")).alias("window_idx")))
-    s = F.greatest(F.col("start"), F.col("window_idx") * step)
-    e = F.least(F.col("start") + F.size(tokens), F.col("window_idx") * step + block + 1)
-    piece = F.slice(tokens, (s - F.col("start") + 1).cast("int"), (e - s).cast("int"))
-    parts = touched.select("window_idx", F.struct(s.alias("s"), piece.alias("ids")).alias("part"))
-    grouped = parts.groupBy("window_idx").agg(F.array_sort(F.collect_list("part")).alias("_parts"))
-    g = F.flatten(F.transform("_parts", lambda p: p["ids"]))
-    wins = grouped.select(
-        "window_idx",
-        pad_right(F.slice(g, 1, block), block, pad).alias("x"),
-        pad_right(F.slice(g, 2, block), block, pad).alias("y"))
-    # the window table is read several times downstream (split counts, the
-    # threshold bucket, labels, batches, model fit): build it once
-    return cut_lineage(wins)
+    size = CHUNK_BLOCKS * block
+    chunks = cut_lineage(token_chunks(df, block, (nwin - 1) * step, key, tokens, size, buckets))
+    begin = F.col("chunk") * size
+    first, last = F.ceil(begin / step), F.least(F.lit(nwin), F.ceil((begin + size) / step)) - 1
+    held = chunks.filter(first <= last).select("chunk", "ids", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"))).alias("window_idx"))
+    at = (F.col("window_idx") * step - begin + 1).cast("int")
+    return held.select("window_idx", pad_right(F.slice("ids", at, F.lit(block)), block, pad).alias("x"),
+                       pad_right(F.slice("ids", at + 1, F.lit(block)), block, pad).alias("y"))

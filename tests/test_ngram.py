@@ -197,3 +197,17 @@ def test_losses_do_not_move_the_model(spark, wins):
         while "Join" not in plan[j]:
             assert "Exchange" not in plan[j] or plan[j].count(":") < plan[i].count(":"), plan[j:i + 1]
             j -= 1
+
+
+def test_capped_vocabulary_sorts_no_more_than_it_keeps(spark):
+    """Ties at the cap go by spelling; the same ids as from ranking all words."""
+    from tessera.operators.vocab import top_words, word_vocab
+    counts = [(f"w{i * 37 % 100:03d}", 1 + (i % 7) * (i % 3)) for i in range(100)]
+    df = spark.createDataFrame(counts, "word STRING, n BIGINT").repartition(5)
+    order = [w for w, _ in sorted(counts, key=lambda r: (-r[1], r[0]))]
+    for k in (0, 1, 2, 13, 50, 99, 100, 150):
+        assert sorted(r["word"] for r in top_words(df, k).collect()) == sorted(order[:k])
+        ids = {r["piece"]: r["id"] for r in word_vocab(df, k + 4).filter("id >= 4").collect()}
+        assert ids == {w: i + 4 for i, w in enumerate(order[:k])}
+    plan = top_words(df, 13)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan

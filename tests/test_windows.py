@@ -75,3 +75,22 @@ def test_offsets_plan_has_no_global_window_over_records(spark):
         # record rows are only scanned inside a bucket; the one window without a
         # partition key runs over per-bucket partials (one row per bucket)
         assert partitioned_by_bucket or arg == "_p", ln
+
+
+def test_windows_are_slices_of_chunks_stored_once(spark):
+    """Chunks of any size give the same windows; windows add no write and no exchange."""
+    from tessera.operators import windows as W
+    stream = [i % 91 + 4 for i in range(1000)]
+    df = spark.createDataFrame([(i, stream[37 * i:37 * i + 37]) for i in range(28)], "idx BIGINT, tokens ARRAY<INT>")
+    for size in (1, 7, 64, 5000):
+        got = {r["chunk"]: r["ids"] for r in W.token_chunks(df, 16, 990, size=size).collect()}
+        assert got == {c: stream[c * size:c * size + size + 16] for c in range(990 // size + 1)}
+    old, W.CHUNK_BLOCKS = W.CHUNK_BLOCKS, 1
+    try:
+        for block, step in ((16, 16), (16, 5), (5, 33), (999, 2)):
+            rows = sorted((r["window_idx"], list(r["x"]), list(r["y"])) for r in W.pack_windows(df, block, step).collect())
+            assert rows == reference_windows(stream, block, step)
+    finally:
+        W.CHUNK_BLOCKS = old
+    plan = W.pack_windows(df, 16, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
