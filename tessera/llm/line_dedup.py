@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, col, cut_lineage, field, small, unboxed
+from tessera.llm.common import BROADCAST_BYTES, boxed, col, cut_lineage, field, small, unboxed
 
 MIN_SITES = 10
 FEW_SITES = 5  # for lines of FEW_WORDS words and more: above the two to four sites that copied documents reach
@@ -85,7 +85,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site_col: st
     hits = (_lines(docs, text_col, *keys).join(common, ["h", "g"], "left_semi").groupBy("a", "b")
             .agg(F.collect_set(F.struct("h", "g")).alias("hits")))  # distinct lines of one text
     hits = cut_lineage(hits)
-    hits = F.broadcast(hits) if hits.agg(F.coalesce(F.sum(F.size("hits") * 48 + 64), F.lit(0))).first()[0] <= 32 << 20 else hits
+    hits = F.broadcast(hits) if hits.agg(F.coalesce(F.sum(F.size("hits") * 48 + 64), F.lit(0))).first()[0] <= BROADCAST_BYTES else hits
 
     own = F.coalesce(field(text_col), F.lit(""))
     rows = boxed(docs).select("row", F.xxhash64(own).alias("a"), F.xxhash64(F.lit("second"), own).alias("b")).join(hits, ["a", "b"], "left")

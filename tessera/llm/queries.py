@@ -118,10 +118,10 @@ FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)
 
 @query
 def op2_line_dedup(spark, sf_dir):
-    """All documents without the lines that stand on ten or more sites."""
-    from tessera.llm.line_dedup import remove_boilerplate
+    """All documents without the lines that stand on ten sites, or on five if they have three words or more."""
+    from tessera.llm.line_dedup import FEW_SITES, remove_boilerplate
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return remove_boilerplate(docs).select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("kept_chars"),
+    return remove_boilerplate(docs, few_sites=FEW_SITES).select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("kept_chars"),
                                            F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
@@ -129,7 +129,8 @@ ORACLE_SQL["op2_line_dedup"] = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT rid, doc_id, source, ls[i] AS line, trim(ls[i], ' ' || chr(9) || chr(13)) AS bare, i
       FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
-c AS (SELECT bare FROM l WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT source) >= 10),
+c AS (SELECT bare FROM l WHERE bare <> '' GROUP BY bare
+      HAVING count(DISTINCT source) >= CASE WHEN regexp_matches(bare, '^([^\x20\x09-\x0D]+[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]') THEN 5 ELSE 10 END),
 k AS (SELECT rid, string_agg(line, chr(10) ORDER BY i) FILTER (bare NOT IN (SELECT bare FROM c)) AS kept,
              count(*) FILTER (bare IN (SELECT bare FROM c)) AS n_removed FROM l GROUP BY rid)
 SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
