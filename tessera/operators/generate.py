@@ -20,6 +20,8 @@ echoed (G10).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,10 @@ from tessera.session import cut_lineage
 COUNT_EVERY = 8  # steps between looks at whether any row is left
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(), key: str = "row_id",
                  tokens: str = "tokens", max_new: int | None = None, seen_mode: str = "all",
                  scores: str = "interpolated") -> DataFrame:
@@ -84,10 +90,8 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
         active = upd.filter(~F.col("done")).drop("done")
         if step % COUNT_EVERY == COUNT_EVERY - 1:  # the rows left never grow, so an old count is a bound
             n_active = active.count()
-    out = active
-    for part in done_parts:
-        out = out.unionByName(part)
-    return out
+            done_parts = [cut_lineage(_union(done_parts))]  # the plan stays short however many steps there are
+    return _union([active, *done_parts])
 
 
 def generate(prompts: DataFrame, lm: NgramModel, tok: Tokenizer, cfg: Config = Config(), key: str = "row_id",
