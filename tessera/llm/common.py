@@ -26,6 +26,12 @@ def boxed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[col(c) for c in df.columns]).alias("row"))
 
 
+def row_schema(df: DataFrame, ddl: str) -> T.StructType:
+    """The schema of the boxed ``row`` and the columns of ``ddl`` (a DDL text of the row's own
+    type would not hold names with dots or blanks)."""
+    return T.StructType([df.schema["row"], *T.StructType.fromDDL(ddl).fields])
+
+
 def field(name: str) -> Column:
     return F.col("row").getField(name)
 

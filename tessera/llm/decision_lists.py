@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, col, field, unboxed
+from tessera.llm.common import boxed, col, field, row_schema, unboxed
 
 # fixed values: bytes that end words, and those that count as symbols
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -114,7 +114,7 @@ def statistics(docs: DataFrame, text_col: str = "text", carry: list[str] | None
             found = np.array([count(t.as_py()) for t in batch.column("text").cast(pa.binary())], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(found[:, i]) for i in range(len(COUNTS)))], ["row", *COUNTS])
 
-    out = rows.mapInArrow(go, f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    out = rows.mapInArrow(go, row_schema(rows, ", ".join(f"{c} bigint" for c in COUNTS)))
     return unboxed(out, stats=F.struct(*COUNTS))
 
 

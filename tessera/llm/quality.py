@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, col, field, unboxed
+from tessera.llm.common import boxed, col, field, row_schema, unboxed
 
 GRAMS = (3, 4, 5)
 BITS = 18
@@ -208,6 +208,5 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
             z = total / np.maximum(count, 1) + base
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(1 / (1 + np.exp(-z)))], ["row", "score"])
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, score double"
-    out = rows.mapInArrow(go, schema)
+    out = rows.mapInArrow(go, row_schema(rows, "score double"))
     return unboxed(out, score=F.col("score"), predicted=(F.col("score") >= threshold).cast("int"))

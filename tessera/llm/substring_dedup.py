@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, col, cut_lineage, field, small, unboxed
+from tessera.llm.common import boxed, col, cut_lineage, field, row_schema, small, unboxed
 
 WINDOW = 100
 GRAM = 32
@@ -308,6 +308,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)), pa.array(kept, pa.binary())],
                                              ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+    schema = row_schema(rows, "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     out = rows.mapInArrow(apply, schema)
     return unboxed(out, **{c: F.col(c) for c in ("n_bytes", "n_removed", "n_spans", "kept")})

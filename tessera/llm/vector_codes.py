@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import boxed, col, field, row_hash, unboxed
+from tessera.llm.common import boxed, col, field, row_hash, row_schema, unboxed
 
 MOST = 1 << 60  # bound of squared distances: four times it fits into 64 bits
 
@@ -174,7 +174,7 @@ def encode(docs: DataFrame, books: list[np.ndarray], vec_col: str = "embedding",
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(error)],
                                              ["row", "code", "error"])
 
-    out = rows.mapInArrow(go, f"row {rows.schema['row'].dataType.simpleString()}, code binary, error bigint")
+    out = rows.mapInArrow(go, row_schema(rows, "code binary, error bigint"))
     return unboxed(out, code=F.col("code"), error=F.col("error"))
 
 

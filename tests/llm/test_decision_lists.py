@@ -77,4 +77,5 @@ def test_odd_rows(spark, docs, empty):
     for df, lab in ((docs, labels), (docs, labels.filter("false")), (empty, labels), (docs.withColumn("stats", dl.F.lit(1)).withColumn("rule", dl.F.lit(2)), labels)):
         out = dl.judge(df, dl.learn(df, lab))
         assert out.count() == df.count() and out.columns[-4:] == ["stats", "base_failed", "rule", "kept"]
+    assert dl.judge(docs.withColumn("a b.c", dl.F.lit(1)), dl.DecisionList()).filter("`a b.c` = 1").count() == docs.count()
     assert {r["kept"] for r in dl.judge(docs, dl.DecisionList()).filter("doc_id = 7 or text is null").collect()} == {False}

@@ -77,3 +77,40 @@ def test_stages_survive_odd_rows(spark, docs, empty):
             out.write.format("noop").mode("overwrite").save()
             assert name == "pack" or out.columns == df.columns
     assert corpus_pipeline.STAGES[1][1](spark, docs.withColumn("n_chars", F.lit(1)), SF_SMALL).filter("n_chars <> length(text)").count() == 0
+
+
+def _plain_features(text, bits):
+    """Buckets of a text's n-grams, words and word pairs, one at a time in Python integers."""
+    p, m = int(quality._P), (1 << 64) - 1
+    joined = b" " + text + b" "
+    blank, byte = [c <= 32 for c in joined], [max(c, 32) + 1 for c in joined]
+    out, words = [], []
+    for g in quality.GRAMS:
+        for i in range(len(joined) - g + 1):
+            if not any(blank[i + 1:i + g - 1]):
+                h = 0
+                for x in byte[i:i + g]:
+                    h = h * p + x & m
+                out.append((((h * p & m) ^ h >> 29) * p & m) >> 64 - bits)
+    for w in text.translate(bytes(32 if c <= 32 else c for c in range(256))).split(b" "):
+        if w:
+            words.append(sum((c + 1) * pow(p, i, 1 << 64) for i, c in enumerate(w)) & m)
+    out += [((((h + 77) * p & m) ^ h >> 29) * p & m) >> 64 - bits for h in words]
+    for a, b in zip(words, words[1:]):
+        x = (b - a + 33) * p & m
+        out.append(((x ^ x >> 29) * p & m) >> 64 - bits)
+    return out
+
+
+def test_scores_from_the_models_own_vectors(spark):
+    """Average of the features' vectors, output layer, softmax: in plain numpy, a text at a time."""
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = quality.fit(df, spark.read.parquet(f"{SF_SMALL}/labels.parquet"), quality.Settings(bits=14, dim=8, least_steps=300))
+    rows = quality.score(df.filter("length(text) < 3000 or text is null"), model).collect()
+    assert len(rows) > 50 and len({round(r["score"], 3) for r in rows}) > 10
+    for r in rows:
+        ids = _plain_features((r["text"] or "").encode(), 14)
+        hidden = model.vectors[ids].astype(float).mean(0) if ids else np.zeros(8)
+        z = model.output.astype(float) @ hidden + model.bias
+        assert abs(r["score"] - np.exp(z[1]) / np.exp(z).sum()) < 1e-5
+        assert r["predicted"] == int(r["score"] >= 0.3)

@@ -65,6 +65,7 @@ def test_odd_rows(spark):
     got = coded.collect()
     assert len(got) == 6 and {r["v"] for r in got if r["vec_id"] == 1} == {"x"} and all(r["error"] >= 0 for r in got)
     assert sorted(r["error"] for r in vc.summed_by(coded, "error", "label", "error").collect())[:2] == [0, 0]
+    assert vc.compress(df.withColumnRenamed("embedding", "e.m b"), vec_col="e.m b")[0].count() == 6
     none, books = vc.compress(df.filter("false"))
     assert none.count() == 0 and vc.codebooks_sha256(books) == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
     with pytest.raises(ValueError):
