@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import col, cut_lineage
+from tessera.llm.common import boxed, col, cut_lineage, field, row_hash, row_schema, unboxed
 
 CAPACITY = 4096
 EOS = 2
@@ -33,6 +34,7 @@ PIECES = "doc_id {id}, start bigint, length bigint, ids_crc32 bigint, doc_tokens
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"(?!.*<\|)[{_LETTERS}0-9!-/:-@\[-`{{-~]+\Z")
 _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+_LETTERS_ONLY = re.compile(rf"[{_LETTERS}]+\Z")  # one piece
 _ODD_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")  # blank to str.split, not to the tokenizer
 
 
@@ -60,11 +62,14 @@ class WordIds(dict):
         if ids is None:
             if len(self.pieces) >= self.cap:
                 self.pieces.clear()
-            ids = np.array([t.id for t in self.model.tokenize(p.translate(self.spelt))], "<u4").tobytes()
+            found = [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(self.spelt))]
+            ids = struct.pack(f"<{len(found)}I", *found)
             self.pieces[p] = ids
         return ids
 
     def _chunk(self, w: str) -> bytes:
+        if len(w) < 200 and _LETTERS_ONLY.match(w):
+            return self._piece(w.lower())
         if len(w) < 200 and _PLAIN.match(w):
             return b"".join(map(self._piece, _PIECE.findall(w.lower())))
         return np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
@@ -184,40 +189,36 @@ def lay_out(patterns: list, capacity: int) -> dict[int, np.ndarray]:
 def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = RANK_BUCKETS) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` (gapless from 0 in a sequence) to piece rows.
 
-    ``pieces`` has ``doc_id``, ``start``, ``length`` (1..capacity); other columns
-    are carried. Rows alike in all columns are interchangeable. An empty table
-    gives no rows. The pieces are written once to the checkpoint folder, since
-    they are read for the histogram and for the ranks. Ranks within a length are
-    numbered in ``buckets`` hash slices: a length that holds a third of all rows
-    (whole pieces, say) is never in one task.
+    ``pieces`` has ``length`` (1..capacity); all other columns are carried, whatever
+    their names, but input columns called ``sequence_id`` or ``offset`` are replaced.
+    Rows alike in all columns are interchangeable. An empty table gives no rows. The
+    pieces are written once to the checkpoint folder, since they are read for the
+    histogram and for the ranks. Ranks within a length are numbered in ``buckets`` hash
+    slices: a length that holds a third of all rows (whole pieces, say) is never in one task.
     """
-    pieces = cut_lineage(pieces)
-    names = pieces.columns
-    hashed = pieces.withColumn("_u", F.xxhash64(*[col(c) for c in names]))
-    hashed = hashed.withColumn("_b", F.pmod("_u", F.lit(buckets)))
-    sliced = hashed.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = boxed(cut_lineage(pieces))
+    hashed = rows.select("row", field("length").cast("bigint").alias("n"), row_hash(rows, 42).alias("u"))
+    hashed = hashed.withColumn("b", F.pmod("u", F.lit(buckets)))
+    sliced = hashed.groupBy("n", "b").agg(F.count(F.lit(1)).alias("c"))
+    counts = {int(r["n"]): int(r["c"]) for r in hashed.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
     slots = lay_out(pack_histogram(counts, capacity), capacity)
 
-    running = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    before = sliced.select("length", "_b", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"))
-    ranked = (hashed.withColumn("_k", F.row_number().over(Window.partitionBy("length", "_b").orderBy("_u")))
-              .join(before, ["length", "_b"])
-              .withColumn("_rank", F.col("_before") + F.col("_k") - 1)
-              .select(*[col(c) for c in names], "_rank"))
+    running = Window.partitionBy("n").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    before = sliced.select("n", "b", F.coalesce(F.sum("c").over(running), F.lit(0)).alias("before"))
+    ranked = (hashed.withColumn("k", F.row_number().over(Window.partitionBy("n", "b").orderBy("u")))
+              .join(before, ["n", "b"]).select("row", "n", (F.col("before") + F.col("k") - 1).alias("rank")))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("_rank").to_numpy(zero_copy_only=False)
+            length = batch.column("n").to_numpy(zero_copy_only=False)
+            rank = batch.column("rank").to_numpy(zero_copy_only=False)
             seq, off = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
             for n in np.unique(length):
                 own, rows = length == n, slots[int(n)]
                 first, base, start, times = rows[np.searchsorted(rows[:, 0], rank[own], "right") - 1].T
                 i = rank[own] - first
                 seq[own], off[own] = base + i // times, start + i % times * n
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(seq), pa.array(off)],
-                                             [*names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(seq), pa.array(off)], ["row", "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInArrow(place, schema + ", sequence_id bigint, offset bigint")
+    out = ranked.mapInArrow(place, row_schema(ranked, "sequence_id bigint, offset bigint"))
+    return unboxed(out, sequence_id=F.col("sequence_id"), offset=F.col("offset"))

@@ -101,3 +101,34 @@ def test_pack_documents(spark):
     rows = pack(token_pieces(documents, PATH)).collect()
     by = check_packed(rows, [(r["doc_id"], r["text"]) for r in documents.collect()])
     assert sum(r["length"] for r in rows) / (len(by) * 4096) > 0.97
+
+
+def test_shards_against_a_plain_ranking(spark):
+    """Every row's shard and slot from its definition: fractional ranks in plain Python."""
+    from fractions import Fraction
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "source")
+    rows = [(r["doc_id"], "null" if r["source"] is None else "=" + r["source"], r["u"]) for r in docs.withColumn("u", F.xxhash64(F.lit(17), "doc_id")).collect()]
+    order = []
+    for s in {r[1] for r in rows}:
+        own = sorted((u, i) for i, t, u in rows if t == s)
+        order += [(Fraction(2 * k + 1, 2 * len(own)), s.encode(), u, i) for k, (u, i) in enumerate(own)]
+    want, taken = {}, Counter()
+    for pos, (_, _, _, i) in enumerate(sorted(order)):
+        shard = pos * 24 // len(rows)
+        want[i] = (shard, taken[shard])
+        taken[shard] += 1
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in interleave_shards(docs, 24).collect()} == want
+
+
+def test_packing_carries_columns_of_any_name(spark):
+    rows = [(i, 5 + i % 3, 222, "b", i * 2, {"k": i}, 7) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, length bigint, _u int, `_b` string, offset bigint, m map<string,int>, sequence_id int")
+    out = pack(df.withColumn("ro.w", F.lit(1)), 20)
+    assert out.columns == ["doc_id", "length", "_u", "_b", "m", "ro.w", "sequence_id", "offset"]
+    got = out.collect()
+    assert {(r["doc_id"], r["_u"], r["_b"], r["m"]["k"]) for r in got} == {(i, 222, "b", i) for i in range(40)}
+    used = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == used.get(r["sequence_id"], 0)
+        used[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(used.values()) <= 20
