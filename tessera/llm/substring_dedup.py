@@ -7,15 +7,20 @@ corpus is removed. Three steps make one global question many local ones:
    anchor; equal windows have equal anchors, whatever surrounds them. Consecutive
    windows with one anchor are a stretch: the bytes they cover. Anchors of one
    stretch only, in which no two windows can be equal, go.
-2. Index. Stretches are dealt by anchor into buckets of bounded size. The distinct
-   stretches of a bucket, in corpus order, are put into one Burrows-Wheeler
-   transform, kept as runs: start, symbol, LF target, and at the run ends the text
-   position samples. Runs are also cut where the first ``window`` symbols change,
-   and each piece samples its earliest position.
-3. Matching statistics. All stretches of the bucket stream through the runs by LF
-   steps, from their ends to their starts; at each step a stretch's suffix is in one
-   run piece, whose matches of ``window`` symbols or more have a known earliest
-   position. A suffix that is not the earliest marks its window.
+2. Index. Stretches are dealt by anchor into buckets of bounded size. In a bucket the
+   first stretch of each anchor, in corpus order, goes into a Burrows-Wheeler
+   transform that is kept as runs: first row, symbol, LF target, and the text
+   positions sampled at both ends of each run.
+3. Matching statistics. The other stretches stream through that index from their
+   ends to their starts. Where the symbol to be read is not the one before the
+   current row, the match goes on at the end of the nearest run of that symbol that
+   shares the longer context. Windows matched in full have an earlier start and are
+   marked. What a stream still holds unmarked takes part in the next round, whose
+   index takes twice as many stretches of each anchor. So repetitive text is streamed
+   and never indexed, a stretch is indexed at most once, and the number of rounds is
+   the logarithm of the most unlike stretches that one anchor has. Among the texts of
+   one index, runs are also cut where the first ``window`` symbols change, and the
+   earliest position of such pieces marks all later ones.
 
 An anchor with more than ``HOT`` stretches (a passage in a great many texts) does not
 go into a bucket: its windows are grouped by content hash in a plain aggregation,
@@ -88,8 +93,8 @@ def _sorted_ranks(high: np.ndarray, low: np.ndarray, bits: int) -> tuple[np.ndar
 class RunIndex:
     """Run-compressed Burrows-Wheeler transform of texts, in the given order.
 
-    ``marks`` streams the texts back through it and tells which of their windows
-    have an earlier equal window in the collection.
+    ``marks`` tells which windows of these texts have an earlier equal window among
+    them; ``matched`` streams other texts and tells which of their windows it holds.
     """
 
     def __init__(self, texts: list[bytes], window: int):
@@ -97,8 +102,9 @@ class RunIndex:
         # symbols: 0 ends a text, a byte is its value + 1; UTF-8 never has the byte 255
         data = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8) + np.uint8(1)
         n = len(data)
-        self.ends = np.flatnonzero(data == 0)
+        self.data, self.ends = data, np.flatnonzero(data == 0)
         to_end = self.ends[np.searchsorted(self.ends, np.arange(n))] - np.arange(n)
+        self.shared: list[tuple[int, np.ndarray]] = []  # (width, rank of the first `width` symbols), narrow to wide
         order, same = self._suffix_array(data, to_end)
         symbol = data[order - 1]  # the symbol before each suffix; before the first text: an end
         # LF: rows keep their order within a symbol
@@ -107,21 +113,27 @@ class RunIndex:
         run = np.concatenate([[True], symbol[1:] != symbol[:-1]])
         self.start = np.flatnonzero(run)
         size = np.diff(np.concatenate([self.start, [n]]))
-        by_symbol = np.argsort(symbol[self.start], kind="stable")
+        self.symbol = symbol[self.start].astype(np.int64)
+        # the text positions at both ends of each run: all that is kept of the suffix order
+        self.first_at, self.last_at = order[self.start], order[self.start + size - 1]
+        self.last = self.start + size - 1
+        self.by_symbol = np.argsort(self.symbol, kind="stable")
         before = np.empty(len(self.start), np.int64)
-        head = symbol[self.start][by_symbol]
-        total = np.cumsum(size[by_symbol]) - size[by_symbol]
+        head = self.symbol[self.by_symbol]
+        self.symbol_run = head * len(self.start) + self.by_symbol  # ascending: finds the next run of a symbol
+        total = np.cumsum(size[self.by_symbol]) - size[self.by_symbol]
         first = np.concatenate([[True], head[1:] != head[:-1]])
-        before[by_symbol] = total - total[np.flatnonzero(first)][np.cumsum(first) - 1]
-        self.target = start_of[symbol[self.start]] + before
+        before[self.by_symbol] = total - total[np.flatnonzero(first)][np.cumsum(first) - 1]
+        self.target = start_of[self.symbol] + before
         # pieces: runs cut where the first `window` symbols change; their earliest positions
-        cut = run | ~same
-        self.piece = np.flatnonzero(cut)
-        earliest = np.minimum.reduceat(order, self.piece)
-        group = (~same)[self.piece].cumsum() - 1
-        least = np.full(int(group[-1]) + 1, n, np.int64)
-        np.minimum.at(least, group, earliest)
-        self.earliest = least[group]
+        self.repeats = bool(same.any())
+        if self.repeats:
+            self.piece = np.flatnonzero(run | ~same)
+            earliest = np.minimum.reduceat(order, self.piece)
+            group = (~same)[self.piece].cumsum() - 1
+            least = np.full(int(group[-1]) + 1, n, np.int64)
+            np.minimum.at(least, group, earliest)
+            self.earliest = least[group]
 
     def _suffix_array(self, data: np.ndarray, to_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix order (text ends compare by position) and which neighbours share ``window`` symbols."""
@@ -146,6 +158,8 @@ class RunIndex:
             change |= to_end[order] < width  # an end within reach: unlike every other suffix
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(change) - 1
+            if width < self.window:
+                self.shared.append((width, rank))
             if shared is None and 2 * width >= self.window:
                 step = self.window - width
                 if step <= 0:
@@ -162,45 +176,124 @@ class RunIndex:
         same[1:] = (a[x] == a[y]) & (b[x] == b[y]) & (to_end[x] >= self.window) & (to_end[y] >= self.window)
         return order, same
 
+    def _flat(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(one flag per window start of all texts, where each text's flags begin)."""
+        base = np.concatenate([[0], np.cumsum(np.maximum(0, lengths - self.window + 1))])
+        return np.zeros(int(base[-1]), bool), base
+
     def marks(self) -> list[np.ndarray]:
         """Per text: for each window start, whether an equal window starts earlier."""
-        out = [np.zeros(max(0, int(n) - self.window + 1), bool) for n in self.lengths]
-        flat = np.zeros(int(sum(map(len, out))), bool)
-        base = np.cumsum([0] + [len(x) for x in out])
-        live = np.arange(len(self.lengths))
+        flat, base = self._flat(self.lengths)
+        live = np.arange(len(self.lengths)) if self.repeats else np.zeros(0, np.int64)
         row = live.copy()  # the row of a text's end: ends sort first, by position
         for step in range(1, int(self.lengths.max(initial=0)) + 1):
             on = self.lengths[live] >= step
             live, row = live[on], row[on]
+            if not len(live):
+                break
             k = np.searchsorted(self.start, row, "right") - 1
             row = self.target[k] + row - self.start[k]
             if step >= self.window:
                 piece = np.searchsorted(self.piece, row, "right") - 1
                 place = self.lengths[live] - step
                 flat[base[live] + place] = self.earliest[piece] < self.ends[live] - step
-        return [flat[base[i]:base[i + 1]] for i in range(len(out))]
-
-
-def bucket_marks(ids: np.ndarray, first: np.ndarray, texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return [flat[base[i]:base[i + 1]] for i in range(len(self.lengths))]
+
+    def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """How many symbols the suffixes at ``x`` and ``y`` share, exact below a window and then at
+        least a window less one; a suffix and itself give any number."""
+        n, out = len(self.data), np.zeros(len(x), np.int64)
+        x, y = x.copy(), y.copy()
+        for width, rank in reversed(self.shared):
+            step = np.where(rank[x] == rank[y], width, 0)
+            x, y, out = np.minimum(x + step, n - 1), np.minimum(y + step, n - 1), out + step
+        open_ = np.ones(len(x), bool)
+        for j in range(self.shared[0][0] - 1):  # less than the narrowest width is left
+            a = self.data[np.minimum(x + j, n - 1)]
+            open_ &= (a == self.data[np.minimum(y + j, n - 1)]) & (a != 0)
+            out += open_
+        return out
+
+    def matched(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Per text that is not in the index: for each window start, whether the index holds that window.
+
+        One step for all texts at a time prepends a symbol to each one's longest match
+        (row, text position, length). A text is left as soon as its match ends before
+        the first window does: no window further left can be held then.
+        """
+        window, runs = self.window, len(self.start)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        data = np.frombuffer(b"".join(texts), np.uint8) + np.uint8(1)
+        begin = np.cumsum(lengths) - lengths
+        flat, base = self._flat(lengths)
+        live = np.flatnonzero(lengths >= window)
+        at, row = lengths[live], np.zeros(len(live), np.int64)
+        place, length = np.full(len(live), self.first_at[0]), np.zeros(len(live), np.int64)
+        while len(live):
+            at = at - 1
+            symbol = data[begin[live] + at].astype(np.int64)
+            k = np.searchsorted(self.start, row, "right") - 1
+            off = np.flatnonzero(self.symbol[k] != symbol)
+            lost = off[:0]
+            if len(off):  # no match goes on from here: over to the nearest runs of the symbol, above and below
+                wanted = symbol[off]
+                i = np.searchsorted(self.symbol_run, wanted * runs + k[off])
+                above, below = self.by_symbol[np.maximum(i - 1, 0)], self.by_symbol[np.minimum(i, runs - 1)]
+                there = np.concatenate([place[off], place[off]])
+                share = self.common(there, np.concatenate([self.last_at[above], self.first_at[below]]))
+                up = np.where((i > 0) & (self.symbol[above] == wanted), share[:len(off)], -1)
+                down = np.where((i < runs) & (self.symbol[below] == wanted), share[len(off):], -1)
+                high = up >= down
+                k[off] = np.where(high, above, below)
+                row[off] = np.where(high, self.last[above], self.start[below])
+                place[off] = np.where(high, self.last_at[above], self.first_at[below])
+                best = np.maximum(up, down)
+                length[off] = np.minimum(length[off], best)
+                lost = off[best < 0]  # a symbol that the index lacks
+            row, place, length = self.target[k] + row - self.start[k], place - 1, length + 1
+            row[lost], place[lost], length[lost] = 0, self.first_at[0], 0
+            whole = length >= window
+            flat[base[live[whole]] + at[whole]] = True
+            on = (at > 0) & (at + length >= window)
+            live, at, row, place, length = live[on], at[on], row[on], place[on], length[on]
+        return [flat[base[i]:base[i + 1]] for i in range(len(texts))]
+
+
+def bucket_marks(ids: np.ndarray, first: np.ndarray, anchor: np.ndarray, again: np.ndarray, texts: list[bytes],
+                 window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end) byte runs to remove; row numbers the given stretches, which
-    start at ``first`` of document ``ids`` and hold their windows' bytes."""
-    order = np.lexsort((first, ids)).tolist()
-    lead: dict[bytes, int] = {}
+    start at ``first`` of document ``ids`` and hold their windows' bytes. ``again``:
+    whether a stretch may hold two equal windows."""
+    left = np.lexsort((first, ids))
+    found = [np.zeros(max(0, len(t) - window + 1), bool) for t in texts]
+    take = 1
+    while True:
+        # stretches of one anchor side by side, in corpus order
+        left = left[np.argsort(anchor[left], kind="stable")]
+        head = np.flatnonzero(np.concatenate([[True], anchor[left][1:] != anchor[left][:-1]])) if len(left) else left
+        size = np.diff(np.concatenate([head, [len(left)]]))
+        nth, size = np.arange(len(left)) - np.repeat(head, size), np.repeat(size, size)
+        useful = (size > 1) | again[left]
+        left, nth = left[useful], nth[useful]
+        if not len(left):
+            break
+        held, rest = left[nth < take], left[nth >= take]
+        held = held[np.lexsort((first[held], ids[held]))]
+        index = RunIndex([texts[i] for i in held], window)
+        for i, m in zip(held, index.marks()):
+            found[i] |= m
+        for i, m in zip(rest, index.matched([texts[i] for i in rest])):
+            found[i] |= m
+        left = np.array([i for i in rest if not found[i].all()], np.int64)
+        take *= 2
     rows, start, end = [], [], []
-    for i in order:
-        if lead.setdefault(texts[i], i) != i:  # an earlier stretch is equal: all of it goes
-            rows.append(i)
-            start.append(int(first[i]))
-            end.append(int(first[i]) + len(texts[i]))
-    heads = list(lead.values())
-    if len(heads) > 1 or any(len(texts[i]) > window for i in heads):
-        for i, m in zip(heads, RunIndex([texts[i] for i in heads], window).marks()):
-            if m.any():
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], m.view(np.int8), [0]])))
-                for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                    rows.append(i)
-                    start.append(int(first[i]) + s)
-                    end.append(int(first[i]) + e - 1 + window)
+    for i, m in enumerate(found):
+        if m.any():
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], m.view(np.int8), [0]])))
+            for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                rows.append(i)
+                start.append(int(first[i]) + s)
+                end.append(int(first[i]) + e - 1 + window)
     return np.array(rows, np.int64), np.array(start, np.int64), np.array(end, np.int64)
 
 
@@ -228,31 +321,32 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
         for batch in batches:
             for r in range(0, batch.num_rows, 256):
                 part = batch.slice(r, 256)
-                at, keys, starts, bodies = [], [], [], []
+                at, keys, starts, twice, bodies = [], [], [], [], []
                 for i, t in enumerate(part.column("text")):
                     t = t.as_py()
-                    anchor, first, n, _ = stretches(t, window)
+                    anchor, first, n, again = stretches(t, window)
                     at.append(np.full(len(anchor), i))
                     keys.append(anchor)
                     starts.append(first)
+                    twice.append(again)
                     bodies += [t[s:s + k + window - 1] for s, k in zip(first.tolist(), n.tolist())]
                 at = pa.array(np.concatenate(at))
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in ("id", "a", "b")), pa.array(np.concatenate(keys)),
-                                                  pa.array(np.concatenate(starts)), pa.array(bodies, pa.binary())],
-                                                 ["id", "a", "b", "anchor", "first", "body"])
+                                                  pa.array(np.concatenate(starts)), pa.array(np.concatenate(twice)), pa.array(bodies, pa.binary())],
+                                                 ["id", "a", "b", "anchor", "first", "again", "body"])
 
     repeated = cut_lineage(distinct.select("text").mapInArrow(anchors, "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     total, hottest = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    found = distinct.mapInArrow(cut, "id bigint, a bigint, b bigint, anchor bigint, first bigint, body binary").join(small(repeated, 16), "anchor")
+    found = distinct.mapInArrow(cut, "id bigint, a bigint, b bigint, anchor bigint, first bigint, again boolean, body binary").join(small(repeated, 16), "anchor")
 
     def mark(table: pa.Table) -> pa.Table:
-        row, s, e = bucket_marks(table["id"].to_numpy(), table["first"].to_numpy(), table["body"].to_pylist(), window)
+        row, s, e = bucket_marks(*(table[c].to_numpy() for c in ("id", "first", "anchor", "again")), table["body"].to_pylist(), window)
         at = pa.array(row)
         return pa.table({"a": table["a"].take(at), "b": table["b"].take(at), "s": pa.array(s), "e": pa.array(e)})
 
     buckets = max(1, -(-int(total) // bucket))
     runs = (found.filter(F.col("n") <= hot).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-            .select("bucket", "id", "a", "b", "first", "body").groupBy("bucket").applyInArrow(mark, "a bigint, b bigint, s bigint, e bigint"))
+            .select("bucket", "id", "a", "b", "anchor", "first", "again", "body").groupBy("bucket").applyInArrow(mark, "a bigint, b bigint, s bigint, e bigint"))
     if hottest > hot:
         each = (found.filter(F.col("n") > hot).select("id", "a", "b", "first", "body", F.explode(F.sequence(F.lit(1), F.length("body") - (window - 1))).alias("o"))
                 .select("a", "b", (F.col("first") + F.col("o") - 1).alias("s"), "id", F.substring(F.col("body"), F.col("o"), F.lit(window)).alias("w"))

@@ -192,6 +192,53 @@ def test_substring_edge_cases(docs, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_matching_statistics_against_substrings():
+    """Texts that are not in the index: what it holds of them, mismatches and unknown symbols included."""
+    rng = np.random.default_rng(1)
+    for w in (8, 10, 13, 40, 100):
+        for _ in range(25):
+            base = ["".join(rng.choice(list("abc"), rng.integers(3 * w // 2, 4 * w))).encode() for _ in range(4)]
+
+            def text():
+                t = b"".join(base[rng.integers(0, 4)][rng.integers(0, w):][:rng.integers(1, 4 * w)] for _ in range(rng.integers(1, 4)))
+                return t + b"q" * int(rng.integers(0, w * 2)) * (rng.random() < 0.2)
+            held, others = [text() for _ in range(rng.integers(1, 8))], [text() for _ in range(8)] + [b"", b"zz" * w]
+            others.append(held[0])
+            index, there = substring_dedup.RunIndex(held, w), {t[i:i + w] for t in held for i in range(len(t) - w + 1)}
+            for t, m in zip(others, index.matched(others)):
+                assert m.tolist() == [t[i:i + w] in there for i in range(len(t) - w + 1)]
+            seen, late = set(), []
+            for t in held:
+                for i in range(len(t) - w + 1):
+                    late.append(t[i:i + w] in seen)
+                    seen.add(t[i:i + w])
+            assert np.concatenate([*index.marks(), []]).astype(bool).tolist() == late
+
+
+def test_repetitive_texts_have_few_runs_and_are_indexed_once(monkeypatch):
+    """4,000 copies of a passage with one changed byte each: runs far fewer than symbols, and of the
+    stretches with one anchor only the first few go into an index, the rest are streamed."""
+    rng = np.random.default_rng(2)
+    passage = bytes(rng.integers(97, 123, 160, np.uint8))
+    texts = []
+    for _ in range(4000):
+        t = bytearray(passage)
+        t[rng.integers(0, 8)] = 65 + rng.integers(0, 3)  # only the first windows differ, in 24 ways
+        texts.append(bytes(t))
+    index = substring_dedup.RunIndex(texts[:1000], 100)
+    assert len(index.start) * 20 < len(index.data)
+    held, build = [], substring_dedup.RunIndex.__init__
+    monkeypatch.setattr(substring_dedup.RunIndex, "__init__", lambda self, t, w: (held.append(len(t)), build(self, t, w))[1])
+    n = len(texts)
+    rows, start, end = substring_dedup.bucket_marks(np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool), texts, 100)
+    assert sum(held) <= 63
+    gone = {int(r): [] for r in rows}
+    for r, s, e in zip(rows.tolist(), start.tolist(), end.tolist()):
+        gone[r] += range(s, e)
+    for i, (kept, _) in enumerate(cleaned(list(enumerate(t.decode() for t in texts)), 100)):
+        assert bytes(np.delete(np.frombuffer(texts[i], np.uint8), sorted(set(gone.get(i, []))))) == kept
+
+
 def test_recall_of_the_default_probes(spark):
     """20,000 vectors, 157 lists: the given ones and noisy copies about the threshold."""
     e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
