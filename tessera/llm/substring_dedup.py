@@ -16,9 +16,10 @@ corpus is removed. Three steps make one global question many local ones:
    current row, the match goes on at the end of the nearest run of that symbol that
    shares the longer context. Windows matched in full have an earlier start and are
    marked. What a stream still holds unmarked takes part in the next round, whose
-   index takes twice as many stretches of each anchor. So repetitive text is streamed
-   and never indexed, a stretch is indexed at most once, and the number of rounds is
-   the logarithm of the most unlike stretches that one anchor has. Among the texts of
+   index takes ``GROW`` times as many stretches of each anchor; equal stretches share
+   one stream. So repetitive text is streamed and never indexed, a stretch is indexed
+   at most once, and the number of rounds is the logarithm of the most unlike
+   stretches that one anchor has. Among the texts of
    one index, runs are also cut where the first ``window`` symbols change, and the
    earliest position of such pieces marks all later ones.
 
@@ -42,6 +43,7 @@ WINDOW = 100
 GRAM = 32
 HOT = 50_000
 BUCKET = 5_000        # stretches in a bucket on average
+GROW = 4              # how many times more stretches of an anchor the next round's index takes
 SPAN = 1 << 20        # window starts looked at together
 _M = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(SPAN - 1)
@@ -125,6 +127,7 @@ class RunIndex:
         first = np.concatenate([[True], head[1:] != head[:-1]])
         before[self.by_symbol] = total - total[np.flatnonzero(first)][np.cumsum(first) - 1]
         self.target = start_of[self.symbol] + before
+        self.into = np.searchsorted(self.start, self.target, "right") - 1  # the run that the target is in
         # pieces: runs cut where the first `window` symbols change; their earliest positions
         self.repeats = bool(same.any())
         if self.repeats:
@@ -176,28 +179,41 @@ class RunIndex:
         same[1:] = (a[x] == a[y]) & (b[x] == b[y]) & (to_end[x] >= self.window) & (to_end[y] >= self.window)
         return order, same
 
-    def _flat(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(one flag per window start of all texts, where each text's flags begin)."""
-        base = np.concatenate([[0], np.cumsum(np.maximum(0, lengths - self.window + 1))])
-        return np.zeros(int(base[-1]), bool), base
-
-    def marks(self) -> list[np.ndarray]:
-        """Per text: for each window start, whether an equal window starts earlier."""
-        flat, base = self._flat(self.lengths)
+    def _left(self, k: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """LF step: (run, row) of the suffixes one symbol longer. The run is the target's or a few further on."""
+        row, k = self.target[k] + row - self.start[k], self.into[k]
+        over = np.flatnonzero(self.last[k] < row)
+        for _ in range(8):
+            if not len(over):
+                return k, row
+            k[over] += 1
+            over = over[self.last[k[over]] < row[over]]
+        k[over] = np.searchsorted(self.start, row[over], "right") - 1
+        return k, row
+
+    def _flags(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(one flag per window start of all texts, one after another; where each text's flags begin)."""
+        n = np.maximum(0, lengths - self.window + 1)
+        return np.zeros(int(n.sum()), bool), np.cumsum(n) - n
+
+    def marks(self) -> np.ndarray:
+        """For each window start, text by text: whether an equal window starts earlier."""
+        flat, base = self._flags(self.lengths)
         live = np.arange(len(self.lengths)) if self.repeats else np.zeros(0, np.int64)
         row = live.copy()  # the row of a text's end: ends sort first, by position
+        k = np.searchsorted(self.start, row, "right") - 1
         for step in range(1, int(self.lengths.max(initial=0)) + 1):
             on = self.lengths[live] >= step
-            live, row = live[on], row[on]
+            if not on.all():
+                live, k, row = live[on], k[on], row[on]
             if not len(live):
                 break
-            k = np.searchsorted(self.start, row, "right") - 1
-            row = self.target[k] + row - self.start[k]
+            k, row = self._left(k, row)
             if step >= self.window:
                 piece = np.searchsorted(self.piece, row, "right") - 1
                 place = self.lengths[live] - step
                 flat[base[live] + place] = self.earliest[piece] < self.ends[live] - step
-        return [flat[base[i]:base[i + 1]] for i in range(len(self.lengths))]
+        return flat
 
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """How many symbols the suffixes at ``x`` and ``y`` share, exact below a window and then at
@@ -214,8 +230,8 @@ class RunIndex:
             out += open_
         return out
 
-    def matched(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Per text that is not in the index: for each window start, whether the index holds that window.
+    def matched(self, texts: list[bytes]) -> np.ndarray:
+        """For each window start, text by text (these need not be in the index): whether the index holds that window.
 
         One step for all texts at a time prepends a symbol to each one's longest match
         (row, text position, length). A text is left as soon as its match ends before
@@ -225,14 +241,13 @@ class RunIndex:
         lengths = np.array([len(t) for t in texts], np.int64)
         data = np.frombuffer(b"".join(texts), np.uint8) + np.uint8(1)
         begin = np.cumsum(lengths) - lengths
-        flat, base = self._flat(lengths)
+        flat, base = self._flags(lengths)
         live = np.flatnonzero(lengths >= window)
-        at, row = lengths[live], np.zeros(len(live), np.int64)
+        at, row, k = lengths[live], np.zeros(len(live), np.int64), np.zeros(len(live), np.int64)
         place, length = np.full(len(live), self.first_at[0]), np.zeros(len(live), np.int64)
         while len(live):
             at = at - 1
             symbol = data[begin[live] + at].astype(np.int64)
-            k = np.searchsorted(self.start, row, "right") - 1
             off = np.flatnonzero(self.symbol[k] != symbol)
             lost = off[:0]
             if len(off):  # no match goes on from here: over to the nearest runs of the symbol, above and below
@@ -250,13 +265,14 @@ class RunIndex:
                 best = np.maximum(up, down)
                 length[off] = np.minimum(length[off], best)
                 lost = off[best < 0]  # a symbol that the index lacks
-            row, place, length = self.target[k] + row - self.start[k], place - 1, length + 1
-            row[lost], place[lost], length[lost] = 0, self.first_at[0], 0
-            whole = length >= window
+            (k, row), place, length = self._left(k, row), place - 1, length + 1
+            k[lost], row[lost], place[lost], length[lost] = 0, 0, self.first_at[0], 0
+            whole = np.flatnonzero(length >= window)
             flat[base[live[whole]] + at[whole]] = True
             on = (at > 0) & (at + length >= window)
-            live, at, row, place, length = live[on], at[on], row[on], place[on], length[on]
-        return [flat[base[i]:base[i + 1]] for i in range(len(texts))]
+            if not on.all():
+                live, at, k, row, place, length = live[on], at[on], k[on], row[on], place[on], length[on]
+        return flat
 
 
 def bucket_marks(ids: np.ndarray, first: np.ndarray, anchor: np.ndarray, again: np.ndarray, texts: list[bytes],
@@ -264,37 +280,60 @@ def bucket_marks(ids: np.ndarray, first: np.ndarray, anchor: np.ndarray, again:
     """(row, start, end) byte runs to remove; row numbers the given stretches, which
     start at ``first`` of document ``ids`` and hold their windows' bytes. ``again``:
     whether a stretch may hold two equal windows."""
-    left = np.lexsort((first, ids))
-    found = [np.zeros(max(0, len(t) - window + 1), bool) for t in texts]
-    take = 1
+    order = np.lexsort((first, ids))
+    lead: dict[bytes, int] = {}
+    origin = np.empty(len(texts), np.int64)  # the first equal stretch; only that one may be indexed
+    for i in order.tolist():
+        origin[i] = lead.setdefault(texts[i], i)
+    own, copied = origin == np.arange(len(texts)), np.bincount(origin, minlength=len(texts)) > 1
+    windows = np.array([len(t) - window + 1 for t in texts], np.int64)
+    base = np.cumsum(windows + 1) - windows - 1  # a flag that stays empty ends each text
+    found, in_copies = np.zeros((2, int((windows + 1).sum())), bool)
+
+    def places(which: np.ndarray) -> np.ndarray:
+        n = windows[which]
+        return np.repeat(base[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+    left, take = order[own[order]], 1
     while True:
         # stretches of one anchor side by side, in corpus order
         left = left[np.argsort(anchor[left], kind="stable")]
         head = np.flatnonzero(np.concatenate([[True], anchor[left][1:] != anchor[left][:-1]])) if len(left) else left
         size = np.diff(np.concatenate([head, [len(left)]]))
         nth, size = np.arange(len(left)) - np.repeat(head, size), np.repeat(size, size)
-        useful = (size > 1) | again[left]
+        useful = (size > 1) | again[left] | copied[left]
         left, nth = left[useful], nth[useful]
         if not len(left):
             break
         held, rest = left[nth < take], left[nth >= take]
         held = held[np.lexsort((first[held], ids[held]))]
         index = RunIndex([texts[i] for i in held], window)
-        for i, m in zip(held, index.marks()):
-            found[i] |= m
-        for i, m in zip(rest, index.matched([texts[i] for i in rest])):
-            found[i] |= m
-        left = np.array([i for i in rest if not found[i].all()], np.int64)
-        take *= 2
-    rows, start, end = [], [], []
-    for i, m in enumerate(found):
-        if m.any():
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], m.view(np.int8), [0]])))
-            for s, e in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                rows.append(i)
-                start.append(int(first[i]) + s)
-                end.append(int(first[i]) + e - 1 + window)
-    return np.array(rows, np.int64), np.array(start, np.int64), np.array(end, np.int64)
+        found[places(held)] |= index.marks()
+        # equal stretches are streamed once, when the first of them is in the index
+        twice = held[copied[held]]
+        flags = index.matched([texts[i] for i in np.concatenate([rest, twice])])
+        at = places(rest)
+        found[at] |= flags[:len(at)]
+        in_copies[places(twice)] = flags[len(at):]
+        if len(rest):
+            n = windows[rest]
+            rest = rest[~np.logical_and.reduceat(found[at], np.cumsum(n) - n) | copied[rest]]
+        left, take = rest, take * GROW
+
+    def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8)])))
+        of = np.searchsorted(base, edge[::2], "right") - 1
+        return of, edge[::2] - base[of], edge[1::2] - base[of]
+
+    row, s, e = runs(found)
+    of, s2, e2 = runs(in_copies)
+    others = np.flatnonzero(~own)
+    others = others[np.argsort(origin[others], kind="stable")]
+    low, high = np.searchsorted(origin[others], of), np.searchsorted(origin[others], of, "right")
+    n = high - low  # each run of an equal stretch holds for all of them but the first
+    pick = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    row, s, e = np.concatenate([row, others[pick]]), np.concatenate([s, np.repeat(s2, n)]), np.concatenate([e, np.repeat(e2, n)])
+    return row, first[row] + s, first[row] + e - 1 + window
 
 
 def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT,
