@@ -137,6 +137,8 @@ class RunIndex:
             least = np.full(int(group[-1]) + 1, n, np.int64)
             np.minimum.at(least, group, earliest)
             self.earliest = least[group]
+            # the texts with windows that the index holds twice
+            self.doubled = np.unique(np.searchsorted(self.ends, order[same | np.append(same[1:], False)]))
 
     def _suffix_array(self, data: np.ndarray, to_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix order (text ends compare by position) and which neighbours share ``window`` symbols."""
@@ -199,7 +201,7 @@ class RunIndex:
     def marks(self) -> np.ndarray:
         """For each window start, text by text: whether an equal window starts earlier."""
         flat, base = self._flags(self.lengths)
-        live = np.arange(len(self.lengths)) if self.repeats else np.zeros(0, np.int64)
+        live = self.doubled if self.repeats else np.zeros(0, np.int64)
         row = live.copy()  # the row of a text's end: ends sort first, by position
         k = np.searchsorted(self.start, row, "right") - 1
         for step in range(1, int(self.lengths.max(initial=0)) + 1):
@@ -290,9 +292,12 @@ def bucket_marks(ids: np.ndarray, first: np.ndarray, anchor: np.ndarray, again:
     base = np.cumsum(windows + 1) - windows - 1  # a flag that stays empty ends each text
     found, in_copies = np.zeros((2, int((windows + 1).sum())), bool)
 
+    # what takes part in a round: a text between its first and its last window that is still open
+    part, low, n_open = list(texts), np.zeros(len(texts), np.int64), windows.copy()
+
     def places(which: np.ndarray) -> np.ndarray:
-        n = windows[which]
-        return np.repeat(base[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        n = n_open[which]
+        return np.repeat(base[which] + low[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
     left, take = order[own[order]], 1
     while True:
@@ -307,17 +312,25 @@ def bucket_marks(ids: np.ndarray, first: np.ndarray, anchor: np.ndarray, again:
             break
         held, rest = left[nth < take], left[nth >= take]
         held = held[np.lexsort((first[held], ids[held]))]
-        index = RunIndex([texts[i] for i in held], window)
+        index = RunIndex([part[i] for i in held], window)
         found[places(held)] |= index.marks()
         # equal stretches are streamed once, when the first of them is in the index
         twice = held[copied[held]]
-        flags = index.matched([texts[i] for i in np.concatenate([rest, twice])])
+        flags = index.matched([part[i] for i in np.concatenate([rest, twice])])
         at = places(rest)
         found[at] |= flags[:len(at)]
         in_copies[places(twice)] = flags[len(at):]
-        if len(rest):
-            n = windows[rest]
-            rest = rest[~np.logical_and.reduceat(found[at], np.cumsum(n) - n) | copied[rest]]
+        shut = found[at]
+        if shut.any():
+            n = n_open[rest]
+            begin, step = np.cumsum(n) - n, np.arange(len(at))
+            head = np.minimum.reduceat(np.where(shut, len(at), step), begin) - begin
+            tail = np.maximum.reduceat(np.where(shut, -1, step), begin) - begin
+            for i in np.flatnonzero((tail >= 0) & ((head > 0) | (tail < n - 1))).tolist():
+                r = rest[i]
+                part[r] = part[r][head[i]:tail[i] + window]
+                low[r], n_open[r] = low[r] + head[i], tail[i] + 1 - head[i]
+            rest = rest[tail >= 0]
         left, take = rest, take * GROW
 
     def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -326,7 +339,7 @@ def bucket_marks(ids: np.ndarray, first: np.ndarray, anchor: np.ndarray, again:
         return of, edge[::2] - base[of], edge[1::2] - base[of]
 
     row, s, e = runs(found)
-    of, s2, e2 = runs(in_copies)
+    of, s2, e2 = runs(in_copies | found)
     others = np.flatnonzero(~own)
     others = others[np.argsort(origin[others], kind="stable")]
     low, high = np.searchsorted(origin[others], of), np.searchsorted(origin[others], of, "right")
