@@ -77,6 +77,9 @@ def quarantine_report(spark: SparkSession, good: str, rejected: str) -> DataFram
 
 def stream_table(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
                  max_files: int = 1) -> DataFrame:
-    """A streaming reader over the Parquet files of ``folder`` matching ``pattern``."""
+    """A streaming reader over the Parquet files of ``folder`` matching ``pattern``. What
+    matches may be a folder of Parquet files too, as Spark writes a table."""
+    # a pattern and not a plain path, which would have to be a folder
+    at = pattern if any(c in pattern for c in "*?[{") else f"{{{pattern}}}"
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", pattern).parquet(folder))
+            .parquet(f"{folder.rstrip('/')}/{at}"))

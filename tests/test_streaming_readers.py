@@ -1,4 +1,8 @@
-"""Streaming path and the Parquet reader."""
+"""Streaming path, the Parquet reader and the queries that write what they read."""
+
+import json
+
+from pyspark.sql import functions as F
 
 from tessera.operators.validate import classify_qa
 from tessera.plans.corpus import word_tokenizer
@@ -65,3 +69,24 @@ def test_quarantine_stream_restarts_and_replays(spark, tmp_path):
     assert run() == expected
     report = {r["outcome"]: r["n_records"] for r in ST.quarantine_report(spark, good, rejected).collect()}
     assert report == {"ok": 6, "not_object": 6, "not_string": 6, "empty": 6, "malformed": 12}
+
+
+def _turns(spark, n):
+    """Conversations of two turns, and one of a system turn and a question without an answer."""
+    rows = [(c, t, ("user", "assistant")[t], f"text {c} {t}") for c in range(n) for t in range(2)]
+    return spark.createDataFrame([*rows, (n, 0, "system", "rules"), (n, 1, "user", "open")], "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+
+
+def test_stream_reads_a_table_that_is_a_folder_of_files(spark, tmp_path):
+    from tessera.plans.registry import REGISTRY
+    _turns(spark, 20).repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    _turns(spark, 50).write.parquet(str(tmp_path / "other.parquet"))
+    got = REGISTRY["st_encode_prompts_stream"](spark, str(tmp_path)).collect()
+    assert sorted((r["conv_id"], r["turn"]) for r in got) == [*((c, 0) for c in range(20)), (20, 1)]
+
+
+def test_stream_reads_a_table_that_is_one_file(spark, tmp_path):
+    from tessera.plans.registry import REGISTRY
+    _turns(spark, 5).toPandas().to_parquet(str(tmp_path / "conversations.parquet"))
+    got = REGISTRY["st_encode_prompts_stream"](spark, str(tmp_path)).collect()
+    assert sorted((r["conv_id"], r["turn"]) for r in got) == [*((c, 0) for c in range(5)), (5, 1)]
