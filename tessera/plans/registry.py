@@ -642,18 +642,26 @@ def s1_read_array(spark, d):
     return _read_back(raw, path, "json_array")
 
 
+def _write_single_lines(raw, path, size=100_000):
+    """Records as files without any line break, one JSON array each, ``size`` records to a file."""
+    js = raw.select("idx", F.to_json("value").alias("v"), F.lpad(F.floor(F.col("idx") / size).cast("string"), 12, "0").alias("chunk"))
+    # numbers have no gaps, so the last one tells where every file ends: no join on the chunk
+    # stands before the repartition, which may be left out and the join's rows dealt otherwise
+    last = F.broadcast(raw.agg(F.max("idx").alias("last")))
+    ends = (F.col("idx") % size == size - 1) | (F.col("idx") == F.col("last"))
+    line = F.concat(F.when(F.col("idx") % size == 0, "[").otherwise(""), "v", F.when(ends, "]").otherwise(","))
+    rows = js.crossJoin(last).select("idx", "chunk", line.alias("line"))
+    (rows.repartition("chunk").sortWithinPartitions("chunk", "idx").select("line", "chunk")
+     .write.partitionBy("chunk").mode("overwrite").option("lineSep", " ").text(path))
+
+
 @query("s1_read_qa_json_single_line")
 def s1_read_single_line(spark, d):
     """Raw records written as JSON arrays without any line break (a file for each 100,000
     records), read back in small byte ranges with their positions and validated."""
     path = A.shared_path(spark, "records-single-line")
     raw = inputs.raw_records(spark, d)
-    js = raw.select("idx", F.to_json("value").alias("v"), F.lpad(F.floor(F.col("idx") / 100_000).cast("string"), 12, "0").alias("chunk"))
-    ends = js.groupBy("chunk").agg(F.max("idx").alias("last"))
-    line = F.concat(F.when(F.col("idx") % 100_000 == 0, "[").otherwise(""), "v", F.when(F.col("idx") == F.col("last"), "]").otherwise(","))
-    rows = js.join(ends, "chunk").select("idx", "chunk", line.alias("line"))
-    (rows.repartition("chunk").sortWithinPartitions("chunk", "idx").select("line", "chunk")
-     .write.partitionBy("chunk").mode("overwrite").option("lineSep", " ").text(path))
+    _write_single_lines(raw, path)
     return _read_back(raw, path, "json_array")
 
 

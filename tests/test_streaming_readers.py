@@ -90,3 +90,20 @@ def test_stream_reads_a_table_that_is_one_file(spark, tmp_path):
     _turns(spark, 5).toPandas().to_parquet(str(tmp_path / "conversations.parquet"))
     got = REGISTRY["st_encode_prompts_stream"](spark, str(tmp_path)).collect()
     assert sorted((r["conv_id"], r["turn"]) for r in got) == [*((c, 0) for c in range(5)), (5, 1)]
+
+
+def test_single_line_arrays_are_whole_files_however_joins_are_cut(spark, tmp_path):
+    """Settings under which Spark deals a join's partition to several tasks."""
+    from tessera.plans import registry
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1", "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+    raw = spark.range(430, numPartitions=8).select(F.col("id").alias("idx"), F.parse_json(F.concat(F.lit('{"question":"} '), "id", F.lit('","answer":"["}'))).alias("value")).checkpoint()
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        registry._write_single_lines(raw, str(tmp_path / "out"), 100)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    files = sorted((tmp_path / "out").glob("chunk=*/part-*.txt"))
+    assert [[r["question"] for r in json.loads(f.read_text())] for f in files] == [[f"}} {i}" for i in range(a, min(a + 100, 430))] for a in range(0, 430, 100)]
