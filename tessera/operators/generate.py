@@ -56,7 +56,11 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
     """
     if scores not in ("interpolated", "dense", "backoff"):
         raise ValueError("scores is 'interpolated', 'dense' or 'backoff'")
-    score = score_next if scores == "backoff" else score_interpolated
+    def score(ctx: DataFrame) -> DataFrame:
+        if scores == "backoff":  # an id of the context and its ends ask for a context each
+            return score_next(ctx, lm, key, "ctx", n_active * (cfg.block_size + lm.order))
+        return score_interpolated(ctx, lm, key, "ctx")
+
     if seen_mode not in ("all", "generated"):
         raise ValueError("seen_mode is 'all' or 'generated'")
     cap = cfg.max_generate_length if max_new is None else max_new
@@ -76,7 +80,7 @@ def generate_ids(prompt_ids: DataFrame, lm: NgramModel, cfg: Config = Config(),
             upd = sparse_scores.next_tokens(active, lm, shared, cfg, met, key, n_active)
         else:
             ctx = active.select(key, truncate_context(F.concat("prompt", "gen"), cfg.block_size).alias("ctx"))
-            cand = G.temperature(score(ctx, lm, key, "ctx"), cfg.temperature)
+            cand = G.temperature(score(ctx), cfg.temperature)
             seen = active.select(key, F.explode(seen_ids).alias("token")).filter(F.col("token") != cfg.pad_id)
             cand = G.repetition_penalty(cand, seen, cfg.repetition_penalty, cfg.penalty_mode, key)
             kept = G.top_p(G.softmax(cand, key), cfg.top_p, key)

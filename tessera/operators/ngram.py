@@ -43,17 +43,8 @@ class NgramModel:
     n_tokens: int
     vocab_size: int
     lambdas: tuple
-    _conditional: DataFrame | None = None
     _continuations: DataFrame | None = None
 
-    def conditional(self) -> DataFrame:
-        """``order, ctx, token, logit``: ln(count / total), written once per model and
-        then only read, however many steps score with it."""
-        if self._conditional is None:
-            joined = self.counts.join(self.totals.select("order", "ctx", "total"), ["order", "ctx"])
-            self._conditional = cut_lineage(joined.select("order", "ctx", "token", F.log(F.col("n") / F.col("total")).alias("logit")))
-        return self._conditional
-
     def continuations(self) -> DataFrame:
         """``order, ctx, tokens, adds`` for the orders from 2 on: what each continuation of a
         context adds to its probability's numerator. One row a context, at most the
@@ -212,7 +203,11 @@ def eval_loss(windows: DataFrame, lm: NgramModel, pad: int = PAD, batch_col: str
                        F.count(F.lit(1)).alias("n_batches"))
 
 
-def score_next(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens: str = "tokens") -> DataFrame:
+CONTEXT_BYTES = 128  # of a context sent to the tasks
+
+
+def score_next(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens: str = "tokens",
+               n_contexts: int | None = None) -> DataFrame:
     """Next-token distribution per row: ``key, token, logit, ctx_order`` (L2).
 
     Longest-match backoff: among contexts ending at the last id (orders
@@ -220,6 +215,10 @@ def score_next(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens:
     recent earlier id seen as a bigram context; if none, order 1, the counts of
     all ids. Candidates are that context's continuations, ``logit = ln(c / T)``,
     so every row has a distribution. An order-1 model uses order 1 for every row.
+
+    The model's tables are read where they lie and only the asked contexts move: to every
+    task if ``n_contexts``, a bound of the contexts that all rows ask for (counted if not
+    given), fits the broadcast bound, else by shuffles of both sides.
     """
     n = F.size(tokens)
     tail = [F.struct(F.lit(k).alias("order"),
@@ -231,10 +230,15 @@ def score_next(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens:
     empty = F.struct(F.lit(1).alias("order"), F.lit("").alias("ctx"), F.lit(-1).alias("rank"))
     levels = F.concat(F.array(*tail, empty), earlier) if tail else F.array(empty)
     cand = contexts.select(key, F.explode(levels).alias("l")).select(key, "l.order", "l.ctx", "l.rank").filter(F.col("ctx").isNotNull())
-    # the contexts are the small side; which side is broadcast is left to Spark's measured sizes
-    hit = cand.join(lm.totals.select("order", "ctx"), ["order", "ctx"], "left_semi")
-    best = hit.groupBy(key).agg(F.max_by(F.struct("order", "ctx"), F.col("rank")).alias("b")).select(key, "b.order", "b.ctx")
-    return best.join(lm.conditional(), ["order", "ctx"]).select(key, "token", "logit", F.col("order").alias("ctx_order"))
+    if n_contexts is None:
+        cand = cut_lineage(cand)
+        n_contexts = cand.count()
+    small = F.broadcast if n_contexts * CONTEXT_BYTES <= BROADCAST_BYTES else lambda df: df
+    seen = lm.totals.join(small(cand.select("order", "ctx").distinct()), ["order", "ctx"], "left_semi")
+    hit = cand.join(small(seen.select("order", "ctx", "total")), ["order", "ctx"])
+    best = hit.groupBy(key).agg(F.max_by(F.struct("order", "ctx", "total"), F.col("rank")).alias("b")).select(key, "b.order", "b.ctx", "b.total")
+    rows = lm.counts.join(small(best), ["order", "ctx"])
+    return rows.select(key, "token", F.log(F.col("n") / F.col("total")).alias("logit"), F.col("order").alias("ctx_order"))
 
 
 def score_interpolated(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens: str = "tokens") -> DataFrame:

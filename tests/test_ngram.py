@@ -211,3 +211,19 @@ def test_capped_vocabulary_sorts_no_more_than_it_keeps(spark):
         assert ids == {w: i + 4 for i, w in enumerate(order[:k])}
     plan = top_words(df, 13)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan
+
+
+def test_backoff_moves_the_contexts_and_not_the_model(spark):
+    """With few rows the model's tables are read where they lie, and rows are the same as
+    by shuffles of both sides."""
+    wins = spark.createDataFrame(WINDOWS, "window_idx BIGINT, x ARRAY<INT>, y ARRAY<INT>")
+    lm = fit_ngram(wins, 3, V, LAM)
+    asked = spark.createDataFrame([(1, [5, 6]), (2, [6, 9]), (3, [9, 9]), (4, []), (5, [9, 7, 7])], "row_id INT, tokens ARRAY<INT>")
+    few, many = score_next(asked, lm, n_contexts=20), score_next(asked, lm, n_contexts=1 << 40)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("BroadcastHashJoin") == 3
+    rows = lambda df: sorted((r["row_id"], r["token"], round(r["logit"], 12), r["ctx_order"]) for r in df.collect())
+    c, tot = py_model(WINDOWS)
+    used = {1: (3, "5 6"), 2: (2, "6"), 3: (1, ""), 4: (1, ""), 5: (2, "7")}
+    want = sorted((r, t, round(math.log(n / tot[h]), 12), h[0]) for r, h in used.items() for (*k, t), n in c.items() if tuple(k) == h)
+    assert rows(few) == rows(many) == rows(score_next(asked, lm)) == want
