@@ -23,6 +23,7 @@ from tessera.llm.common import boxed, col, field, row_schema, unboxed
 GRAMS = (3, 4, 5)
 BITS = 18
 CHUNK = 1 << 20
+SLICE_ROWS = 256  # rows of which a task holds the texts as Python objects at a time
 _P = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier of the rolling hash and of the final mix
 
 
@@ -202,11 +203,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
     rows = boxed(docs).select("row", F.coalesce(field(text_col), F.lit("")).alias("text"))
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             total, count = log_odds(texts, table.value, bits)
             z = total / np.maximum(count, 1) + base
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(1 / (1 + np.exp(-z)))], ["row", "score"])
+        pa.default_memory_pool().release_unused()  # the worker stays, and the next stage shares its executor
 
     out = rows.mapInArrow(go, row_schema(rows, "score double"))
     return unboxed(out, score=F.col("score"), predicted=(F.col("score") >= threshold).cast("int"))
