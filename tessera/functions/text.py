@@ -37,8 +37,9 @@ def is_blank(c) -> Column:
 
 
 def split_words(c) -> Column:
-    """Whitespace-run split with empty pieces dropped (Python ``str.split()``)."""
-    return F.filter(F.split(strip_ws(c), f"{WS_CLASS}+"), lambda w: w != F.lit(""))
+    """Whitespace-run split with empty pieces dropped (Python ``str.split()``): outer
+    whitespace leaves an empty piece, so one pass over the text does."""
+    return F.filter(F.split(_col(c), f"{WS_CLASS}+"), lambda w: w != F.lit(""))
 
 
 def normalise_ws(c) -> Column:

@@ -10,11 +10,12 @@ stretch of the classical merges that a bounded excerpt of the words decides:
 
 * the working set holds *distinct* words, not the corpus, each as one string with
   every symbol between two reserved marks (``OPEN s CLOSE``);
-* the ``reach`` most frequent pairs are fetched, and with them a floor: every pair
-  counted at the floor or above is among them (the strong pairs);
+* the most frequent pairs are fetched; the first ``reach`` of them give a floor: every
+  pair counted at the floor or above is among them (the strong pairs);
 * every word is cut where two neighbours are no strong pair, and equal stretches are
   summed, map-side first. At most ``window`` stretches are fetched; if there are more,
-  fewer pairs count as strong;
+  fewer pairs count as strong, and if there are far fewer, more pairs do: a round costs
+  two passes over the words besides this one;
 * the classical algorithm runs on the stretches while the best pair is at the floor or
   above. Its merges are then applied to all words in one pass.
 
@@ -37,8 +38,10 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,8 +52,8 @@ from tessera.session import cut_lineage
 # Reserved private-use characters that delimit symbols while
 # training. Input text containing them has them replaced by U+FFFD.
 OPEN, CLOSE = "\ue000", "\ue001"
-_SYMBOL = f"{OPEN}([^{CLOSE}]*){CLOSE}"
 MOST_REACH = 1 << 16  # pairs that the driver fetches at most
+AHEAD = 4  # times the pairs of a round that are fetched, so that it can take more
 
 
 def _marked(word: F.Column, kept: list[str] | None = None) -> F.Column:
@@ -63,20 +66,33 @@ def _marked(word: F.Column, kept: list[str] | None = None) -> F.Column:
     return F.concat(F.lit(OPEN), F.array_join(chars, CLOSE + OPEN), F.lit(CLOSE))
 
 
-def _symbols(col: str = "w") -> F.Column:
-    return F.regexp_extract_all(F.col(col), F.lit(_SYMBOL), 1)
+def _places(words: pa.Array) -> tuple[list[tuple[str, str]], np.ndarray, np.ndarray]:
+    """Where symbols meet in a batch of marked words: the different pairs, and of each
+    place its pair's and its word's index. Empty symbols are in no pair."""
+    lists = pc.split_pattern(words, CLOSE)  # symbols behind their opening marks, and nothing behind the last
+    size, found = lists.value_lengths().to_numpy(), pc.dictionary_encode(lists.flatten())
+    code, names = found.indices.to_numpy().astype(np.int64), found.dictionary
+    void = np.asarray(pc.is_in(names, pa.array([OPEN, ""], names.type)), bool)[code]
+    at = np.flatnonzero(~void[:-1] & ~void[1:])  # the nothing behind a word parts it from the next
+    keys, which = np.unique(code[at] * len(names) + code[at + 1], return_inverse=True)
+    plain = pc.utf8_slice_codeunits(names, 1).to_pylist()
+    pairs = [(plain[k // len(names)], plain[k % len(names)]) for k in keys.tolist()]
+    return pairs, which, np.repeat(np.arange(len(size)), size)[at]
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """``a, b, cnt``: adjacent symbol pairs weighted by word count (overlapping
-    pairs counted, as in the reference algorithm)."""
-    s = _symbols()
-    pairs = F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1),
-                       lambda x, y: F.struct(x.alias("a"), y.alias("b")))
-    pairs = F.filter(pairs, lambda p: (p["a"] != "") & (p["b"] != ""))
-    return (words.select(F.explode(pairs).alias("p"), "n")
-            .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-            .agg(F.sum("n").alias("cnt")))
+    pairs counted, as in the reference algorithm). Summed in each Arrow batch, then
+    map-side, then by pair."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs, which, row = _places(batch.column("w"))
+            sums = np.zeros(len(pairs), np.int64)
+            np.add.at(sums, which, batch.column("n").to_numpy()[row])
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.string()), pa.array([b for _, b in pairs], pa.string()), pa.array(sums)], ["a", "b", "cnt"])
+
+    counted = words.filter("w is not null and n is not null").select("w", F.col("n").cast("bigint").alias("n"))
+    return counted.mapInArrow(run, "a string, b string, cnt bigint").groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
 
 
 def _merged(syms: list[str], pairs: set[tuple[str, str]]) -> list[str]:
@@ -217,19 +233,29 @@ def _floor(top: list, reach: int, least: int) -> int | None:
     return min((r["cnt"] for r in top[:reach] if r["cnt"] > top[reach]["cnt"]), default=None)
 
 
-def _round(words: DataFrame, top: list, reach: int, least: int, window: int, known: set[str], most: int) -> tuple[list[tuple[str, str]], int]:
+def _round(words: DataFrame, top: list, look: int, reach: int, least: int, window: int, known: set[str], most: int) -> tuple[list[tuple[str, str]], int]:
     """The merges that one excerpt decides, at most ``most`` of them, and the number of
-    pairs that the next round may take as strong."""
+    pairs that the next round may take as strong. ``top`` are the first ``look`` pairs and
+    one more: while the excerpt fills a small part of the window, more of them are taken as
+    strong in the same round."""
+    found, halved = None, False
     while True:
         floor = _floor(top, reach, least)
         if floor is None:
             return [(top[0]["a"], top[0]["b"])], reach
         rows = _stretches(words, {(r["a"], r["b"]) for r in top[:reach] if r["cnt"] >= floor}).limit(window + 1).collect()
         if len(rows) <= window:
+            found = floor, rows, reach
+            if halved or 4 * len(rows) > window or len(top) <= reach or reach == look:
+                break
+            reach = min((4 if 16 * len(rows) <= window else 2) * reach, look)
+            continue
+        if found:
             break
-        reach = max(1, reach // 2)
+        halved, reach = True, max(1, reach // 2)
         if len(top) <= reach or reach == 1:
             return [(top[0]["a"], top[0]["b"])], reach
+    floor, rows, reach = found
     if 4 * len(rows) <= window:
         reach = min(2 * reach, MOST_REACH)
     run, now = Window([(_split(r["w"]), r["n"]) for r in rows]), []
@@ -259,7 +285,7 @@ def train_bpe(counts: DataFrame, vocab_size: int, coverage: float = 1.0, min_cou
     if window < 1 or reach < 1:
         raise ValueError("window and reach are at least 1")
     spark = counts.sparkSession
-    counts = counts.select(F.col(word_col).alias("word"), "n")
+    counts = cut_lineage(counts.select(F.col(word_col).alias("word"), "n"))  # read for the alphabet and for the words
     alpha = alphabet(counts, coverage)
     alpha_rows = alpha.orderBy("_r").select("ch").collect()  # at most the distinct characters
     n_alpha = len(alpha_rows)
@@ -272,13 +298,14 @@ def train_bpe(counts: DataFrame, vocab_size: int, coverage: float = 1.0, min_cou
     known = {r["ch"] for r in alpha_rows}
     least = max(min_count, 1)
     while len(merges) < n_merges:
-        top = (pair_counts(words).filter(F.col("cnt") >= least).orderBy(F.desc("cnt"), "a", "b").limit(reach + 1).collect())
+        look = min(AHEAD * reach, MOST_REACH)
+        top = (pair_counts(words).filter(F.col("cnt") >= least).orderBy(F.desc("cnt"), "a", "b").limit(look + 1).collect())
         if not top:
             break
         if _floor(top, reach, least) is None and reach < MOST_REACH:
             reach = min(4 * reach, MOST_REACH)  # all tie: look further
             continue
-        now, reach = _round(words, top, reach, least, window, known, n_merges - len(merges))
+        now, reach = _round(words, top, look, reach, least, window, known, n_merges - len(merges))
         known.update(a + b for a, b in now)
         merges += now
         if len(merges) < n_merges:

@@ -8,6 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tessera.operators import bpe as BPE
 from tessera.operators.bpe import pair_counts, segment, train_bpe, _marked
 from tessera.operators.tokenize import decode, encode
 from tessera.operators.vocab import WORD_MARK
@@ -194,3 +195,32 @@ def test_long_words_take_n_log_n():
     began = time.process_time()
     ids = segment(word, ranks, {})
     assert time.process_time() - began < 1 and 1000 < len(ids) < 32_000
+
+
+def test_counts_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    counts = spark.createDataFrame(TOY, "word STRING, n BIGINT").mapInPandas(tell, "word STRING, n BIGINT")
+    train_bpe(counts, vocab_size=30, allow_smaller=True)
+    assert seen.value == len(TOY)
+
+
+@pytest.mark.parametrize("window", [60, 50_000])
+def test_a_round_takes_as_many_pairs_as_the_window_holds(spark, monkeypatch, window):
+    rng = random.Random(5)
+    rows = sorted(Counter("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(400)).items())
+    passes = []
+    monkeypatch.setattr(BPE, "_apply", lambda words, now, f=BPE._apply: (passes.append(len(now)), f(words, now))[1])
+    tok = train_bpe(spark.createDataFrame(rows, "word STRING, n BIGINT"), vocab_size=4 + 9 + 60, reach=2, window=window)
+    assert [(r["left"], r["right"]) for r in tok.merges.orderBy("merge_rank").collect()] == python_bpe(rows, 60)
+    assert window == 60 or len(passes) <= 3  # six when the pairs only doubled from round to round
+
+
+def test_empty_symbols_are_in_no_pair(spark):
+    w = spark.createDataFrame([("axb", 2), ("x", 5), ("", 1)], "word STRING, n BIGINT").select(_marked(F.col("word"), ["a", "b", WORD_MARK]).alias("w"), "n")
+    assert {(r["a"], r["b"]): r["cnt"] for r in pair_counts(w).collect()} == {(WORD_MARK, "a"): 2}

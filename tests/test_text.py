@@ -32,3 +32,9 @@ def test_templates(spark):
     assert rows[1]["s"] is None  # a missing field fails the record, as a missing key would
     one = spark.range(1).select(format_template("<{a}|{b}>", a=F.lit("x"), b=F.lit("y")).alias("t")).first()
     assert one["t"] == "<x|y>"
+
+
+def test_split_words_is_one_pass_over_the_text(spark):
+    words = spark.createDataFrame([("\u3000 a\u2003\u0085b \n", ), (None, )], "s STRING").select(split_words("s").alias("w"))
+    assert "regexp_replace" not in words._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["w"] for r in words.collect()] == [["a", "b"], None]
