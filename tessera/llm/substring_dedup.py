@@ -23,6 +23,10 @@ corpus is removed. Three steps make one global question many local ones:
    one index, runs are also cut where the first ``window`` symbols change, and the
    earliest position of such pieces marks all later ones.
 
+The repeated anchors go to the tasks as a Bloom filter of bounded size, so that only
+stretches that may count are ever cut out and moved, once, to their buckets. The few
+others that it lets through stand alone in a bucket, which marks nothing.
+
 An anchor with more than ``HOT`` stretches (a passage in a great many texts) does not
 go into a bucket: its windows are grouped by content hash in a plain aggregation,
 which combines before the shuffle and gives the same marks.
@@ -45,6 +49,8 @@ HOT = 50_000
 BUCKET = 5_000        # stretches in a bucket on average
 GROW = 4              # how many times more stretches of an anchor the next round's index takes
 SPAN = 1 << 20        # window starts looked at together
+FILTER_BYTES = 32 << 20  # at most, of the filter of repeated anchors
+PARTS = 256           # of that filter, each built by itself
 _M = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(SPAN - 1)
 _TIE, _UNTIE = np.uint64(0x9E3B5), np.uint64(pow(0x9E3B5, -1, SPAN))
@@ -80,6 +86,39 @@ def stretches(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray
     return tuple(parts)
 
 
+def _probes(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits, of ``bits`` in a part of the filter, that stand for each key."""
+    h = keys.astype(np.uint64) * _M
+    h = (h ^ h >> np.uint64(29)) * _M
+    return (h >> np.uint64(40)) % np.uint64(bits), (h >> np.uint64(16)) % np.uint64(bits)
+
+
+def anchor_filter(repeated: DataFrame, n: int) -> np.ndarray:
+    """Bloom filter of the ``n`` anchors of ``repeated``: a row of packed bits for each part.
+    A part is built from its own anchors in one task; 16 bits an anchor, fewer past ``FILTER_BYTES``."""
+    bits = min(FILTER_BYTES * 8, 1 << max(16, (16 * n - 1).bit_length())) // PARTS
+
+    def build(table: pa.Table) -> pa.Table:
+        anchors, on = table["anchor"].to_numpy(), np.zeros(bits, bool)
+        for at in _probes(anchors, bits):
+            on[at.astype(np.int64)] = True
+        return pa.table({"part": pa.array([int(anchors[0]) % PARTS], pa.int64()), "bits": pa.array([np.packbits(on).tobytes()], pa.binary())})
+
+    out = np.zeros((PARTS, bits // 8), np.uint8)
+    for r in repeated.groupBy(F.pmod("anchor", F.lit(PARTS)).alias("part")).applyInArrow(build, "part bigint, bits binary").collect():
+        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def passes(filter_: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Whether each anchor may be one of the filter's; true for all that are."""
+    part, held = anchors % PARTS, np.ones(len(anchors), bool)
+    for at in _probes(anchors, filter_.shape[1] * 8):
+        at = at.astype(np.int64)
+        held &= (filter_[part, at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    return held
+
+
 def _sorted_ranks(high: np.ndarray, low: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order by (high, low, position) and where the pair changes."""
     n = len(high)
@@ -369,6 +408,11 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
             found = [x for t in batch.column(0) for a, _, _, again in (stretches(t.as_py(), window),) for x in (a, a[again])]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found) if found else np.zeros(0, np.int64))], ["anchor"])
 
+    repeated = cut_lineage(distinct.select("text").mapInArrow(anchors, "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    total, n_anchors = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    hottest = np.array(sorted(r["anchor"] for r in repeated.filter(F.col("n") > hot).select("anchor").collect()), np.int64)  # one in `hot` stretches at most
+    kept = docs.sparkSession.sparkContext.broadcast(anchor_filter(repeated, n_anchors))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(0, batch.num_rows, 256):
@@ -377,19 +421,19 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
                 for i, t in enumerate(part.column("text")):
                     t = t.as_py()
                     anchor, first, n, again = stretches(t, window)
+                    held = passes(kept.value, anchor)
+                    anchor, first, n, again = anchor[held], first[held], n[held], again[held]
                     at.append(np.full(len(anchor), i))
                     keys.append(anchor)
                     starts.append(first)
                     twice.append(again)
                     bodies += [t[s:s + k + window - 1] for s, k in zip(first.tolist(), n.tolist())]
-                at = pa.array(np.concatenate(at))
-                yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in ("id", "a", "b")), pa.array(np.concatenate(keys)),
-                                                  pa.array(np.concatenate(starts)), pa.array(np.concatenate(twice)), pa.array(bodies, pa.binary())],
-                                                 ["id", "a", "b", "anchor", "first", "again", "body"])
+                at, keys = pa.array(np.concatenate(at)), np.concatenate(keys)
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in ("id", "a", "b")), pa.array(keys), pa.array(np.concatenate(starts)),
+                                                  pa.array(np.concatenate(twice)), pa.array(bodies, pa.binary()), pa.array(np.isin(keys, hottest))],
+                                                 ["id", "a", "b", "anchor", "first", "again", "body", "hot"])
 
-    repeated = cut_lineage(distinct.select("text").mapInArrow(anchors, "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    total, hottest = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    found = distinct.mapInArrow(cut, "id bigint, a bigint, b bigint, anchor bigint, first bigint, again boolean, body binary").join(small(repeated, 16), "anchor")
+    found = distinct.mapInArrow(cut, "id bigint, a bigint, b bigint, anchor bigint, first bigint, again boolean, body binary, hot boolean")
 
     def mark(table: pa.Table) -> pa.Table:
         row, s, e = bucket_marks(*(table[c].to_numpy() for c in ("id", "first", "anchor", "again")), table["body"].to_pylist(), window)
@@ -397,15 +441,17 @@ def removals(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
         return pa.table({"a": table["a"].take(at), "b": table["b"].take(at), "s": pa.array(s), "e": pa.array(e)})
 
     buckets = max(1, -(-int(total) // bucket))
-    runs = (found.filter(F.col("n") <= hot).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
+    runs = (found.filter(~F.col("hot")).withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
             .select("bucket", "id", "a", "b", "anchor", "first", "again", "body").groupBy("bucket").applyInArrow(mark, "a bigint, b bigint, s bigint, e bigint"))
-    if hottest > hot:
-        each = (found.filter(F.col("n") > hot).select("id", "a", "b", "first", "body", F.explode(F.sequence(F.lit(1), F.length("body") - (window - 1))).alias("o"))
+    if len(hottest):
+        each = (found.filter("hot").select("id", "a", "b", "first", "body", F.explode(F.sequence(F.lit(1), F.length("body") - (window - 1))).alias("o"))
                 .select("a", "b", (F.col("first") + F.col("o") - 1).alias("s"), "id", F.substring(F.col("body"), F.col("o"), F.lit(window)).alias("w"))
                 .select("a", "b", "s", (F.col("id").cast("decimal(38,0)") * 2**40 + F.col("s")).alias("place"),
                         F.xxhash64("w").alias("w1"), F.xxhash64(F.lit("second"), "w").alias("w2")))
         # written first, so that a hot window's rows can be split in the join
-        earliest = small(cut_lineage(each.groupBy("w1", "w2").agg(F.min("place").alias("earliest"))), 32)
+        earliest = (each.groupBy("w1", "w2").agg(F.min("place").alias("earliest"), F.count(F.lit(1)).alias("n"))
+                    .filter("n > 1").select("w1", "w2", "earliest"))
+        earliest = small(cut_lineage(earliest), 32)
         late = each.join(earliest, ["w1", "w2"]).filter("place > earliest")
         runs = runs.unionAll(late.select("a", "b", "s", (F.col("s") + window).alias("e")))
     # of one text: bounded by its length
@@ -427,10 +473,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     copies, runs = removals(docs, window, id_col, text_col, hot, bucket)
     runs = cut_lineage(runs)  # follows the corpus: joined as Spark sees fit, alike at every size
     own = F.coalesce(field(text_col), F.lit(""))
-    rows = boxed(docs).select("row", F.coalesce(field(id_col).cast("bigint"), F.lit(2**63 - 1)).alias("id"), own.cast("binary").alias("text"),
+    rows = boxed(docs).select("row", F.coalesce(field(id_col).cast("bigint"), F.lit(2**63 - 1)).alias("id"),
                               F.xxhash64(own).alias("a"), F.xxhash64(F.lit("second"), own).alias("b"))
     rows = rows.join(small(copies, 24), ["a", "b"], "left").join(runs, ["a", "b"], "left")
-    rows = rows.select("row", "text", F.coalesce(F.col("id") > F.col("least"), F.lit(False)).alias("copy"), "runs")
+    # the text as bytes again only here: the joins move it once, in its row
+    rows = rows.select("row", own.cast("binary").alias("text"), F.coalesce(F.col("id") > F.col("least"), F.lit(False)).alias("copy"), "runs")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

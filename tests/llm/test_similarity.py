@@ -176,6 +176,38 @@ def test_substrings_against_brute_force(spark, hot):
         assert (bytes(r["kept"]), r["n_spans"], r["n_bytes"], r["n_removed"]) == (kept, n, len((t or "").encode()), len((t or "").encode()) - len(kept)), i
 
 
+def test_substring_plan_is_the_same_past_the_broadcast_bound(spark, monkeypatch):
+    """With no side table small enough to be broadcast, the bytes of the stretches meet no
+    join, the text moves once in its row, and rows are the same."""
+    from tessera.llm import common
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    rng = np.random.default_rng(4)
+    base = ["".join(rng.choice(list("abc dé"), 300)) for _ in range(6)]
+    rows = [(i, "".join(base[rng.integers(0, 6)][rng.integers(0, 90):] for _ in range(rng.integers(0, 4)))) for i in range(60)]
+    df = spark.createDataFrame([*rows, (70, rows[3][1])], "doc_id bigint, text string")
+    _, runs = substring_dedup.removals(df, hot=3)
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and not [x for x in plan.splitlines() if "Join" in x and "anchor" in x]
+    out = substring_dedup.remove_repeats(df, hot=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if re.search(r"Exchange|Join", x) and re.search(r"\btext#", x)]
+    got = {r["doc_id"]: bytes(r["kept"]) for r in out.collect()}
+    assert [got[i] for i, _ in [*rows, (70, "")]] == [kept for kept, _ in cleaned([*rows, (70, rows[3][1])], 100)]
+
+
+def test_anchor_filter_holds_every_anchor_and_few_others(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    anchors = np.unique(rng.integers(0, 1 << 38, 20_000))
+    for most, others in ((32 << 20, 0.03), (1 << 14, 0.5)):  # as wanted, and full to its bound
+        monkeypatch.setattr(substring_dedup, "FILTER_BYTES", most)
+        held = substring_dedup.anchor_filter(spark.createDataFrame([(int(a),) for a in anchors], "anchor bigint"), len(anchors))
+        assert held.nbytes <= most and substring_dedup.passes(held, anchors).all()
+        rest = np.setdiff1d(rng.integers(0, 1 << 38, 20_000), anchors)
+        assert substring_dedup.passes(held, rest).mean() < others
+    empty = substring_dedup.anchor_filter(spark.createDataFrame([], "anchor bigint"), 0)
+    assert not substring_dedup.passes(empty, anchors).any() and len(substring_dedup.passes(empty, anchors[:0])) == 0
+
+
 def test_substring_edge_cases(docs, empty):
     rows = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=lambda r: (r[0] is None, r[0] or 0))
     small = [r for r in rows if r[0] != 7]
