@@ -22,10 +22,14 @@ empty context.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import cut_lineage, ensure_checkpoint_dir, shuffle_partitions
 
@@ -241,18 +245,88 @@ def score_next(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens:
     return rows.select(key, "token", F.log(F.col("n") / F.col("total")).alias("logit"), F.col("order").alias("ctx_order"))
 
 
+CHUNK = 1 << 14  # ids scored together
+
+
+def _chunk_of(token: str) -> Column:
+    return F.floor(F.col(token) / F.lit(CHUNK)).cast("int")
+
+
+def _asked_parts(rows: DataFrame, lm: NgramModel) -> tuple[DataFrame, DataFrame]:
+    """(``_r, _chunk, part``: what the contexts of row ``_r`` add to ids of a chunk, a struct
+    (order, tokens, adds); ``_r, _seen``: the orders whose context was seen). ``rows`` have
+    ``_r`` and ``_tail``. The counts are read once where they lie; only the asked contexts
+    move, to every task if they fit the broadcast bound."""
+    asked = rows.select("_r", F.explode("_tail").alias("l")).select("_r", "l.order", "l.ctx").filter("ctx is not null")
+    asked = cut_lineage(asked)
+    small = F.broadcast if asked.count() * CONTEXT_BYTES <= BROADCAST_BYTES else lambda df: df
+    found = lm.counts.filter("order >= 2").join(small(asked.select("order", "ctx").distinct()), ["order", "ctx"], "left_semi")
+    found = cut_lineage(found.select("order", "ctx", "token", "n"))
+    totals = found.groupBy("order", "ctx").agg(F.sum("n").alias("total"))
+    # a context's continuations are cut into chunks once, however many rows ask for it
+    cut = (found.filter((F.col("token") >= 0) & (F.col("token") < lm.vocab_size)).groupBy("order", "ctx", _chunk_of("token").alias("_chunk"))
+           .agg(F.collect_list(F.struct("token", "n")).alias("c")).join(totals, ["order", "ctx"]))
+    lam = F.element_at(F.array(*map(F.lit, lm.lambdas)), F.col("order") + 1)
+    cut = cut.select("order", "ctx", "_chunk", F.struct("order", F.col("c.token").alias("tokens"), F.transform("c.n", lambda n: lam * n / F.col("total")).alias("adds")).alias("part"))
+    parts = cut.join(small(asked), ["order", "ctx"]).select("_r", "_chunk", "part")
+    seen = totals.join(small(asked), ["order", "ctx"]).groupBy("_r").agg(F.collect_set("order").alias("_seen"))
+    return parts, seen
+
+
 def score_interpolated(contexts: DataFrame, lm: NgramModel, key: str = "row_id", tokens: str = "tokens") -> DataFrame:
     """``key, token, logit`` of every id of the vocabulary for every row (L2, the whole distribution).
 
     ``logit`` is the ln of the probability that L3 gives the id as the row's next
     target. An id without any, possible only if the uniform floor's weight is 0, has
     no row. The output is rows times vocabulary, as the reference's scores are.
+
+    A task fills a chunk of ids of a row at a time: the order-1 weights of the chunk, which
+    all rows share, plus what the row's contexts add. So the joins are of rows times
+    chunks, and rows times vocabulary are written out only as the result.
     """
-    n = F.size(tokens)
-    tails = [F.when(n >= k - 1, F.array_join(F.slice(tokens, -(k - 1), k - 1).cast("array<string>"), " ")).alias(f"_h{k}")
-             for k in range(2, lm.order + 1)]
-    rows = contexts.select(key, *tails, F.explode(F.sequence(F.lit(0), F.lit(lm.vocab_size - 1))).alias("token"))
-    return _with_prob(rows, lm).filter(F.col("prob") > 0).select(key, "token", (-F.col("loss")).alias("logit"))
+    lam, v, n_tokens, width = lm.lambdas, lm.vocab_size, lm.n_tokens, CHUNK
+    tails = tail_contexts(F.col(tokens), lm.order) if lm.order > 1 else F.lit(None)
+    rows = cut_lineage(contexts.select(F.monotonically_increasing_id().alias("_r"), F.col(key).alias("_key"), tails.alias("_tail")))  # keys may repeat
+    chunks = -(-v // width)
+    first = (lm.level_counts(1).filter((F.col("token") >= 0) & (F.col("token") < v)).groupBy(_chunk_of("token").alias("_chunk"))
+             .agg(F.collect_list(F.struct("token", "n")).alias("_first")))
+    asked = rows.select("_r", "_key")
+    part = "struct<order:int,tokens:array<int>,adds:array<double>>"
+    if lm.order > 1:
+        parts, seen = _asked_parts(rows, lm)
+        asked = asked.join(seen, "_r", "left")
+    else:
+        asked = asked.withColumn("_seen", F.lit(None).cast("array<int>"))
+    pairs = asked.select("_r", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_chunk"),
+                         F.struct("_key", "_seen").alias("_row"), F.lit(None).cast(part).alias("part"))
+    if lm.order > 1:
+        pairs = pairs.unionByName(parts.select("_r", "_chunk", "part"), allowMissingColumns=True)
+    # so many tasks whatever the bytes: the pairs are few and narrow, what is made of them is not
+    tasks = max(shuffle_partitions(contexts.sparkSession), contexts.sparkSession.sparkContext.defaultParallelism)
+    pairs = pairs.repartition(tasks, "_r", "_chunk").groupBy("_r", "_chunk").agg(F.first("_row", ignorenulls=True).alias("_row"), F.collect_list("part").alias("_parts"))
+    pairs = pairs.join(F.broadcast(first) if v * 24 <= BROADCAST_BYTES else first, "_chunk", "left").select("_row._key", "_row._seen", "_chunk", "_parts", "_first")
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (seen, chunk) in enumerate(zip(batch.column("_seen").to_pylist(), batch.column("_chunk").to_pylist())):
+                low = chunk * width
+                num, den = np.full(min(width, v - low), lam[0] / v), lam[0] + lam[1]
+                counted = batch.column("_first")[i].values
+                if counted is not None:
+                    at, c = (counted.field(f).to_numpy(zero_copy_only=False) for f in ("token", "n"))
+                    num[at - low] += lam[1] * c / float(n_tokens)
+                for order in sorted(seen or []):
+                    den += lam[order]
+                for p in sorted(batch.column("_parts")[i], key=lambda p: p["order"].as_py()):
+                    num[p["tokens"].values.to_numpy(zero_copy_only=False) - low] += p["adds"].values.to_numpy(zero_copy_only=False)
+                ids, prob = np.arange(low, low + len(num), dtype=np.int32), num / den
+                if not (some := prob > 0).all():
+                    ids, prob = ids[some], prob[some]
+                keys = batch.column("_key").take(pa.array(np.full(len(ids), i)))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(ids), pa.array(np.log(prob))], [key, "token", "logit"])
+
+    schema = T.StructType([T.StructField(key, rows.schema["_key"].dataType), T.StructField("token", T.IntegerType()), T.StructField("logit", T.DoubleType())])
+    return pairs.mapInArrow(fill, schema)
 
 
 def unigram(lm: NgramModel) -> DataFrame:

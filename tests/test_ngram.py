@@ -103,6 +103,28 @@ def test_interpolated_scores_cover_the_vocabulary_with_the_loss_model(spark, win
         assert sum(p for (j, _), p in got.items() if j == i) == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("chunk, bound", [(3, 64 << 20), (7, -1), (1 << 14, 64 << 20)])
+def test_interpolated_scores_are_filled_by_chunks(spark, wins, monkeypatch, chunk, bound):
+    """No join of rows times vocabulary; repeated and null keys and a null context keep their rows."""
+    from tessera.operators import ngram
+    monkeypatch.setattr(ngram, "CHUNK", chunk)
+    monkeypatch.setattr(ngram, "BROADCAST_BYTES", bound)
+    c, tot = py_model(WINDOWS)
+    asked = [("a", [5, 6]), ("a", [9, 9, 7]), (None, [9, 9]), (None, [5, 6]), ("b", [])]
+    want = sorted((k or "", w, round(math.log(py_prob(c, tot, x, len(x) - 1, w) if x else (LAM[0] / V + LAM[1] * c[(1, "", w)] / tot[(1, "")]) / (LAM[0] + LAM[1])), 9))
+                  for k, x in asked for w in range(V))
+    ctx = spark.createDataFrame([*asked, ("n", None)], "who STRING, tokens ARRAY<INT>")
+    out = score_interpolated(ctx, fit_ngram(wins, 3, V, LAM), "who")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Join" in x and "token" in x]
+    rows = out.collect()
+    assert out.columns == ["who", "token", "logit"] and sum(r["who"] == "n" for r in rows) == V
+    assert sorted((r["who"] or "", r["token"], round(r["logit"], 9)) for r in rows if r["who"] != "n") == want
+    # without a floor an id of no probability has no row
+    bare = score_interpolated(ctx.filter("who = 'b'"), fit_ngram(wins, 1, V + 4, (0.0, 1.0)), "who").collect()
+    assert sorted(r["token"] for r in bare) == sorted(w for w in range(V) if c[(1, "", w)])
+
+
 def test_generation_reaches_ids_outside_the_longest_context(spark, wins):
     from tessera.config import Config
     from tessera.operators.generate import generate_ids
