@@ -36,6 +36,9 @@ from tessera.session import cut_lineage, ensure_checkpoint_dir, shuffle_partitio
 from tessera.operators.vocab import BROADCAST_BYTES, PAD
 
 
+FOLDER_CONTEXTS = 1 << 14  # contexts in a folder of continuations, on average
+FEWEST_FOLDERS, MOST_FOLDERS = 1 << 10, 1 << 13  # with fewer, reading all is as quick
+
 _TAIL = 1 << 30  # contexts that end at the last id rank above all earlier ones
 
 
@@ -48,19 +51,36 @@ class NgramModel:
     vocab_size: int
     lambdas: tuple
     _continuations: DataFrame | None = None
+    folders: int = 0     # that the continuations lie in, once written
 
-    def continuations(self) -> DataFrame:
+    def continuations(self, contexts: DataFrame | None = None) -> DataFrame:
         """``order, ctx, tokens, adds`` for the orders from 2 on: what each continuation of a
         context adds to its probability's numerator. One row a context, at most the
         vocabulary in a row; written once, bucketed by (order, ctx), so that joins on
-        the context move only their other side."""
+        the context move only their other side. The buckets of a large model lie in several
+        folders each, by the same hash: with ``contexts`` (few rows of ``order, ctx``) only the
+        folders that can hold these are read."""
         if self._continuations is None:
+            n = shuffle_partitions(self.counts.sparkSession)
+            in_bucket = self.totals.filter("order >= 2").count() // n
+            each = min(in_bucket // FOLDER_CONTEXTS, MOST_FOLDERS // n)
+            self.folders = n * each if each > 1 and n * each >= FEWEST_FOLDERS else n
             lam = F.element_at(F.array(*map(F.lit, self.lambdas)), F.col("order") + 1)
             rows = self.counts.filter("order >= 2").groupBy("order", "ctx").agg(
                 F.collect_list(F.struct("token", "n")).alias("c"), F.sum("n").alias("total"))
             adds = F.transform("c.n", lambda n: lam * n / F.col("total"))
-            self._continuations = bucketed(rows.select("order", "ctx", F.col("c.token").alias("tokens"), adds.alias("adds")), "contexts", "order", "ctx")
-        return self._continuations
+            rows = rows.select("order", "ctx", F.col("c.token").alias("tokens"), adds.alias("adds"), self._folder().alias("folder"))
+            several = self.folders > n
+            self._continuations = bucketed(rows if several else rows.drop("folder"), "contexts", "order", "ctx", parts=("folder",) if several else ())
+        table = self._continuations
+        if "folder" not in table.columns:
+            return table
+        if contexts is not None:
+            table = table.filter(F.col("folder").isin(sorted({r[0] for r in contexts.select(self._folder()).collect()})))
+        return table.drop("folder")
+
+    def _folder(self) -> Column:
+        return F.pmod(F.hash("order", "ctx"), F.lit(self.folders))  # modulo the buckets it is the bucket
 
     def partitioned(self) -> NgramModel:
         """The same model with its tables bucketed as a fitted one's, for a loaded model

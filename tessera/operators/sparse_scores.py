@@ -30,21 +30,36 @@ from tessera.functions.hashing import hash_unit
 from tessera.operators.ngram import NgramModel, tail_contexts
 from tessera.operators.vocab import BROADCAST_BYTES
 
-TOKEN_BYTES = 40  # of the shared table: base, running mass, logarithm, token, place
+TOKEN_BYTES = 8  # of the shared table: token and place; all else is one row a level
 
 
 class Shared:
-    """All tokens by order-1 weight (ties: the smaller token first), at one temperature."""
+    """All tokens by order-1 weight (ties: the smaller token first), at one temperature.
+    Tokens of one weight are a level; there are as many as different counts."""
 
     def __init__(self, base: np.ndarray, temperature: float):
         order = np.argsort(-base, kind="stable")
-        self.base, self.token, self.temperature = base, order, temperature
-        self.place = np.empty(len(order), np.int64)  # of a token
-        self.place[order] = np.arange(len(order))
+        self.token, self.temperature = order.astype(np.int32), temperature
+        self.place = np.empty(len(order), np.int32)  # of a token
+        self.place[order] = np.arange(len(order), dtype=np.int32)
+        change = np.concatenate([[True], base[order[1:]] != base[order[:-1]]])
+        self.start = np.flatnonzero(change)  # of each level
+        self.weight = base[order[self.start]]
         with np.errstate(divide="ignore"):
-            self.log = np.log(base[order]) / temperature
+            self.log = np.log(self.weight) / temperature
         self.mass = np.exp(self.log - self.log[0])   # over the heaviest token's
-        self.before = np.concatenate([[0.0], np.cumsum(self.mass)])
+        size = np.diff(np.append(self.start, len(order)))
+        self.level_before = np.concatenate([[0.0], np.cumsum(self.mass * size)])
+        self.ends = np.append(self.start, len(order))
+
+    def level(self, place):
+        """The level that a place is in."""
+        return np.searchsorted(self.start, place, "right") - 1
+
+    def before(self, j):
+        """Mass of the first ``j`` tokens."""
+        k = self.level(j)
+        return self.level_before[k] + (j - self.start[k]) * self.mass[k]
 
 
 class Merged:
@@ -59,7 +74,7 @@ class Merged:
         gain = np.zeros(len(own))
         gain[np.searchsorted(own, tokens)] = added
         with np.errstate(divide="ignore"):
-            logit = np.log((shared.base[own] + gain) / den) / shared.temperature
+            logit = np.log((shared.weight[shared.level(shared.place[own])] + gain) / den) / shared.temperature
         hit = np.isin(own, seen)
         raised = logit / penalty
         logit = np.where(hit, np.where(logit < 0, logit * penalty, raised) if mode == "sign_aware" else raised, logit)
@@ -71,10 +86,10 @@ class Merged:
         self.running = np.cumsum(self.weight)
         self.scale = math.exp(float(shared.log[0]) + shift - top)
         places = np.sort(shared.place[own])
-        self.places, self.hidden = places, np.concatenate([[0.0], np.cumsum(shared.mass[places])])
+        self.places, self.hidden = places, np.concatenate([[0.0], np.cumsum(shared.mass[shared.level(places)])])
         # how many shared tokens stand before each own token
         x = -(logit - shift)
-        low, high = np.searchsorted(-shared.log, x, "left"), np.searchsorted(-shared.log, x, "right")
+        low, high = (shared.ends[np.searchsorted(-shared.log, x, side)] for side in ("left", "right"))
         for i in np.flatnonzero(high > low):
             low[i] += np.searchsorted(shared.token[low[i]:high[i]], self.own[i])
         self.rank = low
@@ -82,7 +97,7 @@ class Merged:
 
     def shared_before(self, j):
         """Mass of the first ``j`` shared tokens without the row's own."""
-        left = self.shared.before[j] - self.hidden[np.searchsorted(self.places, j)]
+        left = self.shared.before(j) - self.hidden[np.searchsorted(self.places, j)]
         return self.scale * np.maximum(left, 0.0)
 
     def reach(self, mass: float) -> tuple[int, float]:
@@ -119,8 +134,9 @@ def shared_base(lm: NgramModel) -> np.ndarray | None:
     if lm.vocab_size * TOKEN_BYTES > BROADCAST_BYTES:
         return None
     base = np.full(lm.vocab_size, lm.lambdas[0] / lm.vocab_size)
-    for r in lm.level_counts(1).select("token", "n").collect():  # at most vocab_size rows
-        base[r["token"]] += lm.lambdas[1] * r["n"] / lm.n_tokens
+    rows = lm.level_counts(1).select("token", "n").toArrow()  # at most vocab_size rows
+    token, n = (rows.column(c).to_numpy() for c in ("token", "n"))
+    base[token] += lm.lambdas[1] * n / lm.n_tokens
     return base
 
 
@@ -131,11 +147,15 @@ def additions(active: DataFrame, lm: NgramModel, ctx: Column, key: str, n_active
     """``key, part``: what the contexts at the end of ``ctx`` add, a struct (order, tokens,
     adds) for each of them that was seen in training. The model's side is read by context
     as it was written; only the rows' contexts move: to every task if ``n_active`` rows
-    fit the broadcast bound, else by hash to the model's buckets."""
+    fit the broadcast bound (and where there are few, only their folders of the model are
+    read), else by hash to the model's buckets."""
     asked = active.select(key, F.explode(tail_contexts(ctx, lm.order)).alias("l")).select(key, "l.order", "l.ctx").filter("ctx is not null")
+    table = lm.continuations()
     if n_active is not None and n_active * (lm.order - 1) * ASKED_BYTES <= BROADCAST_BYTES:
+        if n_active * (lm.order - 1) * 2 <= lm.folders:
+            table = lm.continuations(asked)
         asked = F.broadcast(asked)
-    return lm.continuations().join(asked, ["order", "ctx"]).select(key, F.struct("order", "tokens", "adds").alias("part"))
+    return table.join(asked, ["order", "ctx"]).select(key, F.struct("order", "tokens", "adds").alias("part"))
 
 
 def _runs(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:

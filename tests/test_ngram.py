@@ -173,6 +173,20 @@ def test_sparse_draws_equal_dense_draws(mode):
             assert merged.draw(p, u) == _dense_draw(base, den, own, seen, t, penalty, mode, p, u), case
 
 
+def test_the_shared_table_takes_eight_bytes_a_token(spark, wins, monkeypatch):
+    """Its bound is of token and place: the rest is a row for each different weight."""
+    from tessera.operators import sparse_scores
+    lm = fit_ngram(wins, 3, V, LAM)
+    monkeypatch.setattr(sparse_scores, "BROADCAST_BYTES", 8 * V)
+    base = sparse_scores.shared_base(lm)
+    c, tot = py_model(WINDOWS)
+    assert base is not None and base == pytest.approx([LAM[0] / V + LAM[1] * c[(1, "", w)] / tot[(1, "")] for w in range(V)])
+    base = np.repeat([0.5, 0.25, 1e-6], [3, 7, 100_000])
+    table = sparse_scores.Shared(base, 0.7)
+    assert sum(x.nbytes for x in vars(table).values() if isinstance(x, np.ndarray)) < 8 * len(base) + 1000
+    assert table.before(np.array([0, 3, 10, len(base)])) == pytest.approx(np.concatenate([[0], np.cumsum((base / 0.5) ** (1 / 0.7))])[[0, 3, 10, len(base)]])
+
+
 def test_generation_is_the_same_written_out_or_not(spark, wins):
     from tessera.config import Config
     from tessera.operators.generate import generate_ids
@@ -203,6 +217,29 @@ def test_a_generation_step_does_not_move_the_model(spark, wins):
     assert not any("Exchange" in x for x in join[scan - 4:scan])
 
 
+def test_a_generation_step_reads_only_its_contexts_folders(spark, wins, monkeypatch):
+    """Folders of a large model that hold no context of the rows are not read; the draws are the same."""
+    from tessera.config import Config
+    from tessera.operators import ngram
+    from tessera.operators.generate import generate_ids
+    from tessera.operators.sparse_scores import additions
+    rows = spark.createDataFrame([(i, [2, 5 + i % 4, 6 + i % 3]) for i in range(9)] + [(90, []), (91, [2, 1, 1])], "row_id BIGINT, tokens ARRAY<INT>")
+    draws = lambda lm: {r["row_id"]: r["gen"] for r in generate_ids(rows, lm, Config.of(block_size=5), max_new=4).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        whole, lm = fit_ngram(wins, 3, V, LAM), fit_ngram(wins, 3, V, LAM)
+        want = draws(whole)
+        assert whole.folders == 2 and "folder" not in whole._continuations.columns
+        monkeypatch.setattr(ngram, "FOLDER_CONTEXTS", 1)
+        monkeypatch.setattr(ngram, "FEWEST_FOLDERS", 1)
+        assert draws(lm) == want and lm.folders > 6 and "folder" in lm._continuations.columns
+        plan = additions(rows.filter("row_id = 0"), lm, F.col("tokens"), "row_id", 1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    scan = next(x for x in plan.splitlines() if "FileScan" in x and "adds" in x)
+    assert "folder" in scan[scan.index("PartitionFilters: ["):].split("]")[0]
+
+
 def test_losses_do_not_move_the_model(spark, wins):
     """Without automatic broadcasts, orders 2 and up are joined with no exchange above the
     model's tables; only the targets move."""
